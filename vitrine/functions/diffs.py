@@ -36,7 +36,7 @@ def percent_text(x, exclusive=None) -> Column:
     """Two decimals and a percent sign, rounded on the exact binary
     value like Python's ``f"{x:.2f}%"``; exclusive or null -> ``N/A``."""
     x = as_col(x)
-    text = F.concat(F.format_number(x, "0.00"), F.lit("%"))
+    text = F.concat(F.call_function("format_number", x, F.lit("0.00")), F.lit("%"))
     out = F.when(x.isNull(), F.lit(NOT_AVAILABLE))
     if exclusive is not None:
         out = F.when(as_col(exclusive), F.lit(NOT_AVAILABLE)).when(x.isNull(), F.lit(NOT_AVAILABLE))

@@ -20,10 +20,19 @@ def norm(u) -> Column:
 
 
 def normalise(u) -> Column:
-    """Unit vector in double; a zero vector stays zero."""
+    """Unit vector in double; a zero vector stays zero.
+
+    The squared norm is the aggregate's accumulator and the division runs in
+    its finish step, so the norm is computed once per row rather than once
+    per element (an expression captured in a lambda is re-evaluated for
+    every element)."""
     u = as_col(u)
-    n = norm(u)
-    return F.transform(u, lambda x: F.when(n == 0, F.lit(0.0)).otherwise(x.cast("double") / n))
+    return F.aggregate(
+        u,
+        F.lit(0.0),
+        lambda acc, x: acc + x.cast("double") * x.cast("double"),
+        lambda acc: F.transform(u, lambda x: F.when(acc == 0, F.lit(0.0)).otherwise(x.cast("double") / F.sqrt(acc))),
+    )
 
 
 def cosine(u, v) -> Column:

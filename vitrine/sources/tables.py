@@ -30,7 +30,8 @@ def products(spark: SparkSession, sf_dir: str, labels: Labels = Labels("A", "B")
     """Products view over the driver tables: one product per embedded part.
 
     ``embeddings JOIN part ON vec_id = p_partkey``; even ids form the source
-    catalog, odd ids the target catalog.
+    catalog, odd ids the target catalog. ``name`` is the bare part name (a
+    title shared by many listings, for de-duplication).
     """
     e = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
@@ -43,6 +44,7 @@ def products(spark: SparkSession, sf_dir: str, labels: Labels = Labels("A", "B")
         F.when(F.col("vec_id") % 2 == 0, F.lit(labels.source)).otherwise(F.lit(labels.target)).alias("marketplace"),
         F.col("p_type").alias("category"),
         F.col("embedding"),
+        F.col("p_name").alias("name"),
     )
 
 
