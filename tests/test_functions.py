@@ -1,0 +1,132 @@
+"""Scalar functions on literal tables (expectations from the reference tests
+and FIXTURES.md section 2)."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from vitrine.functions import (
+    advantage,
+    category_from_title,
+    cosine,
+    diff_signed,
+    diff_symmetric,
+    diff_zero_filled,
+    marketplace_from_match,
+    normalise_flag,
+    percent_text,
+    price_band,
+    price_digits,
+    price_first_token,
+    price_nullable,
+    similarity_level,
+    tag_text,
+    url_absolute,
+    url_prefix,
+    url_relative,
+)
+from vitrine.schema import Labels, Levels
+
+
+def _apply(spark, values, fn, typ=T.StringType()):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], T.StructType(
+        [T.StructField("i", T.IntegerType()), T.StructField("v", typ, True)]))
+    return [r.out for r in df.select("i", fn(F.col("v")).alias("out")).orderBy("i").collect()]
+
+
+def test_price_first_token(spark):
+    cases = {
+        "R$ 6.599,00": 6599.0, "1.234,56": 1234.56, "999,99": 999.99, "123.45": 123.45, "100": 100.0,
+        "0.99": 0.99, "R$ 100,00 ou 3x de R$ 33,33": 100.0, "Preço: 50,00": 50.0, "": 0.0, "abc": 0.0, None: 0.0,
+    }
+    assert _apply(spark, list(cases), price_first_token) == list(cases.values())
+
+
+def test_price_nullable(spark):
+    cases = {"R$ 6.599,00": 6599.0, "123.45": 12345.0, "Indisponível": None, "INDISPONÍVEL agora": None,
+             "Preço: 50,00": None, "R$ 100,00 ou 3x de R$ 33,33": None, "": None, None: None, "12d": None,
+             "R$ 1.299,00": 1299.0}
+    assert _apply(spark, list(cases), price_nullable) == list(cases.values())
+
+
+def test_price_digits(spark):
+    cases = {"123.45": 12345.0, "0.99": 99.0, "R$ 100,00 ou 3x de R$ 33,33": 10000333.33, "abc": 0.0,
+             "R$ 1.299,90": 1299.9, None: 0.0, ",": 0.0}
+    assert _apply(spark, list(cases), price_digits) == list(cases.values())
+
+
+def test_similarity_level_defaults(spark):
+    cases = {-1.0: "exclusivo", 0.95: "muito similar", 0.90: "muito similar", 0.85: "moderadamente similar",
+             0.70: "moderadamente similar", 0.50: "moderadamente similar", 0.49: "pouco similar",
+             0.10: "pouco similar", 0.0: "pouco similar", -0.3: "pouco similar", None: None}
+    got = _apply(spark, list(cases), lambda c: similarity_level(c, Levels()), T.DoubleType())
+    assert got == list(cases.values())
+
+
+def test_diff_symmetric(spark):
+    df = spark.createDataFrame([(100.0, 90.0), (50.0, 100.0), (100.0, 100.0), (0.0, 100.0), (100.0, 0.0),
+                                (0.0, 0.0), (None, 1.0)], "a double, b double")
+    got = [r.d for r in df.select(diff_symmetric("a", "b").alias("d")).collect()]
+    assert math.isclose(got[0], 10.526315789473685, abs_tol=1e-9)
+    assert math.isclose(got[1], 66.66666666666666, abs_tol=1e-9)
+    assert got[2] == 0.0 and got[3] is None and got[4] is None and got[5] is None and got[6] is None
+
+
+def test_diff_signed_and_zero_filled(spark):
+    df = spark.createDataFrame([(110.0, 100.0, True), (110.0, 100.0, False), (110.0, 0.0, True),
+                                (110.0, None, True)], "a double, b double, m boolean")
+    rows = df.select(diff_signed("a", "b", "m").alias("s"), diff_zero_filled("a", "b").alias("z")).collect()
+    assert [r.s for r in rows] == [pytest.approx(10.0), None, None, None]
+    assert [r.z for r in rows] == [pytest.approx(10.0), pytest.approx(10.0), 0.0, 0.0]
+
+
+def test_percent_text(spark):
+    cases = {0.125: "0.12%", 1.005: "1.00%", 8.5: "8.50%", -5.555: "-5.55%", None: "N/A", 10.526315789: "10.53%"}
+    got = _apply(spark, list(cases), percent_text, T.DoubleType())
+    expect = [v if k is None else f"{k:.2f}%" for k, v in cases.items()]
+    assert got == expect == list(cases.values())
+
+
+def test_urls(spark):
+    base = "https://www.magazineluiza.com.br"
+    got = _apply(spark, ["/produto/123", base + "/produto/123", "", None], lambda c: url_absolute(c, base))
+    assert got == [base + "/produto/123", base + "/produto/123", base, None]
+    assert _apply(spark, ["/x", "http://y/x", None], lambda c: url_relative(c, "https://d")) == [
+        "https://d/x", "http://y/x", None]
+    assert _apply(spark, ["/x"], lambda c: url_prefix(c, "https://d")) == ["https://d/x"]
+
+
+def test_category_band_advantage(spark):
+    titles = ["Geladeira Smart TV", "smartphone barato", "Notebook X", "Fogão 4 bocas", "Cadeira"]
+    assert _apply(spark, titles, category_from_title) == [
+        "Eletrodomésticos", "Outros", "Eletrônicos", "Eletrodomésticos", "Outros"]
+    prices = [100.0, 100.01, 500.0, 1000.0, 5000.0, 5000.01, None]
+    assert _apply(spark, prices, price_band, T.DoubleType()) == [
+        "Até R$ 100", "R$ 100 - R$ 500", "R$ 100 - R$ 500", "R$ 500 - R$ 1.000", "R$ 1.000 - R$ 5.000",
+        "Acima de R$ 5.000", None]
+    df = spark.createDataFrame([(10.0, 9.0), (9.0, 10.0), (5.0, 5.0), (None, 1.0)], "a double, b double")
+    lab = Labels()
+    got = [r.x for r in df.select(advantage("a", "b", lab).alias("x")).collect()]
+    assert got == ["Bemol Mais Barata", "Magalu Mais Barata", "Preços Iguais", None]
+
+
+def test_flags_and_marketplace(spark):
+    assert _apply(spark, [" Sim", "NÃO", "não"], normalise_flag) == ["sim", "não", "não"]
+    assert _apply(spark, ["x", None], lambda c: marketplace_from_match(c, Labels())) == ["Bemol", "Magalu"]
+
+
+def test_tag_text(spark):
+    got = _apply(spark, ["  <b> Foo </b> <i>Bar</i>  ", "A &amp; B", "<span>&nbsp;x</span>", "plain"], tag_text)
+    assert got == ["FooBar", "A & B", "x", "plain"]
+
+
+def test_cosine(spark):
+    df = spark.createDataFrame([([1.0, 0.0, 0.0], [0.5, 0.5, 0.0]), ([0.0, 0.0, 0.0], [1.0, 2.0, 3.0]),
+                                ([0.1, 0.2, 0.3, 0.4, 0.5], [0.1, 0.2, 0.3, 0.4, 0.6])],
+                               "u array<double>, v array<double>")
+    got = [r.c for r in df.select(cosine("u", "v").alias("c")).collect()]
+    assert got[0] == pytest.approx(0.70710678, abs=1e-8)
+    assert got[1] == 0.0
+    assert got[2] == pytest.approx(0.9959, abs=1e-4)
