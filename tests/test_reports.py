@@ -119,3 +119,39 @@ def test_sink_by_category_keeps_absent_categories(spark):
 def test_drop_empty_rows(spark):
     df = spark.createDataFrame([("", None), (" ", "x"), (None, None)], "a string, b string")
     assert SK.drop_empty_rows(df).count() == 1
+
+
+def test_validate_run(spark):
+    from vitrine.operators.checks import validate_run
+
+    ok = spark.createDataFrame([], CAT)
+    validate_run(ok, ok, 0.8)
+    with pytest.raises(ValueError):
+        validate_run(ok.drop("url"), ok, 0.8)
+    with pytest.raises(ValueError):
+        validate_run(ok, ok, 1.5)
+    with pytest.raises(ValueError):
+        validate_run(ok, ok, 0.8, Levels(very=0.4, moderate=0.6))
+
+
+def test_slicers_and_pair_analysis(spark):
+    df = spark.createDataFrame(
+        [("x", "Bemol", 90.0, "u", "não", 0.9, "muito similar", 5.0),
+         ("y", "Magalu", 95.0, "u", "não", 0.9, "muito similar", 5.0),
+         ("z", "Bemol", 900.0, "u", "sim", -1.0, "exclusivo", None)], BENCH)
+    assert R.slice_benchmark(df, marketplace="Bemol", levels=["muito similar"], band="Até R$ 100").count() == 1
+    assert R.slice_benchmark(df).count() == 3
+    bench = df.withColumn("pair_id", F.when(F.col("exclusivity") == "não", F.lit(7)).cast("long")).withColumn(
+        "product_id", F.monotonically_increasing_id())
+    pa = R.pair_analysis(bench, Labels()).collect()
+    assert len(pa) == 1 and pa[0].advantage == "Bemol Mais Barata" and pa[0].price_band == "Até R$ 100"
+
+
+def test_ingest_pages_job(spark):
+    pages = spark.createDataFrame(
+        [(1, "tv", 1, '<a href="/a">A</a><a href="/b">B</a>'), (2, "tv", 2, "<p>none</p>"),
+         (3, "tv", 3, '<a href="/c">C</a>'), (4, "pc", 1, '<a href="http://x/d">D</a>')],
+        "page_id long, category string, page int, html string")
+    path = ensure_checkpoint_dir(spark) + "/ingest-test"
+    got = sorted((r.category, r.title, r.url) for r in P.ingest_pages(pages, path, domain="https://s").collect())
+    assert got == [("pc", "D", "http://x/d"), ("tv", "A", "https://s/a"), ("tv", "B", "https://s/b")]

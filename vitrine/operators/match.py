@@ -144,10 +144,19 @@ def _vectors(df: DataFrame, id_col: str, vector_col: str, name: str) -> DataFram
     )
 
 
-def _blocks(df: DataFrame, rows_per_block: int) -> int:
-    # one cheap counting job per side sizes the blocks; pass explicit block
-    # counts to skip it
-    return max(1, math.ceil(df.count() / rows_per_block))
+def _block_counts(s: DataFrame, t: DataFrame, rows_per_block: int, ns: int | None, nt: int | None):
+    """Blocks per side so that a block holds at most ``rows_per_block`` rows.
+
+    Sizing needs the row counts: one linear counting job covers both sides
+    (pass explicit block counts to skip it)."""
+    if ns and nt:
+        return ns, nt
+    tagged = s.select(F.lit(1).alias("_s"), F.lit(0).alias("_t")).unionByName(
+        t.select(F.lit(0).alias("_s"), F.lit(1).alias("_t"))
+    )
+    n = tagged.agg(F.sum("_s").alias("s"), F.sum("_t").alias("t")).first()
+    size = lambda k: max(1, math.ceil((k or 0) / rows_per_block))
+    return ns or size(n.s), nt or size(n.t)
 
 
 def _replicated(s: DataFrame, t: DataFrame, ns: int, nt: int):
@@ -176,8 +185,7 @@ def best_match(
     """
     s = _vectors(source, id_col, vector_col, "source_id")
     t = _vectors(target, id_col, vector_col, "target_id")
-    ns = source_blocks or _blocks(s, rows_per_block)
-    nt = target_blocks or _blocks(t, rows_per_block)
+    ns, nt = _block_counts(s, t, rows_per_block, source_blocks, target_blocks)
     gs, gt = _replicated(s, t, ns, nt)
     winners = gs.cogroup(gt).applyInPandas(
         lambda a, b: block_winners(a, b), schema=MATCH_SCHEMA
@@ -203,8 +211,7 @@ def similarity_pairs(
     rows ``source_id, target_id, similarity`` (never a dense matrix)."""
     s = _vectors(source, id_col, vector_col, "source_id")
     t = _vectors(target, id_col, vector_col, "target_id")
-    ns = source_blocks or _blocks(s, rows_per_block)
-    nt = target_blocks or _blocks(t, rows_per_block)
+    ns, nt = _block_counts(s, t, rows_per_block, source_blocks, target_blocks)
     gs, gt = _replicated(s, t, ns, nt)
     return gs.cogroup(gt).applyInPandas(lambda a, b: block_pairs_above(a, b, threshold), schema=MATCH_SCHEMA)
 
@@ -274,8 +281,12 @@ def pair_rows(source: DataFrame, target: DataFrame, best: DataFrame, labels: Lab
 
 def unmatched_targets(target: DataFrame, best: DataFrame, labels: Labels = Labels(),
                       absolute_urls: bool = True) -> DataFrame:
-    """Target rows no source chose, as exclusive rows (similarity -1)."""
-    chosen = best.select(F.col("target_id").alias("product_id"))
+    """Target rows no source chose, as exclusive rows (similarity -1).
+
+    The chosen ids are made distinct first: a target that is the best match
+    of a third of all sources collapses map-side to one row per partition
+    before the anti-join shuffle."""
+    chosen = best.select(F.col("target_id").alias("product_id")).distinct()
     rest = target.join(chosen, "product_id", "left_anti")
     url = url_absolute("url", labels.target_base_url) if absolute_urls else F.col("url")
     return rest.select(

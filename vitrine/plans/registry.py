@@ -27,7 +27,7 @@ from vitrine.operators import metrics as M
 from vitrine.operators.dedupe import keep_cheapest, keep_cheapest_exact, pair_difference
 from vitrine.operators.match import best_match, pair_rows, similarity_pairs, unmatched_targets
 from vitrine.plans import reports as R
-from vitrine.session import ensure_checkpoint_dir
+from vitrine.session import cut_lineage, ensure_checkpoint_dir
 from vitrine.sources import pages as P
 from vitrine.sources import sinks as SK
 from vitrine.sources.tables import products, read_table, scan_with_suffix, split_catalogs, union_tables
@@ -70,6 +70,7 @@ def _analytical(spark, sf, ordered=False):
 
 def _pairs_and_exclusives(spark, sf):
     s, t, best = _best(spark, sf)
+    best = cut_lineage(best)  # used by both the pairs and the exclusives
     return pair_rows(s, t, best, LABELS).unionByName(unmatched_targets(t, best, LABELS))
 
 

@@ -15,6 +15,7 @@ from vitrine.functions.labels import marketplace_from_match, normalise_flag, sim
 from vitrine.functions.prices import clean_double, parse_price
 from vitrine.operators.dedupe import keep_cheapest, pair_difference
 from vitrine.operators.match import attach_match, best_match, pair_rows, unmatched_targets
+from vitrine.session import cut_lineage
 from vitrine.schema import (
     BENCHMARK_HIDDEN,
     BENCHMARK_VISIBLE,
@@ -107,14 +108,21 @@ def finish_benchmark(rows: DataFrame, levels: Levels = Levels(), ordered: bool =
 
 def benchmark_table(source: DataFrame, target: DataFrame, labels: Labels = Labels(), levels: Levels = Levels(),
                     best: DataFrame | None = None, ordered: bool = True, price_style: str = "first_token",
-                    **match_opts) -> DataFrame:
+                    materialize: bool = True, **match_opts) -> DataFrame:
     """K4: prepare both catalogs (B8), best match (C1), two rows per pair
     with the pair's symmetric diff (C4, E3 on intact pairs), never-chosen
     targets appended as exclusives (C5, U2), cheapest row per (title,
-    marketplace) (E1), similarity level (H11), exclusives first (S3)."""
+    marketplace) (E1), similarity level (H11), exclusives first (S3).
+
+    The match feeds two joins keyed differently (pairs by source, exclusives
+    by target), which would run the match twice; unless a ``best`` table is
+    given it is materialised once as a table in the session's checkpoint
+    folder, which also keeps an executor loss from re-running it."""
     s = prepare_catalog(source, labels.source, price_style)
     t = prepare_catalog(target, labels.target, price_style)
-    best = best if best is not None else best_match(s, t, **match_opts)
+    if best is None:
+        best = best_match(s, t, **match_opts)
+        best = cut_lineage(best, "best-match") if materialize else best
     rows = pair_rows(s, t, best, labels).unionByName(unmatched_targets(t, best, labels))
     return finish_benchmark(rows, levels, ordered)
 
@@ -170,3 +178,35 @@ def top_by(df: DataFrame, col: str, n: int = 10, descending: bool = True, tie=("
     order = [F.desc_nulls_last(col) if descending else F.asc_nulls_last(col)] + [F.asc(t) for t in tie]
     top = df.where(F.col(col).isNotNull()).orderBy(*order).limit(n)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+
+
+def exclusives_summary(report: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """K7: (count, listing) of the exclusive rows of a report."""
+    return exclusives_count(report), exclusives_listing(report)
+
+
+def slice_benchmark(bench: DataFrame, marketplace: str | None = None, levels=None, band: str | None = None,
+                    category: str | None = None, category_col: str = "category") -> DataFrame:
+    """The dashboard slicers as one parameterised filter (marketplace,
+    similarity levels, price band, category drill-down); ``None`` = all."""
+    from vitrine.functions.labels import price_band
+
+    out = bench
+    if marketplace is not None:
+        out = out.where(F.col("marketplace") == marketplace)
+    if levels:
+        out = out.where(F.col("similarity_level").isin(list(levels)))
+    if band is not None:
+        out = out.where(price_band("price") == band)
+    if category is not None:
+        out = out.where(F.col(category_col) == category)
+    return out
+
+
+def pair_analysis(bench: DataFrame, labels: Labels = Labels(), key: str = "pair_id") -> DataFrame:
+    """K9: pairs pivoted (D11) with the advantage label (H14) and the
+    target price band (H13)."""
+    from vitrine.functions.labels import price_band
+    from vitrine.operators.metrics import pair_table
+
+    return pair_table(bench, labels, key).withColumn("price_band", price_band("target_price"))

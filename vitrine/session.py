@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,7 +48,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return scratch
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never a local one."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    and continue from it: one job computes it exactly once (an eager RDD
+    checkpoint would compute it a second time to write it), later stages and
+    retries after an executor loss read the files instead of recomputing
+    the lineage, and AQE sees the real size. Never a local checkpoint."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

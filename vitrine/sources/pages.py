@@ -77,3 +77,27 @@ def cards_from_pages(pages: DataFrame, category_col: str, domain: str | None = N
     links = extract_links(pages, keep=("page_id", category_col, "page"))
     cards = links.where(F.col("pos") >= min_pos)
     return cards.withColumn("url", url_relative("href", domain))
+
+
+def ingest_pages(pages: DataFrame, path: str, category_col: str = "category", domain: str | None = None,
+                 min_pos: int = 1, price_col: str | None = None, stop_on_empty: bool = True) -> DataFrame:
+    """K6: stored pages -> cards -> (first empty page cut) -> prices ->
+    per-category sink -> one table again.
+
+    ``pages`` carries ``page_id``, ``html``, the category and ``page``
+    (its number within the category). With ``price_col`` the card's price
+    text is read with H1 and cards without a price are dropped (B2). The
+    sink replaces only the categories present (A7); the returned DataFrame
+    reads every category back (U1)."""
+    from vitrine.functions.prices import price_nullable
+    from vitrine.sources.sinks import save_by_category
+
+    if stop_on_empty:
+        links = F.size(F.regexp_extract_all(F.col("html"), F.lit(ANCHOR), 1))
+        stats = pages.withColumn("n_cards", F.greatest(links - (min_pos - 1), F.lit(0)))
+        pages = crawl_cut(stats, category_col=category_col).drop("n_cards")
+    cards = cards_from_pages(pages, category_col, domain, min_pos)
+    if price_col:
+        cards = cards.withColumn("price", price_nullable(price_col)).where(F.col("price").isNotNull())
+    save_by_category(cards.drop("page"), path, category_col)
+    return pages.sparkSession.read.parquet(path)
