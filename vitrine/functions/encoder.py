@@ -21,8 +21,10 @@ from vitrine.functions.vectors import normalise
 
 
 def trigram_vector(text, dim: int = 64) -> Column:
-    """Hashed character trigrams of ``' ' + lower(text) + ' '`` counted into
-    ``dim`` buckets and L2-normalised; null text -> null vector."""
+    """Column form of the default encoder (hashed character trigrams of
+    ``' ' + lower(text) + ' '`` counted into ``dim`` buckets with
+    ``xxhash64``, L2-normalised); null text -> null vector. Usable inside any
+    expression; ``encode_titles`` uses the faster ML-transformer form."""
     t = F.concat(F.lit(" "), F.lower(as_col(text)), F.lit(" "))
     n = F.length(t)
     grams = F.transform(F.sequence(F.lit(1), F.greatest(n - 2, F.lit(1))), lambda i: F.substring(t, i, 3))
@@ -38,11 +40,31 @@ def trigram_vector(text, dim: int = 64) -> Column:
     return F.when(as_col(text).isNull(), F.lit(None)).otherwise(vec)
 
 
+def _trigram_pipeline(df: DataFrame, text_col: str, dim: int, out_col: str) -> DataFrame:
+    """Default encoder with Spark ML feature transformers (JVM loops, no
+    interpreted lambdas): characters -> NGram(3) -> HashingTF(dim) ->
+    Normalizer(L2) -> array<float>."""
+    from pyspark.ml.feature import HashingTF, Normalizer, NGram
+    from pyspark.ml.functions import vector_to_array
+
+    tmp = [f"__{out_col}_{k}" for k in ("chars", "grams", "tf", "unit")]
+    padded = F.concat(F.lit(" "), F.lower(F.col(text_col)), F.lit(" "))
+    chars = F.coalesce(F.split(padded, ""), F.array().cast("array<string>"))
+    staged = df.withColumn(tmp[0], chars)
+    staged = NGram(n=3, inputCol=tmp[0], outputCol=tmp[1]).transform(staged)
+    staged = HashingTF(numFeatures=dim, inputCol=tmp[1], outputCol=tmp[2]).transform(staged)
+    staged = Normalizer(p=2.0, inputCol=tmp[2], outputCol=tmp[3]).transform(staged)
+    vec = F.when(F.col(text_col).isNull(), F.lit(None)).otherwise(vector_to_array(F.col(tmp[3]), "float32"))
+    return staged.withColumn(out_col, vec).drop(*tmp)
+
+
 def encode_titles(df: DataFrame, text_col: str = "title", dim: int = 64, out_col: str = "embedding",
                   encoder: Callable | None = None) -> DataFrame:
-    """Add a vector column computed from ``text_col``."""
-    vec = trigram_vector(text_col, dim) if encoder is None else encoder(F.col(text_col))
-    return df.withColumn(out_col, vec)
+    """Add a vector column computed from ``text_col`` (default: hashed
+    character trigrams; or ``encoder(column)``, e.g. ``model_encoder``)."""
+    if encoder is None:
+        return _trigram_pipeline(df, text_col, dim, out_col)
+    return df.withColumn(out_col, encoder(F.col(text_col)))
 
 
 def model_encoder(factory: Callable[[], Callable[[list[str]], np.ndarray]]):
@@ -55,11 +77,12 @@ def model_encoder(factory: Callable[[], Callable[[list[str]], np.ndarray]]):
         encode = factory()
         for texts in batches:
             mask = texts.notna().to_numpy()
-            out = pd.Series([None] * len(texts), dtype=object)
+            out = [None] * len(texts)
             if mask.any():
                 vecs = np.asarray(encode(texts[mask].astype(str).tolist()), dtype=np.float32)
-                out[mask] = list(vecs)
-            yield out
+                for k, v in zip(np.nonzero(mask)[0], vecs):
+                    out[k] = v
+            yield pd.Series(out, dtype=object)
 
     return _encode
 

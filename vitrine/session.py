@@ -23,6 +23,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "vit
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("VITRINE_DRIVER_MEMORY", "16g"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="vitrine-warehouse-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
