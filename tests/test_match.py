@@ -150,3 +150,16 @@ def test_no_cartesian_product_in_match_plan(spark):
     plan = best_match(a, a, source_blocks=2, target_blocks=2)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "FlatMapCoGroupsInPandas" in plan
+
+
+def test_block_counts_fill_the_cluster(spark):
+    from vitrine.operators.match import _block_counts
+
+    big = spark.range(40_000).selectExpr("id AS source_id")
+    small = spark.range(3_000).selectExpr("id AS target_id")
+    ns, nt = _block_counts(big, small, 50_000, None, None)
+    slots = spark.sparkContext.defaultParallelism
+    assert nt == 1 and ns == min(slots, 40)
+    ns2, nt2 = _block_counts(big, big, 10_000, None, None)
+    assert nt2 == 4 and ns2 >= 4
+    assert _block_counts(small, small, 10, 3, 5) == (3, 5)

@@ -35,9 +35,14 @@ from vitrine.functions.urls import url_absolute
 from vitrine.schema import EXCLUSIVE_SIMILARITY, NO, YES, Labels
 
 MATCH_SCHEMA = "source_id long, target_id long, similarity double"
+# Scores equal to 12 decimals are a tie (lowest target id wins): cosines that
+# are equal in exact arithmetic can differ in the last bit depending on how
+# the sum was formed, so "highest score" alone is not well defined.
+TIE_DECIMALS = 12
 _TOL = 1e-9  # far above BLAS error for unit vectors, far below real gaps
 _CHUNK_ELEMS = 4_000_000  # score-matrix elements per chunk (32 MB)
 _RESCORE_PAIRS = 250_000  # candidate pairs re-scored per slice
+_MIN_SOURCE_BLOCK = 1_000  # smallest source block worth a task
 
 
 # ---------------------------------------------------------------------------
@@ -94,7 +99,7 @@ def block_winners(sdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
             r, c = np.nonzero(G >= (best - _TOL)[:, None])
             r = rows_live[r]
             exact = _exact_scores(Sc, T, r, c)
-            o = np.lexsort((tid[c], -exact, r))
+            o = np.lexsort((tid[c], -np.round(exact, TIE_DECIMALS), r))
             rs = r[o]
             keep = o[np.r_[True, rs[1:] != rs[:-1]]]
             parts.append(pd.DataFrame({"source_id": sid[i0 + r[keep]],
@@ -148,7 +153,9 @@ def _block_counts(s: DataFrame, t: DataFrame, rows_per_block: int, ns: int | Non
     """Blocks per side so that a block holds at most ``rows_per_block`` rows.
 
     Sizing needs the row counts: one linear counting job covers both sides
-    (pass explicit block counts to skip it)."""
+    (pass explicit block counts to skip it). Source blocks are added until
+    the block grid can occupy ``defaultParallelism`` task slots (each source
+    block keeps at least ``_MIN_SOURCE_BLOCK`` rows)."""
     if ns and nt:
         return ns, nt
     tagged = s.select(F.lit(1).alias("_s"), F.lit(0).alias("_t")).unionByName(
@@ -156,7 +163,14 @@ def _block_counts(s: DataFrame, t: DataFrame, rows_per_block: int, ns: int | Non
     )
     n = tagged.agg(F.sum("_s").alias("s"), F.sum("_t").alias("t")).first()
     size = lambda k: max(1, math.ceil((k or 0) / rows_per_block))
-    return ns or size(n.s), nt or size(n.t)
+    nt = nt or size(n.t)
+    if not ns:
+        # enough block pairs to occupy the cluster: more source blocks only
+        # replicate the (bounded) target block, never the source rows
+        slots = s.sparkSession.sparkContext.defaultParallelism
+        ns = max(size(n.s), min(math.ceil(slots / nt), math.ceil((n.s or 0) / _MIN_SOURCE_BLOCK)))
+        ns = max(1, ns)
+    return ns, nt
 
 
 def _replicated(s: DataFrame, t: DataFrame, ns: int, nt: int):
@@ -178,7 +192,8 @@ def best_match(
     target_blocks: int | None = None,
 ) -> DataFrame:
     """C1 + E4: for each source row with a vector, the target with the
-    highest cosine (H17); ties go to the lowest target id.
+    highest cosine (H17); ties (equal to ``TIE_DECIMALS`` decimals) go to the
+    lowest target id.
 
     Returns ``source_id, target_id, similarity``. Sources get no row when the
     target side is empty (callers left-join, see C7).
@@ -192,7 +207,8 @@ def best_match(
     )
     if nt == 1:
         return winners
-    pick = F.max_by(F.struct("target_id", "similarity"), F.struct(F.col("similarity"), -F.col("target_id")))
+    rank = F.struct(F.round("similarity", TIE_DECIMALS), -F.col("target_id"))
+    pick = F.max_by(F.struct("target_id", "similarity"), rank)
     return winners.groupBy("source_id").agg(pick.alias("m")).select("source_id", "m.target_id", "m.similarity")
 
 

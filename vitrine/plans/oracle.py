@@ -43,7 +43,7 @@ BEST = ",".join([
     _vectors("sv", "src"), _vectors("tv", "tgt"), _scores("scores", "sv", "tv"),
     """
 best AS (SELECT * FROM scores
-         QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY similarity DESC, target_id) = 1)""",
+         QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY round(similarity, 12) DESC, target_id) = 1)""",
 ])
 
 
@@ -252,7 +252,7 @@ ORACLE["dedupe_exact_match"] = w(
     PRODUCTS, _vectors("av", "products"), _vectors("tv", "tgt"), _scores("sc_all", "av", "tv"),
     """
 best_all AS (SELECT * FROM sc_all
-             QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY similarity DESC, target_id) = 1),
+             QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY round(similarity, 12) DESC, target_id) = 1),
 r AS (SELECT p.product_id, p.name AS title, p.marketplace, p.price, round(b.similarity, 6) AS similarity
       FROM products p JOIN best_all b ON b.source_id = p.product_id)""") + """
 SELECT * FROM (SELECT * FROM r WHERE similarity = 1.0
