@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from vitrine.functions.diffs import diff_symmetric
 from vitrine.functions.urls import url_absolute
 from vitrine.schema import EXCLUSIVE_SIMILARITY, NO, YES, Labels
+from vitrine.session import task_slots
 
 MATCH_SCHEMA = "source_id long, target_id long, similarity double"
 # Scores equal to 12 decimals are a tie (lowest target id wins): cosines that
@@ -167,7 +168,7 @@ def _block_counts(s: DataFrame, t: DataFrame, rows_per_block: int, ns: int | Non
     if not ns:
         # enough block pairs to occupy the cluster: more source blocks only
         # replicate the (bounded) target block, never the source rows
-        slots = s.sparkSession.sparkContext.defaultParallelism
+        slots = task_slots(s.sparkSession)
         ns = max(size(n.s), min(math.ceil(slots / nt), math.ceil((n.s or 0) / _MIN_SOURCE_BLOCK)))
         ns = max(1, ns)
     return ns, nt

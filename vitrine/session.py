@@ -30,25 +30,47 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "vit
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions expose no SparkContext
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder.
+    """Return the session's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local tests) a scratch folder is created.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    as is; a cluster session without it is an error (a machine-local folder
+    would not survive an executor loss). Only a ``local[...]`` session with
+    no setting (tests) gets a scratch folder."""
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
+        if sc is not None:
+            sc.setCheckpointDir(configured)
         return configured
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not str(master).startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
     scratch = tempfile.mkdtemp(prefix="vitrine-ckpt-")
-    sc.setCheckpointDir(scratch)
+    if sc is not None:
+        sc.setCheckpointDir(scratch)
+    spark.conf.set("spark.checkpoint.dir", scratch)
     return scratch
 
 
+def task_slots(spark: SparkSession) -> int:
+    """Number of tasks the cluster runs at once (default parallelism)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared checkpoint folder
     and continue from it: one job computes it exactly once (an eager RDD
