@@ -353,18 +353,11 @@ def _bench_view(spark, sf) -> str:
 
 
 def q_very_similar_by_price(spark, sf):
-    v = _bench_view(spark, sf)
-    return spark.sql(
-        f"SELECT title, marketplace, price, url, exclusivity, similarity_level FROM {v} "
-        "WHERE similarity_level = 'muito similar' ORDER BY price DESC"
-    )
+    return R.very_similar_by_price(spark, _bench_view(spark, sf))
 
 
 def q_exclusives_by_price(spark, sf):
-    v = _bench_view(spark, sf)
-    return spark.sql(
-        f"SELECT title, marketplace, price, url, exclusivity FROM {v} WHERE exclusivity = 'sim' ORDER BY price DESC"
-    )
+    return R.exclusives_by_price(spark, _bench_view(spark, sf))
 
 
 def q_exclusives_listing(spark, sf):
@@ -428,7 +421,7 @@ def q_catalog_filter(spark, sf):
         "p_partkey", "title", "price", "link",
         P.listing_valid(t, pr, ln, "strict").alias("valid_strict"),
         P.listing_valid(t, pr, ln, "lenient").alias("valid_lenient"),
-        (t.isNotNull() & ln.isNotNull()).alias("valid_tag"),
+        P.listing_valid(t, pr, ln, "tag").alias("valid_tag"),
         (pr.isNotNull() & ~F.isnan(pr)).alias("has_price"),
         present.isNotNull().alias("not_empty"),
     )

@@ -210,3 +210,18 @@ def pair_analysis(bench: DataFrame, labels: Labels = Labels(), key: str = "pair_
     from vitrine.operators.metrics import pair_table
 
     return pair_table(bench, labels, key).withColumn("price_band", price_band("target_price"))
+
+
+def very_similar_by_price(spark, view: str):
+    """B11 + S4: the published query over the benchmark view."""
+    return spark.sql(
+        f"SELECT title, marketplace, price, url, exclusivity, similarity_level FROM {view} "
+        "WHERE similarity_level = 'muito similar' ORDER BY price DESC"
+    )
+
+
+def exclusives_by_price(spark, view: str):
+    """B12 + S4: the published query over the benchmark view."""
+    return spark.sql(
+        f"SELECT title, marketplace, price, url, exclusivity FROM {view} WHERE exclusivity = 'sim' ORDER BY price DESC"
+    )

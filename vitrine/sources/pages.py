@@ -36,14 +36,17 @@ def page_title(html_col: str = "html"):
 
 def listing_valid(title, price, link, mode: str = "strict"):
     """B5 / B6 / B7 validity: ``strict`` title, price > 0 and link;
-    ``lenient`` title and link; ``tag`` title and link present (price may
-    be missing). Empty strings count as missing."""
+    ``lenient`` title and link (empty strings count as missing); ``tag``
+    the title and link exist (may be empty; price may be missing)."""
     def present(c):
         return c.isNotNull() & (c.cast("string") != "")
 
+    if mode == "tag":
+        return title.isNotNull() & link.isNotNull()
     ok = present(title) & present(link)
     if mode == "strict":
-        ok = ok & F.coalesce(price > 0, F.lit(False))
+        # Spark orders NaN above every number, so NaN > 0 would pass
+        ok = ok & F.coalesce((price > 0) & ~F.isnan(price), F.lit(False))
     elif mode not in ("lenient", "tag"):
         raise ValueError(f"unknown validity mode {mode!r}")
     return ok
