@@ -131,3 +131,10 @@ def test_prepare_catalog_t5_t6(spark):
     assert len(out6) == 1 and out6[0].marketplace == "Bemol"
     num = _df(spark, [("x", 1299.0, [1.0])], "title string, price double, embedding array<double>")
     assert prepare_catalog(num, "A").first().price == 1299.0
+
+
+def test_dedupe_with_map_and_array_columns(spark):
+    df = spark.createDataFrame([("a", "M", 2, {"k": 1}, [1.0]), ("a", "M", 1, {"k": 2}, [2.0])],
+                               "title string, marketplace string, price long, props map<string,int>, v array<double>")
+    out = keep_cheapest(df).collect()
+    assert len(out) == 1 and out[0].price == 1 and out[0].props == {"k": 2}

@@ -163,3 +163,13 @@ def test_block_counts_fill_the_cluster(spark):
     ns2, nt2 = _block_counts(big, big, 10_000, None, None)
     assert nt2 == 4 and ns2 >= 4
     assert _block_counts(small, small, 10, 3, 5) == (3, 5)
+
+
+def test_on_empty_error(spark):
+    a = _cat(spark, [(0, "a", 1.0, "/a", [1.0, 0.0])])
+    e = _cat(spark, [])
+    with pytest.raises(ValueError):
+        best_match(a, e, on_empty="error")
+    with pytest.raises(ValueError):
+        best_match(e, a, source_blocks=1, target_blocks=1, on_empty="error")
+    assert best_match(a, a, on_empty="error").count() == 1

@@ -20,9 +20,10 @@ def _row_order(df: DataFrame, price_col: str, order) -> list:
     """Sort key ``price asc nulls last`` then the tie-break columns (nulls
     last), then every other column so the pick never depends on row order."""
     keys = [F.col(price_col).isNull(), F.col(price_col)]
+    types = dict(df.dtypes)
     used = {price_col}
     for c in [c for c in order if c in df.columns] + sorted(df.columns):
-        if c in used or c.startswith("_"):
+        if c in used or c.startswith("_") or "map<" in types[c]:  # maps are not orderable
             continue
         used.add(c)
         keys += [F.col(c).isNull(), F.col(c)]

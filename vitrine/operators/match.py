@@ -150,19 +150,22 @@ def _vectors(df: DataFrame, id_col: str, vector_col: str, name: str) -> DataFram
     )
 
 
-def _block_counts(s: DataFrame, t: DataFrame, rows_per_block: int, ns: int | None, nt: int | None):
+def _block_counts(s: DataFrame, t: DataFrame, rows_per_block: int, ns: int | None, nt: int | None,
+                  on_empty: str = "empty"):
     """Blocks per side so that a block holds at most ``rows_per_block`` rows.
 
     Sizing needs the row counts: one linear counting job covers both sides
     (pass explicit block counts to skip it). Source blocks are added until
     the block grid can occupy ``defaultParallelism`` task slots (each source
     block keeps at least ``_MIN_SOURCE_BLOCK`` rows)."""
-    if ns and nt:
+    if ns and nt and on_empty != "error":
         return ns, nt
     tagged = s.select(F.lit(1).alias("_s"), F.lit(0).alias("_t")).unionByName(
         t.select(F.lit(0).alias("_s"), F.lit(1).alias("_t"))
     )
     n = tagged.agg(F.sum("_s").alias("s"), F.sum("_t").alias("t")).first()
+    if on_empty == "error" and not (n.s and n.t):
+        raise ValueError("cannot match: a catalog has no rows with a vector")
     size = lambda k: max(1, math.ceil((k or 0) / rows_per_block))
     nt = nt or size(n.t)
     if not ns:
@@ -191,17 +194,19 @@ def best_match(
     rows_per_block: int = 50_000,
     source_blocks: int | None = None,
     target_blocks: int | None = None,
+    on_empty: str = "empty",
 ) -> DataFrame:
     """C1 + E4: for each source row with a vector, the target with the
     highest cosine (H17); ties (equal to ``TIE_DECIMALS`` decimals) go to the
     lowest target id.
 
     Returns ``source_id, target_id, similarity``. Sources get no row when the
-    target side is empty (callers left-join, see C7).
+    target side is empty (callers left-join, see C7); ``on_empty="error"``
+    raises instead, as the pairing stage of the reference does.
     """
     s = _vectors(source, id_col, vector_col, "source_id")
     t = _vectors(target, id_col, vector_col, "target_id")
-    ns, nt = _block_counts(s, t, rows_per_block, source_blocks, target_blocks)
+    ns, nt = _block_counts(s, t, rows_per_block, source_blocks, target_blocks, on_empty)
     gs, gt = _replicated(s, t, ns, nt)
     winners = gs.cogroup(gt).applyInPandas(
         lambda a, b: block_winners(a, b), schema=MATCH_SCHEMA
