@@ -144,7 +144,7 @@ def tag_text(col: str) -> str:
 
 LINKS = f"""
 links AS (
-  SELECT page_id, unnest(generate_series(1, len(h))) AS pos, unnest(h) AS href, unnest(i) AS inner_html
+  SELECT page_id, CAST(unnest(generate_series(1, len(h))) AS INTEGER) AS pos, unnest(h) AS href, unnest(i) AS inner_html
   FROM (SELECT page_id, regexp_extract_all(html, '{ANCHOR}', 1) AS h,
                regexp_extract_all(html, '{ANCHOR}', 2) AS i FROM pages)),
 links2 AS (SELECT page_id, pos, href, {tag_text('inner_html')} AS title FROM links)"""
@@ -413,12 +413,12 @@ SELECT product_id, 'A' AS marketplace, {H3.replace('c3', 'c')} AS price FROM (
   FROM (SELECT product_id, embedding, regexp_extract('R$ ' || {br('price')}, '[0-9][0-9.,]*', 0) AS tok FROM products))
 WHERE embedding IS NOT NULL"""
 ORACLE["crawl_plan"] = w(PAGE_KEYS) + """
-SELECT category, page, replace('https://shop.example/' || category || '/?page={}', '{}', CAST(page AS VARCHAR)) AS page_url
+SELECT category, CAST(page AS INTEGER) AS page, replace('https://shop.example/' || category || '/?page={}', '{}', CAST(page AS VARCHAR)) AS page_url
 FROM (SELECT category, unnest(generate_series(1, CAST(count(*) AS INTEGER))) AS page FROM pk GROUP BY category)"""
 ORACLE["first_empty_page"] = w(PAGE_KEYS) + f"""
 , st AS (
   SELECT page_id, category, page,
-         greatest(len(regexp_extract_all(html, '{ANCHOR}', 1)) - 4, 0) AS n_cards,
+         CAST(greatest(len(regexp_extract_all(html, '{ANCHOR}', 1)) - 4, 0) AS INTEGER) AS n_cards,
          (html IS NULL OR html = '') AS failed
   FROM pk),
 cut AS (SELECT category, min(page) FILTER (WHERE n_cards = 0 OR failed) AS c FROM st GROUP BY category)
@@ -429,7 +429,7 @@ SELECT CAST(date_trunc('day', ts) AS DATE) AS period, event_type, round(avg(valu
 FROM events GROUP BY 1, 2"""
 ORACLE["ingest_pages"] = w(PAGE_KEYS) + f"""
 , l AS (
-  SELECT page_id, category, unnest(generate_series(1, len(h))) AS pos, unnest(h) AS href, unnest(i) AS inner_html
+  SELECT page_id, category, CAST(unnest(generate_series(1, len(h))) AS INTEGER) AS pos, unnest(h) AS href, unnest(i) AS inner_html
   FROM (SELECT page_id, category, regexp_extract_all(html, '{ANCHOR}', 1) AS h,
                regexp_extract_all(html, '{ANCHOR}', 2) AS i FROM pk))
 SELECT page_id, pos, {tag_text('inner_html')} AS title,
