@@ -173,3 +173,20 @@ def test_on_empty_error(spark):
     with pytest.raises(ValueError):
         best_match(e, a, source_blocks=1, target_blocks=1, on_empty="error")
     assert best_match(a, a, on_empty="error").count() == 1
+
+
+def test_hot_target_and_copies(spark):
+    """A third of the targets are copies of one vector and every source
+    picks it: the lowest copy id wins, pairs and exclusives stay whole."""
+    lab = Labels()
+    n = 60
+    src = _cat(spark, [(i, f"s{i}", 10.0 + i, f"/s{i}", [1.0, 0.01 * (i % 3)]) for i in range(n)])
+    tgt_rows = [(1000 + j, "hot", 9.0, f"/t{j}", [1.0, 0.0]) for j in range(20)]
+    tgt_rows += [(2000 + j, f"t{j}", 5.0, f"/u{j}", [0.0, 1.0 + j]) for j in range(40)]
+    tgt = _cat(spark, tgt_rows)
+    best = best_match(src, tgt, source_blocks=3, target_blocks=2)
+    got = best.collect()
+    assert len(got) == n and {r.target_id for r in got} == {1000}
+    pairs = pair_rows(src, tgt, best, lab)
+    assert pairs.count() == 2 * n
+    assert unmatched_targets(tgt, best, lab).count() == 59

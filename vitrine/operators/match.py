@@ -205,7 +205,10 @@ def best_match(
     raises instead, as the pairing stage of the reference does.
     """
     s = _vectors(source, id_col, vector_col, "source_id")
-    t = _vectors(target, id_col, vector_col, "target_id")
+    # identical target vectors can only tie, and the lowest id wins a tie:
+    # keep one row per distinct vector before replication (partial
+    # aggregation collapses a vector with millions of copies map-side)
+    t = _vectors(target, id_col, vector_col, "target_id").groupBy("vec").agg(F.min("target_id").alias("target_id"))
     ns, nt = _block_counts(s, t, rows_per_block, source_blocks, target_blocks, on_empty)
     gs, gt = _replicated(s, t, ns, nt)
     winners = gs.cogroup(gt).applyInPandas(
