@@ -228,12 +228,17 @@ def similarity_pairs(
     *,
     id_col: str = "product_id",
     vector_col: str = "embedding",
-    rows_per_block: int = 50_000,
+    rows_per_block: int = 5_000,
     source_blocks: int | None = None,
     target_blocks: int | None = None,
 ) -> DataFrame:
     """The similarity matrix restricted to scores ``>= threshold``, as
-    rows ``source_id, target_id, similarity`` (never a dense matrix)."""
+    rows ``source_id, target_id, similarity`` (never a dense matrix).
+
+    A task returns every qualifying pair of its block pair at once, so the
+    blocks are smaller than for the top-1 match: at most
+    ``rows_per_block**2`` pairs (25 M by default) per task even when the
+    threshold lets everything through."""
     s = _vectors(source, id_col, vector_col, "source_id")
     t = _vectors(target, id_col, vector_col, "target_id")
     ns, nt = _block_counts(s, t, rows_per_block, source_blocks, target_blocks)
