@@ -428,10 +428,16 @@ ORACLE["gap_trend"] = """
 SELECT CAST(date_trunc('day', ts) AS DATE) AS period, event_type, round(avg(value), 6) AS avg_value, count(*) AS n
 FROM events GROUP BY 1, 2"""
 ORACLE["ingest_pages"] = w(PAGE_KEYS) + f"""
-, l AS (
-  SELECT page_id, category, CAST(unnest(generate_series(1, len(h))) AS INTEGER) AS pos, unnest(h) AS href, unnest(i) AS inner_html
+, st AS (
+  SELECT page_id, category, page, greatest(len(regexp_extract_all(html, '{ANCHOR}', 1)) - 4, 0) AS n_cards FROM pk),
+cut AS (SELECT category, min(page) FILTER (WHERE n_cards = 0) AS c FROM st GROUP BY category),
+kept AS (SELECT pk.* FROM pk JOIN st USING (page_id) JOIN cut ON cut.category = pk.category
+         WHERE cut.c IS NULL OR pk.page < cut.c),
+l AS (
+  SELECT page_id, category, CAST(unnest(generate_series(1, len(h))) AS INTEGER) AS pos, unnest(h) AS href,
+         unnest(i) AS inner_html
   FROM (SELECT page_id, category, regexp_extract_all(html, '{ANCHOR}', 1) AS h,
-               regexp_extract_all(html, '{ANCHOR}', 2) AS i FROM pk))
+               regexp_extract_all(html, '{ANCHOR}', 2) AS i FROM kept))
 SELECT page_id, pos, {tag_text('inner_html')} AS title,
        CASE WHEN starts_with(href, '/') THEN 'https://a.example' || href ELSE href END AS url, category
 FROM l WHERE pos >= 5"""

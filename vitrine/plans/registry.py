@@ -443,7 +443,9 @@ def q_crawl_plan(spark, sf):
 
 
 def q_first_empty_page(spark, sf):
-    kept = P.crawl_cut(page_stats(spark, sf), failed_col="failed")
+    # the stats feed the per-category cut and the join back: materialise
+    # them so the documents are regex-parsed once
+    kept = P.crawl_cut(cut_lineage(page_stats(spark, sf), "page-stats"), failed_col="failed")
     return kept.select("page_id", "category", "page", "n_cards")
 
 
@@ -454,12 +456,10 @@ def q_gap_trend(spark, sf):
 
 
 def q_ingest_pages(spark, sf):
-    pg = _page_keys(read_table(spark, sf, "pages")).drop("page")
-    cards = P.extract_links(pg, keep=("page_id", "category")).where(F.col("pos") >= CARD_MIN_POS)
-    cards = cards.select("page_id", "pos", "title", url_relative("href", LABELS.source_base_url).alias("url"), "category")
-    path = _scratch(spark, "bronze")
-    SK.save_by_category(cards, path)
-    return spark.read.parquet(path).select("page_id", "pos", "title", "url", "category")
+    pg = _page_keys(read_table(spark, sf, "pages"))
+    out = P.ingest_pages(pg, _scratch(spark, "bronze"), "category", domain=LABELS.source_base_url,
+                         min_pos=CARD_MIN_POS)
+    return out.select("page_id", "pos", "title", "url", "category")
 
 
 def q_encode_titles(spark, sf):

@@ -88,19 +88,31 @@ def ingest_pages(pages: DataFrame, path: str, category_col: str = "category", do
     per-category sink -> one table again.
 
     ``pages`` carries ``page_id``, ``html``, the category and ``page``
-    (its number within the category). With ``price_col`` the card's price
+    (its number within the category). The documents are scanned and
+    regex-parsed once: the per-page link arrays are materialised in the
+    checkpoint folder (far smaller than the HTML), and the cut (B16) and the
+    card rows are both taken from them. With ``price_col`` the card's price
     text is read with H1 and cards without a price are dropped (B2). The
     sink replaces only the categories present (A7); the returned DataFrame
     reads every category back (U1)."""
     from vitrine.functions.prices import price_nullable
+    from vitrine.session import cut_lineage
     from vitrine.sources.sinks import save_by_category
 
+    hrefs = F.regexp_extract_all(F.col("html"), F.lit(ANCHOR), 1)
+    inner = F.regexp_extract_all(F.col("html"), F.lit(ANCHOR), 2)
+    parsed = pages.select(
+        "page_id", category_col, "page", F.arrays_zip(hrefs.alias("href"), inner.alias("inner")).alias("z")
+    )
+    parsed = cut_lineage(parsed.withColumn("n_cards", F.greatest(F.size("z") - (min_pos - 1), F.lit(0))), "pages")
     if stop_on_empty:
-        links = F.size(F.regexp_extract_all(F.col("html"), F.lit(ANCHOR), 1))
-        stats = pages.withColumn("n_cards", F.greatest(links - (min_pos - 1), F.lit(0)))
-        pages = crawl_cut(stats, category_col=category_col).drop("n_cards")
-    cards = cards_from_pages(pages, category_col, domain, min_pos)
+        parsed = crawl_cut(parsed, category_col=category_col)
+    cards = parsed.select("page_id", category_col, F.posexplode("z").alias("pos0", "c")).select(
+        "page_id", category_col, (F.col("pos0") + 1).alias("pos"), F.col("c.href").alias("href"),
+        tag_text(F.col("c.inner")).alias("title"),
+    )
+    cards = cards.where(F.col("pos") >= min_pos).withColumn("url", url_relative("href", domain))
     if price_col:
         cards = cards.withColumn("price", price_nullable(price_col)).where(F.col("price").isNotNull())
-    save_by_category(cards.drop("page"), path, category_col)
+    save_by_category(cards, path, category_col)
     return pages.sparkSession.read.parquet(path)
