@@ -24,32 +24,32 @@ def _prices(df, title=None, mk=None):
 
 
 def test_dedupe_basic_t8(spark):
-    df = _df(spark, [("produto1", "Magalu", 100), ("produto1", "Magalu", 90), ("produto2", "Bemol", 150),
-                     ("produto3", "Magalu", 200)], TM)
+    df = _df(spark, [("produto1", "competitor", 100), ("produto1", "competitor", 90), ("produto2", "own", 150),
+                     ("produto3", "competitor", 200)], TM)
     out = keep_cheapest(df)
     assert out.count() == 3 and _prices(out, "produto1") == [90]
 
 
 @pytest.mark.parametrize("rows,n", [
-    ([("produto1", "Magalu", 100), ("produto1", "Bemol", 150), ("produto2", "Magalu", 200)], 3),
-    ([("produto1", "Magalu", 100), ("produto2", "Bemol", 150), ("produto3", "Magalu", 200)], 3),
-    ([("Produto Único", "Magalu", 100)], 1),
-    ([("Produto Igual", "Magalu", 100), ("Produto Igual", "Magalu", 100)], 1),
+    ([("produto1", "competitor", 100), ("produto1", "own", 150), ("produto2", "competitor", 200)], 3),
+    ([("produto1", "competitor", 100), ("produto2", "own", 150), ("produto3", "competitor", 200)], 3),
+    ([("Produto Único", "competitor", 100)], 1),
+    ([("Produto Igual", "competitor", 100), ("Produto Igual", "competitor", 100)], 1),
 ])
 def test_dedupe_counts_t9_t10_t14_t16(spark, rows, n):
     assert keep_cheapest(_df(spark, rows, TM)).count() == n
 
 
 def test_dedupe_keeps_cheapest_t11_t12_t13(spark):
-    g = _df(spark, [("Smartphone Galaxy", "Magalu", 1200), ("Smartphone Galaxy", "Magalu", 1100),
-                    ("Smartphone Galaxy", "Bemol", 1300)], TM)
+    g = _df(spark, [("Smartphone Galaxy", "competitor", 1200), ("Smartphone Galaxy", "competitor", 1100),
+                    ("Smartphone Galaxy", "own", 1300)], TM)
     out = keep_cheapest(g)
-    assert out.count() == 2 and _prices(out, mk="Magalu") == [1100]
-    m = _df(spark, [("Produto A", "Magalu", 100), ("Produto A", "Magalu", 80), ("Produto A", "Bemol", 120),
-                    ("Produto B", "Magalu", 200), ("Produto B", "Bemol", 180)], TM)
+    assert out.count() == 2 and _prices(out, mk="competitor") == [1100]
+    m = _df(spark, [("Produto A", "competitor", 100), ("Produto A", "competitor", 80), ("Produto A", "own", 120),
+                    ("Produto B", "competitor", 200), ("Produto B", "own", 180)], TM)
     out = keep_cheapest(m)
-    assert out.count() == 4 and _prices(out, "Produto A", "Magalu") == [80]
-    o = keep_cheapest(_df(spark, [("Produto Teste", "Magalu", p) for p in (500, 300, 400)], TM))
+    assert out.count() == 4 and _prices(out, "Produto A", "competitor") == [80]
+    o = keep_cheapest(_df(spark, [("Produto Teste", "competitor", p) for p in (500, 300, 400)], TM))
     assert [r.price for r in o.collect()] == [300]
 
 
@@ -59,21 +59,21 @@ def test_dedupe_empty_t15(spark):
 
 
 def test_dedupe_exact_similarity_t17_to_t20(spark):
-    t17 = _df(spark, [("Produto Identico", "Magalu", 100, 1.0), ("Produto Identico", "Magalu", 80, 1.0),
-                      ("Produto Diferente", "Bemol", 150, 0.8)], TMS)
+    t17 = _df(spark, [("Produto Identico", "competitor", 100, 1.0), ("Produto Identico", "competitor", 80, 1.0),
+                      ("Produto Diferente", "own", 150, 0.8)], TMS)
     out = keep_cheapest_exact(t17)
-    assert out.count() == 2 and _prices(out, mk="Magalu") == [80]
-    t18 = _df(spark, [("Produto Identico", "Magalu", 100, 1.0), ("Produto Identico", "Bemol", 120, 1.0),
-                      ("Produto Outro", "Magalu", 200, 0.8)], TMS)
+    assert out.count() == 2 and _prices(out, mk="competitor") == [80]
+    t18 = _df(spark, [("Produto Identico", "competitor", 100, 1.0), ("Produto Identico", "own", 120, 1.0),
+                      ("Produto Outro", "competitor", 200, 0.8)], TMS)
     assert keep_cheapest_exact(t18).count() == 3
-    t19 = _df(spark, [("Produto Similar", "Magalu", 100, 0.99), ("Produto Similar", "Magalu", 80, 0.99),
-                      ("Produto Outro", "Bemol", 150, 0.8)], TMS)
+    t19 = _df(spark, [("Produto Similar", "competitor", 100, 0.99), ("Produto Similar", "competitor", 80, 0.99),
+                      ("Produto Outro", "own", 150, 0.8)], TMS)
     assert keep_cheapest_exact(t19).count() == 3
-    t20 = _df(spark, [("Produto A", "Magalu", 100, 1.0), ("Produto A", "Magalu", 80, 1.0),
-                      ("Produto B", "Magalu", 200, 0.99), ("Produto B", "Bemol", 180, 0.99),
-                      ("Produto C", "Magalu", 300, 0.8)], TMS)
+    t20 = _df(spark, [("Produto A", "competitor", 100, 1.0), ("Produto A", "competitor", 80, 1.0),
+                      ("Produto B", "competitor", 200, 0.99), ("Produto B", "own", 180, 0.99),
+                      ("Produto C", "competitor", 300, 0.8)], TMS)
     out = keep_cheapest_exact(t20)
-    assert out.count() == 4 and _prices(out, "Produto A", "Magalu") == [80] and len(_prices(out, "Produto B")) == 2
+    assert out.count() == 4 and _prices(out, "Produto A", "competitor") == [80] and len(_prices(out, "Produto B")) == 2
 
 
 @settings(max_examples=6, deadline=None)
@@ -96,8 +96,8 @@ def test_pair_difference_t7(spark):
 
 
 def test_final_cleanup_t21(spark):
-    df = _df(spark, [("produto1", "Magalu", 100, "não", 0.8), ("produto1", "Magalu", 90, "não", 0.8),
-                     ("produto2", "Bemol", 150, "não", 0.9), ("produto3", "Magalu", 200, "sim", -1.0)], FULL)
+    df = _df(spark, [("produto1", "competitor", 100, "não", 0.8), ("produto1", "competitor", 90, "não", 0.8),
+                     ("produto2", "own", 150, "não", 0.9), ("produto3", "competitor", 200, "sim", -1.0)], FULL)
     out = final_cleanup(df).collect()
     assert len(out) == 3
     assert out[0].exclusivity == "sim" and out[0].similarity_level == "exclusivo"
@@ -110,25 +110,25 @@ def test_final_cleanup_empty_t22(spark):
 
 
 def test_final_cleanup_t23_t24(spark):
-    t23 = _df(spark, [("Produto Identico", "Magalu", 100, "não", 1.0), ("Produto Identico", "Magalu", 80, "não", 1.0),
-                      ("Produto Diferente", "Bemol", 150, "não", 0.8)], FULL)
+    t23 = _df(spark, [("Produto Identico", "competitor", 100, "não", 1.0), ("Produto Identico", "competitor", 80, "não", 1.0),
+                      ("Produto Diferente", "own", 150, "não", 0.8)], FULL)
     out = final_cleanup(t23)
-    assert out.count() == 2 and _prices(out, mk="Magalu") == [80]
-    t24 = _df(spark, [("Produto Identico", "Magalu", 100, "não", 1.0), ("Produto Identico", "Bemol", 120, "não", 1.0),
-                      ("Produto Outro", "Magalu", 200, "sim", -1.0)], FULL)
+    assert out.count() == 2 and _prices(out, mk="competitor") == [80]
+    t24 = _df(spark, [("Produto Identico", "competitor", 100, "não", 1.0), ("Produto Identico", "own", 120, "não", 1.0),
+                      ("Produto Outro", "competitor", 200, "sim", -1.0)], FULL)
     out = final_cleanup(t24)
-    assert out.count() == 3 and len(_prices(out, mk="Magalu")) == 2
+    assert out.count() == 3 and len(_prices(out, mk="competitor")) == 2
 
 
 def test_prepare_catalog_t5_t6(spark):
     df = _df(spark, [("produto1", "R$ 100,00", [1, 2, 3]), ("produto2", "R$ 200,00", [4, 5, 6])],
              "title string, price string, embedding array<long>")
-    out = prepare_catalog(df, "Magalu").orderBy("title").collect()
-    assert len(out) == 2 and out[0].marketplace == "Magalu" and out[0].price == 100.0
+    out = prepare_catalog(df, "competitor").orderBy("title").collect()
+    assert len(out) == 2 and out[0].marketplace == "competitor" and out[0].price == 100.0
     df6 = _df(spark, [("produto1", "R$ 100,00", [1, 2, 3]), ("produto2", "R$ 200,00", None)],
               "title string, price string, embedding array<long>")
-    out6 = prepare_catalog(df6, "Bemol").collect()
-    assert len(out6) == 1 and out6[0].marketplace == "Bemol"
+    out6 = prepare_catalog(df6, "own").collect()
+    assert len(out6) == 1 and out6[0].marketplace == "own"
     num = _df(spark, [("x", 1299.0, [1.0])], "title string, price double, embedding array<double>")
     assert prepare_catalog(num, "A").first().price == 1299.0
 

@@ -90,7 +90,7 @@ def test_percent_text(spark):
 
 
 def test_urls(spark):
-    base = "https://www.magazineluiza.com.br"
+    base = "https://www.competitor.example"
     got = _apply(spark, ["/produto/123", base + "/produto/123", "", None], lambda c: url_absolute(c, base))
     assert got == [base + "/produto/123", base + "/produto/123", base, None]
     assert _apply(spark, ["/x", "http://y/x", None], lambda c: url_relative(c, "https://d")) == [
@@ -109,12 +109,12 @@ def test_category_band_advantage(spark):
     df = spark.createDataFrame([(10.0, 9.0), (9.0, 10.0), (5.0, 5.0), (None, 1.0)], "a double, b double")
     lab = Labels()
     got = [r.x for r in df.select(advantage("a", "b", lab).alias("x")).collect()]
-    assert got == ["Bemol Mais Barata", "Magalu Mais Barata", "Preços Iguais", None]
+    assert got == ["own Mais Barata", "competitor Mais Barata", "Preços Iguais", None]
 
 
 def test_flags_and_marketplace(spark):
     assert _apply(spark, [" Sim", "NÃO", "não"], normalise_flag) == ["sim", "não", "não"]
-    assert _apply(spark, ["x", None], lambda c: marketplace_from_match(c, Labels())) == ["Bemol", "Magalu"]
+    assert _apply(spark, ["x", None], lambda c: marketplace_from_match(c, Labels())) == ["own", "competitor"]
 
 
 def test_tag_text(spark):

@@ -17,9 +17,9 @@ BENCH = ("title string, marketplace string, price double, url string, exclusivit
 
 def test_statistics_t25_t26(spark):
     df = spark.createDataFrame(
-        [("produto1", "Magalu", 100.0, "u", "não", 0.9, "muito similar", None),
-         ("produto2", "Bemol", 150.0, "u", "não", 0.7, "moderadamente similar", None),
-         ("produto3", "Magalu", 200.0, "u", "sim", -1.0, "exclusivo", None)], BENCH)
+        [("produto1", "competitor", 100.0, "u", "não", 0.9, "muito similar", None),
+         ("produto2", "own", 150.0, "u", "não", 0.7, "moderadamente similar", None),
+         ("produto3", "competitor", 200.0, "u", "sim", -1.0, "exclusivo", None)], BENCH)
     s = M.report_statistics(df, Labels()).first()
     assert (s.total_products, s.source_products, s.target_products) == (3, 2, 1)
     assert (s.exclusive_products, s.paired_products) == (1, 2)
@@ -30,8 +30,8 @@ def test_statistics_t25_t26(spark):
 
 def test_statistics_and_export_t27_t30(spark, tmp_path):
     df = spark.createDataFrame(
-        [("Smartphone Samsung", "Magalu", 1299.0, "http://magalu.com/1", "não", 0.92, "muito similar", 8.5),
-         ("Smartphone iPhone", "Bemol", 1350.0, "http://bemol.com/1", "não", 0.92, "muito similar", 8.5)], BENCH)
+        [("Smartphone Samsung", "competitor", 1299.0, "http://competitor.example/1", "não", 0.92, "muito similar", 8.5),
+         ("Smartphone iPhone", "own", 1350.0, "http://own.example/1", "não", 0.92, "muito similar", 8.5)], BENCH)
     s = M.report_statistics(df, Labels()).first()
     assert (s.total_products, s.paired_products, s.very_similar) == (2, 2, 2)
     path = SK.export_report(df, str(tmp_path / "report"))
@@ -59,12 +59,12 @@ def test_analytical_business_match_reports(spark):
     assert k1[1].is_exclusive and k1[1].target_title is None and k1[1].diff_pct is None
     k2 = R.business_report(R.analytical_report(a, b, 0.8, ordered=False), Labels()).collect()
     assert len(k2) == 3
-    tgt = [r for r in k2 if r.marketplace == "Bemol"][0]
+    tgt = [r for r in k2 if r.marketplace == "own"][0]
     assert tgt.url == "" and tgt.title == "a" and tgt.price == 100.0 and tgt.diff_pct_text == "10.00%"
     assert [r.diff_pct_text for r in k2 if r.exclusivity == "sim"] == ["N/A"]
     k3 = {r.source_id: r for r in R.match_report(a, b, 0.8, Labels()).collect()}
-    assert k3[0].marketplace == "Bemol" and k3[0].diff_pct == pytest.approx(10.0)
-    assert k3[1].marketplace == "Magalu" and k3[1].diff_pct == 0.0 and k3[1].exclusivity == "sim"
+    assert k3[0].marketplace == "own" and k3[0].diff_pct == pytest.approx(10.0)
+    assert k3[1].marketplace == "competitor" and k3[1].diff_pct == 0.0 and k3[1].exclusivity == "sim"
     ex = R.exclusives_listing(R.business_report(R.analytical_report(a, b, 0.8, ordered=False))).collect()
     assert [(r.title, r.price, r.url) for r in ex] == [("b", 50.0, "/b")]
 
@@ -82,7 +82,7 @@ def test_benchmark_and_kpis(spark):
     assert k.paired_products == 2.0 and k.target_cheaper == 1 and k.source_cheaper == 1
     assert k.share_target_cheaper == 0.5 and k.target_advantage == 0.0
     pt = M.pair_table(bdf, lab).collect()
-    assert sorted(r.advantage for r in pt) == ["Bemol Mais Barata", "Magalu Mais Barata"]
+    assert sorted(r.advantage for r in pt) == ["competitor Mais Barata", "own Mais Barata"]
 
 
 def test_extract_links_and_cut(spark):
@@ -136,15 +136,15 @@ def test_validate_run(spark):
 
 def test_slicers_and_pair_analysis(spark):
     df = spark.createDataFrame(
-        [("x", "Bemol", 90.0, "u", "não", 0.9, "muito similar", 5.0),
-         ("y", "Magalu", 95.0, "u", "não", 0.9, "muito similar", 5.0),
-         ("z", "Bemol", 900.0, "u", "sim", -1.0, "exclusivo", None)], BENCH)
-    assert R.slice_benchmark(df, marketplace="Bemol", levels=["muito similar"], band="Até R$ 100").count() == 1
+        [("x", "own", 90.0, "u", "não", 0.9, "muito similar", 5.0),
+         ("y", "competitor", 95.0, "u", "não", 0.9, "muito similar", 5.0),
+         ("z", "own", 900.0, "u", "sim", -1.0, "exclusivo", None)], BENCH)
+    assert R.slice_benchmark(df, marketplace="own", levels=["muito similar"], band="Até R$ 100").count() == 1
     assert R.slice_benchmark(df).count() == 3
     bench = df.withColumn("pair_id", F.when(F.col("exclusivity") == "não", F.lit(7)).cast("long")).withColumn(
         "product_id", F.monotonically_increasing_id())
     pa = R.pair_analysis(bench, Labels()).collect()
-    assert len(pa) == 1 and pa[0].advantage == "Bemol Mais Barata" and pa[0].price_band == "Até R$ 100"
+    assert len(pa) == 1 and pa[0].advantage == "own Mais Barata" and pa[0].price_band == "Até R$ 100"
 
 
 def test_ingest_pages_job(spark):

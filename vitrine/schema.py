@@ -27,10 +27,10 @@ NOT_AVAILABLE = "N/A"
 class Labels:
     """Marketplace names of the two catalogs (source = competitor side)."""
 
-    source: str = "Magalu"
-    target: str = "Bemol"
-    source_base_url: str = "https://www.magazineluiza.com.br"
-    target_base_url: str = "https://www.bemol.com.br"
+    source: str = "competitor"
+    target: str = "own"
+    source_base_url: str = "https://www.competitor.example"
+    target_base_url: str = "https://www.own.example"
 
 
 @dataclass(frozen=True)
