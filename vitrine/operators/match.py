@@ -182,6 +182,14 @@ def _replicated(s: DataFrame, t: DataFrame, ns: int, nt: int):
     s_rep = s_rep.withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(nt - 1))))
     t_rep = t.withColumn("tb", F.pmod(F.xxhash64("target_id"), F.lit(nt)).cast("int"))
     t_rep = t_rep.withColumn("sb", F.explode(F.sequence(F.lit(0), F.lit(ns - 1))))
+    # one shuffle per side, sized to the block grid: no empty tasks for a
+    # small grid, and enough tasks (a few per slot) for a large one; the
+    # cogroup reuses this partitioning
+    spark = s.sparkSession
+    wide = max(3 * task_slots(spark), int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    parts = max(1, min(ns * nt, wide))
+    s_rep = s_rep.repartition(parts, "sb", "tb")
+    t_rep = t_rep.repartition(parts, "sb", "tb")
     return s_rep.groupBy("sb", "tb"), t_rep.groupBy("sb", "tb")
 
 
