@@ -152,19 +152,38 @@ def test_no_cartesian_product_in_match_plan(spark):
     assert "FlatMapCoGroupsInPandas" in plan
 
 
+def _ids_vecs(spark, n, name, dim=2, copies=0):
+    """``n`` rows of ``(name, vec)``; the first ``copies`` rows share one vector."""
+    vec = f"array_repeat(CAST(IF(id < {copies}, -1, id) AS FLOAT), {dim})"
+    return spark.range(n).selectExpr(f"id AS {name}", f"{vec} AS vec")
+
+
 def test_block_counts_fill_the_cluster(spark):
     from vitrine.operators.match import _block_counts
 
-    big = spark.range(40_000).selectExpr("id AS source_id")
-    small = spark.range(3_000).selectExpr("id AS target_id")
+    big = _ids_vecs(spark, 40_000, "source_id")
+    small = _ids_vecs(spark, 3_000, "target_id")
     ns, nt = _block_counts(big, small, 50_000, None, None)
     slots = spark.sparkContext.defaultParallelism
     assert nt == 1 and ns == min(slots, 40)
-    ns2, nt2 = _block_counts(big, big, 10_000, None, None)
+    ns2, nt2 = _block_counts(big, _ids_vecs(spark, 40_000, "target_id"), 10_000, None, None)
     assert nt2 == 4 and ns2 >= 4
     assert _block_counts(small, small, 10, 3, 5) == (3, 5)
 
 
+def test_block_counts_size_by_distinct_vectors_and_bytes(spark):
+    from vitrine.operators.match import _block_counts
+
+    src = _ids_vecs(spark, 100, "source_id")
+    # 3000 targets, 2000 of them copies of one vector: 1001 distinct
+    tgt = _ids_vecs(spark, 3_000, "target_id", copies=2_000)
+    assert _block_counts(src, tgt, 400, None, None)[1] == 8  # every row counts
+    assert _block_counts(src, tgt, 400, None, None, distinct_target=True)[1] == 3
+    # 4-dim float64 vectors, 32 000 bytes a block: at most 1000 rows
+    wide = _ids_vecs(spark, 3_000, "target_id", dim=4)
+    assert _block_counts(src, wide, 50_000, None, None, block_bytes=32_000)[1] == 3
+
+
 def test_on_empty_error(spark):
     a = _cat(spark, [(0, "a", 1.0, "/a", [1.0, 0.0])])
     e = _cat(spark, [])

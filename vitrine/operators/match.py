@@ -11,8 +11,10 @@ winner of each source row. When the target fits one block (the usual
 ``max_by`` over the per-block winners picks the global one.
 
 Nothing is broadcast, collected or cross-joined; a task holds at most one
-source block and one target block (``rows_per_block`` each), whatever the
-skew of the data: blocks come from id hashes, not from data keys.
+source block and one target block (``rows_per_block`` rows and at most
+``block_bytes`` of vectors each, so wide model vectors get shorter blocks),
+whatever the skew of the data: blocks come from id hashes, not from data
+keys.
 
 Exactness: BLAS scores are not bit-stable across block shapes, so every
 candidate within ``_TOL`` of the block best is re-scored with a
@@ -44,6 +46,9 @@ _TOL = 1e-9  # far above BLAS error for unit vectors, far below real gaps
 _CHUNK_ELEMS = 4_000_000  # score-matrix elements per chunk (32 MB)
 _RESCORE_PAIRS = 250_000  # candidate pairs re-scored per slice
 _MIN_SOURCE_BLOCK = 1_000  # smallest source block worth a task
+BLOCK_BYTES = 128 << 20  # float64 vectors of one block side in a task
+_HLL_RSD = 0.05  # relative error of the distinct-vector estimate (sizing only;
+# a finer sketch costs more to compile than the count saves)
 
 
 # ---------------------------------------------------------------------------
@@ -151,22 +156,29 @@ def _vectors(df: DataFrame, id_col: str, vector_col: str, name: str) -> DataFram
 
 
 def _block_counts(s: DataFrame, t: DataFrame, rows_per_block: int, ns: int | None, nt: int | None,
-                  on_empty: str = "empty"):
-    """Blocks per side so that a block holds at most ``rows_per_block`` rows.
-
-    Sizing needs the row counts: one linear counting job covers both sides
-    (pass explicit block counts to skip it). Source blocks are added until
+                  on_empty: str = "empty", distinct_target: bool = False, block_bytes: int = BLOCK_BYTES):
+    """Blocks per side so that a block holds about ``rows_per_block`` rows
+    and at most ``block_bytes`` of float64 vectors.
+
+    One aggregate over both sides sizes the grid (pass explicit block
+    counts to skip it): the exact source count, the target count and the
+    widest vector. For the top-1 match the target count is the number of
+    *distinct* vectors (copies are collapsed before the product), estimated
+    by HyperLogLog over the vector hash, so sizing shuffles only per-task
+    sketches, never the vectors. Block counts change the speed, not the
+    result, which is exact for any layout. Source blocks are added until
     the block grid can occupy ``defaultParallelism`` task slots (each source
     block keeps at least ``_MIN_SOURCE_BLOCK`` rows)."""
     if ns and nt and on_empty != "error":
         return ns, nt
-    tagged = s.select(F.lit(1).alias("_s"), F.lit(0).alias("_t")).unionByName(
-        t.select(F.lit(0).alias("_s"), F.lit(1).alias("_t"))
-    )
-    n = tagged.agg(F.sum("_s").alias("s"), F.sum("_t").alias("t")).first()
+    tagged = s.select(F.lit(True).alias("_src"), "vec").unionByName(t.select(F.lit(False).alias("_src"), "vec"))
+    src, vec = F.col("_src"), F.col("vec")
+    n_t = F.approx_count_distinct(F.when(~src, F.xxhash64(vec)), _HLL_RSD) if distinct_target else F.count_if(~src)
+    n = tagged.agg(F.count_if(src).alias("s"), n_t.alias("t"), F.max(F.size(vec)).alias("dim")).first()
     if on_empty == "error" and not (n.s and n.t):
         raise ValueError("cannot match: a catalog has no rows with a vector")
-    size = lambda k: max(1, math.ceil((k or 0) / rows_per_block))
+    rows = max(1, min(rows_per_block, block_bytes // (8 * max(1, n.dim or 1))))
+    size = lambda k: max(1, math.ceil((k or 0) / rows))
     nt = nt or size(n.t)
     if not ns:
         # enough block pairs to occupy the cluster: more source blocks only
@@ -203,6 +215,7 @@ def best_match(
     source_blocks: int | None = None,
     target_blocks: int | None = None,
     on_empty: str = "empty",
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """C1 + E4: for each source row with a vector, the target with the
     highest cosine (H17); ties (equal to ``TIE_DECIMALS`` decimals) go to the
@@ -213,11 +226,13 @@ def best_match(
     raises instead, as the pairing stage of the reference does.
     """
     s = _vectors(source, id_col, vector_col, "source_id")
+    t_all = _vectors(target, id_col, vector_col, "target_id")
+    ns, nt = _block_counts(s, t_all, rows_per_block, source_blocks, target_blocks, on_empty,
+                           distinct_target=True, block_bytes=block_bytes)
     # identical target vectors can only tie, and the lowest id wins a tie:
     # keep one row per distinct vector before replication (partial
     # aggregation collapses a vector with millions of copies map-side)
-    t = _vectors(target, id_col, vector_col, "target_id").groupBy("vec").agg(F.min("target_id").alias("target_id"))
-    ns, nt = _block_counts(s, t, rows_per_block, source_blocks, target_blocks, on_empty)
+    t = t_all.groupBy("vec").agg(F.min("target_id").alias("target_id"))
     gs, gt = _replicated(s, t, ns, nt)
     winners = gs.cogroup(gt).applyInPandas(
         lambda a, b: block_winners(a, b), schema=MATCH_SCHEMA
@@ -239,6 +254,7 @@ def similarity_pairs(
     rows_per_block: int = 5_000,
     source_blocks: int | None = None,
     target_blocks: int | None = None,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The similarity matrix restricted to scores ``>= threshold``, as
     rows ``source_id, target_id, similarity`` (never a dense matrix).
@@ -249,7 +265,7 @@ def similarity_pairs(
     threshold lets everything through."""
     s = _vectors(source, id_col, vector_col, "source_id")
     t = _vectors(target, id_col, vector_col, "target_id")
-    ns, nt = _block_counts(s, t, rows_per_block, source_blocks, target_blocks)
+    ns, nt = _block_counts(s, t, rows_per_block, source_blocks, target_blocks, block_bytes=block_bytes)
     gs, gt = _replicated(s, t, ns, nt)
     return gs.cogroup(gt).applyInPandas(lambda a, b: block_pairs_above(a, b, threshold), schema=MATCH_SCHEMA)
 
