@@ -50,7 +50,11 @@ def keep_cheapest_exact(
     order=DEFAULT_ORDER,
 ) -> DataFrame:
     """Like E1 but only rows whose similarity is exactly 1.0 collapse;
-    every other row survives."""
+    every other row survives.
+
+    Only the exact rows are shuffled; the others pass through a second
+    branch, so ``df`` is read twice: give a scan or a materialised table
+    (``session.cut_lineage``), not an expensive plan such as the match."""
     exact = F.col(similarity_col) == 1.0
     collapsed = keep_cheapest(df.where(exact), keys, price_col, order)
     return collapsed.unionByName(df.where(~exact | F.col(similarity_col).isNull()))
@@ -62,7 +66,8 @@ def pair_difference(df: DataFrame, pair_col: str = "pair_id", price_col: str = "
     written on both rows; rows outside a complete pair get null. Groups hold
     two rows by construction, so the window never concentrates data; rows
     without a pair key (exclusives) bypass the window instead of forming
-    one null-keyed partition."""
+    one null-keyed partition. That bypass is a second branch over ``df``:
+    give a scan or a materialised table, not an expensive plan."""
     w = Window.partitionBy(pair_col)
     lo, hi, n = F.min(price_col).over(w), F.max(price_col).over(w), F.count(F.lit(1)).over(w)
     paired = df.where(F.col(pair_col).isNotNull()).withColumn(

@@ -215,7 +215,9 @@ def q_dedupe_cheapest(spark, sf):
 
 def q_dedupe_exact_match(spark, sf):
     cat, _, t = _catalogs(spark, sf)
-    best = best_match(cat, t)
+    # E2 reads its input in two branches (exact rows collapse, the rest
+    # pass through): materialise the match so it runs once
+    best = cut_lineage(best_match(cat, t), "best-match")
     rows = cat.join(best, cat.product_id == best.source_id).select(
         "product_id", F.col("name").alias("title"), "marketplace", "price", r6("similarity").alias("similarity")
     )
@@ -224,7 +226,8 @@ def q_dedupe_exact_match(spark, sf):
 
 def q_pair_price_diff(spark, sf):
     s, t, best = _best(spark, sf)
-    rows = pair_rows(s, t, best, LABELS).drop("diff_pct")
+    # E3 reads its input in two branches (pair rows, unpaired rows)
+    rows = pair_rows(s, t, cut_lineage(best, "best-match"), LABELS).drop("diff_pct")
     return _rounded(pair_difference(rows).select("pair_id", "side", "product_id", "price", "diff_pct"))
 
 
