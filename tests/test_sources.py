@@ -32,3 +32,16 @@ def test_listing_filters(spark):
     assert [r.title for r in FL.valid_listings(priced, "strict").collect()] == ["a"]  # B5
     assert sorted(r.title for r in FL.valid_listings(priced, "lenient").collect()) == ["a", "b", "e"]  # B6
     assert FL.valid_listings(priced, "tag").count() == 4  # B7
+
+
+def test_category_partitions_read_back_whole(spark, tmp_path):
+    """A7 -> A4 + U1: per-category reads of a partitioned table, each
+    pruned to its folder, give back every row once (others and nulls too)."""
+    df = spark.createDataFrame([(1, "tv", "Tv"), (2, "pc", "Pc"), (3, "fan", "Home"), (4, "cup", None)],
+                               "id long, title string, category string")
+    path = str(tmp_path / "bronze")
+    SK.save_by_category(df, path)
+    got = TB.read_category_partitions(spark, path, ["Tv", "Pc"])
+    assert sorted((r.id, r.category) for r in got.collect()) == [(1, "Tv"), (2, "Pc"), (3, "Home"), (4, None)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(category") == 2 and "Exchange" not in plan

@@ -30,7 +30,13 @@ from vitrine.plans import reports as R
 from vitrine.session import cut_lineage, ensure_checkpoint_dir
 from vitrine.sources import pages as P
 from vitrine.sources import sinks as SK
-from vitrine.sources.tables import products, read_table, scan_with_suffix, split_catalogs, union_tables
+from vitrine.sources.tables import (
+    products,
+    read_category_partitions,
+    read_table,
+    scan_with_suffix,
+    split_catalogs,
+)
 from vitrine.schema import Labels, Levels
 
 # Parameters of the test-data queries. The best cosine in the given
@@ -404,11 +410,13 @@ def q_slicer_view(spark, sf):
 
 
 def q_catalog_union(spark, sf):
+    # the bronze layer: one partition per category (A7), then one read per
+    # category, each pruned to its own folder, unioned (A4 + U1)
     cat, _, _ = _catalogs(spark, sf)
+    path = _scratch(spark, "bronze-catalog")
+    SK.save_by_category(cat.select("product_id", "title", "category"), path)
     kinds = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-    per = [cat.where(F.col("category") == k).select("product_id", "title", "category") for k in kinds]
-    rest = cat.where(~F.col("category").isin(kinds) | F.col("category").isNull()).select("product_id", "title", "category")
-    return union_tables(per + [rest])
+    return read_category_partitions(spark, path, kinds).select("product_id", "title", "category")
 
 
 def q_catalog_filter(spark, sf):

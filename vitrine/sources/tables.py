@@ -87,6 +87,20 @@ def read_categories(spark: SparkSession, tables) -> DataFrame:
     return union_tables([spark.table(t) for t in tables])
 
 
+def read_category_partitions(spark: SparkSession, path: str, categories, category_col: str = "category",
+                             fmt: str = "parquet") -> DataFrame:
+    """A4 + U1 over a table written by ``sinks.save_by_category``: one
+    DataFrame per listed category, then one for every other category (or
+    none), unioned by name. Each is a filter on the partition column, so
+    its scan lists and reads only that category's folder: the union reads
+    the table once, however many categories there are."""
+    table = spark.read.format(fmt).load(path)
+    cat = F.col(category_col)
+    per = [table.where(cat == k) for k in categories]
+    rest = table.where(~cat.isin(list(categories)) | cat.isNull())
+    return union_tables(per + [rest])
+
+
 def from_rows(spark: SparkSession, rows, schema=CATALOG) -> DataFrame:
     """A5: local rows with an explicit schema (fixtures only)."""
     return spark.createDataFrame(rows, schema=schema)
