@@ -149,7 +149,35 @@ def test_no_cartesian_product_in_match_plan(spark):
     a = _cat(spark, [(0, "a", 1.0, "/a", [1.0, 0.0])])
     plan = best_match(a, a, source_blocks=2, target_blocks=2)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "FlatMapCoGroupsInPandas" in plan
+    assert "MapInPandas" in plan
+
+
+@pytest.mark.parametrize("ns,nt,wide", [(4, 2, 8), (5, 3, 8), (7, 11, 8), (1, 1, 8)])
+def test_block_pairs_spread_evenly_over_tasks(spark, ns, nt, wide):
+    """Every block pair lands in exactly one task, tasks differ by at most
+    one block pair, and a task's rows come ordered by block pair."""
+    from pyspark.sql import functions as F
+    from vitrine.operators.match import _block_pairs
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(wide))
+    try:
+        s = spark.range(300).selectExpr("id AS source_id", "array(1.0f) AS vec")
+        t = spark.range(200).selectExpr("id AS target_id", "array(1.0f) AS vec")
+        rows = _block_pairs(s, t, ns, nt).withColumn("task", F.spark_partition_id())
+        got = rows.groupBy("task", "bp").agg(F.count_if(F.col("side") == 0).alias("s"),
+                                             F.count_if(F.col("side") == 1).alias("t")).collect()
+        per_task = {}
+        for r in got:
+            per_task.setdefault(r.task, set()).add(r.bp)
+        assert sorted(bp for v in per_task.values() for bp in v) == list(range(ns * nt))
+        loads = [len(v) for v in per_task.values()]
+        assert max(loads) - min(loads) <= 1
+        assert sum(r.s for r in got) == 300 * nt and sum(r.t for r in got) == 200 * ns
+        ordered = rows.rdd.mapPartitions(lambda it: [[r.bp for r in it]]).collect()
+        assert all(b == sorted(b) for b in ordered)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
 def _ids_vecs(spark, n, name, dim=2, copies=0):

@@ -30,10 +30,13 @@ def test_no_cartesian_product(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_match_is_one_cogroup_and_scans_are_pruned(spark):
+def test_match_is_one_python_stage_and_scans_are_pruned(spark):
     df = E.queries()["best_match"](spark, SF)
     plan = _plan(df)
-    assert plan.count("FlatMapCoGroupsInPandas") == 1
+    assert plan.count("MapInPandas") == 1
+    # both sides share one shuffle that places block pairs directly
+    placed = plan.count("shufflepartitionidpassthrough") + plan.count("Exchange SinglePartition, REPARTITION_BY_NUM")
+    assert placed == 1 and "hashpartitioning(sb" not in plan
     assert "ReadSchema: struct<vec_id:bigint,embedding:array<float>>" in df._jdf.queryExecution().toString() or \
         "struct<vec_id:bigint,embedding:array<float>>" in plan
     assert "p_name" not in plan and "p_retailprice" not in plan  # part is read for the join key only

@@ -2,19 +2,25 @@
 
 Top-1 cosine join at scale
 --------------------------
-Both sides are cut into blocks by a hash of their id. Every source block
-meets every target block exactly once in a ``cogroup`` keyed by
-``(source_block, target_block)``; the task multiplies the two unit-vector
-blocks with one BLAS call (in bounded chunks) and emits only the block-local
-winner of each source row. When the target fits one block (the usual
-"small own catalog" case) there is no further shuffle; otherwise a
-``max_by`` over the per-block winners picks the global one.
-
-Nothing is broadcast, collected or cross-joined; a task holds at most one
-source block and one target block (``rows_per_block`` rows and at most
-``block_bytes`` of vectors each, so wide model vectors get shorter blocks),
-whatever the skew of the data: blocks come from id hashes, not from data
-keys.
+Both sides are cut into blocks by a hash of their id, and every source block
+meets every target block exactly once: each row is copied to the block pairs
+of its block, ``bp = source_block * target_blocks + target_block``. Both
+sides go through ONE shuffle that places block pairs directly
+(``repartitionById``): task ``k`` gets block pairs ``k, k + parts, ...``, so
+tasks carry equal numbers of block pairs (hash placement would leave some
+tasks with several pairs and others idle; on a 1000-slot cluster that makes
+the stage about five times longer than needed). A ``mapInPandas`` streams
+the rows of a task and multiplies one block pair at a time with one BLAS
+call (in bounded chunks), emitting only the block-local winner of each
+source row. When the target fits one block (the usual "small own catalog"
+case) there is no further shuffle; otherwise a ``max_by`` over the
+per-block winners picks the global one.
+
+Nothing is broadcast, collected or cross-joined; a Python worker holds at
+most one source block and one target block (``rows_per_block`` rows and at
+most ``block_bytes`` of vectors each, so wide model vectors get shorter
+blocks), whatever the skew of the data: blocks come from id hashes, not from
+data keys.
 
 Exactness: BLAS scores are not bit-stable across block shapes, so every
 candidate within ``_TOL`` of the block best is re-scored with a
@@ -52,7 +58,7 @@ _HLL_RSD = 0.05  # relative error of the distinct-vector estimate (sizing only;
 
 
 # ---------------------------------------------------------------------------
-# numpy kernels (run inside cogroup tasks)
+# numpy kernels (run inside mapInPandas tasks, one block pair at a time)
 # ---------------------------------------------------------------------------
 
 
@@ -189,20 +195,65 @@ def _block_counts(s: DataFrame, t: DataFrame, rows_per_block: int, ns: int | Non
     return ns, nt
 
 
-def _replicated(s: DataFrame, t: DataFrame, ns: int, nt: int):
-    s_rep = s.withColumn("sb", F.pmod(F.xxhash64("source_id"), F.lit(ns)).cast("int"))
-    s_rep = s_rep.withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(nt - 1))))
-    t_rep = t.withColumn("tb", F.pmod(F.xxhash64("target_id"), F.lit(nt)).cast("int"))
-    t_rep = t_rep.withColumn("sb", F.explode(F.sequence(F.lit(0), F.lit(ns - 1))))
-    # one shuffle per side, sized to the block grid: no empty tasks for a
-    # small grid, and enough tasks (a few per slot) for a large one; the
-    # cogroup reuses this partitioning
+def _block_pairs(s: DataFrame, t: DataFrame, ns: int, nt: int):
+    """Rows of both sides, each copied to the block pairs of its block and
+    placed by block pair: one shuffle, equal numbers of block pairs per
+    task, rows of a task ordered by block pair when it holds several.
+    Columns ``side`` (0 source, 1 target), ``id``, ``vec``, ``bp``."""
+    pairs = ns * nt
+    if pairs >= 2**31:
+        raise ValueError(f"{ns} x {nt} block pairs: raise rows_per_block")
     spark = s.sparkSession
     wide = max(3 * task_slots(spark), int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    parts = max(1, min(ns * nt, wide))
-    s_rep = s_rep.repartition(parts, "sb", "tb")
-    t_rep = t_rep.repartition(parts, "sb", "tb")
-    return s_rep.groupBy("sb", "tb"), t_rep.groupBy("sb", "tb")
+    per_task = math.ceil(pairs / wide)
+    parts = math.ceil(pairs / per_task)  # every task gets per_task or per_task - 1 pairs
+    src = s.select(
+        F.lit(0).alias("side"), F.col("source_id").alias("id"), "vec",
+        F.pmod(F.xxhash64("source_id"), F.lit(ns)).cast("int").alias("sb"),
+    ).withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(nt - 1))))
+    tgt = t.select(
+        F.lit(1).alias("side"), F.col("target_id").alias("id"), "vec",
+        F.pmod(F.xxhash64("target_id"), F.lit(nt)).cast("int").alias("tb"),
+    ).withColumn("sb", F.explode(F.sequence(F.lit(0), F.lit(ns - 1))))
+    rows = src.unionByName(tgt).select("side", "id", "vec", (F.col("sb") * nt + F.col("tb")).alias("bp"))
+    rows = rows.repartitionById(parts, "bp")  # partition = bp mod parts
+    return rows.sortWithinPartitions("bp") if per_task > 1 else rows
+
+
+def _per_block_pair(batches, kernel):
+    """Run ``kernel(source_frame, target_frame)`` on each block pair of a
+    task's row stream (ordered by ``bp``); only one block pair is held."""
+    pieces, current = [], None
+
+    def flush():
+        df = pd.concat(pieces, ignore_index=True)
+        side = df["side"].to_numpy()
+        sdf = df.loc[side == 0, ["id", "vec"]].rename(columns={"id": "source_id"})
+        tdf = df.loc[side == 1, ["id", "vec"]].rename(columns={"id": "target_id"})
+        return kernel(sdf.reset_index(drop=True), tdf.reset_index(drop=True))
+
+    for b in batches:
+        if len(b) == 0:
+            continue
+        bp = b["bp"].to_numpy()
+        cuts = np.flatnonzero(bp[1:] != bp[:-1]) + 1
+        for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(b)]):
+            if current is not None and bp[lo] != current:
+                out = flush()
+                pieces = []
+                if len(out):
+                    yield out
+            current = bp[lo]
+            pieces.append(b.iloc[lo:hi])
+    if pieces:
+        out = flush()
+        if len(out):
+            yield out
+
+
+def _match_blocks(s: DataFrame, t: DataFrame, ns: int, nt: int, kernel) -> DataFrame:
+    rows = _block_pairs(s, t, ns, nt)
+    return rows.mapInPandas(lambda it: _per_block_pair(it, kernel), schema=MATCH_SCHEMA)
 
 
 def best_match(
@@ -233,10 +284,7 @@ def best_match(
     # keep one row per distinct vector before replication (partial
     # aggregation collapses a vector with millions of copies map-side)
     t = t_all.groupBy("vec").agg(F.min("target_id").alias("target_id"))
-    gs, gt = _replicated(s, t, ns, nt)
-    winners = gs.cogroup(gt).applyInPandas(
-        lambda a, b: block_winners(a, b), schema=MATCH_SCHEMA
-    )
+    winners = _match_blocks(s, t, ns, nt, block_winners)
     if nt == 1:
         return winners
     rank = F.struct(F.round("similarity", TIE_DECIMALS), -F.col("target_id"))
@@ -266,8 +314,7 @@ def similarity_pairs(
     s = _vectors(source, id_col, vector_col, "source_id")
     t = _vectors(target, id_col, vector_col, "target_id")
     ns, nt = _block_counts(s, t, rows_per_block, source_blocks, target_blocks, block_bytes=block_bytes)
-    gs, gt = _replicated(s, t, ns, nt)
-    return gs.cogroup(gt).applyInPandas(lambda a, b: block_pairs_above(a, b, threshold), schema=MATCH_SCHEMA)
+    return _match_blocks(s, t, ns, nt, lambda a, b: block_pairs_above(a, b, threshold))
 
 
 def _prefixed(df: DataFrame, prefix: str, cols) -> DataFrame:
