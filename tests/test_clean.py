@@ -138,3 +138,63 @@ def test_dedupe_with_map_and_array_columns(spark):
                                "title string, marketplace string, price long, props map<string,int>, v array<double>")
     out = keep_cheapest(df).collect()
     assert len(out) == 1 and out[0].price == 1 and out[0].props == {"k": 2}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_title_collapses_map_side(spark):
+    """A third of all rows share one (title, marketplace): the pick is still
+    the cheapest (lowest id on a price tie), and the plan aggregates
+    partially before the shuffle, so the hot group leaves each input
+    partition as one row instead of gathering in one task."""
+    from pyspark.sql import functions as F
+
+    n = 3000
+    df = spark.range(n).repartition(8).select(
+        F.col("id").alias("product_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), F.col("id").cast("string"))).alias("title"),
+        F.lit("A").alias("marketplace"),
+        (F.lit(5000) - F.col("id") % 1000).alias("price"),
+    )
+    out = keep_cheapest(df, order=("product_id",))
+    rows = {r.title: r for r in out.collect()}
+    assert len(rows) == 1 + 2 * n // 3
+    # hot rows are ids 0, 3, ..., 2997: price 4001 is the lowest, first at id 999
+    assert (rows["hot"].price, rows["hot"].product_id) == (4001, 999)
+    plan = _plan(out)
+    assert "partial_min_by" in plan and plan.index("partial_min_by") > plan.index("Exchange")  # below it
+
+
+def test_unpaired_rows_bypass_the_pair_window(spark):
+    """A third of the rows carry no pair key: they get a null diff without
+    passing through the window, and pairs keep their symmetric diff."""
+    from pyspark.sql import functions as F
+
+    from vitrine.operators.metrics import with_partner_price
+    from vitrine.schema import Labels
+
+    lab = Labels("A", "B")
+    n = 900
+    df = spark.range(n).select(
+        F.col("id").alias("product_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") / 3 * 3 + F.when(F.col("id") % 3 == 2, -1).otherwise(0)).cast("long").alias("pair_id"),
+        F.when(F.col("id") % 3 == 2, F.lit("B")).otherwise(F.lit("A")).alias("marketplace"),
+        F.lit("sim").alias("exclusivity"),
+        (F.col("id") % 3 * 50 + 100).cast("double").alias("price"),
+    )
+    diffs = pair_difference(df)
+    got = diffs.collect()
+    assert len(got) == n
+    assert all(r.diff_pct is None for r in got if r.pair_id is None)
+    paired = [r for r in got if r.pair_id is not None]
+    assert len(paired) == 2 * n // 3
+    assert all(r.diff_pct == pytest.approx(50 / 175 * 100) for r in paired)  # 150 vs 200
+    partner = {r.product_id: r.partner_price for r in with_partner_price(df, lab).collect()}
+    assert all(partner[i] is None for i in range(0, n, 3))
+    assert all(partner[i] == 200.0 and partner[i + 1] == 150.0 for i in range(1, n, 3))
+    # one window, in the branch of the pair rows; unpaired rows are the
+    # other branch of the union
+    final = _plan(diffs).split("== Initial Plan ==")[0]
+    assert final.count("Window [") == 1 and "Union" in final
