@@ -275,6 +275,10 @@ def best_match(
     Returns ``source_id, target_id, similarity``. Sources get no row when the
     target side is empty (callers left-join, see C7); ``on_empty="error"``
     raises instead, as the pairing stage of the reference does.
+
+    Block sizing reads both inputs once before the match reads them again:
+    pass tables, or materialise computed vectors first (``embed_table``,
+    ``session.cut_lineage``) so an encoder does not run twice.
     """
     s = _vectors(source, id_col, vector_col, "source_id")
     t_all = _vectors(target, id_col, vector_col, "target_id")

@@ -480,8 +480,10 @@ def q_encode_titles(spark, sf):
 
 def q_match_encoded(spark, sf):
     cat, s, t = _catalogs(spark, sf)
-    se = encode_titles(s.drop("embedding"), "title", dim=64)
-    te = encode_titles(t.drop("embedding"), "title", dim=64)
+    # J1 -> J2 -> C1: the vectors are written once (the match reads its
+    # inputs twice, for block sizing and for the products)
+    se = cut_lineage(encode_titles(s.drop("embedding"), "title", dim=64).select("product_id", "embedding"), "encoded")
+    te = cut_lineage(encode_titles(t.drop("embedding"), "title", dim=64).select("product_id", "embedding"), "encoded")
     return _rounded(best_match(se, te))
 
 
