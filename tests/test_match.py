@@ -69,9 +69,11 @@ def test_block_winners_ties_and_zero_vectors():
     assert got.loc[3, "target_id"] == 7  # copies 7 and 9 tie: lowest id
 
 
-@settings(max_examples=8, deadline=None)
-@given(st.integers(min_value=0, max_value=10_000), st.integers(1, 3), st.integers(1, 4))
+@settings(max_examples=10, deadline=None)
+@given(st.integers(min_value=0, max_value=10_000), st.integers(1, 9), st.integers(1, 7))
 def test_blocked_equals_brute_force(spark, seed, ns, nt):
+    """Up to 63 block pairs: several per task (rows streamed in block-pair
+    order) and many blocks empty on one side."""
     rng = np.random.default_rng(seed)
     S = rng.integers(-2, 3, size=(30, 4)).astype("float32")
     T = rng.integers(-2, 3, size=(25, 4)).astype("float32")
@@ -101,6 +103,19 @@ def test_result_independent_of_blocks_on_data(spark):
     assert all(abs(x.similarity - y.similarity) < 1e-12 for x, y in zip(one, many))
 
 
+def test_similarity_pairs_on_a_wide_grid_equal_brute_force(spark):
+    rng = np.random.default_rng(7)
+    S = rng.normal(size=(40, 3)).astype("float32")
+    T = rng.normal(size=(35, 3)).astype("float32")
+    a = _cat(spark, [(i, "s", 1.0, "/s", S[i].tolist()) for i in range(len(S))])
+    b = _cat(spark, [(1000 + j, "t", 1.0, "/t", T[j].tolist()) for j in range(len(T))])
+    got = sorted((r.source_id, r.target_id) for r in similarity_pairs(a, b, 0.5, source_blocks=8, target_blocks=6).collect())
+    Su = S.astype("f8") / np.linalg.norm(S.astype("f8"), axis=1)[:, None]
+    Tu = T.astype("f8") / np.linalg.norm(T.astype("f8"), axis=1)[:, None]
+    want = sorted((i, 1000 + j) for i, j in zip(*np.nonzero(Su @ Tu.T >= 0.5)))
+    assert got == want and len(want) > 100
+
+
 def test_similarity_pairs_threshold(spark):
     a = _cat(spark, [(0, "a", 1.0, "/a", [1.0, 0.0]), (1, "b", 1.0, "/b", [0.0, 1.0])])
     b = _cat(spark, [(5, "c", 1.0, "/c", [1.0, 1.0]), (6, "d", 1.0, "/d", [1.0, 0.0])])
