@@ -4,9 +4,10 @@ The reference keeps no history; its dashboard plots the trend "if history
 exists". Each benchmark run can append a snapshot (``append_snapshot``), and
 ``trend_stream`` maintains the per-period mean gap and pair count over the
 growing history with a watermark, so late snapshots still land in their
-period while old state is dropped.
+period while old state is dropped. ``write_trend`` runs it into a parquet
+folder with its progress in the shared checkpoint folder.
 """
 
-from vitrine.streaming.trend import append_snapshot, trend_stream
+from vitrine.streaming.trend import append_snapshot, trend_stream, write_trend
 
-__all__ = ["append_snapshot", "trend_stream"]
+__all__ = ["append_snapshot", "trend_stream", "write_trend"]

@@ -34,3 +34,23 @@ def trend_stream(spark: SparkSession, path: str, schema: T.StructType, period: s
         )
         .select(F.col("period.start").alias("period_start"), "avg_diff_pct", "pairs")
     )
+
+
+def write_trend(trend: DataFrame, path: str, checkpoint: str | None = None, available_now: bool = True):
+    """Run the streaming trend into a parquet folder. Progress (offsets and
+    aggregation state) lives in ``checkpoint`` -- by default under the
+    session's shared checkpoint folder, never on a machine-local disk -- so
+    a restarted query resumes where it stopped and appends each period once.
+    ``available_now`` processes what has arrived and stops (scheduled runs);
+    otherwise the query keeps running. Returns the ``StreamingQuery``."""
+    import hashlib
+
+    from vitrine.session import ensure_checkpoint_dir
+
+    spark = trend.sparkSession
+    # the same output folder always maps to the same checkpoint (stable digest)
+    key = hashlib.sha1(path.encode()).hexdigest()[:16]
+    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/trend-{key}"
+    w = trend.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ckpt)
+    w = w.trigger(availableNow=True) if available_now else w
+    return w.start(path)
