@@ -126,13 +126,12 @@ def block_winners(sdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(parts, ignore_index=True) if parts else empty
 
 
-def block_pairs_above(sdf: pd.DataFrame, tdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Every (source, target) pair of one block pair scoring >= threshold."""
-    cols = {"source_id": [], "target_id": [], "similarity": []}
+def block_pairs_above(sdf: pd.DataFrame, tdf: pd.DataFrame, threshold: float):
+    """Every (source, target) pair of one block pair scoring >= threshold,
+    yielded per score chunk: a low threshold can let every pair through,
+    so the output is never gathered for the whole block pair."""
     if len(sdf) == 0 or len(tdf) == 0:
-        return pd.DataFrame({"source_id": pd.Series([], dtype="int64"),
-                             "target_id": pd.Series([], dtype="int64"),
-                             "similarity": pd.Series([], dtype="float64")})
+        return
     S = _unit_matrix(sdf["vec"])
     T = _unit_matrix(tdf["vec"])
     sid = sdf["source_id"].to_numpy(dtype=np.int64)
@@ -144,10 +143,8 @@ def block_pairs_above(sdf: pd.DataFrame, tdf: pd.DataFrame, threshold: float) ->
         r, c = np.nonzero(G >= threshold - _TOL)
         exact = _exact_scores(Sc, T, r, c)
         ok = exact >= threshold
-        cols["source_id"].append(sid[i0 + r[ok]])
-        cols["target_id"].append(tid[c[ok]])
-        cols["similarity"].append(exact[ok])
-    return pd.DataFrame({k: np.concatenate(v) for k, v in cols.items()})
+        if ok.any():
+            yield pd.DataFrame({"source_id": sid[i0 + r[ok]], "target_id": tid[c[ok]], "similarity": exact[ok]})
 
 
 # ---------------------------------------------------------------------------
@@ -230,7 +227,9 @@ def _per_block_pair(batches, kernel):
         side = df["side"].to_numpy()
         sdf = df.loc[side == 0, ["id", "vec"]].rename(columns={"id": "source_id"})
         tdf = df.loc[side == 1, ["id", "vec"]].rename(columns={"id": "target_id"})
-        return kernel(sdf.reset_index(drop=True), tdf.reset_index(drop=True))
+        out = kernel(sdf.reset_index(drop=True), tdf.reset_index(drop=True))
+        # a kernel returns one frame or yields several (bounded chunks)
+        return [out] if isinstance(out, pd.DataFrame) else out
 
     for b in batches:
         if len(b) == 0:
@@ -239,16 +238,12 @@ def _per_block_pair(batches, kernel):
         cuts = np.flatnonzero(bp[1:] != bp[:-1]) + 1
         for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(b)]):
             if current is not None and bp[lo] != current:
-                out = flush()
+                yield from (o for o in flush() if len(o))
                 pieces = []
-                if len(out):
-                    yield out
             current = bp[lo]
             pieces.append(b.iloc[lo:hi])
     if pieces:
-        out = flush()
-        if len(out):
-            yield out
+        yield from (o for o in flush() if len(o))
 
 
 def _match_blocks(s: DataFrame, t: DataFrame, ns: int, nt: int, kernel) -> DataFrame:
