@@ -167,7 +167,7 @@ def test_no_cartesian_product_in_match_plan(spark):
     assert "MapInPandas" in plan
 
 
-@pytest.mark.parametrize("ns,nt,wide", [(4, 2, 8), (5, 3, 8), (7, 11, 8), (1, 1, 8)])
+@pytest.mark.parametrize("ns,nt,wide", [(4, 2, 8), (5, 3, 8), (7, 11, 8), (1, 1, 8), (40, 20, 8)])
 def test_block_pairs_spread_evenly_over_tasks(spark, ns, nt, wide):
     """Every block pair lands in exactly one task, tasks differ by at most
     one block pair, and a task's rows come ordered by block pair."""
@@ -187,7 +187,7 @@ def test_block_pairs_spread_evenly_over_tasks(spark, ns, nt, wide):
             per_task.setdefault(r.task, set()).add(r.bp)
         assert sorted(bp for v in per_task.values() for bp in v) == list(range(ns * nt))
         loads = [len(v) for v in per_task.values()]
-        assert max(loads) - min(loads) <= 1
+        assert max(loads) - min(loads) <= 1 and max(loads) <= 16
         assert sum(r.s for r in got) == 300 * nt and sum(r.t for r in got) == 200 * ns
         ordered = rows.rdd.mapPartitions(lambda it: [[r.bp for r in it]]).collect()
         assert all(b == sorted(b) for b in ordered)

@@ -53,6 +53,7 @@ _CHUNK_ELEMS = 4_000_000  # score-matrix elements per chunk (32 MB)
 _RESCORE_PAIRS = 250_000  # candidate pairs re-scored per slice
 _MIN_SOURCE_BLOCK = 1_000  # smallest source block worth a task
 BLOCK_BYTES = 128 << 20  # float64 vectors of one block side in a task
+_MAX_PAIRS_PER_TASK = 16  # block pairs one match task streams (sorted by pair)
 _HLL_RSD = 0.05  # relative error of the distinct-vector estimate (sizing only;
 # a finer sketch costs more to compile than the count saves)
 
@@ -202,7 +203,9 @@ def _block_pairs(s: DataFrame, t: DataFrame, ns: int, nt: int):
         raise ValueError(f"{ns} x {nt} block pairs: raise rows_per_block")
     spark = s.sparkSession
     wide = max(3 * task_slots(spark), int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    per_task = math.ceil(pairs / wide)
+    # a task holds at most _MAX_PAIRS_PER_TASK block pairs (each at most
+    # block_bytes of vectors): huge grids get more tasks, not bigger sorts
+    per_task = min(math.ceil(pairs / wide), _MAX_PAIRS_PER_TASK)
     parts = math.ceil(pairs / per_task)  # every task gets per_task or per_task - 1 pairs
     src = s.select(
         F.lit(0).alias("side"), F.col("source_id").alias("id"), "vec",
