@@ -160,22 +160,31 @@ def _vectors(df: DataFrame, id_col: str, vector_col: str, name: str) -> DataFram
 
 
 def _block_counts(s: DataFrame, t: DataFrame, rows_per_block: int, ns: int | None, nt: int | None,
-                  on_empty: str = "empty", distinct_target: bool = False, block_bytes: int = BLOCK_BYTES):
+                  on_empty: str = "empty", distinct_target: bool = False, block_bytes: int = BLOCK_BYTES,
+                  source_rows: DataFrame | None = None):
     """Blocks per side so that a block holds about ``rows_per_block`` rows
     and at most ``block_bytes`` of float64 vectors.
 
     One aggregate over both sides sizes the grid (pass explicit block
-    counts to skip it): the exact source count, the target count and the
-    widest vector. For the top-1 match the target count is the number of
+    counts to skip it): the source count, the target count and the widest
+    vector. For the top-1 match the target count is the number of
     *distinct* vectors (copies are collapsed before the product), estimated
     by HyperLogLog over the vector hash, so sizing shuffles only per-task
-    sketches, never the vectors. Block counts change the speed, not the
+    sketches, never the vectors. With ``source_rows`` (the source's rows,
+    e.g. its ids) the source side is counted without reading its vectors:
+    an upper bound, as rows without a vector are dropped later, which only
+    makes source blocks smaller. Block counts change the speed, not the
     result, which is exact for any layout. Source blocks are added until
     the block grid can occupy ``defaultParallelism`` task slots (each source
     block keeps at least ``_MIN_SOURCE_BLOCK`` rows)."""
     if ns and nt and on_empty != "error":
         return ns, nt
-    tagged = s.select(F.lit(True).alias("_src"), "vec").unionByName(t.select(F.lit(False).alias("_src"), "vec"))
+    if source_rows is not None and on_empty != "error":
+        # no source vectors are read: the count needs rows, not vectors
+        src_side = source_rows.select(F.lit(True).alias("_src"), F.lit(None).cast(dict(t.dtypes)["vec"]).alias("vec"))
+    else:  # exact: "error" must know whether any source row has a vector
+        src_side = s.select(F.lit(True).alias("_src"), "vec")
+    tagged = src_side.unionByName(t.select(F.lit(False).alias("_src"), "vec"))
     src, vec = F.col("_src"), F.col("vec")
     n_t = F.approx_count_distinct(F.when(~src, F.xxhash64(vec)), _HLL_RSD) if distinct_target else F.count_if(~src)
     n = tagged.agg(F.count_if(src).alias("s"), n_t.alias("t"), F.max(F.size(vec)).alias("dim")).first()
@@ -274,14 +283,15 @@ def best_match(
     target side is empty (callers left-join, see C7); ``on_empty="error"``
     raises instead, as the pairing stage of the reference does.
 
-    Block sizing reads both inputs once before the match reads them again:
-    pass tables, or materialise computed vectors first (``embed_table``,
-    ``session.cut_lineage``) so an encoder does not run twice.
+    Block sizing reads the source's ids and the target's vectors once
+    before the match reads both again: pass tables, or materialise computed
+    vectors first (``embed_table``, ``session.cut_lineage``) so an encoder
+    does not run twice.
     """
     s = _vectors(source, id_col, vector_col, "source_id")
     t_all = _vectors(target, id_col, vector_col, "target_id")
     ns, nt = _block_counts(s, t_all, rows_per_block, source_blocks, target_blocks, on_empty,
-                           distinct_target=True, block_bytes=block_bytes)
+                           distinct_target=True, block_bytes=block_bytes, source_rows=source.select(id_col))
     # identical target vectors can only tie, and the lowest id wins a tie:
     # keep one row per distinct vector before replication (partial
     # aggregation collapses a vector with millions of copies map-side)
@@ -315,7 +325,8 @@ def similarity_pairs(
     threshold lets everything through."""
     s = _vectors(source, id_col, vector_col, "source_id")
     t = _vectors(target, id_col, vector_col, "target_id")
-    ns, nt = _block_counts(s, t, rows_per_block, source_blocks, target_blocks, block_bytes=block_bytes)
+    ns, nt = _block_counts(s, t, rows_per_block, source_blocks, target_blocks, block_bytes=block_bytes,
+                           source_rows=source.select(id_col))
     return _match_blocks(s, t, ns, nt, lambda a, b: block_pairs_above(a, b, threshold))
 
 
