@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vitrine.plans import registry as RG
 from vitrine.plans.jobs import benchmark_catalogs, compare_catalogs
 from vitrine.plans.reports import analytical_report, benchmark_table, business_report
+from vitrine.schema import Labels
 from vitrine.sources.sinks import read_report
 from vitrine.sources.tables import products, split_catalogs
 
@@ -58,3 +59,19 @@ def test_benchmark_run(spark, tmp_path):
     # the view reads the written table: no Python match stage under it
     plan = spark.sql(f"SELECT * FROM {run.view}")._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" not in plan
+
+
+def test_command_line_runs(spark, tmp_path):
+    """``python -m vitrine compare|benchmark`` over parquet catalogs."""
+    from vitrine.__main__ import main
+
+    s, t = _catalogs(spark)
+    src, tgt = str(tmp_path / "src"), str(tmp_path / "tgt")
+    s.select("product_id", "title", "price", "url", "embedding").write.parquet(src)
+    t.select("product_id", "title", "price", "url", "embedding").write.parquet(tgt)
+    out = main(["compare", src, tgt, str(tmp_path / "cmp"), "--threshold", str(RG.THRESHOLD)], spark)
+    assert spark.read.parquet(out["analytical"]).count() == s.count()
+    out = main(["benchmark", src, tgt, str(tmp_path / "bm"), "--very", "0.45", "--moderate", "0.35",
+                "--view", "cli_bench"], spark)
+    direct = benchmark_table(s, t, Labels(), RG.LEVELS, ordered=False)
+    assert spark.sql("SELECT count(*) AS n FROM cli_bench").first().n == direct.count()
