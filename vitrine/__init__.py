@@ -12,7 +12,8 @@ Layout
   sinks and views.
 - ``vitrine.operators``  match (exact top-1 cosine join), dedupe, filters,
   metrics.
-- ``vitrine.plans``      composite jobs (reports, benchmark table, KPI row).
+- ``vitrine.plans``      composite jobs (reports, benchmark table, KPI row) and
+  the end-to-end runs (``plans.jobs``; ``python -m vitrine`` on the command line).
 - ``vitrine.streaming``  incremental snapshot history for the trend table.
 """
 
