@@ -103,6 +103,28 @@ def test_result_independent_of_blocks_on_data(spark):
     assert all(abs(x.similarity - y.similarity) < 1e-12 for x, y in zip(one, many))
 
 
+@pytest.mark.parametrize("ns,nt", [(1, 1), (3, 2), (9, 7)])
+def test_block_pairs_spanning_many_arrow_batches(spark, ns, nt):
+    """Batches of 7 rows: block pairs arrive in pieces and batch edges fall
+    inside pairs; the stream must still hand each whole pair to the kernel."""
+    rng = np.random.default_rng(11)
+    S = rng.normal(size=(60, 3)).astype("float32")
+    T = rng.normal(size=(45, 3)).astype("float32")
+    sid, tid = list(range(60)), [1000 + j for j in range(45)]
+    a = _cat(spark, [(sid[i], "s", 1.0, "/s", S[i].tolist()) for i in range(len(S))])
+    b = _cat(spark, [(tid[j], "t", 1.0, "/t", T[j].tolist()) for j in range(len(T))])
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {r.source_id: (r.target_id, r.similarity)
+               for r in best_match(a, b, source_blocks=ns, target_blocks=nt).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    want = _brute(S.astype("f8"), T.astype("f8"), sid, tid)
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and got[k][1] == pytest.approx(want[k][1], abs=1e-12) for k in want)
+
+
 def test_similarity_pairs_on_a_wide_grid_equal_brute_force(spark):
     rng = np.random.default_rng(7)
     S = rng.normal(size=(40, 3)).astype("float32")
