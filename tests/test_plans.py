@@ -25,9 +25,11 @@ def test_scalar_queries_have_no_python(spark, name):
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
-def test_no_cartesian_product(spark, name):
+def test_no_cartesian_product_and_match_runs_once(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    # a query that needs the match twice reads it from a written table
+    assert plan.count("MapInPandas ") <= 1, plan
 
 
 def test_match_is_one_python_stage_and_scans_are_pruned(spark):
