@@ -10,9 +10,16 @@ from pyspark.sql import functions as F
 from vitrine.llm.exact_dedup import exact_dedup
 from vitrine.llm.line_dedup import line_dedup
 from vitrine.llm.mixing import mix_report
+from vitrine.llm.simhash import simhash_report
+from vitrine.llm.vafile import vector_top_k
 from vitrine.sources.tables import read_table
 
 
+def op1_vafile_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return vector_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -22,19 +29,34 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(docs, counts=True).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "n_lines", "n_removed")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_report(read_table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_vafile_topk": op1_vafile_topk,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op7_simhash": op7_simhash,
     "op10_mixing": op10_mixing,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
+    "op1_vafile_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+        p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+              FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM p QUALIFY rank <= 5""",
     "op3_exact_dedup": f"""
         WITH n AS (SELECT doc_id, {_LOWER} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
