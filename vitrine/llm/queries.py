@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.llm.bpe import bpe_digests
 from vitrine.llm.exact_dedup import exact_dedup
 from vitrine.llm.line_dedup import line_dedup
 from vitrine.llm.mixing import mix_report
+from vitrine.llm.quality import quality_report
 from vitrine.llm.simhash import simhash_report
+from vitrine.llm.toxicity import toxicity
 from vitrine.llm.vafile import vector_top_k
 from vitrine.sources.tables import read_table
 
@@ -20,6 +23,10 @@ def op1_vafile_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -29,19 +36,36 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(docs, counts=True).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "n_lines", "n_removed")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_report(read_table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vafile_topk": op1_vafile_topk,
+    "op2_toxicity": op2_toxicity,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
+    "op8_bpe": op8_bpe,
     "op10_mixing": op10_mixing,
 }
 
