@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vitrine.llm.bpe import bpe_digests
 from vitrine.llm.exact_dedup import exact_dedup
+from vitrine.llm.html_extract import extract_pages
 from vitrine.llm.line_dedup import line_dedup
 from vitrine.llm.mixing import mix_report
 from vitrine.llm.quality import quality_report
@@ -36,6 +37,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(docs, counts=True).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "n_lines", "n_removed")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_html_text": op5_html_text,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op8_bpe": op8_bpe,
