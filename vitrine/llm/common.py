@@ -41,7 +41,7 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     read back: it is computed once, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path, partitionBy=list(partition_by) or None)
+    df.write.parquet(path, partitionBy=list(partition_by) or None, compression="zstd")
     # the schema is given: an empty table may have no file to infer it from
     return spark.read.schema(df.schema).parquet(path)
 

@@ -14,6 +14,7 @@ from vitrine.llm.line_dedup import line_dedup
 from vitrine.llm.mixing import mix_report
 from vitrine.llm.quality import quality_report
 from vitrine.llm.simhash import simhash_report
+from vitrine.llm.suffix_dedup import suffix_dedup
 from vitrine.llm.toxicity import toxicity
 from vitrine.llm.vafile import vector_top_k
 from vitrine.sources.tables import read_table
@@ -59,6 +60,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(read_table(spark, sf_dir, "documents"))
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op8_bpe": op8_bpe,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
 }
 
