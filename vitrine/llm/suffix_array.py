@@ -37,47 +37,44 @@ def induce(t: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, sigma: int) ->
     start = stop - count
     larger = np.bincount(t[~smaller], minlength=sigma)
     sa = np.zeros(n, np.int32)
-    seed_chars = t[seeds]
     buckets = np.flatnonzero(count)
-    seed_at = np.searchsorted(seed_chars, np.arange(sigma + 1))
+    seed_at = np.searchsorted(t[seeds], np.arange(sigma + 1))
+    # letter and type of each suffix in one number: one read per step. The
+    # suffix before the first is the last, whose type is set so that it is never taken
+    code = t.astype(np.int32) * 2 + smaller
+    code[-1] = 1
 
     at = start.copy()
     for c in buckets.tolist():
         found, now = [], sa[start[c]: at[c]]
         while len(now):
             p = now - 1
-            p = p[p >= 0]
-            p = p[~smaller[p]]
-            same = t[p] == c
+            k = code[p]
+            same = k == 2 * c
+            found.append(p[(k & 1 == 0) & ~same])
             now = p[same]
-            if len(now):
-                sa[at[c]: at[c] + len(now)] = now
-                at[c] += len(now)
-                p = p[~same]
-            found.append(p)
+            sa[at[c]: at[c] + len(now)] = now
+            at[c] += len(now)
         p = seeds[seed_at[c]: seed_at[c + 1]] - 1
         found.append(p[p >= 0])
         p = np.concatenate(found)
         if len(p):
             _deal(sa, p, t[p], at, 1)
 
+    code[-1] = 0
     at = stop - 1
     for c in buckets[::-1].tolist():
         found, now = [], sa[at[c] + 1: stop[c]][::-1]
         while len(now):
             p = now - 1
-            p = p[p >= 0]
-            p = p[smaller[p]]
-            same = t[p] == c
+            k = code[p]
+            same = k == 2 * c + 1
+            found.append(p[(k & 1 == 1) & ~same])
             now = p[same]
-            if len(now):
-                sa[at[c] - len(now) + 1: at[c] + 1] = now[::-1]
-                at[c] -= len(now)
-                p = p[~same]
-            found.append(p)
+            sa[at[c] - len(now) + 1: at[c] + 1] = now[::-1]
+            at[c] -= len(now)
         p = sa[start[c]: start[c] + larger[c]][::-1] - 1
-        p = p[p >= 0]
-        found.append(p[smaller[p]])
+        found.append(p[code[p] & 1 == 1])
         p = np.concatenate(found)
         if len(p):
             _deal(sa, p, t[p], at, -1)

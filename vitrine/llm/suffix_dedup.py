@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -71,22 +72,23 @@ def _contexts(length: int):
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("hash", "c1", "c2", "k1", "k2", "start", "size", "context")}
+            out: dict[str, list] = {c: [] for c in ("hash", "c1", "c2", "k1", "k2", "start", "size", "anchor", "context")}
             shown = set()
             k1, k2 = batch.column("k1").to_pylist(), batch.column("k2").to_pylist()
             for i, (z, at, hashes) in enumerate(zip(batch.column("z").to_pylist(), batch.column("at").to_pylist(), batch.column("hashes").to_pylist())):
                 text = unpack(z)
                 # tied anchors of one string can share their context: it lies there once
-                for h, lo, hi in dict.fromkeys(zip(hashes, *A.reach(np.frombuffer(text, np.uint8), np.array(at), length))):
+                spans = zip(hashes, *A.reach(np.frombuffer(text, np.uint8), np.array(at), length))
+                for (h, lo, hi), p in dict(zip(spans, at)).items():
                     context = text[lo:hi]
                     c = xxhash.xxh3_128_digest(context)
                     new = (h, c) not in shown
                     shown.add((h, c))
                     for name, v in (("hash", h), ("c1", int.from_bytes(c[:8], "big", signed=True)), ("c2", int.from_bytes(c[8:], "big", signed=True)),
-                                    ("k1", k1[i]), ("k2", k2[i]), ("start", lo), ("size", hi - lo), ("context", context if new else None)):
+                                    ("k1", k1[i]), ("k2", k2[i]), ("start", lo), ("size", hi - lo), ("anchor", p - lo), ("context", context if new else None)):
                         out[name].append(v)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[c], pa.binary() if c == "context" else pa.int32() if c in ("start", "size") else pa.int64()) for c in out], list(out))
+                [pa.array(out[c], pa.binary() if c == "context" else pa.int32() if c in ("start", "size", "anchor") else pa.int64()) for c in out], list(out))
 
     return run
 
@@ -131,7 +133,24 @@ def _shards(length: int, shard_bytes: int):
     """Suffix arrays over shards of whole anchor groups (rows come sorted by
     hash): spans of the contexts that lie at one place only."""
 
+    half = (length - A.GRAM) // 2
+
+    def sides(r):
+        """What a string of another context of the anchor must share: half of
+        what it has besides the anchor, before or behind it. Where the anchor's
+        gram stands twice, copies may hold different ones: such contexts all stay."""
+        c, p = r["context"], r["anchor"]
+        gram = c[p: p + A.GRAM]
+        if c.find(gram) != p or c.find(gram, p + 1) >= 0:
+            return None
+        return (r["hash"], c[p - half: p + A.GRAM] if p >= half else b""), (r["hash"], c[p: p + A.GRAM + half] if p + A.GRAM + half <= len(c) else b"")
+
     def solve(rows):
+        pairs = [sides(r) for r in rows]
+        left, right = Counter(p[0] for p in pairs if p), Counter(p[1] for p in pairs if p)
+        rows = [r for r, p in zip(rows, pairs) if not p or p[0][1] and left[p[0]] > 1 or p[1][1] and right[p[1]] > 1]
+        if not rows:
+            return
         keys = {k: i for i, k in enumerate(dict.fromkeys((r["k1"], r["k2"]) for r in rows))}
         found = repeated_starts([r["context"] for r in rows], np.array([r["n"] > 1 for r in rows]),
                                 np.array([keys[r["k1"], r["k2"]] for r in rows], np.int64), np.array([r["start"] for r in rows], np.int64), length)
@@ -191,9 +210,9 @@ def repeated_spans(docs: DataFrame, rows: DataFrame, text_col: str, length: int,
     cand = cand.select("k1", "k2", F.transform("a", lambda x: x["at"]).alias("at"), F.transform("a", lambda x: x["hash"]).alias("hashes"))
     texts = packed_texts(docs, text_col).join(cand, ["k1", "k2"])
     found = written(texts.mapInArrow(
-        _contexts(length), "hash long, c1 long, c2 long, k1 long, k2 long, start int, size int, context binary"), "contexts")
+        _contexts(length), "hash long, c1 long, c2 long, k1 long, k2 long, start int, size int, anchor int, context binary"), "contexts")
 
-    narrow = found.drop("context")
+    narrow = found.drop("anchor", "context")
     classes = narrow.groupBy("hash", "c1", "c2").agg(F.count(F.lit(1)).alias("n"))
     many = classes.where("n > 1").select("hash", "c1", "c2")
     spans = narrow.join(many, ["hash", "c1", "c2"], "left_semi").select("k1", "k2", F.col("start").alias("lo"), (F.col("start") + F.col("size")).alias("hi"))
@@ -201,8 +220,8 @@ def repeated_spans(docs: DataFrame, rows: DataFrame, text_col: str, length: int,
     # an anchor with one context has no more to compare, nor one whose contexts all repeat
     groups = classes.groupBy("hash").agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("least")).where("classes > 1 and least = 1").select("hash", "classes")
     known = found.groupBy("hash", "c1", "c2").agg(
-        F.count(F.lit(1)).alias("n"), F.min("k1").alias("k1"), F.min("k2").alias("k2"), F.min("start").alias("start"), F.first("context", ignorenulls=True).alias("context"))
-    open_ = known.join(groups, "hash").select("hash", "n", "k1", "k2", "start", "context", "classes")
+        F.count(F.lit(1)).alias("n"), F.min("k1").alias("k1"), F.min("k2").alias("k2"), F.min("start").alias("start"), F.min("anchor").alias("anchor"), F.first("context", ignorenulls=True).alias("context"))
+    open_ = known.join(groups, "hash").select("hash", "n", "k1", "k2", "start", "anchor", "context", "classes")
     fits = open_.where(F.col("classes") <= group_rows).drop("classes").sortWithinPartitions("hash")
     single = fits.mapInArrow(_shards(length, shard_bytes), "k1 long, k2 long, lo int, hi int")
     spans = spans.unionByName(single)
