@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from vitrine.llm.bytescan import byte_values, mixed, powers
+from vitrine.llm.bytescan import byte_values, mixed, powers, table_size
 
 #: Bytes of an anchor.
 GRAM = 32
@@ -22,7 +22,7 @@ def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
 def _orders(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash of each gram, its order, least order of each string of ``length`` bytes)."""
     n = len(data)
-    up, down = powers(max(1 << 21, 1 << (n + 1).bit_length()))
+    up, down = powers(table_size(n))
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(byte_values()[data] * up[:n], out=sums[1:])
     h = mixed((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])

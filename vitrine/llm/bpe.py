@@ -22,15 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrine.llm.bytescan import byte_values, powers
+from vitrine.llm.bytescan import byte_values, powers, table_size
 from vitrine.llm.common import row_groups, text_buffer, text_or_empty
 
 #: Bytes that the rolling hash looks at, and log2 of the mean chunk length.
 WINDOW, CHUNK_BITS = 16, 9
 #: Bounds of the memories of a worker: bytes of chunks with their ids, and words.
-CHUNK_MEMORY, WORD_MEMORY = 24 << 20, 120_000
+CHUNK_MEMORY, WORD_MEMORY = 8 << 20, 80_000
 #: Bytes of texts handled at once.
-GROUP = 1 << 21
+GROUP = 1 << 20
 assert sys.byteorder == "little" and array("I").itemsize == 4  # ids are written as little-endian 32-bit integers
 
 
@@ -39,7 +39,7 @@ def cuts(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, bits: int
     ``bits`` zeros. Depends on those bytes alone."""
     if len(data) < window:
         return np.zeros(0, np.int64)
-    up, down = powers(max(1 << 21, 1 << (len(data) + 1).bit_length()))
+    up, down = powers(table_size(len(data)))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(byte_values()[data] * up[: len(data)], out=sums[1:])
     h = (sums[window:] - sums[:-window]) * down[: len(data) - window + 1]
@@ -202,7 +202,7 @@ def codec(config: str) -> Codec:
 
 
 def encode_column(column: pa.Array, c: Codec):
-    """(ids, decoded) of each row, a bounded group of rows at a time."""
+    """(first row, end row, (ids, decoded) of each) of bounded groups of rows."""
     data, off = text_buffer(column)
     for a, b in row_groups(off, GROUP):
         part, o = data[off[a]: off[b]], off[a: b + 1] - off[a]
@@ -213,26 +213,25 @@ def encode_column(column: pa.Array, c: Codec):
             texts.append(raw[lo:hi])
             inside = at[np.searchsorted(at, lo, side="right"): np.searchsorted(at, hi, side="right")]
             ends.append((inside - lo).tolist() if hi > lo else [])
-        yield from c.encode(texts, ends)
+        yield a, b, c.encode(texts, ends)
 
 
 def _run(config: str, keep: list[str], digest: bool):
     def run(batches):
         c = codec(config)
         for batch in batches:
-            pairs = encode_column(batch.column("__text"), c)
-            if digest:
-                rows = [(len(i) // 4, hashlib.sha256(i).hexdigest(), hashlib.sha256(d).hexdigest()) for i, d in pairs]
-                n = np.array([r[0] for r in rows], np.int64)
-                more = [pa.array([r[k] for r in rows], pa.string()) for k in (1, 2)]
-                names = ["ids_sha256", "decoded_sha256"]
-            else:
-                rows = [i for i, _ in pairs]
-                n = np.array([len(i) // 4 for i in rows], np.int64)
-                ids = pa.array(np.frombuffer(b"".join(rows), "<i4"))
-                more = [pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), ids)]
-                names = ["token_ids"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], pa.array(n), *more], [*keep, "n_tokens", *names])
+            # groups leave one by one: neither side ever holds the ids of a whole batch
+            for a, b, pairs in encode_column(batch.column("__text"), c):
+                n = np.array([len(i) // 4 for i, _ in pairs], np.int64)
+                if digest:
+                    more = [pa.array([hashlib.sha256(p[k]).hexdigest() for p in pairs], pa.string()) for k in (0, 1)]
+                    names = ["ids_sha256", "decoded_sha256"]
+                else:
+                    ids = pa.array(np.frombuffer(b"".join([i for i, _ in pairs]), "<i4"))
+                    more = [pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), ids)]
+                    names = ["token_ids"]
+                rest = [batch.column(k).slice(a, b - a) for k in keep]
+                yield pa.RecordBatch.from_arrays([*rest, pa.array(n), *more], [*keep, "n_tokens", *names])
 
     return run
 

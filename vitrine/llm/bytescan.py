@@ -11,7 +11,7 @@ from vitrine.llm.common import row_groups
 #: Odd multiplier of the polynomial hash (any odd number has an inverse mod 2**64), and of the final mix.
 BASE = 0x9E3779B97F4A7C15
 MIX = 0xD6E8FEB86659FD93
-PIECE = 1 << 21
+PIECE = 1 << 20
 
 
 def _classes() -> np.ndarray:
@@ -55,14 +55,14 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _size(n: int) -> int:
+def table_size(n: int) -> int:
     """n rounded up, so that few tables of powers are made."""
     return max(PIECE + 2, 1 << (n + 1).bit_length())
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of each data[start:end], from one prefix sum."""
-    up, down = powers(_size(len(data)))
+    up, down = powers(table_size(len(data)))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(byte_values()[data] * up[: len(data)], out=sums[1:])
     return mixed((sums[ends] - sums[starts]) * down[starts])

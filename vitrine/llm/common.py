@@ -61,7 +61,7 @@ def text_buffer(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]: off[-1]], off - off[0]
 
 
-def row_groups(offsets: np.ndarray, limit: int = 1 << 21):
+def row_groups(offsets: np.ndarray, limit: int = 1 << 20):
     """Row ranges of at most ``limit`` bytes (or one longer row), so that a
     kernel's scratch arrays are bounded whatever the Arrow batch holds."""
     start, n = 0, len(offsets) - 1

@@ -17,7 +17,7 @@ BUCKET_BITS = 14
 TARGET_ROWS = 20_000
 #: Added to each bucket's share of the counts.
 SMOOTH = 0.5
-GROUP = 1 << 22
+GROUP = 1 << 20
 #: Hash of the bigram of any token that follows itself.
 REPEAT = 0x5851F42D4C957F2D
 

@@ -20,7 +20,7 @@ from vitrine.llm.suffix_array import common_prefixes, suffix_array
 LENGTH = 200
 #: Bytes of contexts that make a shard, and contexts of one anchor that a shard takes.
 SHARD_BYTES, GROUP_ROWS = 1 << 20, 8192
-GROUP = 1 << 21
+GROUP = 1 << 20
 
 
 def _anchor_rows(length: int):
