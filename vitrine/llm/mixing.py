@@ -126,7 +126,8 @@ def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     like any other. Rows that share id and text are taken or left together.
     An empty table gives an empty result. Other columns are not read."""
     rows = written(_sized(docs, id_col, text_col, source_col, seed), "mix-rows")
-    by_source = mixing_plan(rows, **plan)
+    # written, so that its size is known: broadcast where it is small, else a plain join whose hot source can be split
+    by_source = written(mixing_plan(rows, **plan), "mix-plan")
     u = (F.col("r") + 0.5) / float(RANDOM)
     odds = F.when(F.col("p") > 0, (u / (1 - u)) / (F.col("p") / (1 - F.col("p"))))
     return rows.join(by_source, F.col("source").eqNullSafe(F.col("_s")), "left").select(
@@ -143,7 +144,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     source where it does not fit a broadcast. Defined cases as in
     ``mix_report``; a clashing column name of the plan is never visible."""
     rows = written(_sized(docs, id_col, text_col, source_col, seed).drop("id"), "mix-rows")
-    by_source = mixing_plan(rows, **plan).select(F.col("_s").alias("__s"), F.col("whole").alias("__w"), F.col("cutoff").alias("__c"))
+    by_source = written(mixing_plan(rows, **plan), "mix-plan").select(F.col("_s").alias("__s"), F.col("whole").alias("__w"), F.col("cutoff").alias("__c"))
     n = F.col("__w") + (random_number(id_col, text_or_empty(text_col), seed) <= F.col("__c")).cast("long")
     joined = docs.join(by_source, F.col(source_col).eqNullSafe(F.col("__s")), "left")
     times = joined.withColumn("__n", F.explode(F.sequence(F.lit(0), F.greatest(n, F.lit(0))))).where("__n > 0")
