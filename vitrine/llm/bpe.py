@@ -28,7 +28,7 @@ from vitrine.llm.common import row_groups, text_buffer, text_or_empty
 #: Bytes that the rolling hash looks at, and log2 of the mean chunk length.
 WINDOW, CHUNK_BITS = 16, 9
 #: Bounds of the memories of a worker: bytes of chunks with their ids, and words.
-CHUNK_MEMORY, WORD_MEMORY = 8 << 20, 80_000
+CHUNK_MEMORY, WORD_MEMORY = 8 << 20, 50_000
 #: Bytes of texts handled at once.
 GROUP = 1 << 20
 assert sys.byteorder == "little" and array("I").itemsize == 4  # ids are written as little-endian 32-bit integers

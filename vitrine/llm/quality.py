@@ -83,12 +83,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return np.log(p_target / p_raw), np.log(p_target / (p_rest / p_rest.sum())), float(np.log(share / max(1e-9, 1 - share)))
 
 
-def _scores(model, bits: int, keep: list[str]):
+def _scores(model, bits: int, keep: list[str], text_col: str):
     ratio, rest, prior = model
 
     def run(batches):
         for batch in batches:
-            data, off = text_buffer(batch.column("__text"))
+            data, off = text_buffer(batch.column(text_col))
             weight, chance = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
             for a, b in row_groups(off, GROUP):
                 bucket, row = features(data[off[a]: off[b]], off[a: b + 1] - off[a], bits)
@@ -108,9 +108,9 @@ def scored(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text
     """All columns of ``docs`` with ``__weight`` (log importance), ``__key``
     (with Gumbel noise) and ``__chance`` (of being target text)."""
     t = text_or_empty(text_col)
-    wide = docs.withColumn("__text", t).withColumn("__noise", F.xxhash64(F.lit("gumbel"), F.col(id_col).cast("string"), t))
+    wide = docs.withColumn("__noise", F.xxhash64(F.lit("gumbel"), F.col(id_col).cast("string"), t))
     schema = T.StructType([*docs.schema.fields, *[T.StructField(c, T.DoubleType()) for c in ("__weight", "__key", "__chance")]])
-    return wide.mapInArrow(_scores(model, bits, docs.columns), schema)
+    return wide.mapInArrow(_scores(model, bits, docs.columns, text_col), schema)
 
 
 def kth_largest(keys: DataFrame, k: int, col: str = "__key", bins: int = 4096, small: int = 10_000) -> float:

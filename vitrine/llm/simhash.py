@@ -84,7 +84,12 @@ def near_pairs(fps: DataFrame, max_bits: int = MAX_BITS, parts: int = SEGMENTS)
     Every fingerprint stands in one table per segment under that segment's
     exact value, and looks up the ball around its own value in each. A match
     is verified on all bits. A pair within reach in several segments is taken
-    in the first of them, so no later ``distinct`` is needed."""
+    in the first of them, so no later ``distinct`` is needed. ``parts`` is 2
+    at least; distinct fingerprints are never 0 bits apart."""
+    if parts < 2:
+        raise ValueError("parts must be 2 or more")
+    if max_bits < 1:
+        return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
     segs = segments(max_bits, parts)
 
     def value(col, shift, width):

@@ -78,8 +78,9 @@ def top_k(q_ids, q, ids, x, k: int, bits: int = CELL_BITS):
 
 def _search(k: int, bits: int):
     def run(key, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        found = top_k(queries["id"].to_numpy(), np.array(queries["v"].tolist(), np.int64).reshape(len(queries), -1),
-                      rows["id"].to_numpy(), np.array(rows["v"].tolist(), np.int64).reshape(len(rows), -1), k, bits)
+        # a block may hold no query, or no vector; key[2] is the vectors' length
+        q, x = (np.array(f["v"].tolist(), np.int64).reshape(len(f), key[2]) for f in (queries, rows))
+        found = top_k(queries["id"].to_numpy(), q, rows["id"].to_numpy(), x, k, bits) if len(q) and len(x) else []
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     return run
