@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def _rows(df, cols):
-    return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(*cols).collect())
+    return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(*cols).collect()), key=repr)
 
 
 def _catalogs(spark):

@@ -18,7 +18,7 @@ def validate_run(source: DataFrame, target: DataFrame, threshold: float, levels:
         missing = [c for c in columns if c not in df.columns]
         if missing:
             raise ValueError(f"{name} catalog lacks columns {missing}")
-        vec = dict(df.dtypes).get("embedding", "")
+        vec = dict(df.dtypes).get("embedding", "array<" if "embedding" not in columns else "")
         if not vec.startswith("array<"):
             raise ValueError(f"{name} embedding must be an array column, got {vec!r}")
     if not -1.0 <= threshold <= 1.0:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.functions.diffs import diff_symmetric
+from vitrine.operators.match import TIE_DECIMALS
 
 DEFAULT_KEYS = ("title", "marketplace")
 DEFAULT_ORDER = ("pair_id", "side", "product_id")
@@ -49,13 +50,14 @@ def keep_cheapest_exact(
     similarity_col: str = "similarity",
     order=DEFAULT_ORDER,
 ) -> DataFrame:
-    """Like E1 but only rows whose similarity is exactly 1.0 collapse;
-    every other row survives.
+    """Like E1 but only rows whose similarity is 1.0 collapse; every other
+    row survives. Computed cosines are compared at ``TIE_DECIMALS`` decimals,
+    as the match compares them.
 
     Only the exact rows are shuffled; the others pass through a second
     branch, so ``df`` is read twice: give a scan or a materialised table
     (``session.cut_lineage``), not an expensive plan such as the match."""
-    exact = F.col(similarity_col) == 1.0
+    exact = F.round(similarity_col, TIE_DECIMALS) == 1.0
     collapsed = keep_cheapest(df.where(exact), keys, price_col, order)
     return collapsed.unionByName(df.where(~exact | F.col(similarity_col).isNull()))
 
@@ -69,7 +71,8 @@ def pair_difference(df: DataFrame, pair_col: str = "pair_id", price_col: str = "
     one null-keyed partition. That bypass is a second branch over ``df``:
     give a scan or a materialised table, not an expensive plan."""
     w = Window.partitionBy(pair_col)
-    lo, hi, n = F.min(price_col).over(w), F.max(price_col).over(w), F.count(F.lit(1)).over(w)
+    # a pair that lacks a price has no difference: count prices, not rows
+    lo, hi, n = F.min(price_col).over(w), F.max(price_col).over(w), F.count(price_col).over(w)
     paired = df.where(F.col(pair_col).isNotNull()).withColumn(
         out_col, F.when(n == 2, diff_symmetric(lo, hi))
     )

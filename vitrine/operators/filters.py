@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 from vitrine.functions.prices import clean_double
 from vitrine.sources.pages import listing_valid
 
+PLAIN_DECIMAL = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$"
+
 
 def keep_priced(df: DataFrame, price_col: str = "price") -> DataFrame:
-    """B2: price read as double (unparsable -> null, NaN -> null), rows
+    """B2: price read as double (unparsable -> null, NaN -> null; text that
+    is no plain decimal, such as ``12d`` or ``1e5``, is unparsable), rows
     without a price dropped."""
     c = F.col(price_col)
-    as_double = clean_double(c) if dict(df.dtypes)[price_col] != "string" else clean_double(c.try_cast("double"))
+    plain = F.when(F.trim(c.cast("string")).rlike(PLAIN_DECIMAL), c.try_cast("double"))
+    as_double = clean_double(c) if dict(df.dtypes)[price_col] != "string" else clean_double(plain)
     return df.withColumn(price_col, as_double).where(F.col(price_col).isNotNull())
 
 

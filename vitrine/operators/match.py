@@ -154,8 +154,11 @@ def block_pairs_above(sdf: pd.DataFrame, tdf: pd.DataFrame, threshold: float):
 
 
 def _vectors(df: DataFrame, id_col: str, vector_col: str, name: str) -> DataFrame:
+    """Rows with a usable vector: one that is null, empty, or holds a null,
+    NaN or infinite element counts as missing (a cosine is not defined)."""
+    bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
     return df.select(F.col(id_col).cast("long").alias(name), F.col(vector_col).alias("vec")).where(
-        F.col("vec").isNotNull()
+        F.col("vec").isNotNull() & (F.size("vec") > 0) & ~bad
     )
 
 

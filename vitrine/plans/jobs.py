@@ -17,7 +17,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitrine.functions import parse_price
 from vitrine.functions.encoder import encode_titles
+from vitrine.operators.checks import validate_run
 from vitrine.operators.match import best_match
 from vitrine.operators.metrics import report_statistics
 from vitrine.plans.reports import (
@@ -59,6 +61,15 @@ def _with_vectors(df: DataFrame, dim: int, encoder, name: str) -> DataFrame:
     return cut_lineage(encode_titles(df, "title", dim, encoder=encoder), name)
 
 
+#: Columns that a catalog brings itself; vectors are computed where there are none.
+CATALOG_COLUMNS = ("product_id", "title", "price", "url")
+
+
+def _numeric_price(df: DataFrame) -> DataFrame:
+    """Stored prices may be text (H3); numbers pass unchanged."""
+    return df.withColumn("price", parse_price("price", "first_token")) if dict(df.dtypes)["price"] == "string" else df
+
+
 def _save(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
@@ -74,9 +85,10 @@ def compare_catalogs(source: DataFrame, target: DataFrame, out_dir: str,
     summary (K7). Catalogs carry ``product_id, title, price, url`` and
     optionally ``embedding``. An empty result is a valid result: the
     tables are written with their columns and no rows."""
+    validate_run(source, target, threshold, columns=CATALOG_COLUMNS)
     base = out_dir.rstrip("/")
-    s = _with_vectors(source, dim, encoder, "vectors-source")
-    t = _with_vectors(target, dim, encoder, "vectors-target")
+    s = _with_vectors(_numeric_price(source), dim, encoder, "vectors-source")
+    t = _with_vectors(_numeric_price(target), dim, encoder, "vectors-target")
     best = cut_lineage(best_match(s, t), "best-match")
     analytical = _save(analytical_report(s, t, threshold, best=best, ordered=False), f"{base}/analytical")
     business = business_report(analytical, labels)
@@ -96,6 +108,7 @@ def benchmark_catalogs(source: DataFrame, target: DataFrame, out_dir: str, label
     result table, then the report step: the visible columns exported (A9,
     B13), the SQL view registered over the written table (A8, so queries
     on it never re-run the match) and the statistics (D2)."""
+    validate_run(source, target, DEFAULT_MATCH_THRESHOLD, levels, columns=CATALOG_COLUMNS)
     base = out_dir.rstrip("/")
     s = _with_vectors(source, dim, encoder, "vectors-source")
     t = _with_vectors(target, dim, encoder, "vectors-target")

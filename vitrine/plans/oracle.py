@@ -8,16 +8,17 @@ de-duplication by ``row_number``. Tables are the driver's views.
 from __future__ import annotations
 
 WS = r"[\s\x{000B}\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-ANCHOR = r'(?s)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
+ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>"""
 
 PRODUCTS = """
 products AS (
-  SELECT e.vec_id AS product_id, concat_ws(' ', p.p_name, p.p_brand) AS title,
+  SELECT coalesce(e.vec_id, p.p_partkey) AS product_id,
+         CASE WHEN p.p_partkey IS NOT NULL THEN concat_ws(' ', p.p_name, p.p_brand) END AS title,
          CASE WHEN isnan(p.p_retailprice) THEN NULL ELSE p.p_retailprice END AS price,
          '/p/' || CAST(p.p_partkey AS VARCHAR) AS url,
-         CASE WHEN e.vec_id % 2 = 0 THEN 'A' ELSE 'B' END AS marketplace,
+         CASE WHEN coalesce(e.vec_id, p.p_partkey) % 2 = 0 THEN 'A' ELSE 'B' END AS marketplace,
          p.p_type AS category, e.embedding, p.p_name AS name
-  FROM embeddings e JOIN part p ON p.p_partkey = e.vec_id),
+  FROM embeddings e FULL JOIN part p ON p.p_partkey = e.vec_id),
 src AS (SELECT * FROM products WHERE marketplace = 'A'),
 tgt AS (SELECT * FROM products WHERE marketplace = 'B')"""
 
@@ -224,7 +225,8 @@ FROM (
          t.title AS tt, t.price AS tp, t.url AS tu, coalesce(b.similarity >= 0.35, false) AS m
   FROM src s LEFT JOIN best b ON b.source_id = s.product_id LEFT JOIN tgt t ON t.product_id = b.target_id
   WHERE s.title IS NOT NULL)"""
-ORACLE["match_report"] = w(PRODUCTS, BEST) + _K3
+_TITLED = PRODUCTS.replace("marketplace = 'B')", "marketplace = 'B' AND title IS NOT NULL)")
+ORACLE["match_report"] = w(_TITLED, BEST) + _K3
 ORACLE["match_empty_target"] = w(PRODUCTS) + """
 SELECT product_id AS source_id, title, price, url, NULL::BIGINT AS target_id, NULL::VARCHAR AS target_title,
        NULL::DOUBLE AS target_price, NULL::VARCHAR AS target_url, 0.0::DOUBLE AS similarity, 'sim' AS exclusivity,
@@ -253,12 +255,13 @@ ORACLE["dedupe_exact_match"] = w(
     """
 best_all AS (SELECT * FROM sc_all
              QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY round(similarity, 12) DESC, target_id) = 1),
-r AS (SELECT p.product_id, p.name AS title, p.marketplace, p.price, round(b.similarity, 6) AS similarity
+r AS (SELECT p.product_id, p.name AS title, p.marketplace, p.price, round(b.similarity, 6) AS similarity,
+             round(b.similarity, 12) = 1.0 AS exact
       FROM products p JOIN best_all b ON b.source_id = p.product_id)""") + """
-SELECT * FROM (SELECT * FROM r WHERE similarity = 1.0
+SELECT * EXCLUDE (exact) FROM (SELECT * FROM r WHERE exact
                QUALIFY row_number() OVER (PARTITION BY title, marketplace ORDER BY price NULLS LAST, product_id) = 1)
 UNION ALL
-SELECT * FROM r WHERE similarity <> 1.0 OR similarity IS NULL"""
+SELECT * EXCLUDE (exact) FROM r WHERE NOT exact OR exact IS NULL"""
 ORACLE["pair_price_diff"] = BM_ALL + "SELECT pair_id, side, product_id, price, round(diff_pct, 6) AS diff_pct FROM pairs"
 
 _PARSE = "SELECT p_partkey, price_text, {expr} AS price FROM {src}"
@@ -418,21 +421,21 @@ FROM (SELECT category, unnest(generate_series(1, CAST(count(*) AS INTEGER))) AS
 ORACLE["first_empty_page"] = w(PAGE_KEYS) + f"""
 , st AS (
   SELECT page_id, category, page,
-         CAST(greatest(len(regexp_extract_all(html, '{ANCHOR}', 1)) - 4, 0) AS INTEGER) AS n_cards,
+         CAST(len(regexp_extract_all(html, '{ANCHOR}', 1)) AS INTEGER) AS n_cards,
          (html IS NULL OR html = '') AS failed
   FROM pk),
 cut AS (SELECT category, min(page) FILTER (WHERE n_cards = 0 OR failed) AS c FROM st GROUP BY category)
-SELECT st.page_id, st.category, st.page, st.n_cards FROM st JOIN cut USING (category)
-WHERE cut.c IS NULL OR st.page < cut.c"""
+SELECT st.page_id, st.category, st.page, st.n_cards FROM st JOIN cut ON cut.category IS NOT DISTINCT FROM st.category
+WHERE cut.c IS NULL OR st.page IS NULL OR st.page < cut.c"""
 ORACLE["gap_trend"] = """
 SELECT CAST(date_trunc('day', ts) AS DATE) AS period, event_type, round(avg(value), 6) AS avg_value, count(*) AS n
 FROM events GROUP BY 1, 2"""
 ORACLE["ingest_pages"] = w(PAGE_KEYS) + f"""
 , st AS (
-  SELECT page_id, category, page, greatest(len(regexp_extract_all(html, '{ANCHOR}', 1)) - 4, 0) AS n_cards FROM pk),
+  SELECT page_id, category, page, len(regexp_extract_all(html, '{ANCHOR}', 1)) AS n_cards FROM pk),
 cut AS (SELECT category, min(page) FILTER (WHERE n_cards = 0) AS c FROM st GROUP BY category),
-kept AS (SELECT pk.* FROM pk JOIN st USING (page_id) JOIN cut ON cut.category = pk.category
-         WHERE cut.c IS NULL OR pk.page < cut.c),
+kept AS (SELECT pk.* FROM pk JOIN st USING (page_id) JOIN cut ON cut.category IS NOT DISTINCT FROM pk.category
+         WHERE cut.c IS NULL OR pk.page IS NULL OR pk.page < cut.c),
 l AS (
   SELECT page_id, category, CAST(unnest(generate_series(1, len(h))) AS INTEGER) AS pos, unnest(h) AS href,
          unnest(i) AS inner_html
@@ -440,4 +443,4 @@ l AS (
                regexp_extract_all(html, '{ANCHOR}', 2) AS i FROM kept))
 SELECT page_id, pos, {tag_text('inner_html')} AS title,
        CASE WHEN starts_with(href, '/') THEN 'https://a.example' || href ELSE href END AS url, category
-FROM l WHERE pos >= 5"""
+FROM l"""

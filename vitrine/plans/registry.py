@@ -45,7 +45,6 @@ from vitrine.schema import Labels, Levels
 LABELS = Labels("A", "B", "https://a.example", "https://b.example")
 THRESHOLD = 0.35
 LEVELS = Levels(very=0.45, moderate=0.35)
-CARD_MIN_POS = 5
 CATEGORY_TEMPLATE = "https://shop.example/{category}/?page={{}}"
 
 
@@ -76,6 +75,7 @@ def _analytical(spark, sf, ordered=False):
 
 def _pairs_and_exclusives(spark, sf):
     s, t, best = _best(spark, sf)
+    t = R.prepare_catalog(t, LABELS.target)  # B8: a target without a vector takes no part
     best = cut_lineage(best)  # used by both the pairs and the exclusives
     return pair_rows(s, t, best, LABELS).unionByName(unmatched_targets(t, best, LABELS))
 
@@ -145,7 +145,7 @@ def page_stats(spark, sf) -> DataFrame:
     n_links = F.size(F.regexp_extract_all(F.col("html"), F.lit(P.ANCHOR), 1))
     return pg.select(
         "page_id", "category", "page",
-        F.greatest(n_links - (CARD_MIN_POS - 1), F.lit(0)).alias("n_cards"),
+        n_links.alias("n_cards"),
         (F.col("html").isNull() | (F.col("html") == "")).alias("failed"),
     )
 
@@ -193,7 +193,7 @@ def q_pairs_unconditional(spark, sf):
 
 def q_exclusives_target(spark, sf):
     s, t, best = _best(spark, sf)
-    return unmatched_targets(t, best, LABELS)
+    return unmatched_targets(R.prepare_catalog(t, LABELS.target), best, LABELS)
 
 
 def q_exclusives_source(spark, sf):
@@ -225,9 +225,9 @@ def q_dedupe_exact_match(spark, sf):
     # pass through): materialise the match so it runs once
     best = cut_lineage(best_match(cat, t), "best-match")
     rows = cat.join(best, cat.product_id == best.source_id).select(
-        "product_id", F.col("name").alias("title"), "marketplace", "price", r6("similarity").alias("similarity")
+        "product_id", F.col("name").alias("title"), "marketplace", "price", "similarity"
     )
-    return keep_cheapest_exact(rows, order=("product_id",))
+    return _rounded(keep_cheapest_exact(rows, order=("product_id",)))
 
 
 def q_pair_price_diff(spark, sf):
@@ -468,8 +468,7 @@ def q_gap_trend(spark, sf):
 
 def q_ingest_pages(spark, sf):
     pg = _page_keys(read_table(spark, sf, "pages"))
-    out = P.ingest_pages(pg, _scratch(spark, "bronze"), "category", domain=LABELS.source_base_url,
-                         min_pos=CARD_MIN_POS)
+    out = P.ingest_pages(pg, _scratch(spark, "bronze"), "category", domain=LABELS.source_base_url)
     return out.select("page_id", "pos", "title", "url", "category")
 
 

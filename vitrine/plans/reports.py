@@ -74,11 +74,11 @@ def business_report(analytical: DataFrame, labels: Labels = Labels()) -> DataFra
 def match_report(source: DataFrame, target: DataFrame, threshold: float = DEFAULT_MATCH_THRESHOLD,
                  labels: Labels = Labels(), best: DataFrame | None = None, ordered: bool = True,
                  **match_opts) -> DataFrame:
-    """K3: source rows (title required) with the matched target, the
+    """K3: source rows (a title is required on both sides) with the matched target, the
     zero-filled diff (H9), the flag and the marketplace from match presence
     (H16); empty target -> all exclusive with similarity 0 and diff 0 (C7).
     By title, then price with nulls last (S2)."""
-    source = source.where(F.col("title").isNotNull())
+    source, target = (d.where(F.col("title").isNotNull()) for d in (source, target))
     best = best if best is not None else best_match(source, target, **match_opts)
     m = attach_match(source, target, best, threshold)
     out = m.select(

@@ -13,7 +13,7 @@ from vitrine.functions.html import tag_text
 from vitrine.functions.urls import url_relative
 
 # The anchor pattern that delimits a card's link and text.
-ANCHOR = r'(?s)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
+ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
 TITLE = r"(?s)<title>(.*?)</title>"
 
 
@@ -55,7 +55,9 @@ def listing_valid(title, price, link, mode: str = "strict"):
 def crawl_plan(categories: DataFrame, template_col: str = "template", pages_col: str = "max_pages") -> DataFrame:
     """One row per (category, page) with the page URL (``{}`` in the
     template is the page number)."""
-    return categories.withColumn("page", F.explode(F.sequence(F.lit(1), F.col(pages_col)))).withColumn(
+    # sequence(1, 0) would count down: a category without pages has no row
+    some = categories.where(F.col(pages_col) >= 1)
+    return some.withColumn("page", F.explode(F.sequence(F.lit(1), F.col(pages_col)))).withColumn(
         "page_url", F.replace(F.col(template_col), F.lit("{}"), F.col("page").cast("string"))
     )
 
@@ -65,25 +67,25 @@ def crawl_cut(page_stats: DataFrame, category_col: str = "category", page_col: s
     """A category stops at its first page without cards (or
     its first failed page); pages from there on are dropped. The cut is a
     per-category aggregate joined back (never a window over a category,
-    which would put a large category into one task)."""
+    which would put a large category into one task). Pages without a category
+    are a category of their own; pages without a number have no place in the order and stay."""
     stop = F.col(cards_col) == 0
     if failed_col:
         stop = stop | F.col(failed_col)
-    cuts = page_stats.groupBy(category_col).agg(F.min(F.when(stop, F.col(page_col))).alias("_cut"))
-    joined = page_stats.join(cuts, category_col)
-    return joined.where(F.col("_cut").isNull() | (F.col(page_col) < F.col("_cut"))).drop("_cut")
+    cuts = page_stats.groupBy(F.col(category_col).alias("_of")).agg(F.min(F.when(stop, F.col(page_col))).alias("_cut"))
+    joined = page_stats.join(cuts, F.col(category_col).eqNullSafe(F.col("_of")))
+    kept = F.col("_cut").isNull() | F.col(page_col).isNull() | (F.col(page_col) < F.col("_cut"))
+    return joined.where(kept).drop("_cut", "_of")
 
 
-def cards_from_pages(pages: DataFrame, category_col: str, domain: str | None = None,
-                     min_pos: int = 1) -> DataFrame:
-    """Cards (links at position >= ``min_pos``) with an absolute URL (H5)."""
+def cards_from_pages(pages: DataFrame, category_col: str, domain: str | None = None) -> DataFrame:
+    """Cards (links) with an absolute URL (H5)."""
     links = extract_links(pages, keep=("page_id", category_col, "page"))
-    cards = links.where(F.col("pos") >= min_pos)
-    return cards.withColumn("url", url_relative("href", domain))
+    return links.withColumn("url", url_relative("href", domain))
 
 
 def ingest_pages(pages: DataFrame, path: str, category_col: str = "category", domain: str | None = None,
-                 min_pos: int = 1, price_col: str | None = None, stop_on_empty: bool = True) -> DataFrame:
+                 price_col: str | None = None, stop_on_empty: bool = True) -> DataFrame:
     """K6: stored pages -> cards -> (first empty page cut) -> prices ->
     per-category sink -> one table again.
 
@@ -104,14 +106,14 @@ def ingest_pages(pages: DataFrame, path: str, category_col: str = "category", do
     parsed = pages.select(
         "page_id", category_col, "page", F.arrays_zip(hrefs.alias("href"), inner.alias("inner")).alias("z")
     )
-    parsed = cut_lineage(parsed.withColumn("n_cards", F.greatest(F.size("z") - (min_pos - 1), F.lit(0))), "pages")
+    parsed = cut_lineage(parsed.withColumn("n_cards", F.greatest(F.size("z"), F.lit(0))), "pages")
     if stop_on_empty:
         parsed = crawl_cut(parsed, category_col=category_col)
     cards = parsed.select("page_id", category_col, F.posexplode("z").alias("pos0", "c")).select(
         "page_id", category_col, (F.col("pos0") + 1).alias("pos"), F.col("c.href").alias("href"),
         tag_text(F.col("c.inner")).alias("title"),
     )
-    cards = cards.where(F.col("pos") >= min_pos).withColumn("url", url_relative("href", domain))
+    cards = cards.withColumn("url", url_relative("href", domain))
     if price_col:
         cards = cards.withColumn("price", price_nullable(price_col)).where(F.col("price").isNotNull())
     save_by_category(cards, path, category_col)

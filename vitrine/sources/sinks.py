@@ -34,6 +34,10 @@ def register_view(df: DataFrame, name: str) -> str:
     return name
 
 
+#: CSV dialect of exported reports.
+CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def export_report(df: DataFrame, path: str, hidden=None, fmt: str = "csv") -> str:
     """A9 (+B13): write the visible columns only (hidden defaults to
     similarity, level and diff); returns the path."""
@@ -41,7 +45,8 @@ def export_report(df: DataFrame, path: str, hidden=None, fmt: str = "csv") -> st
     visible = [c for c in df.columns if c not in set(hidden)]
     w = df.select(*visible).write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        # quotes are doubled and blanks kept, as spreadsheet readers expect
+        w.option("header", True).options(**CSV).csv(path)
     else:
         w.format(fmt).save(path)
     return path
@@ -53,7 +58,8 @@ def read_report(spark: SparkSession, path: str, schema: T.StructType = VISIBLE_R
     exported, visible ones by default), rows whose every field is empty
     dropped."""
     if fmt == "csv":
-        df = spark.read.option("header", True).schema(schema).csv(path)
+        # a title may hold line breaks: a file is then read by one task (use fmt="parquet" for large reports)
+        df = spark.read.option("header", True).options(**CSV, multiLine=True, mode="FAILFAST").schema(schema).csv(path)
     else:
         df = spark.read.format(fmt).load(path)
     return drop_empty_rows(df)

@@ -27,21 +27,23 @@ def register_views(spark: SparkSession, sf_dir: str, names=TEST_TABLES) -> None:
 
 
 def products(spark: SparkSession, sf_dir: str, labels: Labels = Labels("A", "B")) -> DataFrame:
-    """Products view over the driver tables: one product per embedded part.
+    """Products view over the driver tables: one product per part or vector.
 
-    ``embeddings JOIN part ON vec_id = p_partkey``; even ids form the source
-    catalog, odd ids the target catalog. ``name`` is the bare part name (a
-    title shared by many listings, for de-duplication).
+    ``embeddings FULL JOIN part ON vec_id = p_partkey``: a part without a
+    vector keeps a null vector, a vector without a part a null title, price
+    and url. Even ids form the source catalog, odd ids the target catalog.
+    ``name`` is the bare part name (a title shared by many listings, for
+    de-duplication).
     """
     e = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
-    j = e.join(p, e.vec_id == p.p_partkey)
+    j = e.join(p, e.vec_id == p.p_partkey, "full").withColumn("product_id", F.coalesce("vec_id", "p_partkey"))
     return j.select(
-        F.col("vec_id").alias("product_id"),
-        F.concat_ws(" ", "p_name", "p_brand").alias("title"),
+        "product_id",
+        F.when(F.col("p_partkey").isNotNull(), F.concat_ws(" ", "p_name", "p_brand")).alias("title"),
         clean_double("p_retailprice").alias("price"),
         F.concat(F.lit("/p/"), F.col("p_partkey").cast("string")).alias("url"),
-        F.when(F.col("vec_id") % 2 == 0, F.lit(labels.source)).otherwise(F.lit(labels.target)).alias("marketplace"),
+        F.when(F.col("product_id") % 2 == 0, F.lit(labels.source)).otherwise(F.lit(labels.target)).alias("marketplace"),
         F.col("p_type").alias("category"),
         F.col("embedding"),
         F.col("p_name").alias("name"),
