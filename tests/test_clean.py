@@ -12,6 +12,7 @@ from vitrine.plans.reports import final_cleanup, prepare_catalog
 TM = "title string, marketplace string, price long"
 TMS = TM + ", similarity double"
 FULL = "title string, marketplace string, price long, exclusivity string, similarity double"
+CAT = "product_id long, title string, price double, url string"
 
 
 def _df(spark, rows, schema):
@@ -198,3 +199,44 @@ def test_unpaired_rows_bypass_the_pair_window(spark):
     # other branch of the union
     final = _plan(diffs).split("== Initial Plan ==")[0]
     assert final.count("Window [") == 1 and "Union" in final
+
+
+def test_pairs_stay_whole_when_a_member_is_dropped(spark):
+    from vitrine.operators import metrics as M
+    from vitrine.operators.match import matched_pairs, pair_rows
+
+    a = spark.createDataFrame([(0, "TV", 100.0, "/a"), (2, "TV", 90.0, "/b"), (4, None, None, None)], CAT)
+    b = spark.createDataFrame([(1, "TV LG", 80.0, "/c"), (3, "TV LG", None, "/d")], CAT)
+    best = spark.createDataFrame([(0, 1, 0.9), (2, 1, 0.8), (4, 3, 0.7)], "source_id long, target_id long, similarity double")
+    view = {r.pair_id: r for r in M.pair_view(matched_pairs(a, b, best)).collect()}
+    assert set(view) == {0, 2, 4} and (view[2].source_price, view[2].target_price) == (90.0, 80.0)
+    assert view[4].target_title == "TV LG" and view[4].advantage is None
+    kept = {r.product_id: r for r in keep_cheapest(pair_rows(a, b, best)).collect()}
+    # product 0 is gone as the dearer "TV"; the target of its pair still knows its price
+    assert set(kept) == {1, 2, 4} and kept[1].partner_price == 100.0 and kept[2].partner_price == 80.0
+
+
+def test_cheapest_keeps_maps_and_hidden_columns(spark):
+    rows = [("t", "m", 2.0, {"k": 1}, 7), ("t", "m", 1.0, {"k": 2}, 8), (None, "m", None, None, None)]
+    df = spark.createDataFrame(rows, "title string, marketplace string, price double, extra map<string,int>, _tag int")
+    got = {r.title: (r.price, r.extra, r._tag) for r in keep_cheapest(df).collect()}
+    assert got == {"t": (1.0, {"k": 2}, 8), None: (None, None, None)}
+    got = {r["title"]: (r["price"], r["_tag"]) for r in keep_cheapest(df.drop("extra")).collect()}
+    assert got == {"t": (1.0, 8), None: (None, None)}
+
+
+def test_kpi_row_takes_the_report_into_one_aggregate(spark):
+    from vitrine.operators import metrics as M
+    from vitrine.schema import Labels
+
+    lab = Labels()
+    bench = spark.createDataFrame(
+        [(lab.source, "não", 10.0, 8.0, "muito similar", 20.0), (lab.target, "não", 8.0, 10.0, "muito similar", 20.0),
+         (lab.target, "sim", 5.0, None, "exclusivo", None)],
+        "marketplace string, exclusivity string, price double, partner_price double, similarity_level string, diff_pct double")
+    report = spark.createDataFrame([(True, 0.0), (False, 0.9), (False, 0.5), (False, 0.95)], "is_exclusive boolean, similarity double")
+    k = M.kpi_row(bench, lab, analytical=report, very=0.85).first()
+    assert (k.total_products, k.paired_rows, k.exclusive_rows, k.very_similar, k.favourable_gap) == (3, 2, 1, 2, 20.0)
+    assert (k.coverage, k.quality, k.opportunities, k.target_cheaper) == (0.75, 0.5, 1, 1)
+    empty = M.kpi_row(bench.limit(0), lab, analytical=report.limit(0)).first()
+    assert (empty.total_products, empty.coverage, empty.opportunities) == (0, 0.0, 0)

@@ -368,31 +368,48 @@ def attach_match(
     return joined.select(*out)
 
 
+def matched_pairs(source: DataFrame, target: DataFrame, best: DataFrame, labels: Labels = Labels(),
+                  absolute_urls: bool = True) -> DataFrame:
+    """C4 and C8 as one row per pair, both members side by side, no
+    threshold: ``pair_id`` (= source id), ``target_id``, title, price and url
+    of each side, ``similarity`` and the symmetric difference (H8).
+
+    De-duplication may later drop either member's row; what describes pairs
+    (D11, D18-D20, S5, S6, K9) reads this table and sees all of them."""
+    cols = ("product_id", "title", "price", "url")
+    s, t = _prefixed(source, "source", cols), _prefixed(target, "target", cols)
+    p = best.join(s, best.source_id == s.source_product_id).join(t, best.target_id == t.target_product_id)
+    s_url = url_absolute("source_url", labels.source_base_url) if absolute_urls else F.col("source_url")
+    t_url = url_absolute("target_url", labels.target_base_url) if absolute_urls else F.col("target_url")
+    return p.select(
+        F.col("source_id").alias("pair_id"), "target_id", "source_title", "target_title", "source_price", "target_price",
+        s_url.alias("source_url"), t_url.alias("target_url"), "similarity",
+        diff_symmetric("source_price", "target_price").alias("diff_pct"),
+    )
+
+
 def pair_rows(source: DataFrame, target: DataFrame, best: DataFrame, labels: Labels = Labels(),
               absolute_urls: bool = True) -> DataFrame:
     """C4: every source row paired with its best target, no threshold; two
     output rows per pair (source side first) sharing ``pair_id`` (= source
-    id). ``diff_pct`` is the symmetric difference (H8) of the intact pair.
+    id). ``diff_pct`` is the symmetric difference (H8) of the intact pair and
+    ``partner_price`` the other member's price (C8), so both outlive the
+    removal of that member's row.
     """
-    s = _prefixed(source, "s", ("product_id", "title", "price", "url"))
-    t = _prefixed(target, "t", ("product_id", "title", "price", "url"))
-    p = best.join(s, best.source_id == s.s_product_id).join(t, best.target_id == t.t_product_id)
-    s_url = url_absolute("s_url", labels.source_base_url) if absolute_urls else F.col("s_url")
-    t_url = url_absolute("t_url", labels.target_base_url) if absolute_urls else F.col("t_url")
-    diff = diff_symmetric("s_price", "t_price")
-    side = lambda k, pid, title, mk, price, url: F.struct(
-        F.lit(k).alias("side"), pid.alias("product_id"), title.alias("title"), F.lit(mk).alias("marketplace"),
-        price.alias("price"), url.alias("url"),
-    )
-    both = F.array(
-        side(0, F.col("s_product_id"), F.col("s_title"), labels.source, F.col("s_price"), s_url),
-        side(1, F.col("t_product_id"), F.col("t_title"), labels.target, F.col("t_price"), t_url),
-    )
-    return p.select(
-        F.col("source_id").alias("pair_id"), F.col("similarity"), diff.alias("diff_pct"), F.explode(both).alias("r")
+    def side(k, pid, own, mk, other):
+        return F.struct(
+            F.lit(k).alias("side"), F.col(pid).alias("product_id"), F.col(f"{own}_title").alias("title"),
+            F.lit(mk).alias("marketplace"), F.col(f"{own}_price").alias("price"), F.col(f"{own}_url").alias("url"),
+            F.col(f"{other}_price").alias("partner_price"),
+        )
+
+    both = F.array(side(0, "pair_id", "source", labels.source, "target"),
+                   side(1, "target_id", "target", labels.target, "source"))
+    return matched_pairs(source, target, best, labels, absolute_urls).select(
+        "pair_id", "similarity", "diff_pct", F.explode(both).alias("r")
     ).select(
         "pair_id", "r.side", "r.product_id", "r.title", "r.marketplace", "r.price", "r.url",
-        F.lit(NO).alias("exclusivity"), "similarity", "diff_pct",
+        F.lit(NO).alias("exclusivity"), "similarity", "diff_pct", "r.partner_price",
     )
 
 
@@ -410,6 +427,7 @@ def unmatched_targets(target: DataFrame, best: DataFrame, labels: Labels = Label
         F.lit(None).cast("long").alias("pair_id"), F.lit(2).alias("side"), "product_id", "title",
         F.lit(labels.target).alias("marketplace"), "price", url.alias("url"), F.lit(YES).alias("exclusivity"),
         F.lit(EXCLUSIVE_SIMILARITY).alias("similarity"), F.lit(None).cast("double").alias("diff_pct"),
+        F.lit(None).cast("double").alias("partner_price"),
     )
 
 

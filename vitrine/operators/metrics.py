@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.functions.labels import advantage, normalise_flag
+from vitrine.functions.labels import advantage, normalise_flag, similarity_level
 from vitrine.schema import LEVEL_EXCLUSIVE, LEVEL_LOW, LEVEL_MODERATE, LEVEL_VERY, NO, YES, Labels, Levels
 
 
@@ -63,14 +63,24 @@ def with_partner_price(bench: DataFrame, labels: Labels = Labels(), pair_col: st
     return bench.withColumn("partner_price", F.when(F.col(pair_col).isNotNull(), partner))
 
 
-def kpi_row(bench: DataFrame, labels: Labels = Labels(), pair_col: str = "pair_id") -> DataFrame:
+def kpi_row(bench: DataFrame, labels: Labels = Labels(), pair_col: str = "pair_id",
+            analytical: DataFrame | None = None, very: float = Levels().very) -> DataFrame:
     """K8: the dashboard KPIs in one aggregate over the benchmark table.
 
     D4 totals, D5 exclusives per marketplace, D6 pairs (= paired rows / 2),
     D7 mean price per marketplace, D8 mean diff over paired rows, D9
     cheaper-side counts and shares and their difference, D10 relative gap of
-    the mean prices."""
-    b = with_partner_price(bench, labels, pair_col)
+    the mean prices, D2 rows per level, D20 mean diff where the target is
+    cheaper. With the analytical report (K1) also D14 coverage, D15 quality
+    and D16 opportunities: its rows join the same aggregate by a union.
+
+    The partner's price is the one that ``pair_rows`` carries; a table
+    without it is looked up in itself (C8)."""
+    b = bench if "partner_price" in bench.columns else with_partner_price(bench, labels, pair_col)
+    need = ["marketplace", "exclusivity", "price", "partner_price", "similarity_level", "diff_pct"]
+    b = b.select(*need, F.lit(True).alias("_row"))
+    if analytical is not None:
+        b = b.unionByName(analytical.select("is_exclusive", F.col("similarity").alias("_score")), allowMissingColumns=True)
     mk, ex = F.col("marketplace"), normalise_flag("exclusivity")
     paired = ex == NO
     tgt_paired = (mk == labels.target) & paired
@@ -80,7 +90,7 @@ def kpi_row(bench: DataFrame, labels: Labels = Labels(), pair_col: str = "pair_i
     avg_src = F.avg(F.when(mk == labels.source, F.col("price")))
     avg_tgt = F.avg(F.when(mk == labels.target, F.col("price")))
     out = b.agg(
-        F.count(F.lit(1)).alias("total_products"),
+        _count_if(F.col("_row")).alias("total_products"),
         _count_if(mk == labels.target).alias("total_target"),
         _count_if(mk == labels.source).alias("total_source"),
         _count_if((mk == labels.target) & (ex == YES)).alias("exclusive_target"),
@@ -94,6 +104,13 @@ def kpi_row(bench: DataFrame, labels: Labels = Labels(), pair_col: str = "pair_i
         _share(tgt_cheaper, pairs).alias("share_target_cheaper"),
         _share(src_cheaper, pairs).alias("share_source_cheaper"),
         F.coalesce(F.try_divide(avg_src - avg_tgt, avg_tgt), F.lit(0.0)).alias("avg_price_gap"),
+        _count_if(paired).alias("paired_rows"),
+        _count_if(ex == YES).alias("exclusive_rows"),
+        _count_if(F.col("similarity_level") == LEVEL_VERY).alias("very_similar"),
+        _count_if(F.col("similarity_level") == LEVEL_MODERATE).alias("moderately_similar"),
+        _count_if(F.col("similarity_level") == LEVEL_LOW).alias("little_similar"),
+        F.avg(F.when(tgt_paired & (F.col("price") < F.col("partner_price")), F.col("diff_pct"))).alias("favourable_gap"),
+        *(_quality(very) if analytical is not None else []),
     )
     return out.withColumn("target_advantage", F.col("share_target_cheaper") - F.col("share_source_cheaper"))
 
@@ -103,22 +120,29 @@ def price_by_marketplace(bench: DataFrame) -> DataFrame:
     return bench.groupBy("marketplace").agg(F.avg("price").alias("avg_price"), F.count(F.lit(1)).alias("n"))
 
 
+def _quality(very: float, score: str = "_score") -> list:
+    """D14, D15, D16 as aggregates; rows without a flag are not rows of the report."""
+    excl = F.col("is_exclusive")
+    high = F.when(excl.isNotNull(), F.coalesce(F.col(score) > very, F.lit(False)).cast("double"))
+    return [
+        F.coalesce(F.avg((~excl).cast("double")), F.lit(0.0)).alias("coverage"),
+        F.coalesce(F.avg(high), F.lit(0.0)).alias("quality"),
+        _count_if(excl).alias("opportunities"),
+    ]
+
+
 def match_quality(analytical: DataFrame, very: float = Levels().very) -> DataFrame:
     """D14 coverage (share of source products with an equivalent), D15
     quality (share with similarity > very), D16 opportunities (source
     products without an equivalent)."""
-    excl = F.col("is_exclusive")
-    return analytical.agg(
-        F.coalesce(F.avg((~excl).cast("double")), F.lit(0.0)).alias("coverage"),
-        F.coalesce(F.avg((F.col("similarity") > very).cast("double")), F.lit(0.0)).alias("quality"),
-        _count_if(excl).alias("opportunities"),
-    )
+    return analytical.agg(*_quality(very, "similarity"))
 
 
 def pair_table(bench: DataFrame, labels: Labels = Labels(), key: str = "pair_id") -> DataFrame:
-    """Paired rows pivoted to one row per pair key: price, url, score
-    and level of each side (first by row position). A missing side gives
-    nulls. Then H14 the advantage label (K9)."""
+    """D11 for a stored table of paired rows: pivoted to one row per pair key:
+    price, url, score and level of each side (first by row position). A
+    side that is not in the table gives nulls (``pair_view`` has none). Then
+    H14 the advantage label (K9)."""
     paired = bench.where(normalise_flag("exclusivity") == NO)
     mk = F.col("marketplace")
     rank = F.struct(F.col("side"), F.col("product_id")) if "side" in bench.columns else F.col("product_id")
@@ -138,6 +162,14 @@ def pair_table(bench: DataFrame, labels: Labels = Labels(), key: str = "pair_id"
     return t.withColumn("advantage", advantage("source_price", "target_price", labels))
 
 
+def pair_view(pairs: DataFrame, labels: Labels = Labels(), levels: Levels = Levels()) -> DataFrame:
+    """D11 without a pivot: ``match.matched_pairs`` with the level (H11) and
+    the advantage label (H14). One row per pair, whatever de-duplication
+    does to the members' rows."""
+    return pairs.withColumn("similarity_level", similarity_level("similarity", levels)).withColumn(
+        "advantage", advantage("source_price", "target_price", labels))
+
+
 def advantage_split(pairs: DataFrame) -> DataFrame:
     """Number of pairs per advantage label."""
     return pairs.groupBy("advantage").agg(F.count(F.lit(1)).alias("n_pairs"))

@@ -113,7 +113,7 @@ def benchmark_catalogs(source: DataFrame, target: DataFrame, out_dir: str, label
     s = _with_vectors(source, dim, encoder, "vectors-source")
     t = _with_vectors(target, dim, encoder, "vectors-target")
     bench = _save(benchmark_table(s, t, labels, levels, ordered=False), f"{base}/benchmark")
-    visible, hidden = report_columns(bench.drop("pair_id", "product_id"))
+    visible, hidden = report_columns(bench.drop("pair_id", "product_id", "partner_price"))
     export = export_report(bench.select(*visible, *hidden), f"{base}/benchmark_csv", hidden=hidden)
     name = register_view(bench, view)
     return BenchmarkRun(bench, report_statistics(bench, labels), name, f"{base}/benchmark", export)

@@ -66,16 +66,16 @@ PAIRS = f"""
 pairs AS (
   SELECT b.source_id AS pair_id, 0 AS side, s.product_id, s.title, 'A' AS marketplace, s.price,
          {absolute('s.url', 'https://a.example')} AS url, 'não' AS exclusivity, b.similarity,
-         {h8('s.price', 't.price')} AS diff_pct
+         {h8('s.price', 't.price')} AS diff_pct, t.price AS partner_price
   FROM best b JOIN src s ON s.product_id = b.source_id JOIN tgt t ON t.product_id = b.target_id
   UNION ALL
   SELECT b.source_id, 1, t.product_id, t.title, 'B', t.price,
-         {absolute('t.url', 'https://b.example')}, 'não', b.similarity, {h8('s.price', 't.price')}
+         {absolute('t.url', 'https://b.example')}, 'não', b.similarity, {h8('s.price', 't.price')}, s.price
   FROM best b JOIN src s ON s.product_id = b.source_id JOIN tgt t ON t.product_id = b.target_id),
 excl AS (
   SELECT NULL::BIGINT AS pair_id, 2 AS side, t.product_id, t.title, 'B' AS marketplace, t.price,
          {absolute('t.url', 'https://b.example')} AS url, 'sim' AS exclusivity, -1.0::DOUBLE AS similarity,
-         NULL::DOUBLE AS diff_pct
+         NULL::DOUBLE AS diff_pct, NULL::DOUBLE AS partner_price
   FROM tgt t WHERE t.embedding IS NOT NULL
     AND NOT EXISTS (SELECT 1 FROM best b WHERE b.target_id = t.product_id)),
 allrows AS (SELECT * FROM pairs UNION ALL SELECT * FROM excl),
@@ -83,7 +83,7 @@ kept AS (SELECT * FROM allrows
          QUALIFY row_number() OVER (PARTITION BY title, marketplace
                                     ORDER BY price NULLS LAST, pair_id NULLS LAST, side, product_id) = 1),
 bm AS (SELECT title, marketplace, price, url, exclusivity, similarity, {level('similarity')} AS similarity_level,
-              diff_pct, pair_id, product_id FROM kept)"""
+              diff_pct, pair_id, product_id, partner_price FROM kept)"""
 
 K1 = """
 k1 AS (
@@ -112,15 +112,11 @@ k2 AS (
 
 PAIR_TABLE = f"""
 pt0 AS (
-  SELECT pair_id,
-    arg_min(price, product_id) FILTER (WHERE marketplace = 'B') AS target_price,
-    arg_min(price, product_id) FILTER (WHERE marketplace = 'A') AS source_price,
-    arg_min(url, product_id) FILTER (WHERE marketplace = 'B') AS target_url,
-    arg_min(url, product_id) FILTER (WHERE marketplace = 'A') AS source_url,
-    arg_min(similarity, product_id) FILTER (WHERE marketplace = 'B') AS similarity,
-    arg_min(similarity_level, product_id) FILTER (WHERE marketplace = 'B') AS similarity_level,
-    arg_min(diff_pct, product_id) FILTER (WHERE marketplace = 'B') AS diff_pct
-  FROM bm WHERE exclusivity = 'não' GROUP BY pair_id),
+  SELECT b.source_id AS pair_id, b.target_id, s.title AS source_title, t.title AS target_title,
+         s.price AS source_price, t.price AS target_price, {absolute('s.url', 'https://a.example')} AS source_url,
+         {absolute('t.url', 'https://b.example')} AS target_url, b.similarity, {h8('s.price', 't.price')} AS diff_pct,
+         {level('b.similarity')} AS similarity_level
+  FROM best b JOIN src s ON s.product_id = b.source_id JOIN tgt t ON t.product_id = b.target_id),
 pt AS (
   SELECT *, CASE WHEN source_price IS NULL OR target_price IS NULL THEN NULL
                  WHEN target_price < source_price THEN 'B Mais Barata'
@@ -234,17 +230,17 @@ SELECT product_id AS source_id, title, price, url, NULL::BIGINT AS target_id, NU
 FROM src WHERE title IS NOT NULL"""
 ORACLE["pairs_unconditional"] = BM_ALL + (
     "SELECT pair_id, side, product_id, title, marketplace, price, url, exclusivity, round(similarity, 6) AS similarity, "
-    "round(diff_pct, 6) AS diff_pct FROM pairs")
+    "round(diff_pct, 6) AS diff_pct, partner_price FROM pairs")
 ORACLE["exclusives_target"] = BM_ALL + "SELECT * FROM excl"
 ORACLE["exclusives_source"] = w(PRODUCTS, BEST, K1) + (
     "SELECT source_id, source_title, target_id, target_title, round(similarity, 6) AS similarity, source_price, "
     "target_price, round(diff_pct, 6) AS diff_pct, source_url, is_exclusive FROM k1 WHERE is_exclusive")
 ORACLE["benchmark_table"] = BM_ALL + (
     "SELECT title, marketplace, price, url, exclusivity, round(similarity, 6) AS similarity, similarity_level, "
-    "round(diff_pct, 6) AS diff_pct, pair_id, product_id FROM bm")
+    "round(diff_pct, 6) AS diff_pct, pair_id, product_id, partner_price FROM bm")
 ORACLE["final_cleanup"] = BM_ALL + (
     f"SELECT pair_id, side, product_id, title, marketplace, price, url, exclusivity, round(similarity, 6) AS similarity, "
-    f"round(diff_pct, 6) AS diff_pct, {level('similarity')} AS similarity_level FROM kept")
+    f"round(diff_pct, 6) AS diff_pct, partner_price, {level('similarity')} AS similarity_level FROM kept")
 ORACLE["dedupe_cheapest"] = """
 SELECT * FROM (
   SELECT p_partkey AS product_id, p_name AS title, CASE WHEN p_partkey % 2 = 0 THEN 'A' ELSE 'B' END AS marketplace,
@@ -297,12 +293,10 @@ WITH t AS (
   UNION ALL
   SELECT 'events', event_id, 0::BIGINT, value FROM events)
 SELECT kind, id, line, price, {band('price')} AS price_band FROM t"""
-ORACLE["pair_analysis"] = w(PRODUCTS, BEST, PAIRS, PAIR_TABLE) + (
-    f"SELECT pair_id, target_price, source_price, target_url, source_url, round(similarity, 6) AS similarity, "
-    f"similarity_level, round(diff_pct, 6) AS diff_pct, advantage, {band('target_price')} AS price_band FROM pt")
-ORACLE["cheaper_side"] = BM_ALL + """
-SELECT b.product_id, b.pair_id, b.marketplace, b.price, p.price AS partner_price
-FROM bm b LEFT JOIN bm p ON b.pair_id IS NOT NULL AND p.pair_id = b.pair_id AND p.marketplace <> b.marketplace"""
+ORACLE["pair_analysis"] = w(PRODUCTS, BEST, PAIRS, PAIR_TABLE) + f"""
+SELECT * REPLACE (round(similarity, 6) AS similarity, round(diff_pct, 6) AS diff_pct),
+       {_CAT.replace('title', 'target_title')} AS category, {band('target_price')} AS price_band FROM pt"""
+ORACLE["cheaper_side"] = BM_ALL + """SELECT product_id, pair_id, marketplace, price, partner_price FROM bm"""
 ORACLE["report_statistics"] = BM_ALL + """
 SELECT count(*) AS total_products,
        count(*) FILTER (WHERE marketplace = 'A') AS source_products,
@@ -316,8 +310,6 @@ SELECT count(*) AS total_products,
 FROM bm"""
 
 _KPI = """
-kp AS (SELECT b.*, p.price AS partner_price
-       FROM bm b LEFT JOIN bm p ON b.pair_id IS NOT NULL AND p.pair_id = b.pair_id AND p.marketplace <> b.marketplace),
 k AS (
   SELECT count(*) AS total_products,
          count(*) FILTER (WHERE marketplace = 'B') AS total_target,
@@ -329,21 +321,32 @@ k AS (
          avg(price) FILTER (WHERE marketplace = 'A') AS avg_price_source,
          avg(diff_pct) FILTER (WHERE exclusivity = 'não') AS avg_diff_pct,
          count(*) FILTER (WHERE marketplace = 'B' AND exclusivity = 'não' AND price < partner_price) AS target_cheaper,
-         count(*) FILTER (WHERE marketplace = 'B' AND exclusivity = 'não' AND price > partner_price) AS source_cheaper
-  FROM kp),
+         count(*) FILTER (WHERE marketplace = 'B' AND exclusivity = 'não' AND price > partner_price) AS source_cheaper,
+         count(*) FILTER (WHERE exclusivity = 'não') AS paired_rows,
+         count(*) FILTER (WHERE exclusivity = 'sim') AS exclusive_rows,
+         count(*) FILTER (WHERE similarity_level = 'muito similar') AS very_similar,
+         count(*) FILTER (WHERE similarity_level = 'moderadamente similar') AS moderately_similar,
+         count(*) FILTER (WHERE similarity_level = 'pouco similar') AS little_similar,
+         avg(diff_pct) FILTER (WHERE marketplace = 'B' AND exclusivity = 'não' AND price < partner_price) AS favourable_gap
+  FROM bm),
 k2 AS (
   SELECT *, CASE WHEN paired_products = 0 THEN 0.0 ELSE target_cheaper / paired_products END AS share_target_cheaper,
             CASE WHEN paired_products = 0 THEN 0.0 ELSE source_cheaper / paired_products END AS share_source_cheaper,
             coalesce(CASE WHEN avg_price_target = 0 THEN NULL
                           ELSE (avg_price_source - avg_price_target) / avg_price_target END, 0.0) AS avg_price_gap
   FROM k)"""
-ORACLE["kpi_row"] = w(PRODUCTS, BEST, PAIRS, _KPI) + """
+ORACLE["kpi_row"] = w(PRODUCTS, BEST, PAIRS, _KPI, K1) + """
 SELECT total_products, total_target, total_source, exclusive_target, exclusive_source,
        round(paired_products, 6) AS paired_products, round(avg_price_target, 6) AS avg_price_target,
        round(avg_price_source, 6) AS avg_price_source, round(avg_diff_pct, 6) AS avg_diff_pct,
        target_cheaper, source_cheaper, round(share_target_cheaper, 6) AS share_target_cheaper,
        round(share_source_cheaper, 6) AS share_source_cheaper, round(avg_price_gap, 6) AS avg_price_gap,
-       round(share_target_cheaper - share_source_cheaper, 6) AS target_advantage
+       round(share_target_cheaper - share_source_cheaper, 6) AS target_advantage,
+       paired_rows, exclusive_rows, very_similar, moderately_similar, little_similar,
+       round(favourable_gap, 6) AS favourable_gap,
+       (SELECT round(coalesce(avg(CASE WHEN is_exclusive THEN 0.0 ELSE 1.0 END), 0.0), 6) FROM k1) AS coverage,
+       (SELECT round(coalesce(avg(CASE WHEN similarity > 0.45 THEN 1.0 ELSE 0.0 END), 0.0), 6) FROM k1) AS quality,
+       (SELECT count(*) FILTER (WHERE is_exclusive) FROM k1) AS opportunities
 FROM k2"""
 ORACLE["price_by_marketplace"] = BM_ALL + (
     "SELECT marketplace, round(avg(price), 6) AS avg_price, count(*) AS n FROM bm GROUP BY marketplace")
@@ -363,10 +366,10 @@ ORACLE["table_scan"] = w(PRODUCTS) + (
     "SELECT title AS title_source, price AS price_source, url AS url_source FROM products WHERE title IS NOT NULL")
 ORACLE["export_roundtrip"] = BM_ALL + "SELECT title, marketplace, price, url, exclusivity FROM bm"
 ORACLE["top10_gap"] = w(PRODUCTS, BEST, PAIRS, PAIR_TABLE) + """
-SELECT pair_id, round(diff_pct, 6) AS diff_pct, row_number() OVER (ORDER BY diff_pct DESC, pair_id) AS rank
+SELECT pair_id, source_title, target_title, round(diff_pct, 6) AS diff_pct, row_number() OVER (ORDER BY diff_pct DESC, pair_id) AS rank
 FROM pt WHERE diff_pct IS NOT NULL ORDER BY diff_pct DESC, pair_id LIMIT 10"""
 ORACLE["bottom10_gap"] = w(PRODUCTS, BEST, PAIRS, PAIR_TABLE) + """
-SELECT pair_id, round(diff_pct, 6) AS diff_pct, row_number() OVER (ORDER BY diff_pct ASC, pair_id) AS rank
+SELECT pair_id, source_title, target_title, round(diff_pct, 6) AS diff_pct, row_number() OVER (ORDER BY diff_pct ASC, pair_id) AS rank
 FROM pt WHERE diff_pct IS NOT NULL ORDER BY diff_pct ASC, pair_id LIMIT 10"""
 ORACLE["very_similar_by_price"] = BM_ALL + """
 SELECT title, marketplace, price, url, exclusivity, similarity_level FROM bm
@@ -390,7 +393,7 @@ GROUP BY ROLLUP (p.category, b.similarity_level)"""
 ORACLE["slicer_view"] = BM_ALL + f"""
 SELECT * FROM (
   SELECT title, marketplace, price, url, exclusivity, round(similarity, 6) AS similarity, similarity_level,
-         round(diff_pct, 6) AS diff_pct, pair_id, product_id, {band('price')} AS price_band FROM bm)
+         round(diff_pct, 6) AS diff_pct, pair_id, product_id, partner_price, {band('price')} AS price_band FROM bm)
 WHERE marketplace = 'B' AND similarity_level IN ('muito similar', 'moderadamente similar')
   AND price_band = 'R$ 500 - R$ 1.000'"""
 ORACLE["catalog_union"] = w(PRODUCTS) + "SELECT product_id, title, category FROM products"

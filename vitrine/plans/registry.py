@@ -25,7 +25,7 @@ from vitrine.functions import (
 from vitrine.functions.encoder import encode_titles
 from vitrine.operators import metrics as M
 from vitrine.operators.dedupe import keep_cheapest, keep_cheapest_exact, pair_difference
-from vitrine.operators.match import best_match, pair_rows, similarity_pairs, unmatched_targets
+from vitrine.operators.match import best_match, matched_pairs, pair_rows, similarity_pairs, unmatched_targets
 from vitrine.plans import reports as R
 from vitrine.session import cut_lineage, ensure_checkpoint_dir
 from vitrine.sources import pages as P
@@ -80,8 +80,14 @@ def _pairs_and_exclusives(spark, sf):
     return pair_rows(s, t, best, LABELS).unionByName(unmatched_targets(t, best, LABELS))
 
 
-def _pair_table(spark, sf):
-    return M.pair_table(_benchmark(spark, sf), LABELS)
+def _pairs(spark, sf):
+    """Every matched pair, both members side by side."""
+    s, t, best = _best(spark, sf)
+    return matched_pairs(s, t, best, LABELS)
+
+
+def _pair_view(spark, sf):
+    return M.pair_view(_pairs(spark, sf), LABELS, LEVELS)
 
 
 def _rounded(df: DataFrame, cols=("similarity", "diff_pct")) -> DataFrame:
@@ -289,13 +295,11 @@ def q_price_band(spark, sf):
 
 
 def q_pair_analysis(spark, sf):
-    pt = _pair_table(spark, sf)
-    return _rounded(pt.withColumn("price_band", price_band("target_price")))
+    return _rounded(R.pair_analysis(_pairs(spark, sf), LABELS, levels=LEVELS))
 
 
 def q_cheaper_side(spark, sf):
-    b = M.with_partner_price(_benchmark(spark, sf), LABELS)
-    return b.select("product_id", "pair_id", "marketplace", "price", "partner_price")
+    return _benchmark(spark, sf).select("product_id", "pair_id", "marketplace", "price", "partner_price")
 
 
 def q_report_statistics(spark, sf):
@@ -303,9 +307,13 @@ def q_report_statistics(spark, sf):
 
 
 def q_kpi_row(spark, sf):
-    k = M.kpi_row(_benchmark(spark, sf), LABELS)
-    for c in ("avg_price_target", "avg_price_source", "avg_diff_pct", "share_target_cheaper",
-              "share_source_cheaper", "avg_price_gap", "target_advantage", "paired_products"):
+    s, t, best = _best(spark, sf)
+    best = cut_lineage(best, "best-match")  # the table and the report share one match
+    bench = R.benchmark_table(s, t, LABELS, LEVELS, best=best, ordered=False)
+    report = R.analytical_report(s, t, THRESHOLD, best=best, ordered=False)
+    k = M.kpi_row(bench, LABELS, analytical=report, very=LEVELS.very)
+    for c in ("avg_price_target", "avg_price_source", "avg_diff_pct", "share_target_cheaper", "favourable_gap",
+              "share_source_cheaper", "avg_price_gap", "target_advantage", "paired_products", "coverage", "quality"):
         k = k.withColumn(c, r6(c))
     return k
 
@@ -326,7 +334,7 @@ def q_coverage_quality(spark, sf):
 
 
 def q_favourable_gap(spark, sf):
-    return M.favourable_gap(_pair_table(spark, sf)).select(r6("favourable_gap").alias("favourable_gap"))
+    return M.favourable_gap(_pair_view(spark, sf)).select(r6("favourable_gap").alias("favourable_gap"))
 
 
 def q_input_counts(spark, sf):
@@ -342,19 +350,19 @@ def q_table_scan(spark, sf):
 
 def q_export_roundtrip(spark, sf):
     bench = _benchmark(spark, sf)
-    visible, hidden = R.report_columns(bench.drop("pair_id", "product_id"))
+    visible, hidden = R.report_columns(bench.drop("pair_id", "product_id", "partner_price"))
     path = SK.export_report(bench.select(*visible, *hidden), _scratch(spark, "export"), hidden=hidden)
     return SK.read_report(spark, path)
 
 
 def q_top10_gap(spark, sf):
-    t = R.top_by(_pair_table(spark, sf), "diff_pct", 10, descending=True)
-    return t.select("pair_id", r6("diff_pct").alias("diff_pct"), F.col("rank").cast("long").alias("rank"))
+    t = R.top_by(_pair_view(spark, sf), "diff_pct", 10, descending=True)
+    return t.select("pair_id", "source_title", "target_title", r6("diff_pct").alias("diff_pct"), F.col("rank").cast("long").alias("rank"))
 
 
 def q_bottom10_gap(spark, sf):
-    t = R.top_by(_pair_table(spark, sf), "diff_pct", 10, descending=False)
-    return t.select("pair_id", r6("diff_pct").alias("diff_pct"), F.col("rank").cast("long").alias("rank"))
+    t = R.top_by(_pair_view(spark, sf), "diff_pct", 10, descending=False)
+    return t.select("pair_id", "source_title", "target_title", r6("diff_pct").alias("diff_pct"), F.col("rank").cast("long").alias("rank"))
 
 
 def _bench_view(spark, sf) -> str:
@@ -386,11 +394,11 @@ def q_dimension_marketplaces(spark, sf):
 
 
 def q_scatter_source(spark, sf):
-    return _rounded(M.scatter_points(_pair_table(spark, sf)))
+    return _rounded(M.scatter_points(_pair_view(spark, sf)))
 
 
 def q_advantage_split(spark, sf):
-    return M.advantage_split(_pair_table(spark, sf))
+    return M.advantage_split(_pair_view(spark, sf))
 
 
 def q_level_category_rollup(spark, sf):

@@ -99,7 +99,7 @@ def finish_benchmark(rows: DataFrame, levels: Levels = Levels(), ordered: bool =
     """E1 -> H11 -> S3 on pair/exclusive rows."""
     kept = keep_cheapest(rows, keys=keys)
     out = kept.withColumn("similarity_level", similarity_level("similarity", levels))
-    cols = BENCHMARK_VISIBLE + BENCHMARK_HIDDEN + [c for c in ("pair_id", "product_id") if c in kept.columns]
+    cols = BENCHMARK_VISIBLE + BENCHMARK_HIDDEN + [c for c in ("pair_id", "product_id", "partner_price") if c in kept.columns]
     out = out.select(*cols)
     if ordered:
         out = out.orderBy(F.desc(normalise_flag("exclusivity") == YES), "title", "marketplace", "price")
@@ -203,13 +203,19 @@ def slice_benchmark(bench: DataFrame, marketplace: str | None = None, levels=Non
     return out
 
 
-def pair_analysis(bench: DataFrame, labels: Labels = Labels(), key: str = "pair_id") -> DataFrame:
-    """K9: pairs pivoted (D11) with the advantage label (H14) and the
-    target price band (H13)."""
-    from vitrine.functions.labels import price_band
-    from vitrine.operators.metrics import pair_table
+def pair_analysis(pairs: DataFrame, labels: Labels = Labels(), key: str = "pair_id",
+                  levels: Levels = Levels()) -> DataFrame:
+    """K9: one row per pair (D11) with the advantage label (H14) and the
+    target price band (H13). From ``match.matched_pairs`` every pair is there
+    with both titles, the level and the category of the target's title
+    (H12); a stored table of paired rows is pivoted instead."""
+    from vitrine.functions.labels import category_from_title, price_band
+    from vitrine.operators.metrics import pair_table, pair_view
 
-    return pair_table(bench, labels, key).withColumn("price_band", price_band("target_price"))
+    if "target_title" not in pairs.columns:
+        return pair_table(pairs, labels, key).withColumn("price_band", price_band("target_price"))
+    return pair_view(pairs, labels, levels).withColumn("category", category_from_title("target_title")).withColumn(
+        "price_band", price_band("target_price"))
 
 
 def very_similar_by_price(spark, view: str):
