@@ -47,3 +47,12 @@ def test_embed_table_job(spark):
     name = embed_table(spark, "bronze_x", "silver_embeddings_x", dim=16)
     row = spark.table(name).first()
     assert row.title == "TV 50" and len(row.embedding) == 16
+
+
+def test_both_forms_of_the_default_encoder_agree(spark):
+    texts = ["Smart TV 55", "Geladeira  Frost-Free", "", "a", "Fogão 4 bocas", "tv 📺 40", "x\ny", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, title string")
+    got = encode_titles(df, "title", dim=32).select("title", "embedding", trigram_vector("title", 32).alias("v")).collect()
+    for r in got:
+        assert (r.embedding is None) == (r.v is None) == (r.title is None)
+        assert r.embedding is None or r.embedding == pytest.approx(r.v, abs=1e-7)

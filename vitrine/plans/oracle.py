@@ -447,3 +447,33 @@ l AS (
 SELECT page_id, pos, {tag_text('inner_html')} AS title,
        CASE WHEN starts_with(href, '/') THEN 'https://a.example' || href ELSE href END AS url, category
 FROM l"""
+
+
+def _encoded(name: str, table: str, key: str) -> str:
+    """Titles of ``table`` as hashed trigram vectors of 64 buckets."""
+    return f"""
+{name}_pad AS (SELECT {key} AS k, title, ' ' || lower(title) || ' ' AS p FROM {table}),
+{name}_gram AS (SELECT k, p, unnest(generate_series(1, length(p) - 2)) AS i FROM {name}_pad WHERE p IS NOT NULL),
+{name}_n AS (
+  SELECT k, CAST('0x' || substr(md5(substr(p, i, 1) || ' ' || substr(p, i + 1, 1) || ' ' || substr(p, i + 2, 1)), 1, 8)
+              AS BIGINT) % 64 AS b, count(*) AS n
+  FROM {name}_gram GROUP BY ALL),
+{name}_v AS (
+  SELECT k, map(list(b), list(n)) AS counts, sqrt(sum(n * n)::DOUBLE) AS norm FROM {name}_n GROUP BY k),
+{name} AS (
+  SELECT e.k, e.title, CASE WHEN e.p IS NOT NULL THEN list_transform(generate_series(0, 63),
+      lambda x: CAST(coalesce(v.counts[x], 0) / coalesce(v.norm, 1.0::DOUBLE) AS FLOAT)) END AS embedding
+  FROM {name}_pad e LEFT JOIN {name}_v v ON v.k = e.k)"""
+
+
+ORACLE["encode_titles"] = w(
+    "t AS (SELECT p_partkey, concat_ws(' ', p_name, p_brand) AS title FROM part)", _encoded("enc", "t", "p_partkey")
+) + "SELECT k AS p_partkey, title, embedding FROM enc"
+ORACLE["match_encoded"] = w(
+    PRODUCTS, _encoded("enc", "products", "product_id"),
+    "se AS (SELECT k AS product_id, embedding FROM enc WHERE k % 2 = 0)",
+    "te AS (SELECT k AS product_id, embedding FROM enc WHERE k % 2 <> 0)",
+    _vectors("sv", "se"), _vectors("tv", "te"), _scores("scores", "sv", "tv"), """
+best AS (SELECT * FROM scores
+         QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY round(similarity, 12) DESC, target_id) = 1)""",
+) + "SELECT source_id, target_id, round(similarity, 6) AS similarity FROM best"
