@@ -477,3 +477,35 @@ ORACLE["match_encoded"] = w(
 best AS (SELECT * FROM scores
          QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY round(similarity, 12) DESC, target_id) = 1)""",
 ) + "SELECT source_id, target_id, round(similarity, 6) AS similarity FROM best"
+
+
+ORACLE["ingest_cards"] = w(PAGE_KEYS) + f"""
+, st AS (SELECT page_id, url, CAST(unnest(range(1, len(c) + 1)) AS INTEGER) AS pos, unnest(c) AS card
+         FROM (SELECT page_id, url, regexp_extract_all(html, '(?is)<article[\\s>].*?</article>') AS c FROM pages)),
+t AS (SELECT page_id, pos, url, {tag_text("regexp_extract(card, '(?is)<h1[^>]*>(.*?)</h1>', 1)")} AS title FROM st),
+cut AS (SELECT category, min(page) FILTER (WHERE html IS NULL OR html = '' OR NOT regexp_matches(html, '(?i)<article')) AS c
+        FROM pk GROUP BY category)
+SELECT t.page_id, t.pos, t.title, NULL::DOUBLE AS price,
+       CASE WHEN starts_with(t.url, '/') THEN 'https://a.example' || t.url ELSE t.url END AS url, pk.category
+FROM t JOIN pk USING (page_id) JOIN cut ON cut.category IS NOT DISTINCT FROM pk.category
+WHERE t.title <> '' AND t.url <> '' AND (cut.c IS NULL OR pk.page IS NULL OR pk.page < cut.c)"""
+ORACLE["export_full"] = BM_ALL + """
+SELECT title || CASE product_id % 4 WHEN 0 THEN ' 55"' WHEN 1 THEN ',' || chr(10) || ' 2 "x"' WHEN 2 THEN '  ' ELSE '' END
+         AS title, marketplace, price, url, exclusivity, round(similarity, 6) AS similarity, similarity_level,
+       round(diff_pct, 6) AS diff_pct
+FROM bm"""
+ORACLE["feed_scan"] = """
+SELECT p_partkey AS id_tabela, p_name AS titulo_tabela, CAST(CAST(p_retailprice AS DECIMAL(18, 2)) AS DOUBLE) AS preco_tabela,
+       '/p/' || CAST(p_partkey AS VARCHAR) AS url_tabela
+FROM part WHERE p_size % 7 <> 0 AND p_size % 5 > 2"""
+ORACLE["rows_not_empty"] = """
+SELECT p_name AS title, CASE WHEN p_size % 3 <> 0 THEN p_retailprice END AS price,
+       '/p/' || CAST(p_partkey AS VARCHAR) AS link
+FROM part WHERE p_size % 7 <> 0 AND p_size % 11 <> 0"""
+ORACLE["category_keywords"] = f"""
+WITH t AS (
+  SELECT p_partkey, CASE WHEN p_size % 10 <> 0 THEN p_name || ' ' ||
+    CASE p_partkey % 9 WHEN 0 THEN 'Geladeira' WHEN 1 THEN 'Fogão' WHEN 2 THEN 'Máquina' WHEN 3 THEN 'Smartphone'
+      WHEN 4 THEN 'Notebook' WHEN 5 THEN 'TV' WHEN 6 THEN 'Suporte TV Notebook' WHEN 7 THEN 'geladeira' ELSE '' END
+    || ' ' || p_brand END AS title FROM part)
+SELECT p_partkey, title, {_CAT} AS category FROM t"""

@@ -25,19 +25,22 @@ from vitrine.functions import (
 from vitrine.functions.encoder import encode_titles
 from vitrine.operators import metrics as M
 from vitrine.operators.dedupe import keep_cheapest, keep_cheapest_exact, pair_difference
+from vitrine.operators.filters import keep_priced
 from vitrine.operators.match import best_match, matched_pairs, pair_rows, similarity_pairs, unmatched_targets
 from vitrine.plans import reports as R
 from vitrine.session import cut_lineage, ensure_checkpoint_dir
+from vitrine.sources import cards as C
 from vitrine.sources import pages as P
 from vitrine.sources import sinks as SK
 from vitrine.sources.tables import (
     products,
     read_category_partitions,
     read_table,
+    scan_feed,
     scan_with_suffix,
     split_catalogs,
 )
-from vitrine.schema import Labels, Levels
+from vitrine.schema import BENCHMARK, Labels, Levels
 
 # Parameters of the test-data queries. The best cosine in the given
 # embeddings lies around 0.25-0.51, so the match threshold and level cuts
@@ -134,9 +137,9 @@ def _parsed(style):
 # --- pages -------------------------------------------------------------------
 
 
-def _page_keys(pages: DataFrame) -> DataFrame:
+def _page_keys(pages: DataFrame, *more: str) -> DataFrame:
     return pages.select(
-        "page_id", "html",
+        "page_id", "html", *more,
         F.regexp_extract("url", r"^https?://[^/]+/([^/?#]+)", 1).alias("category"),
         F.regexp_extract("url", r"^https?://[^/]+/[^/?#]+/([0-9]+)", 1).try_cast("int").alias("page"),
     )
@@ -355,6 +358,60 @@ def q_export_roundtrip(spark, sf):
     return SK.read_report(spark, path)
 
 
+def q_export_full(spark, sf):
+    """All eight columns, in CSV, over titles with quotes, line breaks and outer blanks."""
+    bench = _benchmark(spark, sf)
+    k = F.col("product_id") % 4
+    tail = F.when(k == 0, F.lit(' 55"')).when(k == 1, F.lit(",\n 2 \"x\"")).when(k == 2, F.lit("  ")).otherwise(F.lit(""))
+    rows = bench.withColumn("title", F.concat("title", tail)).select(*BENCHMARK.names)
+    path = SK.export_report(rows, _scratch(spark, "export"), hidden=[])
+    return _rounded(SK.read_report(spark, path, BENCHMARK))
+
+
+def q_feed_scan(spark, sf):
+    """The feed with text prices; what is no plain decimal has no price."""
+    p = read_table(spark, sf, "part")
+    k = F.col("p_size") % 5
+    raw = p.select(
+        F.col("p_partkey").alias("id"), F.when(F.col("p_size") % 7 != 0, F.col("p_name")).alias("title"),
+        F.when(k == 0, F.lit("12d")).when(k == 1, F.lit("1e5")).when(k == 2, F.lit(None))
+        .otherwise(F.col("p_retailprice").cast("decimal(18,2)").cast("string")).alias("price"),
+        F.concat(F.lit("/p/"), F.col("p_partkey").cast("string")).alias("link"),
+    )
+    keep_priced(raw).createOrReplaceTempView("vitrine_feed")
+    return scan_feed(spark, "vitrine_feed")
+
+
+def q_rows_not_empty(spark, sf):
+    """Rows whose every field is null or blank go."""
+    p = read_table(spark, sf, "part")
+    z = F.col("p_size")
+    blank = (z % 7 == 0) | (z % 11 == 0)
+    return SK.drop_empty_rows(p.select(
+        F.when(z % 11 == 0, F.lit("  ")).when(~blank, F.col("p_name")).alias("title"),
+        F.when(~blank & (z % 3 != 0), F.col("p_retailprice")).alias("price"),
+        F.when(z % 7 == 0, F.lit("")).when(~blank, F.concat(F.lit("/p/"), F.col("p_partkey").cast("string"))).alias("link"),
+    ))
+
+
+def q_category_keywords(spark, sf):
+    """H12 over titles that hold a keyword, two of them, or another spelling."""
+    words = ["Geladeira", "Fogão", "Máquina", "Smartphone", "Notebook", "TV", "Suporte TV Notebook", "geladeira", ""]
+    p = read_table(spark, sf, "part")
+    word = F.element_at(F.array(*[F.lit(x) for x in words]), (F.col("p_partkey") % len(words) + 1).cast("int"))
+    title = F.when(F.col("p_size") % 10 != 0, F.concat_ws(" ", "p_name", word, "p_brand"))
+    return p.select("p_partkey", title.alias("title")).withColumn("category", category_from_title("title"))
+
+
+def q_ingest_cards(spark, sf):
+    """The article is the card, its heading the title, the page's address the link."""
+    pg = _page_keys(read_table(spark, sf, "pages"), "url").withColumn("failed", F.coalesce(F.col("html") == "", F.lit(True)))
+    out = C.ingest_cards(pg, _scratch(spark, "bronze-cards"), C.CardSelectors("article", title="h1", link=None),
+                         domain=LABELS.source_base_url, mode="lenient", price_style="nullable",
+                         failed_col="failed", link_col="url")
+    return out.select("page_id", "pos", "title", "price", "url", "category")
+
+
 def q_top10_gap(spark, sf):
     t = R.top_by(_pair_view(spark, sf), "diff_pct", 10, descending=True)
     return t.select("pair_id", "source_title", "target_title", r6("diff_pct").alias("diff_pct"), F.col("rank").cast("long").alias("rank"))
@@ -410,11 +467,7 @@ def q_level_category_rollup(spark, sf):
 
 def q_slicer_view(spark, sf):
     b = _rounded(_benchmark(spark, sf)).withColumn("price_band", price_band("price"))
-    return b.where(
-        (F.col("marketplace") == LABELS.target)
-        & F.col("similarity_level").isin("muito similar", "moderadamente similar")
-        & (F.col("price_band") == "R$ 500 - R$ 1.000")
-    )
+    return R.slice_benchmark(b, LABELS.target, ["muito similar", "moderadamente similar"], "R$ 500 - R$ 1.000")
 
 
 def q_catalog_union(spark, sf):
@@ -551,6 +604,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_empty_page": q_first_empty_page,
     "gap_trend": q_gap_trend,
     "ingest_pages": q_ingest_pages,
+    "ingest_cards": q_ingest_cards,
+    "export_full": q_export_full,
+    "feed_scan": q_feed_scan,
+    "rows_not_empty": q_rows_not_empty,
+    "category_keywords": q_category_keywords,
     "encode_titles": q_encode_titles,
     "match_encoded": q_match_encoded,
 }
