@@ -47,3 +47,16 @@ def test_trend_to_parquet_resumes_from_its_checkpoint(spark):
     got = sorted((r.period_start.date().isoformat(), r.avg_diff_pct, r.pairs) for r in spark.read.parquet(out).collect())
     assert first == ["2024-01-01"]
     assert got == [("2024-01-01", 10.0, 1.0), ("2024-01-05", 10.0, 1.0)]  # each period once
+
+
+def test_a_repeated_run_replaces_its_snapshot(spark):
+    import pytest
+
+    path = ensure_checkpoint_dir(spark) + "/history-runs"
+    bench = spark.createDataFrame([("a", "A", 10.0, "u", "não", 0.9, "muito similar", 10.0)], BENCH)
+    day = dt.datetime(2024, 1, 1, 8)
+    for run in ("r1", "r1", "r2"):
+        append_snapshot(bench, path, day, run_id=run)
+    assert sorted(r.run_id for r in spark.read.parquet(path).collect()) == ["r1", "r2"]
+    with pytest.raises(ValueError):
+        append_snapshot(bench, path, run_id="r3")

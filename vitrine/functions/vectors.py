@@ -1,4 +1,4 @@
-"""Vector expressions (H17) evaluated inside whole-stage codegen."""
+"""Vector expressions (H17) in the JVM (higher-order functions run interpreted, row by row)."""
 
 from __future__ import annotations
 

@@ -314,7 +314,7 @@ def similarity_pairs(
     *,
     id_col: str = "product_id",
     vector_col: str = "embedding",
-    rows_per_block: int = 5_000,
+    rows_per_block: int = 50_000,
     source_blocks: int | None = None,
     target_blocks: int | None = None,
     block_bytes: int = BLOCK_BYTES,
@@ -322,10 +322,10 @@ def similarity_pairs(
     """The similarity matrix restricted to scores ``>= threshold``, as
     rows ``source_id, target_id, similarity`` (never a dense matrix).
 
-    A task returns every qualifying pair of its block pair at once, so the
-    blocks are smaller than for the top-1 match: at most
-    ``rows_per_block**2`` pairs (25 M by default) per task even when the
-    threshold lets everything through."""
+    Blocks are those of the top-1 match. A task hands its pairs over in
+    chunks, so its memory does not grow with them; the result does: up to
+    source rows times target rows when the threshold lets everything
+    through. Give a threshold that few pairs reach, or aggregate the rows."""
     s = _vectors(source, id_col, vector_col, "source_id")
     t = _vectors(target, id_col, vector_col, "target_id")
     ns, nt = _block_counts(s, t, rows_per_block, source_blocks, target_blocks, block_bytes=block_bytes,
@@ -413,6 +413,17 @@ def pair_rows(source: DataFrame, target: DataFrame, best: DataFrame, labels: Lab
     )
 
 
+def _exclusive_rows(rest: DataFrame, marketplace: str, base_url: str, absolute_urls: bool) -> DataFrame:
+    """Rows without a partner: flag ``sim``, similarity -1, no pair."""
+    url = url_absolute("url", base_url) if absolute_urls else F.col("url")
+    return rest.select(
+        F.lit(None).cast("long").alias("pair_id"), F.lit(2).alias("side"), "product_id", "title",
+        F.lit(marketplace).alias("marketplace"), "price", url.alias("url"), F.lit(YES).alias("exclusivity"),
+        F.lit(EXCLUSIVE_SIMILARITY).alias("similarity"), F.lit(None).cast("double").alias("diff_pct"),
+        F.lit(None).cast("double").alias("partner_price"),
+    )
+
+
 def unmatched_targets(target: DataFrame, best: DataFrame, labels: Labels = Labels(),
                       absolute_urls: bool = True) -> DataFrame:
     """Target rows no source chose, as exclusive rows (similarity -1).
@@ -422,13 +433,15 @@ def unmatched_targets(target: DataFrame, best: DataFrame, labels: Labels = Label
     before the anti-join shuffle."""
     chosen = best.select(F.col("target_id").alias("product_id")).distinct()
     rest = target.join(chosen, "product_id", "left_anti")
-    url = url_absolute("url", labels.target_base_url) if absolute_urls else F.col("url")
-    return rest.select(
-        F.lit(None).cast("long").alias("pair_id"), F.lit(2).alias("side"), "product_id", "title",
-        F.lit(labels.target).alias("marketplace"), "price", url.alias("url"), F.lit(YES).alias("exclusivity"),
-        F.lit(EXCLUSIVE_SIMILARITY).alias("similarity"), F.lit(None).cast("double").alias("diff_pct"),
-        F.lit(None).cast("double").alias("partner_price"),
-    )
+    return _exclusive_rows(rest, labels.target, labels.target_base_url, absolute_urls)
+
+
+def unmatched_sources(source: DataFrame, best: DataFrame, labels: Labels = Labels(),
+                      absolute_urls: bool = True) -> DataFrame:
+    """C6 as benchmark rows: source rows that ``best`` pairs with nothing, as
+    exclusive rows of the source marketplace (similarity -1)."""
+    rest = source.join(best.select(F.col("source_id").alias("product_id")), "product_id", "left_anti")
+    return _exclusive_rows(rest, labels.source, labels.source_base_url, absolute_urls)
 
 
 def partner_prices(pairs: DataFrame, labels: Labels = Labels()) -> DataFrame:

@@ -509,3 +509,17 @@ WITH t AS (
       WHEN 4 THEN 'Notebook' WHEN 5 THEN 'TV' WHEN 6 THEN 'Suporte TV Notebook' WHEN 7 THEN 'geladeira' ELSE '' END
     || ' ' || p_brand END AS title FROM part)
 SELECT p_partkey, title, {_CAT} AS category FROM t"""
+
+# the same chain with a threshold on the pairs and the sources that it leaves alone
+_BEST_AT = BEST.replace("best AS (SELECT * FROM scores", "top AS (SELECT * FROM scores") + """,
+best AS (SELECT * FROM top WHERE similarity >= 0.35)"""
+_PAIRS_BOTH = PAIRS.replace("allrows AS (SELECT * FROM pairs UNION ALL SELECT * FROM excl)", f"""
+excl_src AS (
+  SELECT NULL::BIGINT AS pair_id, 2 AS side, s.product_id, s.title, 'A' AS marketplace, s.price,
+         {absolute('s.url', 'https://a.example')} AS url, 'sim' AS exclusivity, -1.0::DOUBLE AS similarity,
+         NULL::DOUBLE AS diff_pct, NULL::DOUBLE AS partner_price
+  FROM src s WHERE s.embedding IS NOT NULL AND NOT EXISTS (SELECT 1 FROM best b WHERE b.source_id = s.product_id)),
+allrows AS (SELECT * FROM pairs UNION ALL SELECT * FROM excl UNION ALL SELECT * FROM excl_src)""")
+ORACLE["benchmark_symmetric"] = w(PRODUCTS, _BEST_AT, _PAIRS_BOTH) + (
+    "SELECT title, marketplace, price, url, exclusivity, round(similarity, 6) AS similarity, similarity_level, "
+    "round(diff_pct, 6) AS diff_pct, pair_id, product_id, partner_price FROM bm")

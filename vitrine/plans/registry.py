@@ -213,6 +213,12 @@ def q_benchmark_table(spark, sf):
     return _rounded(_benchmark(spark, sf, ordered=True))
 
 
+def q_benchmark_symmetric(spark, sf):
+    """Exclusive products of both marketplaces: pairs below the threshold are none."""
+    _, s, t = _catalogs(spark, sf)
+    return _rounded(R.benchmark_table(s, t, LABELS, LEVELS, ordered=False, pair_threshold=THRESHOLD))
+
+
 def q_final_cleanup(spark, sf):
     rows = _pairs_and_exclusives(spark, sf).drop("diff_pct")
     return _rounded(R.final_cleanup(rows, LEVELS, pair_col="pair_id"))
@@ -559,6 +565,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "exclusives_target": q_exclusives_target,
     "exclusives_source": q_exclusives_source,
     "benchmark_table": q_benchmark_table,
+    "benchmark_symmetric": q_benchmark_symmetric,
     "final_cleanup": q_final_cleanup,
     "dedupe_cheapest": q_dedupe_cheapest,
     "dedupe_exact_match": q_dedupe_exact_match,

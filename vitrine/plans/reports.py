@@ -14,7 +14,7 @@ from vitrine.functions.diffs import diff_signed, diff_zero_filled, percent_text
 from vitrine.functions.labels import marketplace_from_match, normalise_flag, similarity_level
 from vitrine.functions.prices import clean_double, parse_price
 from vitrine.operators.dedupe import keep_cheapest, pair_difference
-from vitrine.operators.match import attach_match, best_match, pair_rows, unmatched_targets
+from vitrine.operators.match import attach_match, best_match, pair_rows, unmatched_sources, unmatched_targets
 from vitrine.session import cut_lineage
 from vitrine.schema import (
     BENCHMARK_HIDDEN,
@@ -108,7 +108,7 @@ def finish_benchmark(rows: DataFrame, levels: Levels = Levels(), ordered: bool =
 
 def benchmark_table(source: DataFrame, target: DataFrame, labels: Labels = Labels(), levels: Levels = Levels(),
                     best: DataFrame | None = None, ordered: bool = True, price_style: str = "first_token",
-                    materialize: bool = True, **match_opts) -> DataFrame:
+                    materialize: bool = True, pair_threshold: float | None = None, **match_opts) -> DataFrame:
     """K4: prepare both catalogs (B8), best match (C1), two rows per pair
     with the pair's symmetric diff (C4, E3 on intact pairs), never-chosen
     targets appended as exclusives (C5, U2), cheapest row per (title,
@@ -117,13 +117,20 @@ def benchmark_table(source: DataFrame, target: DataFrame, labels: Labels = Label
     The match feeds two joins keyed differently (pairs by source, exclusives
     by target), which would run the match twice; unless a ``best`` table is
     given it is materialised once as a table in the session's checkpoint
-    folder, which also keeps an executor loss from re-running it."""
+    folder, which also keeps an executor loss from re-running it.
+
+    With ``pair_threshold`` only pairs that reach it are pairs; products of
+    either side that are then in no pair are exclusive rows of their marketplace (C6)."""
     s = prepare_catalog(source, labels.source, price_style)
     t = prepare_catalog(target, labels.target, price_style)
     if best is None:
         best = best_match(s, t, **match_opts)
         best = cut_lineage(best, "best-match") if materialize else best
+    if pair_threshold is not None:
+        best = best.where(F.col("similarity") >= pair_threshold)
     rows = pair_rows(s, t, best, labels).unionByName(unmatched_targets(t, best, labels))
+    if pair_threshold is not None:
+        rows = rows.unionByName(unmatched_sources(s, best, labels))
     return finish_benchmark(rows, levels, ordered)
 
 

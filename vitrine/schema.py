@@ -53,18 +53,6 @@ CATALOG = T.StructType(
     ]
 )
 
-# Embedded catalog as the reference stores it: every field a string except
-# the vector; price is parsed later.
-EMBEDDED_RAW = T.StructType(
-    [
-        T.StructField("title", T.StringType(), True),
-        T.StructField("price", T.StringType(), True),
-        T.StructField("url", T.StringType(), True),
-        T.StructField("categoria", T.StringType(), True),
-        T.StructField("embedding", T.ArrayType(T.FloatType()), True),
-    ]
-)
-
 BENCHMARK = T.StructType(
     [
         T.StructField("title", T.StringType(), True),
@@ -80,11 +68,3 @@ BENCHMARK = T.StructType(
 
 BENCHMARK_VISIBLE = ["title", "marketplace", "price", "url", "exclusivity"]
 BENCHMARK_HIDDEN = ["similarity", "similarity_level", "diff_pct"]
-
-MATCH = T.StructType(
-    [
-        T.StructField("source_id", T.LongType(), False),
-        T.StructField("target_id", T.LongType(), True),
-        T.StructField("similarity", T.DoubleType(), True),
-    ]
-)

@@ -78,12 +78,6 @@ def crawl_cut(page_stats: DataFrame, category_col: str = "category", page_col: s
     return joined.where(kept).drop("_cut", "_of")
 
 
-def cards_from_pages(pages: DataFrame, category_col: str, domain: str | None = None) -> DataFrame:
-    """Cards (links) with an absolute URL (H5)."""
-    links = extract_links(pages, keep=("page_id", category_col, "page"))
-    return links.withColumn("url", url_relative("href", domain))
-
-
 def ingest_pages(pages: DataFrame, path: str, category_col: str = "category", domain: str | None = None,
                  price_col: str | None = None, stop_on_empty: bool = True) -> DataFrame:
     """K6: stored pages -> cards -> (first empty page cut) -> prices ->

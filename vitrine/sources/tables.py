@@ -20,12 +20,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def register_views(spark: SparkSession, sf_dir: str, names=TEST_TABLES) -> None:
-    """Expose the parquet tables as temp views (lazy; nothing is read)."""
-    for n in names:
-        read_table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
 def products(spark: SparkSession, sf_dir: str, labels: Labels = Labels("A", "B")) -> DataFrame:
     """Products view over the driver tables: one product per part or vector.
 

@@ -10,9 +10,22 @@ from vitrine.functions.labels import normalise_flag
 from vitrine.schema import NO
 
 
-def append_snapshot(bench: DataFrame, path: str, snapshot_ts=None) -> None:
+def append_snapshot(bench: DataFrame, path: str, snapshot_ts=None, run_id: str | None = None) -> None:
     """Append one benchmark table to the history folder, stamped with the
-    run time (or ``snapshot_ts``) and partitioned by day."""
+    run time (or ``snapshot_ts``) and partitioned by day.
+
+    With ``run_id`` (and the run's ``snapshot_ts``) the day holds a folder
+    per run, and a run that is repeated replaces its own rows instead of
+    counting twice; use it for all runs of a history or for none. A stream
+    that has read the first try reads the second too: start it after the run."""
+    if run_id is not None:
+        if snapshot_ts is None:
+            raise ValueError("a run id needs the run's snapshot_ts: a repeat must fall on the same day")
+        out = bench.withColumn("snapshot_ts", F.lit(snapshot_ts).cast("timestamp")).withColumns(
+            {"snapshot_day": F.to_date("snapshot_ts"), "run_id": F.lit(run_id)})
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("snapshot_day", "run_id").parquet(path))
+        return
     ts = F.current_timestamp() if snapshot_ts is None else F.lit(snapshot_ts).cast("timestamp")
     out = bench.withColumn("snapshot_ts", ts).withColumn("snapshot_day", F.to_date("snapshot_ts"))
     out.write.mode("append").partitionBy("snapshot_day").parquet(path)
