@@ -64,6 +64,26 @@ def test_suffix_dedup_against_brute_force(make, options):
     assert suffix_dedup(make([])).count() == 0
 
 
+def test_contexts_of_an_anchor_meet_in_one_task(spark, make):
+    """Equal passages in different surroundings, many shuffle partitions, none of them merged."""
+    rng = np.random.default_rng(11)
+    word = lambda n: "".join(rng.choice(list("abcdefghij "), n))
+    passages = [word(230) for _ in range(25)]
+    rows = [(i, word(120) + passages[i % 25] + word(120), "a") for i in range(75)]
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "61")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for options in ({}, {"group_rows": 2}):
+            got = suffix_dedup(make(rows), **options).collect()
+            want = brute_repeats([t.encode() for _, t, _ in rows], 200)
+            assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == Counter(
+                (i, *w) for (i, _, _), w in zip(rows, want))
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
 # --- SimHash ---------------------------------------------------------------------
 
 

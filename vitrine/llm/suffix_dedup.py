@@ -160,16 +160,27 @@ def _shards(length: int, shard_bytes: int):
                     yield r["k1"], r["k2"], r["start"] + lo, r["start"] + hi
 
     def run(batches):
-        rows, size = [], 0
+        rows, size, group = [], 0, []
+
+        def close():
+            # an anchor with one context has no more to compare, nor one whose contexts all repeat
+            nonlocal size
+            if len(group) > 1 and any(r["n"] == 1 for r in group):
+                rows.extend(group)
+                size += sum(len(r["context"]) for r in group)
+            group.clear()
+
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                if size >= shard_bytes and r["hash"] != rows[-1]["hash"]:
-                    out += solve(rows)
-                    rows, size = [], 0
-                rows.append(r)
-                size += len(r["context"])
+                if group and r["hash"] != group[0]["hash"]:
+                    close()
+                    if size >= shard_bytes:
+                        out += solve(rows)
+                        rows, size = [], 0
+                group.append(r)
             yield _span_batch(out)
+        close()
         if rows:
             yield _span_batch(solve(rows))
 
@@ -217,19 +228,20 @@ def repeated_spans(docs: DataFrame, rows: DataFrame, text_col: str, length: int,
     many = classes.where("n > 1").select("hash", "c1", "c2")
     spans = narrow.join(many, ["hash", "c1", "c2"], "left_semi").select("k1", "k2", F.col("start").alias("lo"), (F.col("start") + F.col("size")).alias("hi"))
 
-    # an anchor with one context has no more to compare, nor one whose contexts all repeat
-    groups = classes.groupBy("hash").agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("least")).where("classes > 1 and least = 1").select("hash", "classes")
+    # an anchor's contexts meet in one task: dealt by an explicit repartition, which adaptive execution neither splits nor reads locally
     known = found.groupBy("hash", "c1", "c2").agg(
         F.count(F.lit(1)).alias("n"), F.min("k1").alias("k1"), F.min("k2").alias("k2"), F.min("start").alias("start"), F.min("anchor").alias("anchor"), F.first("context", ignorenulls=True).alias("context"))
-    open_ = known.join(groups, "hash").select("hash", "n", "k1", "k2", "start", "anchor", "context", "classes")
-    fits = open_.where(F.col("classes") <= group_rows).drop("classes").sortWithinPartitions("hash")
+    groups = classes.groupBy("hash").agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("least"))
+    large = written(groups.where(F.col("classes") > group_rows).select("hash", "least"), "hot-anchors")
+    hot_anchors = large.limit(1).count() > 0
+    fits = known.join(large, "hash", "left_anti") if hot_anchors else known
+    fits = fits.select("hash", "n", "k1", "k2", "start", "anchor", "context").repartition("hash").sortWithinPartitions("hash")
     single = fits.mapInArrow(_shards(length, shard_bytes), "k1 long, k2 long, lo int, hi int")
     spans = spans.unionByName(single)
 
     # anchors with more contexts than a shard takes: strings meet by their hash, spread over all tasks
-    large = groups.where(F.col("classes") > group_rows).select("hash")
-    if large.limit(1).count():
-        hot = written(known.join(large, "hash", "left_semi").select("n", "k1", "k2", "start", "context").mapInArrow(
+    if hot_anchors:
+        hot = written(known.join(large.where("least = 1"), "hash", "left_semi").select("n", "k1", "k2", "start", "context").mapInArrow(
             _windows(length), "w1 long, w2 long, many boolean, k1 long, k2 long, lo int"), "hot-strings")
         place = F.xxhash64("k1", "k2", "lo")
         again = hot.groupBy("w1", "w2").agg(F.min(place).alias("x"), F.max(place).alias("y"), F.max("many").alias("m")).where("x <> y or m").select("w1", "w2")
