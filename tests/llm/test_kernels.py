@@ -84,6 +84,25 @@ def test_contexts_of_an_anchor_meet_in_one_task(spark, make):
             spark.conf.set(k, v)
 
 
+def test_a_doubled_gram_hides_no_repeat(make):
+    """One text repeats a phrase of the passage that it shares with another."""
+    rng = np.random.default_rng(23)
+    word = lambda n: "".join(rng.choice(list("abcdefghij "), n))
+    rows = []
+    for i in range(40):
+        passage, at = word(200), int(rng.integers(0, 168))
+        quoted = passage + word(int(rng.integers(1, 30))) + passage[at: at + int(rng.integers(32, 90))]
+        rows += [(4 * i, word(150) + passage + word(150), "a"), (4 * i + 1, word(150) + quoted + word(150), "b")]
+        if i % 2:  # the doubled gram in a class of two
+            same = word(400) + quoted + word(400)
+            rows += [(4 * i + 2, "1" + same, "c"), (4 * i + 3, "2" + same, "c")]
+    for options in ({}, {"shard_bytes": 100}):
+        got = suffix_dedup(make(rows), **options).collect()
+        want = brute_repeats([t.encode() for _, t, _ in rows], 200)
+        assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == Counter(
+            (i, *w) for (i, _, _), w in zip(rows, want))
+
+
 # --- SimHash ---------------------------------------------------------------------
 
 

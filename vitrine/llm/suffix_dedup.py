@@ -137,8 +137,8 @@ def _shards(length: int, shard_bytes: int):
 
     def sides(r):
         """What a string of another context of the anchor must share: half of
-        what it has besides the anchor, before or behind it. Where the anchor's
-        gram stands twice, copies may hold different ones: such contexts all stay."""
+        what it has besides the anchor, before or behind it. None where the
+        anchor's gram stands twice: a copy may lie around either of them."""
         c, p = r["context"], r["anchor"]
         gram = c[p: p + A.GRAM]
         if c.find(gram) != p or c.find(gram, p + 1) >= 0:
@@ -148,7 +148,9 @@ def _shards(length: int, shard_bytes: int):
     def solve(rows):
         pairs = [sides(r) for r in rows]
         left, right = Counter(p[0] for p in pairs if p), Counter(p[1] for p in pairs if p)
-        rows = [r for r, p in zip(rows, pairs) if not p or p[0][1] and left[p[0]] > 1 or p[1][1] and right[p[1]] > 1]
+        # a context with the gram twice has no sides to compare: all contexts of its anchor stay
+        open_ = {r["hash"] for r, p in zip(rows, pairs) if not p}
+        rows = [r for r, p in zip(rows, pairs) if r["hash"] in open_ or p[0][1] and left[p[0]] > 1 or p[1][1] and right[p[1]] > 1]
         if not rows:
             return
         keys = {k: i for i, k in enumerate(dict.fromkeys((r["k1"], r["k2"]) for r in rows))}
