@@ -343,3 +343,19 @@ def test_pages_template_and_elements(spark):
     assert (by[9].text, by[10].text, by[11].text, by[12].text) == ("", "", "just text & more", "unclosed")
     assert by[13].text == "Body" and by[14].text == "A" and by[20].text == "same text\n\nagain"
     assert html_extract.extract_pages(df.limit(0)).count() == 0
+
+
+def test_copies_of_an_article_keep_it(spark):
+    """Mirrors with other menus, parts under one title, and edited copies are no template."""
+    page = "<html><body><nav><p>menu {n}</p></nav><article><h1>{title}</h1>{body}</article><div>advert {n}</div><footer><p>all rights</p></footer></body></html>"
+    body = "".join(f"<p>paragraph {k} of the long story</p>" for k in range(5))
+    rows = [(i, f"http://mirror.example/{i}", page.format(n=i, title="One story", body=body)) for i in range(3)]
+    rows += [(10 + i, f"http://mirror.example/o{i}", page.format(n=10 + i, title=f"Other {i}", body=f"<p>text {i}</p>")) for i in range(5)]
+    rows += [(20 + i, f"http://parts.example/{i}", page.format(n=i, title="Long read", body=f"<p>The lead</p><p>part {i} goes on at some length</p>")) for i in range(4)]
+    rows += [(30 + i, f"http://edits.example/{i}", page.format(n=i, title=f"Title {i}", body=body + f"<p>edit {i}</p>")) for i in range(4)]
+    by = {r.page_id: r.text for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    story = [f"paragraph {k} of the long story" for k in range(5)]
+    assert all(by[i] == "\n\n".join(["One story", *story]) for i in range(3))
+    assert all(by[10 + i] == f"Other {i}\n\ntext {i}" for i in range(5))
+    assert all(by[20 + i] == f"Long read\n\nThe lead\n\npart {i} goes on at some length" for i in range(4))
+    assert all(by[30 + i] == "\n\n".join([f"Title {i}", *story, f"edit {i}"]) for i in range(4))
