@@ -359,3 +359,12 @@ def test_copies_of_an_article_keep_it(spark):
     assert all(by[10 + i] == f"Other {i}\n\ntext {i}" for i in range(5))
     assert all(by[20 + i] == f"Long read\n\nThe lead\n\npart {i} goes on at some length" for i in range(4))
     assert all(by[30 + i] == "\n\n".join([f"Title {i}", *story, f"edit {i}"]) for i in range(4))
+
+
+def test_a_word_alone_does_not_spoil_a_section_of_an_article():
+    text = lambda inner: html_extract.main_text(html_extract.parse(f"<article><p>start</p>{inner}</article>")[0], set())
+    for name in ("id='related-work'", "id='search'", "id='social-history'", "class='table-widget'", "id='relatedWork'"):
+        assert text(f"<section {name}><p>kept</p></section>") == "start\n\nkept"
+        assert text(f"<section {name}><p><a href=x>only a link</a></p></section>") == "start"
+    for name in ("id='comments'", "class='ad-slot'", "class='related-posts'", "class='shareButtons'", "class='x sidebar'"):
+        assert text(f"<div {name}><p>gone</p></div>") == "start"
