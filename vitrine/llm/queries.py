@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm.bpe import bpe_digests
+from vitrine.llm.collocation import collocations
 from vitrine.llm.exact_dedup import exact_dedup
+from vitrine.llm.fim import fim_digests
 from vitrine.llm.html_extract import extract_pages
 from vitrine.llm.line_dedup import line_dedup
 from vitrine.llm.mixing import mix_report
+from vitrine.llm.packing import pack
 from vitrine.llm.quality import quality_report
 from vitrine.llm.simhash import simhash_report
 from vitrine.llm.suffix_dedup import suffix_dedup
@@ -50,10 +53,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_report(read_table(spark, sf_dir, "documents"))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +71,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_digests(read_table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vafile_topk": op1_vafile_topk,
     "op2_toxicity": op2_toxicity,
@@ -79,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
+    "op11_fim": op11_fim,
+    "op12_collocations": op12_collocations,
+    "op13_packing": op13_packing,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -138,4 +156,37 @@ ORACLE: dict[str, str] = {
                (whole + (drawn AND rest > 0)::INT)::BIGINT AS copies,
                CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS pareto
         FROM u""",
+    "op11_fim": """
+        WITH h AS (
+            SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+                   sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents),
+        u AS (SELECT doc_id, t, n, ('0x' || substr(d, 1, 8))::BIGINT % (n + 1) AS a, ('0x' || substr(d, 9, 8))::BIGINT % (n + 1) AS b,
+                     ('0x' || substr(d, 17, 8))::BIGINT AS h3, ('0x' || substr(d, 25, 8))::BIGINT AS h4 FROM h),
+        f AS (SELECT doc_id, t, n, least(a, b) AS p, greatest(a, b) AS q,
+                     CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                          WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+        c AS (SELECT *, substr(t, 1, p) AS head, substr(t, p + 1, q - p) AS mid, substr(t, q + 1) AS tail FROM f)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars, CASE WHEN form <> 'plain' THEN q - p END AS middle_chars,
+               sha256(CASE form WHEN 'psm' THEN '<P>' || head || '<S>' || tail || '<M>' || mid
+                                WHEN 'spm' THEN '<S>' || tail || '<P>' || head || '<M>' || mid ELSE t END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM c""",
+    "op12_collocations": rf"""
+        WITH p AS (SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        w AS (SELECT doc_id, lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+        i AS (SELECT doc_id, lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+        g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f, min(doc_id) AS first_doc
+              FROM i, unnest([1, 2, 3, 4]) AS u(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM g WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, phrase, f AS a, first_doc, string_split(phrase, ' ') AS ws FROM g WHERE k > 1 AND f >= 30),
+        x AS (SELECT c.*, cut, array_to_string(ws[1:cut], ' ') AS h, array_to_string(ws[cut + 1:], ' ') AS t
+              FROM c, unnest([1, 2, 3]) AS u(cut) WHERE cut < k),
+        s AS (SELECT x.lang, x.phrase, a, x.first_doc, y.f AS l, z.f AS r, cut, ((2000000::HUGEINT * a) // (y.f + z.f))::BIGINT AS score
+              FROM x JOIN g y ON y.lang = x.lang AND y.phrase = x.h JOIN g z ON z.lang = x.lang AND z.phrase = x.t
+              QUALIFY row_number() OVER (PARTITION BY x.lang, x.phrase ORDER BY score, cut) = 1),
+        o AS (SELECT lang, array_to_string(ws[b:b + m - 1], ' ') AS phrase, max(a) AS longer
+              FROM c, unnest([2, 3]) AS u(m), unnest([1, 2, 3]) AS v(b) WHERE m < k AND b + m - 1 <= k GROUP BY ALL)
+        SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase, a, l, r, n, score, s.first_doc
+        FROM s JOIN n ON n.lang = s.lang LEFT JOIN o ON o.lang = s.lang AND o.phrase = s.phrase
+        WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a QUALIFY rank <= 2000""",
 }
