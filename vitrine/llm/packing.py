@@ -29,7 +29,7 @@ from vitrine.llm.common import text_or_empty, written
 #: Fixed values of the contract: tokens of a sequence, the id that ends a document.
 WINDOW, END = 2048, 1
 #: Tokens of a shard, texts handled at once, BM25's usual parameters.
-SHARD_TOKENS, TEXTS = 1 << 21, 256
+SHARD_TOKENS, TEXTS = 1 << 20, 256
 K1, B = 1.2, 0.75
 #: The words of byte-level vocabularies: a fixed value of that format.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -108,7 +108,8 @@ def _tokens(config: str, size: int, window: int, id_type: str):
                         add(start, window, crc(ids[start: start + window]), n, None, None, None)
                     rest = ids[n - n % window:]
                     if len(rest):
-                        terms = np.unique(rest)
+                        terms = np.sort(rest)
+                        terms = terms[np.append(True, terms[1:] != terms[:-1])]
                         held[terms] += 1
                         rows.append(i)
                         add(n - n % window, len(rest), crc(rest), n, rest.astype(id_type).tobytes(),
@@ -129,20 +130,19 @@ class Index:
     """A BM25 inverted index over the units of a shard."""
 
     def __init__(self, units: list[np.ndarray], idf: np.ndarray, mean: float):
-        found = [np.unique(u, return_counts=True) for u in units]
-        size = np.array([len(u) for u in units], np.float64)
-        self.first = np.concatenate(([0], np.cumsum([len(t) for t, _ in found])))
-        self.terms = np.concatenate([t for t, _ in found]).astype(np.int64)
-        tf = np.concatenate([c for _, c in found]).astype(np.float64)
-        unit = np.repeat(np.arange(len(units)), np.diff(self.first))
+        size = np.array([len(u) for u in units], np.int64)
+        vocabulary = len(idf)
+        held, tf = np.unique(np.repeat(np.arange(len(units)), size) * vocabulary + np.concatenate(units), return_counts=True)
+        unit, self.terms = held // vocabulary, held % vocabulary
+        self.first = np.searchsorted(unit, np.arange(len(units) + 1))
         weight = idf[self.terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[unit] / mean))
         by = np.argsort(self.terms, kind="stable")
-        self.term, self.unit, self.weight = self.terms[by], unit[by], weight[by].astype(np.float32)
-        self.n, self.vocabulary = len(units), len(idf)
+        self.term, self.unit, self.weight = self.terms[by], unit[by], weight[by]
+        self.n, self.vocabulary = len(units), vocabulary
         self._point()
 
     def _point(self):
-        self.at = np.concatenate(([0], np.cumsum(np.bincount(self.term, minlength=self.vocabulary)))).tolist()
+        self.at = np.searchsorted(self.term, np.arange(self.vocabulary + 1)).tolist()
 
     def drop(self, used: np.ndarray):
         """Forgets used units; the others' scores stay."""
@@ -151,13 +151,10 @@ class Index:
         self._point()
 
     def scores(self, u: int) -> np.ndarray:
-        """The score of every unit still held, for the terms of ``u``."""
-        out, at, unit, weight = np.zeros(self.n, np.float32), self.at, self.unit, self.weight
-        for t in self.terms[self.first[u]: self.first[u + 1]].tolist():
-            a, b = at[t], at[t + 1]
-            if a < b:
-                out[unit[a:b]] += weight[a:b]  # a unit stands once in a list
-        return out
+        """The score of every unit still held, for the terms of ``u``: its lists, added up."""
+        at = self.at
+        lists = [slice(at[t], at[t + 1]) for t in self.terms[self.first[u]: self.first[u + 1]].tolist()]
+        return np.bincount(np.concatenate([self.unit[x] for x in lists]), np.concatenate([self.weight[x] for x in lists]), self.n)
 
 
 def fill(units: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WINDOW):
