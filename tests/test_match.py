@@ -244,9 +244,11 @@ def test_block_counts_size_by_distinct_vectors_and_bytes(spark):
     tgt = _ids_vecs(spark, 3_000, "target_id", copies=2_000)
     assert _block_counts(src, tgt, 400, None, None)[1] == 8  # every row counts
     assert _block_counts(src, tgt, 400, None, None, distinct_target=True)[1] == 3
-    # the source counted from its ids alone: no vector column is read
-    ids = spark.range(40_000).selectExpr("id AS source_id")
-    assert _block_counts(src, tgt, 400, None, None, source_rows=ids)[0] == 100
+    # rows without a usable vector need no room
+    from vitrine.operators.match import usable_vectors
+
+    raw = spark.range(40_000).selectExpr("id", "CASE WHEN id % 100 = 0 THEN array(1.0D, cast(id as double)) END AS vec")
+    assert _block_counts(usable_vectors(raw, "id", "vec", "source_id"), tgt, 100, None, None)[0] == 4
     # 4-dim float64 vectors, 32 000 bytes a block: at most 1000 rows
     wide = _ids_vecs(spark, 3_000, "target_id", dim=4)
     assert _block_counts(src, wide, 50_000, None, None, block_bytes=32_000)[1] == 3

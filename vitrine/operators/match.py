@@ -26,7 +26,13 @@ Exactness: BLAS scores are not bit-stable across block shapes, so every
 candidate within ``_TOL`` of the block best is re-scored with a
 position-independent sum, and ties go to the lowest target id. Identical
 target vectors are collapsed to their lowest id before the product, which
-keeps the candidate set small even when one vector has many copies.
+keeps the candidate set small even when one vector has many copies. The
+kernel rounds a score once, to a whole number of 1e-12 (``rank``); within a
+block and across blocks winners are compared by that number alone.
+
+A cosine is defined between vectors of the same length: where a catalog holds
+several lengths, a row is compared with the other side's rows of its length,
+and has no match if there are none.
 """
 
 from __future__ import annotations
@@ -44,6 +50,7 @@ from vitrine.schema import EXCLUSIVE_SIMILARITY, NO, YES, Labels
 from vitrine.session import task_slots
 
 MATCH_SCHEMA = "source_id long, target_id long, similarity double"
+WINNER_SCHEMA = MATCH_SCHEMA + ", rank long"
 # Scores equal to 12 decimals are a tie (lowest target id wins): cosines that
 # are equal in exact arithmetic can differ in the last bit depending on how
 # the sum was formed, so "highest score" alone is not well defined.
@@ -89,13 +96,32 @@ def _collapse_copies(T: np.ndarray, tid: np.ndarray):
     return T[first], tid[first]
 
 
+def _ranks(scores: np.ndarray) -> np.ndarray:
+    """Scores as whole numbers of 10**-TIE_DECIMALS: equal numbers are ties."""
+    return np.rint(scores * 10.0**TIE_DECIMALS).astype(np.int64)
+
+
+def _by_length(sdf: pd.DataFrame, tdf: pd.DataFrame):
+    """The rows of both sides for each vector length that both have."""
+    sl, tl = sdf["vec"].map(len), tdf["vec"].map(len)
+    lengths = np.intersect1d(sl, tl)
+    if len(lengths) == 1 and sl.nunique() == 1 and tl.nunique() == 1:
+        yield sdf, tdf
+    else:
+        for n in lengths:
+            yield sdf[sl == n], tdf[tl == n]
+
+
 def block_winners(sdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
     """Best target of every source row of one block pair (pure numpy)."""
-    empty = pd.DataFrame({"source_id": pd.Series([], dtype="int64"),
-                          "target_id": pd.Series([], dtype="int64"),
-                          "similarity": pd.Series([], dtype="float64")})
-    if len(sdf) == 0 or len(tdf) == 0:
-        return empty
+    parts = [_winners(s, t) for s, t in _by_length(sdf, tdf)]
+    if not parts:
+        return pd.DataFrame({"source_id": pd.Series([], dtype="int64"), "target_id": pd.Series([], dtype="int64"),
+                             "similarity": pd.Series([], dtype="float64"), "rank": pd.Series([], dtype="int64")})
+    return parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+
+
+def _winners(sdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
     S = _unit_matrix(sdf["vec"])
     sid = sdf["source_id"].to_numpy(dtype=np.int64)
     T, tid = _collapse_copies(_unit_matrix(tdf["vec"]), tdf["target_id"].to_numpy(dtype=np.int64))
@@ -112,27 +138,33 @@ def block_winners(sdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
             r, c = np.nonzero(G >= (best - _TOL)[:, None])
             r = rows_live[r]
             exact = _exact_scores(Sc, T, r, c)
-            o = np.lexsort((tid[c], -np.round(exact, TIE_DECIMALS), r))
+            rank = _ranks(exact)
+            o = np.lexsort((tid[c], -rank, r))
             rs = r[o]
             keep = o[np.r_[True, rs[1:] != rs[:-1]]]
             parts.append(pd.DataFrame({"source_id": sid[i0 + r[keep]],
                                        "target_id": tid[c[keep]],
-                                       "similarity": exact[keep]}))
+                                       "similarity": exact[keep],
+                                       "rank": rank[keep]}))
         if (~live).any():
             # a zero vector scores 0 against every target: lowest id wins
             z = np.nonzero(~live)[0]
             parts.append(pd.DataFrame({"source_id": sid[i0 + z],
                                        "target_id": np.full(len(z), tid[0], dtype=np.int64),
-                                       "similarity": np.zeros(len(z))}))
-    return pd.concat(parts, ignore_index=True) if parts else empty
+                                       "similarity": np.zeros(len(z)),
+                                       "rank": np.zeros(len(z), dtype=np.int64)}))
+    return pd.concat(parts, ignore_index=True)
 
 
 def block_pairs_above(sdf: pd.DataFrame, tdf: pd.DataFrame, threshold: float):
     """Every (source, target) pair of one block pair scoring >= threshold,
     yielded per score chunk: a low threshold can let every pair through,
     so the output is never gathered for the whole block pair."""
-    if len(sdf) == 0 or len(tdf) == 0:
-        return
+    for s, t in _by_length(sdf, tdf):
+        yield from _above(s, t, threshold)
+
+
+def _above(sdf: pd.DataFrame, tdf: pd.DataFrame, threshold: float):
     S = _unit_matrix(sdf["vec"])
     T = _unit_matrix(tdf["vec"])
     sid = sdf["source_id"].to_numpy(dtype=np.int64)
@@ -153,18 +185,18 @@ def block_pairs_above(sdf: pd.DataFrame, tdf: pd.DataFrame, threshold: float):
 # ---------------------------------------------------------------------------
 
 
-def _vectors(df: DataFrame, id_col: str, vector_col: str, name: str) -> DataFrame:
-    """Rows with a usable vector: one that is null, empty, or holds a null,
+def usable_vectors(df: DataFrame, id_col: str, vector_col: str, name: str) -> DataFrame:
+    """``name``, ``vec``: rows with a usable vector. One that is null, empty, or holds a null,
     NaN or infinite element counts as missing (a cosine is not defined)."""
-    bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
+    # NaN is above infinity in Spark's order, so one comparison serves
+    finite = F.forall("vec", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
     return df.select(F.col(id_col).cast("long").alias(name), F.col(vector_col).alias("vec")).where(
-        F.col("vec").isNotNull() & (F.size("vec") > 0) & ~bad
+        F.col("vec").isNotNull() & (F.size("vec") > 0) & finite
     )
 
 
 def _block_counts(s: DataFrame, t: DataFrame, rows_per_block: int, ns: int | None, nt: int | None,
-                  on_empty: str = "empty", distinct_target: bool = False, block_bytes: int = BLOCK_BYTES,
-                  source_rows: DataFrame | None = None):
+                  on_empty: str = "empty", distinct_target: bool = False, block_bytes: int = BLOCK_BYTES):
     """Blocks per side so that a block holds about ``rows_per_block`` rows
     and at most ``block_bytes`` of float64 vectors.
 
@@ -173,20 +205,15 @@ def _block_counts(s: DataFrame, t: DataFrame, rows_per_block: int, ns: int | Non
     vector. For the top-1 match the target count is the number of
     *distinct* vectors (copies are collapsed before the product), estimated
     by HyperLogLog over the vector hash, so sizing shuffles only per-task
-    sketches, never the vectors. With ``source_rows`` (the source's rows,
-    e.g. its ids) the source side is counted without reading its vectors:
-    an upper bound, as rows without a vector are dropped later, which only
-    makes source blocks smaller. Block counts change the speed, not the
+    sketches, never the vectors. Rows without a usable vector count on
+    neither side. Block counts change the speed, not the
     result, which is exact for any layout. Source blocks are added until
     the block grid can occupy ``defaultParallelism`` task slots (each source
     block keeps at least ``_MIN_SOURCE_BLOCK`` rows)."""
     if ns and nt and on_empty != "error":
         return ns, nt
-    if source_rows is not None and on_empty != "error":
-        # no source vectors are read: the count needs rows, not vectors
-        src_side = source_rows.select(F.lit(True).alias("_src"), F.lit(None).cast(dict(t.dtypes)["vec"]).alias("vec"))
-    else:  # exact: "error" must know whether any source row has a vector
-        src_side = s.select(F.lit(True).alias("_src"), "vec")
+    # a count of the rows that have a vector (of a Parquet source, their null flags and lengths)
+    src_side = s.select(F.lit(True).alias("_src"), F.lit(None).cast(dict(t.dtypes)["vec"]).alias("vec"))
     tagged = src_side.unionByName(t.select(F.lit(False).alias("_src"), "vec"))
     src, vec = F.col("_src"), F.col("vec")
     n_t = F.approx_count_distinct(F.when(~src, F.xxhash64(vec)), _HLL_RSD) if distinct_target else F.count_if(~src)
@@ -232,16 +259,18 @@ def _block_pairs(s: DataFrame, t: DataFrame, ns: int, nt: int):
     return rows.sortWithinPartitions("bp") if per_task > 1 else rows
 
 
-def _per_block_pair(batches, kernel):
+def _per_block_pair(batches, kernel, extra=()):
     """Run ``kernel(source_frame, target_frame)`` on each block pair of a
-    task's row stream (ordered by ``bp``); only one block pair is held."""
+    task's row stream (ordered by ``bp``); only one block pair is held. The
+    frames have the id, the vector and the ``extra`` columns."""
     pieces, current = [], None
+    cols = ["id", "vec", *extra]
 
     def flush():
         df = pd.concat(pieces, ignore_index=True)
         side = df["side"].to_numpy()
-        sdf = df.loc[side == 0, ["id", "vec"]].rename(columns={"id": "source_id"})
-        tdf = df.loc[side == 1, ["id", "vec"]].rename(columns={"id": "target_id"})
+        sdf = df.loc[side == 0, cols].rename(columns={"id": "source_id"})
+        tdf = df.loc[side == 1, cols].rename(columns={"id": "target_id"})
         out = kernel(sdf.reset_index(drop=True), tdf.reset_index(drop=True))
         # a kernel returns one frame or yields several (bounded chunks)
         return [out] if isinstance(out, pd.DataFrame) else out
@@ -261,9 +290,50 @@ def _per_block_pair(batches, kernel):
         yield from (o for o in flush() if len(o))
 
 
-def _match_blocks(s: DataFrame, t: DataFrame, ns: int, nt: int, kernel) -> DataFrame:
+def _match_blocks(s: DataFrame, t: DataFrame, ns: int, nt: int, kernel, schema: str = MATCH_SCHEMA) -> DataFrame:
     rows = _block_pairs(s, t, ns, nt)
-    return rows.mapInPandas(lambda it: _per_block_pair(it, kernel), schema=MATCH_SCHEMA)
+    return rows.mapInPandas(lambda it: _per_block_pair(it, kernel), schema=schema)
+
+
+def match_by_key(sources: DataFrame, targets: DataFrame, wanted: dict[int, int], held: dict[int, int], rows: int,
+                 kernel, schema: str = MATCH_SCHEMA) -> DataFrame:
+    """``kernel`` on the sources and targets of each ``key`` (columns
+    ``source_id``/``target_id``, ``vec``, ``key``), given how many rows of either
+    side a key has (``wanted``, ``held``). A key's rows are cut into blocks of about
+    ``rows`` rows by id hash, so a key that most rows share is many block pairs; pairs are
+    numbered and placed as in the plain match, small ones several to a task."""
+    spark = sources.sparkSession
+    grid, pairs, moved = [], 0, 0
+    for key, n in sorted(wanted.items()):
+        ns, nt = math.ceil(n / rows), math.ceil(held.get(key, 0) / rows)
+        if ns and nt:
+            grid.append((key, pairs, ns, nt))
+            pairs += ns * nt
+            moved += n * nt + held[key] * ns
+    if not grid:
+        return spark.createDataFrame([], schema)
+    if pairs >= 2**31:
+        raise ValueError(f"{pairs} block pairs: raise rows_per_block")
+    table = spark.createDataFrame(grid, "key long, base long, ns long, nt long")
+
+    def side(df, k, name, own, other):
+        block = F.pmod(F.xxhash64(name), F.col(own))
+        out = df.join(table, "key").select(
+            F.lit(k).alias("side"), F.col(name).alias("id"), "vec", "key", "base", "nt", block.alias(own[1] + "b"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other[1] + "b"))
+        return out.select("side", "id", "vec", "key", (F.col("base") + F.col("sb") * F.col("nt") + F.col("tb")).cast("int").alias("bp"))
+
+    both = side(sources, 0, "source_id", "ns", "nt").unionByName(side(targets, 1, "target_id", "nt", "ns"))
+    wide = max(3 * task_slots(spark), int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    parts = min(pairs, max(wide, math.ceil(moved / (2 * rows))))  # a task gets a few blocks' rows at most
+    placed = both.repartitionById(parts, "bp").sortWithinPartitions("bp")
+    return placed.mapInPandas(lambda it: _per_block_pair(it, kernel, ("key",)), schema=schema)
+
+
+def best_of(winners: DataFrame) -> DataFrame:
+    """The best of several winners per source: highest rank, then lowest target id."""
+    pick = F.max_by(F.struct("target_id", "similarity", "rank"), F.struct("rank", -F.col("target_id")))
+    return winners.groupBy("source_id").agg(pick.alias("m")).select("source_id", "m.target_id", "m.similarity", "m.rank")
 
 
 def best_match(
@@ -277,34 +347,34 @@ def best_match(
     target_blocks: int | None = None,
     on_empty: str = "empty",
     block_bytes: int = BLOCK_BYTES,
+    with_rank: bool = False,
 ) -> DataFrame:
     """C1 + E4: for each source row with a vector, the target with the
     highest cosine (H17); ties (equal to ``TIE_DECIMALS`` decimals) go to the
     lowest target id.
 
-    Returns ``source_id, target_id, similarity``. Sources get no row when the
+    Returns ``source_id, target_id, similarity`` (and ``rank``, the score that
+    ties are decided by, if asked for). Sources get no row when the
     target side is empty (callers left-join, see C7); ``on_empty="error"``
     raises instead, as the pairing stage of the reference does.
 
-    Block sizing reads the source's ids and the target's vectors once
-    before the match reads both again: pass tables, or materialise computed
+    Block sizing reads both sides' vectors once
+    before the match reads them again: pass tables, or materialise computed
     vectors first (``embed_table``, ``session.cut_lineage``) so an encoder
     does not run twice.
     """
-    s = _vectors(source, id_col, vector_col, "source_id")
-    t_all = _vectors(target, id_col, vector_col, "target_id")
+    s = usable_vectors(source, id_col, vector_col, "source_id")
+    t_all = usable_vectors(target, id_col, vector_col, "target_id")
     ns, nt = _block_counts(s, t_all, rows_per_block, source_blocks, target_blocks, on_empty,
-                           distinct_target=True, block_bytes=block_bytes, source_rows=source.select(id_col))
+                           distinct_target=True, block_bytes=block_bytes)
     # identical target vectors can only tie, and the lowest id wins a tie:
     # keep one row per distinct vector before replication (partial
     # aggregation collapses a vector with millions of copies map-side)
     t = t_all.groupBy("vec").agg(F.min("target_id").alias("target_id"))
-    winners = _match_blocks(s, t, ns, nt, block_winners)
-    if nt == 1:
-        return winners
-    rank = F.struct(F.round("similarity", TIE_DECIMALS), -F.col("target_id"))
-    pick = F.max_by(F.struct("target_id", "similarity"), rank)
-    return winners.groupBy("source_id").agg(pick.alias("m")).select("source_id", "m.target_id", "m.similarity")
+    winners = _match_blocks(s, t, ns, nt, block_winners, WINNER_SCHEMA)
+    # with one target block every source has one winner already
+    winners = winners if nt == 1 else best_of(winners)
+    return winners if with_rank else winners.drop("rank")
 
 
 def similarity_pairs(
@@ -326,10 +396,9 @@ def similarity_pairs(
     chunks, so its memory does not grow with them; the result does: up to
     source rows times target rows when the threshold lets everything
     through. Give a threshold that few pairs reach, or aggregate the rows."""
-    s = _vectors(source, id_col, vector_col, "source_id")
-    t = _vectors(target, id_col, vector_col, "target_id")
-    ns, nt = _block_counts(s, t, rows_per_block, source_blocks, target_blocks, block_bytes=block_bytes,
-                           source_rows=source.select(id_col))
+    s = usable_vectors(source, id_col, vector_col, "source_id")
+    t = usable_vectors(target, id_col, vector_col, "target_id")
+    ns, nt = _block_counts(s, t, rows_per_block, source_blocks, target_blocks, block_bytes=block_bytes)
     return _match_blocks(s, t, ns, nt, lambda a, b: block_pairs_above(a, b, threshold))
 
 

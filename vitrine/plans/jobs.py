@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from vitrine.functions import parse_price
 from vitrine.functions.encoder import encode_titles
 from vitrine.operators.checks import validate_run
-from vitrine.operators.match import best_match
+from vitrine.operators.incremental import RefreshedMatch, refresh_match
+from vitrine.operators.match import WINNER_SCHEMA, best_match
 from vitrine.operators.metrics import report_statistics
 from vitrine.plans.reports import (
     analytical_report,
@@ -32,6 +33,7 @@ from vitrine.plans.reports import (
 from vitrine.schema import DEFAULT_MATCH_THRESHOLD, Labels, Levels
 from vitrine.session import cut_lineage
 from vitrine.sources.sinks import export_report, register_view
+from vitrine.sources.versions import VersionedTables
 
 
 @dataclass(frozen=True)
@@ -40,7 +42,7 @@ class ComparisonRun:
     business: DataFrame  # K2
     exclusives_count: DataFrame  # K7 / D3
     exclusives: DataFrame  # K7 / B10
-    analytical_path: str  # the result table (parquet)
+    analytical_path: str  # the result table's folder (parquet) in this run's version
     exports: dict  # report name -> CSV folder
 
 
@@ -70,9 +72,11 @@ def _numeric_price(df: DataFrame) -> DataFrame:
     return df.withColumn("price", parse_price("price", "first_token")) if dict(df.dtypes)["price"] == "string" else df
 
 
-def _save(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _save(df: DataFrame, path: str) -> tuple[DataFrame, str]:
+    """The result as the next version of its table; (rows, folder of that version)."""
+    table = VersionedTables(df.sparkSession, path)
+    number = table.commit(rows=df)
+    return table.read("rows", number), table.location("rows", number)
 
 
 def compare_catalogs(source: DataFrame, target: DataFrame, out_dir: str,
@@ -90,7 +94,7 @@ def compare_catalogs(source: DataFrame, target: DataFrame, out_dir: str,
     s = _with_vectors(_numeric_price(source), dim, encoder, "vectors-source")
     t = _with_vectors(_numeric_price(target), dim, encoder, "vectors-target")
     best = cut_lineage(best_match(s, t), "best-match")
-    analytical = _save(analytical_report(s, t, threshold, best=best, ordered=False), f"{base}/analytical")
+    analytical, saved = _save(analytical_report(s, t, threshold, best=best, ordered=False), f"{base}/analytical")
     business = business_report(analytical, labels)
     exports = {
         "analytical": export_report(analytical.orderBy(F.desc("similarity"), "source_id"),
@@ -98,7 +102,7 @@ def compare_catalogs(source: DataFrame, target: DataFrame, out_dir: str,
         "business": export_report(business.orderBy("source_id", "side"), f"{base}/business_csv", hidden=[]),
     }
     count, listing = exclusives_summary(business)
-    return ComparisonRun(analytical, business, count, listing, f"{base}/analytical", exports)
+    return ComparisonRun(analytical, business, count, listing, saved, exports)
 
 
 def benchmark_catalogs(source: DataFrame, target: DataFrame, out_dir: str, labels: Labels = Labels(),
@@ -112,8 +116,36 @@ def benchmark_catalogs(source: DataFrame, target: DataFrame, out_dir: str, label
     base = out_dir.rstrip("/")
     s = _with_vectors(source, dim, encoder, "vectors-source")
     t = _with_vectors(target, dim, encoder, "vectors-target")
-    bench = _save(benchmark_table(s, t, labels, levels, ordered=False), f"{base}/benchmark")
+    bench, saved = _save(benchmark_table(s, t, labels, levels, ordered=False), f"{base}/benchmark")
+    return _report_benchmark(bench, saved, base, labels, view)
+
+
+def _report_benchmark(bench: DataFrame, saved: str, base: str, labels: Labels, view: str) -> BenchmarkRun:
     visible, hidden = report_columns(bench.drop("pair_id", "product_id", "partner_price"))
     export = export_report(bench.select(*visible, *hidden), f"{base}/benchmark_csv", hidden=hidden)
     name = register_view(bench, view)
-    return BenchmarkRun(bench, report_statistics(bench, labels), name, f"{base}/benchmark", export)
+    return BenchmarkRun(bench, report_statistics(bench, labels), name, saved, export)
+
+
+def refresh_benchmark(source: DataFrame, target: DataFrame, out_dir: str, labels: Labels = Labels(), levels: Levels = Levels(),
+                      view: str = "benchmark_pairs", dim: int = 64, encoder=None) -> tuple[BenchmarkRun, RefreshedMatch]:
+    """The benchmark run of a day, from the match of the day before.
+
+    ``<out_dir>/match`` holds, as one version, the winners and the vectors that they come
+    from. The match is refreshed from the newest version (all of it is new in the first
+    run), committed as the next, and the benchmark table built from it. A run that dies leaves
+    the last version in place and the next one starts from that; two runs at once conflict."""
+    validate_run(source, target, DEFAULT_MATCH_THRESHOLD, levels, columns=CATALOG_COLUMNS)
+    base = out_dir.rstrip("/")
+    s = _with_vectors(source, dim, encoder, "vectors-source")
+    t = _with_vectors(target, dim, encoder, "vectors-target")
+    kept = VersionedTables(source.sparkSession, f"{base}/match")
+    last = max(kept.versions(), default=0)
+    now = {"source": s.select("product_id", "embedding"), "target": t.select("product_id", "embedding")}
+    before = {k: kept.read(k, last) if last else df.limit(0) for k, df in now.items()}
+    winners = kept.read("winners", last) if last else source.sparkSession.createDataFrame([], WINNER_SCHEMA)
+    match = refresh_match(winners, before["source"], now["source"], before["target"], now["target"])
+    number = kept.commit(expected=last, winners=match.best, **now)
+    best = kept.read("winners", number).drop("rank")
+    bench, saved = _save(benchmark_table(s, t, labels, levels, best=best, ordered=False), f"{base}/benchmark")
+    return _report_benchmark(bench, saved, base, labels, view), match

@@ -200,6 +200,7 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["best_match"] = w(PRODUCTS, BEST) + "SELECT source_id, target_id, round(similarity, 6) AS similarity FROM best"
 ORACLE["best_match_blocked"] = ORACLE["best_match"]
+ORACLE["best_match_pruned"] = ORACLE["best_match"]
 ORACLE["similarity_pairs"] = w(PRODUCTS, BEST) + (
     "SELECT source_id, target_id, round(similarity, 6) AS similarity FROM scores WHERE similarity >= 0.35")
 ORACLE["analytical_report"] = w(PRODUCTS, BEST, K1) + (
@@ -478,6 +479,25 @@ best AS (SELECT * FROM scores
          QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY round(similarity, 12) DESC, target_id) = 1)""",
 ) + "SELECT source_id, target_id, round(similarity, 6) AS similarity FROM best"
 
+_TODAY = PRODUCTS.replace("marketplace = 'A'", "marketplace = 'A' AND product_id % 13 <> 0").replace(
+    "marketplace = 'B'", "marketplace = 'B' AND product_id % 13 <> 0")
+ORACLE["refresh_match"] = w(_TODAY, BEST) + "SELECT source_id, target_id, round(similarity, 6) AS similarity FROM best"
+ORACLE["benchmark_refreshed"] = ORACLE["benchmark_table"].replace(PRODUCTS, _TODAY)
+ORACLE["versioned_table"] = """
+SELECT 1 AS version, p_partkey, p_name, NULL::VARCHAR AS price_text FROM part WHERE p_size % 3 = 0
+UNION ALL SELECT 2, p_partkey, NULL, CAST(CAST(p_retailprice AS DECIMAL(18, 2)) AS VARCHAR) FROM part"""
+ORACLE["category_table"] = """
+WITH k AS (SELECT unnest(string_split(p_name, ' ')) AS keyword, p_type AS category FROM part
+           UNION ALL SELECT p_brand, 'brand ' || p_brand FROM part),
+r AS (SELECT keyword, min(category) AS category, count(*) AS priority FROM k GROUP BY keyword),
+t AS (SELECT p_partkey, CASE WHEN p_size % 10 <> 0 THEN concat_ws(' ', p_type, p_brand, p_name) END AS title FROM part),
+f AS (SELECT p_partkey, r.category FROM t JOIN r ON contains(t.title, r.keyword)
+      QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY priority, keyword) = 1)
+SELECT t.p_partkey, title, coalesce(category, 'Outros') AS category FROM t LEFT JOIN f USING (p_partkey)"""
+ORACLE["csv_lines"] = "SELECT doc_id, text, source FROM documents WHERE doc_id IS NOT NULL"
+ORACLE["match_encoded_pruned"] = ORACLE["match_encoded"]
+ORACLE["similarity_pairs_bounded"] = ORACLE["match_encoded"].rpartition("SELECT source_id")[0] + (
+    "SELECT source_id, target_id, round(similarity, 6) AS similarity FROM scores WHERE similarity >= 0.85")
 
 ORACLE["ingest_cards"] = w(PAGE_KEYS) + f"""
 , st AS (SELECT page_id, url, CAST(unnest(range(1, len(c) + 1)) AS INTEGER) AS pos, unnest(c) AS card

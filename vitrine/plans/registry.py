@@ -26,7 +26,12 @@ from vitrine.functions.encoder import encode_titles
 from vitrine.operators import metrics as M
 from vitrine.operators.dedupe import keep_cheapest, keep_cheapest_exact, pair_difference
 from vitrine.operators.filters import keep_priced
+from vitrine.operators.keywords import categorise
+from vitrine.operators.incremental import refresh_match
 from vitrine.operators.match import best_match, matched_pairs, pair_rows, similarity_pairs, unmatched_targets
+from vitrine.operators.pruned import best_match_pruned
+from vitrine.operators.threshold import similarity_pairs_bounded
+from vitrine.plans import jobs as J
 from vitrine.plans import reports as R
 from vitrine.session import cut_lineage, ensure_checkpoint_dir
 from vitrine.sources import cards as C
@@ -38,8 +43,8 @@ from vitrine.sources.tables import (
     read_table,
     scan_feed,
     scan_with_suffix,
-    split_catalogs,
 )
+from vitrine.sources.versions import VersionedTables
 from vitrine.schema import BENCHMARK, Labels, Levels
 
 # Parameters of the test-data queries. The best cosine in the given
@@ -48,6 +53,7 @@ from vitrine.schema import BENCHMARK, Labels, Levels
 LABELS = Labels("A", "B", "https://a.example", "https://b.example")
 THRESHOLD = 0.35
 LEVELS = Levels(very=0.45, moderate=0.35)
+ENCODED_THRESHOLD = 0.85  # of title vectors
 CATEGORY_TEMPLATE = "https://shop.example/{category}/?page={{}}"
 
 
@@ -56,9 +62,8 @@ def r6(c):
 
 
 def _catalogs(spark: SparkSession, sf: str):
-    cat = products(spark, sf, LABELS)
-    s, t = split_catalogs(cat, LABELS)
-    return cat, s, t
+    """The whole listing and its two catalogs; each is joined from its own half of both tables."""
+    return products(spark, sf, LABELS), products(spark, sf, LABELS, parity=0), products(spark, sf, LABELS, parity=1)
 
 
 def _best(spark, sf):
@@ -177,6 +182,61 @@ def q_similarity_pairs(spark, sf):
     return _rounded(similarity_pairs(s, t, THRESHOLD))
 
 
+def q_best_match_pruned(spark, sf):
+    """The pruned match itself: ``max_share`` keeps the plain one out, whatever the bounds skip here."""
+    _, s, t = _catalogs(spark, sf)
+    return _rounded(best_match_pruned(s, t, max_share=float("inf")))
+
+
+def _encoded(spark, sf):
+    _, s, t = _catalogs(spark, sf)
+    return [cut_lineage(encode_titles(d.drop("embedding"), "title", dim=64).select("product_id", "embedding"), "encoded") for d in (s, t)]
+
+
+def q_match_encoded_pruned(spark, sf):
+    return _rounded(best_match_pruned(*_encoded(spark, sf), max_share=float("inf")))
+
+
+def q_similarity_pairs_bounded(spark, sf):
+    """Title vectors are sparse: pairs of nearly the same title, found through the lists of trigram buckets."""
+    return _rounded(similarity_pairs_bounded(*_encoded(spark, sf), ENCODED_THRESHOLD, max_share=float("inf")))
+
+
+def _day_before(catalog: DataFrame) -> DataFrame:
+    """The catalog of a day before: some products missing, some with another vector, some that are gone by now."""
+    other = F.when(F.col("product_id") % 11 == 0, F.reverse("embedding")).otherwise(F.col("embedding"))
+    return catalog.where(F.col("product_id") % 7 != 0).withColumn("embedding", other)
+
+
+def _today(catalog: DataFrame) -> DataFrame:
+    return catalog.where(F.col("product_id") % 13 != 0)
+
+
+def q_refresh_match(spark, sf):
+    """The match of today's catalogs from that of the day before and what changed."""
+    _, s, t = _catalogs(spark, sf)
+    state = cut_lineage(best_match(_day_before(s), _day_before(t), with_rank=True), "best-match")
+    return _rounded(refresh_match(state, _day_before(s), _today(s), _day_before(t), _today(t)).best.drop("rank"))
+
+
+def q_benchmark_refreshed(spark, sf):
+    """K4 on two days: the second run refreshes the first one's committed match."""
+    _, s, t = _catalogs(spark, sf)
+    out = _scratch(spark, "benchmark-days")
+    J.refresh_benchmark(_day_before(s), _day_before(t), out, LABELS, LEVELS)
+    return _rounded(J.refresh_benchmark(_today(s), _today(t), out, LABELS, LEVELS)[0].benchmark)
+
+
+def q_versioned_table(spark, sf):
+    """A table committed twice, with another schema; the first version stays readable."""
+    p = read_table(spark, sf, "part")
+    table = VersionedTables(spark, _scratch(spark, "result"))
+    one = table.commit(rows=p.where("p_size % 3 = 0").select("p_partkey", "p_name", "p_retailprice"))
+    table.commit(rows=p.select("p_partkey", F.col("p_retailprice").cast("decimal(18,2)").cast("string").alias("price_text"), "p_size"))
+    old = table.read("rows", one).select(F.lit(1).alias("version"), "p_partkey", "p_name", F.lit(None).cast("string").alias("price_text"))
+    return old.unionByName(table.read("rows").select(F.lit(2).alias("version"), "p_partkey", F.lit(None).cast("string").alias("p_name"), "price_text"))
+
+
 def q_analytical_report(spark, sf):
     return _rounded(_analytical(spark, sf, ordered=True))
 
@@ -409,6 +469,24 @@ def q_category_keywords(spark, sf):
     return p.select("p_partkey", title.alias("title")).withColumn("category", category_from_title("title"))
 
 
+def q_category_table(spark, sf):
+    """H12 by a rule table: every brand, and every word of a part's name, is a keyword."""
+    p = read_table(spark, sf, "part")
+    words = p.select(F.explode(F.split("p_name", " ")).alias("keyword"), F.col("p_type").alias("category"))
+    brands = p.select(F.col("p_brand").alias("keyword"), F.concat(F.lit("brand "), "p_brand").alias("category"))
+    rules = words.unionByName(brands).groupBy("keyword").agg(F.min("category").alias("category"), F.count("*").alias("priority"))
+    titles = p.select("p_partkey", F.when(F.col("p_size") % 10 != 0, F.concat_ws(" ", "p_type", "p_brand", "p_name")).alias("title"))
+    return categorise(titles, rules)
+
+
+def q_csv_lines(spark, sf):
+    """A10 over texts with line breaks, quotes and commas: whole documents as CSV and back."""
+    d = read_table(spark, sf, "documents").where("doc_id IS NOT NULL").select("doc_id", "text", "source")
+    path = _scratch(spark, "documents-csv")
+    d.write.option("header", True).options(**SK.CSV).csv(path)
+    return SK.read_csv(spark, path, d.schema, **SK.CSV_BLANKS)
+
+
 def q_ingest_cards(spark, sf):
     """The article is the card, its heading the title, the page's address the link."""
     pg = _page_keys(read_table(spark, sf, "pages"), "url").withColumn("failed", F.coalesce(F.col("html") == "", F.lit(True)))
@@ -545,18 +623,21 @@ def q_encode_titles(spark, sf):
 
 
 def q_match_encoded(spark, sf):
-    cat, s, t = _catalogs(spark, sf)
     # J1 -> J2 -> C1: the vectors are written once (the match reads its
     # inputs twice, for block sizing and for the products)
-    se = cut_lineage(encode_titles(s.drop("embedding"), "title", dim=64).select("product_id", "embedding"), "encoded")
-    te = cut_lineage(encode_titles(t.drop("embedding"), "title", dim=64).select("product_id", "embedding"), "encoded")
-    return _rounded(best_match(se, te))
+    return _rounded(best_match(*_encoded(spark, sf)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "best_match": q_best_match,
     "best_match_blocked": q_best_match_blocked,
+    "best_match_pruned": q_best_match_pruned,
+    "match_encoded_pruned": q_match_encoded_pruned,
     "similarity_pairs": q_similarity_pairs,
+    "similarity_pairs_bounded": q_similarity_pairs_bounded,
+    "refresh_match": q_refresh_match,
+    "benchmark_refreshed": q_benchmark_refreshed,
+    "versioned_table": q_versioned_table,
     "analytical_report": q_analytical_report,
     "business_report": q_business_report,
     "match_report": q_match_report,
@@ -616,6 +697,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_scan": q_feed_scan,
     "rows_not_empty": q_rows_not_empty,
     "category_keywords": q_category_keywords,
+    "category_table": q_category_table,
+    "csv_lines": q_csv_lines,
     "encode_titles": q_encode_titles,
     "match_encoded": q_match_encoded,
 }

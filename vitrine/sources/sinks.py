@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrine.schema import BENCHMARK, BENCHMARK_HIDDEN, BENCHMARK_VISIBLE
+from vitrine.sources.csv_records import read_csv
 
 VISIBLE_REPORT = T.StructType([f for f in BENCHMARK.fields if f.name in BENCHMARK_VISIBLE])
 
@@ -35,7 +36,8 @@ def register_view(df: DataFrame, name: str) -> str:
 
 
 #: CSV dialect of exported reports.
-CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+CSV_BLANKS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+CSV = {"quote": '"', "escape": '"', **CSV_BLANKS}
 
 
 def export_report(df: DataFrame, path: str, hidden=None, fmt: str = "csv") -> str:
@@ -58,8 +60,8 @@ def read_report(spark: SparkSession, path: str, schema: T.StructType = VISIBLE_R
     exported, visible ones by default), rows whose every field is empty
     dropped."""
     if fmt == "csv":
-        # a title may hold line breaks: a file is then read by one task (use fmt="parquet" for large reports)
-        df = spark.read.option("header", True).options(**CSV, multiLine=True, mode="FAILFAST").schema(schema).csv(path)
+        # a title may hold line breaks: records are cut by counting quotes, so large files are read by many tasks
+        df = read_csv(spark, path, schema, **CSV_BLANKS)
     else:
         df = spark.read.format(fmt).load(path)
     return drop_empty_rows(df)

@@ -20,17 +20,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def products(spark: SparkSession, sf_dir: str, labels: Labels = Labels("A", "B")) -> DataFrame:
+def products(spark: SparkSession, sf_dir: str, labels: Labels = Labels("A", "B"), parity: int | None = None) -> DataFrame:
     """Products view over the driver tables: one product per part or vector.
 
     ``embeddings FULL JOIN part ON vec_id = p_partkey``: a part without a
     vector keeps a null vector, a vector without a part a null title, price
     and url. Even ids form the source catalog, odd ids the target catalog.
     ``name`` is the bare part name (a title shared by many listings, for
-    de-duplication).
+    de-duplication). ``parity`` gives one of the two catalogs, filtered on
+    either side of the join.
     """
     e = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
+    if parity is not None:
+        even = F.col("vec_id") % 2 == 0, F.col("p_partkey") % 2 == 0
+        e, p = (d.where(x if parity == 0 else ~x) for d, x in zip((e, p), even))
     j = e.join(p, e.vec_id == p.p_partkey, "full").withColumn("product_id", F.coalesce("vec_id", "p_partkey"))
     return j.select(
         "product_id",
