@@ -72,3 +72,12 @@ def test_plain_version_where_bounds_do_not_help(spark):
         got = TH.pairs_bounded(s, t, threshold)
         assert not got.bounded and rows(got.pairs) == rows(similarity_pairs(s, t, threshold))
     assert rows(TH.similarity_pairs_bounded(frame(spark, []), t, 0.5)) == []
+
+
+def test_copies_are_compared_once(spark):
+    rng = np.random.default_rng(8)
+    a = sparse(rng, 30, 50, 4)
+    a[10:] = a[0]
+    s, t = frame(spark, a), frame(spark, a[::-1], 100)
+    got = TH.pairs_bounded(s, t, 0.8)
+    assert got.bounded and got.listed <= 11 * 11 * 4 and rows(got.pairs) == rows(similarity_pairs(s, t, 0.8))

@@ -15,6 +15,9 @@ qualifying pair meets in the list of some dimension:
 - the rest are multiplied and, where they reach it, re-scored exactly as the plain
   version does, so the rows are the same.
 
+Copies of a vector are compared once: pairs are found between different vectors
+and then given to all rows that hold them.
+
 Each dimension is a group of block pairs (``match.match_by_key``); a dimension
 that most vectors have is cut into many. Where the lists hold more pairs than ``max_share`` of
 all (dense vectors, low thresholds), the plain version runs instead.
@@ -49,7 +52,7 @@ _ROWS = 4_096  # rows that a kernel looks at together
 class BoundedPairs:
     pairs: DataFrame  #: source_id, target_id, similarity
     products: int  #: pairs of the plain version
-    listed: int  #: pairs that meet in a list: at most so many are multiplied
+    listed: int  #: pairs of different vectors that meet in a list: at most so many are multiplied
     bounded: bool  #: False: the plain version ran
 
 
@@ -114,6 +117,19 @@ def list_pairs(order: np.ndarray, threshold: float):
     return kernel
 
 
+def _collapsed(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame, int]:
+    """One row per different vector (under its least id), the rows behind each, and their number."""
+    one = cut_lineage(rows.groupBy("vec").agg(F.min(name).alias(name)), "list-vectors")
+    members = rows.join(one.withColumnRenamed(name, "rep"), "vec").select(F.col("rep").alias("m_" + name), F.col(name).alias("a_" + name))
+    return one, members, one.count()
+
+
+def _expanded(pairs: DataFrame, name: str, members: DataFrame) -> DataFrame:
+    """Pairs of vectors as pairs of all rows that hold them, on one side."""
+    other = [c for c in pairs.columns if c != name]
+    return pairs.join(members, pairs[name] == members["m_" + name]).select(F.col("a_" + name).alias(name), *other)
+
+
 def pairs_bounded(source: DataFrame, target: DataFrame, threshold: float, *, id_col: str = "product_id",
                   vector_col: str = "embedding", rows_per_block: int = 50_000, block_bytes: int = BLOCK_BYTES,
                   max_share: float = 0.5) -> BoundedPairs:
@@ -135,7 +151,8 @@ def pairs_bounded(source: DataFrame, target: DataFrame, threshold: float, *, id_
     if threshold <= 0 or not total or len({r[k] for r in size for k in ("a", "b")}) > 1:
         return plain(total)
     dims = size[0].a
-    vectors = s.select("vec").unionByName(t.select("vec"))
+    (s1, of_s, n_s), (t1, of_t, n_t) = _collapsed(s, "source_id"), _collapsed(t, "target_id")
+    vectors = s1.select("vec").unionByName(t1.select("vec"))
     # one row per dimension
     n = {r.dim: r.n for r in vectors.mapInPandas(_nonzero, "dim long, n long").groupBy("dim").agg(F.sum("n").alias("n")).collect()}
     order = np.array(sorted(range(dims), key=lambda d: (n.get(d, 0), d)), np.int64)
@@ -144,7 +161,7 @@ def pairs_bounded(source: DataFrame, target: DataFrame, threshold: float, *, id_
         schema = f"{name} long, vec {dict(df.dtypes)['vec']}, keys array<long>"
         return cut_lineage(df.select(name, "vec").mapInPandas(_prefix_rows(order, threshold), schema), "list-prefixes")
 
-    ls, lt = listed(s, "source_id"), listed(t, "target_id")
+    ls, lt = listed(s1, "source_id"), listed(t1, "target_id")
     counts = [{r.key: r.n for r in d.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).collect()}
               for d in (ls, lt)]
     met = sum(k * counts[1].get(key, 0) for key, k in counts[0].items())
@@ -152,7 +169,12 @@ def pairs_bounded(source: DataFrame, target: DataFrame, threshold: float, *, id_
         return plain(met)
     rows = max(1, min(rows_per_block, block_bytes // (8 * dims)))
     rest = [d.select(name, "vec", F.explode("keys").alias("key")) for d, name in ((ls, "source_id"), (lt, "target_id"))]
-    return BoundedPairs(match_by_key(*rest, *counts, rows, list_pairs(order, threshold)), total, met, True)
+    pairs = match_by_key(*rest, *counts, rows, list_pairs(order, threshold))
+    if n_s < size[0].n:
+        pairs = _expanded(pairs, "source_id", of_s)
+    if n_t < size[1].n:
+        pairs = _expanded(pairs, "target_id", of_t)
+    return BoundedPairs(pairs.select("source_id", "target_id", "similarity"), total, met, True)
 
 
 def similarity_pairs_bounded(source: DataFrame, target: DataFrame, threshold: float, **options) -> DataFrame:
