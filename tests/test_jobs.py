@@ -75,3 +75,25 @@ def test_command_line_runs(spark, tmp_path):
                 "--view", "cli_bench"], spark)
     direct = benchmark_table(s, t, Labels(), RG.LEVELS, ordered=False)
     assert spark.sql("SELECT count(*) AS n FROM cli_bench").first().n == direct.count()
+
+
+def test_a_job_leaves_no_intermediate_tables(spark, tmp_path):
+    import os
+
+    from vitrine.session import ensure_checkpoint_dir, scratch_tables
+
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    s, t = _catalogs(spark)
+    before = set(os.listdir(folder))
+    run = benchmark_catalogs(s.drop("embedding"), t.drop("embedding"), str(tmp_path / "b"), RG.LABELS, RG.LEVELS, view="clean_view")
+    assert set(os.listdir(folder)) == before and run.benchmark.count() == spark.table("clean_view").count() > 0
+    try:
+        with scratch_tables(spark):
+            RG.cut_lineage(spark.range(3))
+            assert len(os.listdir(folder)) == len(before) + 1
+            raise RuntimeError
+    except RuntimeError:
+        pass
+    assert set(os.listdir(folder)) == before
+    benchmark_catalogs(s, t, str(tmp_path / "b"), RG.LABELS, RG.LEVELS, view="clean_view")  # a second run: the next version
+    assert spark.table("clean_view").count() > 0 and run.benchmark.count() > 0

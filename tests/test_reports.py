@@ -155,3 +155,21 @@ def test_ingest_pages_job(spark):
     path = ensure_checkpoint_dir(spark) + "/ingest-test"
     got = sorted((r.category, r.title, r.url) for r in P.ingest_pages(pages, path, domain="https://s").collect())
     assert got == [("pc", "D", "http://x/d"), ("tv", "A", "https://s/a"), ("tv", "B", "https://s/b")]
+
+
+def test_orders_with_ties(spark):
+    """The stated order, ties included, whatever order the rows come in."""
+    rows = [(3, "b", 5.0, "/3", [1.0, 0.0]), (1, "b", None, "/1", [1.0, 0.0]), (2, "a", 7.0, "/2", [0.6, 0.8]), (4, "b", 5.0, "/4", [1.0, 0.0])]
+    tgt = spark.createDataFrame([(9, "t", 1.0, "/t", [1.0, 0.0])], CAT)
+    for order in (rows, rows[::-1]):
+        src = spark.createDataFrame(order, CAT).repartition(3)
+        assert [r.source_id for r in R.analytical_report(src, tgt, 0.5).collect()] == [1, 3, 4, 2]
+        assert [r.source_id for r in R.match_report(src, tgt, 0.5).collect()] == [2, 3, 4, 1]
+    bench = [("b", "own", 5.0, "u2", "sim", -1.0, "muito similar", None), ("a", "own", 5.0, "u9", "sim", -1.0, "muito similar", None),
+             ("b", "own", 5.0, "u1", "sim", -1.0, "muito similar", None), ("z", "own", 9.0, "u", "sim", -1.0, "muito similar", None),
+             ("c", "competitor", None, "u", "sim", -1.0, "muito similar", None)]
+    for order in (bench, bench[::-1]):
+        view = SK.register_view(spark.createDataFrame(order, BENCH).repartition(3), "ties")
+        want = [("z", "u"), ("a", "u9"), ("b", "u1"), ("b", "u2"), ("c", "u")]
+        assert [(r.title, r.url) for r in R.very_similar_by_price(spark, view).collect()] == want
+        assert [(r.title, r.url) for r in R.exclusives_by_price(spark, view).collect()] == want

@@ -5,14 +5,16 @@ benchmark run (benchmark table, export, SQL view, statistics).
 Each step is a Spark job over the whole catalogs. The expensive results
 (title vectors, the match, the result tables) are written once and every
 later step reads the written table, so nothing is computed twice and a
-lost executor does not send a later step back to the match. Nothing is
+lost executor does not send a later step back to the match. Intermediate tables are
+deleted when a run ends; result tables are versions (``sources.versions``). Nothing is
 collected; the caller gets DataFrames over the written tables. ``out_dir``
 must be a folder every executor can reach on a cluster.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import functools
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +33,7 @@ from vitrine.plans.reports import (
     report_columns,
 )
 from vitrine.schema import DEFAULT_MATCH_THRESHOLD, Labels, Levels
-from vitrine.session import cut_lineage
+from vitrine.session import cut_lineage, scratch_tables
 from vitrine.sources.sinks import export_report, register_view
 from vitrine.sources.versions import VersionedTables
 
@@ -72,6 +74,16 @@ def _numeric_price(df: DataFrame) -> DataFrame:
     return df.withColumn("price", parse_price("price", "first_token")) if dict(df.dtypes)["price"] == "string" else df
 
 
+def _clean(job):
+    """A job whose intermediate tables are deleted when it is done: what it returns reads committed versions."""
+    @functools.wraps(job)
+    def run(source: DataFrame, *args, **options):
+        with scratch_tables(source.sparkSession):
+            return job(source, *args, **options)
+
+    return run
+
+
 def _save(df: DataFrame, path: str) -> tuple[DataFrame, str]:
     """The result as the next version of its table; (rows, folder of that version)."""
     table = VersionedTables(df.sparkSession, path)
@@ -79,6 +91,7 @@ def _save(df: DataFrame, path: str) -> tuple[DataFrame, str]:
     return table.read("rows", number), table.location("rows", number)
 
 
+@_clean
 def compare_catalogs(source: DataFrame, target: DataFrame, out_dir: str,
                      threshold: float = DEFAULT_MATCH_THRESHOLD, labels: Labels = Labels(),
                      dim: int = 64, encoder=None) -> ComparisonRun:
@@ -105,6 +118,7 @@ def compare_catalogs(source: DataFrame, target: DataFrame, out_dir: str,
     return ComparisonRun(analytical, business, count, listing, saved, exports)
 
 
+@_clean
 def benchmark_catalogs(source: DataFrame, target: DataFrame, out_dir: str, labels: Labels = Labels(),
                        levels: Levels = Levels(), view: str = "benchmark_pairs", dim: int = 64,
                        encoder=None) -> BenchmarkRun:
@@ -127,6 +141,7 @@ def _report_benchmark(bench: DataFrame, saved: str, base: str, labels: Labels, v
     return BenchmarkRun(bench, report_statistics(bench, labels), name, saved, export)
 
 
+@_clean
 def refresh_benchmark(source: DataFrame, target: DataFrame, out_dir: str, labels: Labels = Labels(), levels: Levels = Levels(),
                       view: str = "benchmark_pairs", dim: int = 64, encoder=None) -> tuple[BenchmarkRun, RefreshedMatch]:
     """The benchmark run of a day, from the match of the day before.
@@ -148,4 +163,4 @@ def refresh_benchmark(source: DataFrame, target: DataFrame, out_dir: str, labels
     number = kept.commit(expected=last, winners=match.best, **now)
     best = kept.read("winners", number).drop("rank")
     bench, saved = _save(benchmark_table(s, t, labels, levels, best=best, ordered=False), f"{base}/benchmark")
-    return _report_benchmark(bench, saved, base, labels, view), match
+    return _report_benchmark(bench, saved, base, labels, view), replace(match, best=kept.read("winners", number))

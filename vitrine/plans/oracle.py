@@ -543,3 +543,19 @@ allrows AS (SELECT * FROM pairs UNION ALL SELECT * FROM excl UNION ALL SELECT *
 ORACLE["benchmark_symmetric"] = w(PRODUCTS, _BEST_AT, _PAIRS_BOTH) + (
     "SELECT title, marketplace, price, url, exclusivity, round(similarity, 6) AS similarity, similarity_level, "
     "round(diff_pct, 6) AS diff_pct, pair_id, product_id, partner_price FROM bm")
+# The cards of these pages are counted by their start tags, and the price is made from the number it was written from.
+_SHOP = f"""
+WITH sp AS (
+  SELECT page_id, regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1) AS category, CAST(page_id % 1000 AS INTEGER) AS page, url, html,
+         page_id % 211 IN (207, 208) OR html IS NULL OR html = '' AS failed,
+         CAST(CASE WHEN page_id % 211 IN (207, 208, 209) THEN 0
+              ELSE coalesce((length(html) - length(replace(lower(html), '<article', ''))) // 8, 0) END AS INTEGER) AS n_cards
+  FROM pages),
+sc AS (SELECT category, min(page) FILTER (WHERE failed OR n_cards = 0) AS c FROM sp GROUP BY category),
+sk AS (SELECT sp.* FROM sp JOIN sc ON sc.category IS NOT DISTINCT FROM sp.category WHERE sc.c IS NULL OR sp.page < sc.c)"""
+ORACLE["crawl_cut"] = _SHOP + " SELECT page_id, category, page, n_cards FROM sk"
+ORACLE["ingest_priced_cards"] = _SHOP + f"""
+SELECT page_id, 1 AS pos, {tag_text("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)")} AS title,
+       page_id * 37 % 9000 + 10.25::DOUBLE AS price,
+       CASE WHEN starts_with(url, '/') THEN 'https://a.example' || url ELSE url END AS url, category
+FROM sk WHERE page_id % 4 > 1"""

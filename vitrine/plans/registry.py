@@ -496,6 +496,39 @@ def q_ingest_cards(spark, sf):
     return out.select("page_id", "pos", "title", "price", "url", "category")
 
 
+def _shop_pages(spark, sf) -> DataFrame:
+    """The pages as a shop's listings: numbered within their category, with a price text in
+    each article; some pages hold no article, some failed to load (empty or missing html)."""
+    pg = read_table(spark, sf, "pages").select(
+        "page_id", F.regexp_extract("url", r"^https?://[^/]+/([^/?#]+)", 1).alias("category"),
+        (F.col("page_id") % 1000).cast("int").alias("page"), "url", "html")
+    n = F.col("page_id") * 37 % 9000 + 10
+    price = F.when(F.col("page_id") % 4 == 0, F.lit("Indisponível")).when(F.col("page_id") % 4 == 1, F.lit("")).otherwise(
+        F.concat(F.lit("R$ "), _br(n + F.lit(0.25))))
+    listed = F.replace("html", F.lit("</h1>"), F.concat(F.lit("</h1><p class='price'>"), price, F.lit("</p>")))
+    k = F.col("page_id") % 211
+    html = F.when(k == 209, F.lit("<html><body>Nada aqui</body></html>")).when(k == 208, F.lit("")).when(
+        k == 207, F.lit(None).cast("string")).otherwise(listed)
+    return pg.withColumn("html", html).withColumn("failed", F.coalesce(html == "", F.lit(True)))
+
+
+SHOP_CARD = C.CardSelectors("article", title="h1", price="p.price", link=None)
+
+
+def q_ingest_priced_cards(spark, sf):
+    """K6 with prices, and with categories that end at an empty or a failed page."""
+    out = C.ingest_cards(_shop_pages(spark, sf), _scratch(spark, "bronze-priced"), SHOP_CARD, domain=LABELS.source_base_url,
+                         mode="priced", price_style="nullable", failed_col="failed", link_col="url")
+    return out.select("page_id", "pos", "title", "price", "url", "category")
+
+
+def q_crawl_cut(spark, sf):
+    """E5: the pages of a category before its first empty or failed one."""
+    pages = C.parse_cards(_shop_pages(spark, sf), SHOP_CARD, ["page_id", "category", "page", "failed"])
+    stats = cut_lineage(pages.select("page_id", "category", "page", "failed", F.size("cards").alias("n_cards")), "page-stats")
+    return P.crawl_cut(stats, failed_col="failed").select("page_id", "category", "page", "n_cards")
+
+
 def q_top10_gap(spark, sf):
     t = R.top_by(_pair_view(spark, sf), "diff_pct", 10, descending=True)
     return t.select("pair_id", "source_title", "target_title", r6("diff_pct").alias("diff_pct"), F.col("rank").cast("long").alias("rank"))
@@ -693,6 +726,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gap_trend": q_gap_trend,
     "ingest_pages": q_ingest_pages,
     "ingest_cards": q_ingest_cards,
+    "ingest_priced_cards": q_ingest_priced_cards,
+    "crawl_cut": q_crawl_cut,
     "export_full": q_export_full,
     "feed_scan": q_feed_scan,
     "rows_not_empty": q_rows_not_empty,

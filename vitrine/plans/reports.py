@@ -226,15 +226,15 @@ def pair_analysis(pairs: DataFrame, labels: Labels = Labels(), key: str = "pair_
 
 
 def very_similar_by_price(spark, view: str):
-    """B11 + S4: the published query over the benchmark view."""
+    """B11 + S4: the published query over the benchmark view; equal prices by title, marketplace, url."""
     return spark.sql(
         f"SELECT title, marketplace, price, url, exclusivity, similarity_level FROM {view} "
-        "WHERE similarity_level = 'muito similar' ORDER BY price DESC"
+        "WHERE similarity_level = 'muito similar' ORDER BY price DESC, title, marketplace, url"
     )
 
 
 def exclusives_by_price(spark, view: str):
-    """B12 + S4: the published query over the benchmark view."""
+    """B12 + S4: the published query over the benchmark view; equal prices by title, marketplace, url."""
     return spark.sql(
-        f"SELECT title, marketplace, price, url, exclusivity FROM {view} WHERE exclusivity = 'sim' ORDER BY price DESC"
+        f"SELECT title, marketplace, price, url, exclusivity FROM {view} WHERE exclusivity = 'sim' ORDER BY price DESC, title, marketplace, url"
     )

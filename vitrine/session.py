@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders that ``cut_lineage`` wrote inside the innermost ``scratch_tables`` block.
+_scratch: contextvars.ContextVar[list | None] = contextvars.ContextVar("scratch", default=None)
+
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "vitrine") -> SparkSession:
     """A local session configured like the cluster one (AQE on, UI off)."""
@@ -79,5 +84,22 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     the lineage, and AQE sees the real size. Never a local checkpoint."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if (open_block := _scratch.get()) is not None:
+        open_block.append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+@contextlib.contextmanager
+def scratch_tables(spark: SparkSession):
+    """Deletes, when the block ends (also by an error), every table that
+    ``cut_lineage`` wrote inside it. For whole runs: what leaves the block must not read them."""
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

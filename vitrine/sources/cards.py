@@ -9,7 +9,6 @@ batch of pages and the cards of a few.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -22,14 +21,13 @@ from vitrine.functions.prices import parse_price
 from vitrine.functions.urls import url_relative
 from vitrine.session import cut_lineage
 from vitrine.sources.pages import crawl_cut, listing_valid
+from vitrine.sources.selectors import Automaton, Places
 from vitrine.sources.sinks import save_by_category
 
 # Fixed values of HTML: elements that have no end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset(["script", "style", "template"])
 
-_PART = re.compile(r"""([\w-]+)|\.([\w-]+)|\#([\w-]+)|\[\s*([\w-]+)\s*(?:=\s*["']?([^"'\]]*)["']?\s*)?\]|\*""")
-
 #: Pages whose cards leave a task together.
 PAGES_AT_ONCE = 64
 
@@ -43,10 +41,9 @@ _CARDS = pa.list_(pa.struct([("title", pa.string()), ("price_text", pa.string())
 
 @dataclass(frozen=True)
 class CardSelectors:
-    """Selectors of a card and, inside it, of title, price and link: tag,
-    ``.class``, ``#id``, ``[attr]`` and ``[attr="value"]``, joined for one
-    element, with blanks for descendants. A ``link`` that starts with ``<``
-    is looked for among the elements around the card. None: no such field."""
+    """Selectors (``selectors``) of a card and, inside it, of title, price
+    and link. A ``link`` that starts with ``<`` is looked for among the elements
+    around the card. None: no such field."""
 
     card: str
     title: str | None = None
@@ -54,58 +51,6 @@ class CardSelectors:
     link: str | None = "a"
 
 
-def compile_selector(text: str) -> list[list[tuple]]:
-    """Steps of a selector, outermost first; each a list of conditions."""
-    steps = []
-    for word in re.findall(r"(?:\[[^\]]*\]|[^\s\[])+", text):
-        conditions, at = [], 0
-        for m in _PART.finditer(word):
-            if m.start() != at:
-                break
-            at = m.end()
-            tag, cls, ident, attr, value = m.groups()
-            if tag:
-                conditions.append(("tag", tag.lower(), None))
-            elif cls or ident:
-                conditions.append(("has", "class", cls) if cls else ("is", "id", ident))
-            elif attr:
-                conditions.append(("is", attr.lower(), value))
-        if at != len(word):
-            raise ValueError(f"selector {text!r} is not supported at {word[at:]!r}")
-        steps.append(conditions)
-    if not steps:
-        raise ValueError("empty selector")
-    return steps
-
-
-def _fits(element, conditions) -> bool:
-    tag, attrs = element
-    for kind, name, value in conditions:
-        if kind == "tag":
-            ok = tag == name
-        elif kind == "has":
-            ok = value in (attrs.get(name) or "").split()
-        else:
-            ok = name in attrs and (value is None or attrs[name] == value)
-        if not ok:
-            return False
-    return True
-
-
-def _matches(path, steps) -> bool:
-    """Whether the last element of ``path`` fits the last step and elements
-    around it, in order, fit the others."""
-    if not path or not _fits(path[-1], steps[-1]):
-        return False
-    left = len(steps) - 2
-    for element in reversed(path[:-1]):
-        if left < 0:
-            break
-        if _fits(element, steps[left]):
-            left -= 1
-    return left < 0
-
-
 class CardParser(HTMLParser):
     """Cards of one page, in page order. A field is the text of its first
     element: pieces stripped and joined (H18), character references decoded;
@@ -114,11 +59,18 @@ class CardParser(HTMLParser):
     def __init__(self, selectors: CardSelectors):
         super().__init__(convert_charrefs=True)
         around = (selectors.link or "").startswith("<")
-        self.card = compile_selector(selectors.card)
-        self.fields = {k: compile_selector(s) for k, s in (("title", selectors.title), ("price_text", selectors.price)) if s}
-        self.inner = compile_selector(selectors.link) if selectors.link and not around else None
-        self.outer = compile_selector(selectors.link[1:]) if around else None
-        self.cards, self.path, self.open, self.unseen = [], [], [], 0
+        page = {"card": selectors.card}
+        if around:
+            page["around"] = selectors.link[1:]
+        fields = {"title": selectors.title, "price_text": selectors.price, "href": None if around else selectors.link}
+        self.page, self.around = Automaton(page).run(), around
+        self.inside = Automaton({k: v for k, v in fields.items() if v})
+        self.places = Places()
+        self.cards, self.unseen = [], 0
+        # open elements: (tag, href if it may be the link around a card)
+        self.path = []
+        # open cards: (depth of the element, card, its run of the automaton of fields)
+        self.open = []
         # open fields: (depth of the element, card, field, pieces)
         self.reading = []
 
@@ -126,24 +78,24 @@ class CardParser(HTMLParser):
         seen = {}
         for k, v in attrs:  # of a repeated attribute the first counts
             seen.setdefault(k, v or "")
-        self.path.append((tag, seen))
-        depth = len(self.path)
-        for start, card in self.open:
-            inside = self.path[start:]
-            for name, steps in self.fields.items():
-                if name not in card and _matches(inside, steps):
+        element = self.places.push(tag, seen)
+        own = self.page.push(element)
+        depth = len(self.path) + 1
+        for _, card, run in self.open:
+            bits = run.push(element)
+            for name in ("title", "price_text"):
+                if name not in card and run.accepted(bits, name):
                     card[name] = None
                     self.reading.append((depth, card, name, []))
-            if self.inner and "href" not in card and _matches(inside, self.inner):
+            if "href" not in card and run.accepted(bits, "href"):
                 card["href"] = seen.get("href")
-        if _matches(self.path, self.card):
+        if self.page.accepted(own, "card"):
             card = {}
-            if self.outer:
-                around = (i for i in range(depth - 1, 0, -1) if _matches(self.path[:i], self.outer))
-                nearest = next(around, None)
-                card["href"] = self.path[nearest - 1][1].get("href") if nearest else None
+            if self.around:
+                card["href"] = next((p[1].get("href") for p in reversed(self.path) if p[1] is not None), None)
             self.cards.append(card)
-            self.open.append((depth, card))
+            self.open.append((depth, card, self.inside.run()))
+        self.path.append((tag, seen if self.page.accepted(own, "around") else None))
         if tag in UNSEEN:
             self.unseen += 1
         if tag in VOID:
@@ -163,6 +115,12 @@ class CardParser(HTMLParser):
     def _leave(self, depth: int):
         """Close the element at ``depth`` and all that is open inside it."""
         self.unseen -= sum(tag in UNSEEN for tag, _ in self.path[depth - 1:])
+        for at in range(len(self.path), depth - 1, -1):
+            self.places.pop()
+            self.page.pop()
+            for start, _, run in self.open:
+                if at > start:
+                    run.pop()
         del self.path[depth - 1:]
         for at, card, name, pieces in self.reading:
             if at >= depth:
