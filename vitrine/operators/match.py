@@ -122,9 +122,13 @@ def block_winners(sdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _winners(sdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
-    S = _unit_matrix(sdf["vec"])
-    sid = sdf["source_id"].to_numpy(dtype=np.int64)
-    T, tid = _collapse_copies(_unit_matrix(tdf["vec"]), tdf["target_id"].to_numpy(dtype=np.int64))
+    return pd.DataFrame(winners_of(
+        _unit_matrix(sdf["vec"]), sdf["source_id"].to_numpy(dtype=np.int64),
+        *_collapse_copies(_unit_matrix(tdf["vec"]), tdf["target_id"].to_numpy(dtype=np.int64))))
+
+
+def winners_of(S: np.ndarray, sid: np.ndarray, T: np.ndarray, tid: np.ndarray) -> dict[str, np.ndarray]:
+    """The best row of ``T`` (different unit vectors, by id) for every row of ``S``."""
     zero_src = ~S.any(axis=1)
     chunk = max(1, _CHUNK_ELEMS // max(1, len(tid)))
     parts = []
@@ -142,18 +146,12 @@ def _winners(sdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
             o = np.lexsort((tid[c], -rank, r))
             rs = r[o]
             keep = o[np.r_[True, rs[1:] != rs[:-1]]]
-            parts.append(pd.DataFrame({"source_id": sid[i0 + r[keep]],
-                                       "target_id": tid[c[keep]],
-                                       "similarity": exact[keep],
-                                       "rank": rank[keep]}))
+            parts.append((sid[i0 + r[keep]], tid[c[keep]], exact[keep], rank[keep]))
         if (~live).any():
             # a zero vector scores 0 against every target: lowest id wins
             z = np.nonzero(~live)[0]
-            parts.append(pd.DataFrame({"source_id": sid[i0 + z],
-                                       "target_id": np.full(len(z), tid[0], dtype=np.int64),
-                                       "similarity": np.zeros(len(z)),
-                                       "rank": np.zeros(len(z), dtype=np.int64)}))
-    return pd.concat(parts, ignore_index=True)
+            parts.append((sid[i0 + z], np.full(len(z), tid[0], dtype=np.int64), np.zeros(len(z)), np.zeros(len(z), dtype=np.int64)))
+    return {k: np.concatenate([p[i] for p in parts]) for i, k in enumerate(("source_id", "target_id", "similarity", "rank"))}
 
 
 def block_pairs_above(sdf: pd.DataFrame, tdf: pd.DataFrame, threshold: float):
@@ -296,12 +294,13 @@ def _match_blocks(s: DataFrame, t: DataFrame, ns: int, nt: int, kernel, schema:
 
 
 def match_by_key(sources: DataFrame, targets: DataFrame, wanted: dict[int, int], held: dict[int, int], rows: int,
-                 kernel, schema: str = MATCH_SCHEMA) -> DataFrame:
+                 kernel, schema: str = MATCH_SCHEMA, extra: tuple = ()) -> DataFrame:
     """``kernel`` on the sources and targets of each ``key`` (columns
     ``source_id``/``target_id``, ``vec``, ``key``), given how many rows of either
     side a key has (``wanted``, ``held``). A key's rows are cut into blocks of about
     ``rows`` rows by id hash, so a key that most rows share is many block pairs; pairs are
-    numbered and placed as in the plain match, small ones several to a task."""
+    numbered and placed as in the plain match, small ones several to a task. The kernel also
+    gets the ``extra`` columns (those of both sides)."""
     spark = sources.sparkSession
     grid, pairs, moved = [], 0, 0
     for key, n in sorted(wanted.items()):
@@ -319,15 +318,15 @@ def match_by_key(sources: DataFrame, targets: DataFrame, wanted: dict[int, int],
     def side(df, k, name, own, other):
         block = F.pmod(F.xxhash64(name), F.col(own))
         out = df.join(table, "key").select(
-            F.lit(k).alias("side"), F.col(name).alias("id"), "vec", "key", "base", "nt", block.alias(own[1] + "b"),
+            F.lit(k).alias("side"), F.col(name).alias("id"), "vec", "key", *extra, "base", "nt", block.alias(own[1] + "b"),
             F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other[1] + "b"))
-        return out.select("side", "id", "vec", "key", (F.col("base") + F.col("sb") * F.col("nt") + F.col("tb")).cast("int").alias("bp"))
+        return out.select("side", "id", "vec", "key", *extra, (F.col("base") + F.col("sb") * F.col("nt") + F.col("tb")).cast("int").alias("bp"))
 
     both = side(sources, 0, "source_id", "ns", "nt").unionByName(side(targets, 1, "target_id", "nt", "ns"))
     wide = max(3 * task_slots(spark), int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     parts = min(pairs, max(wide, math.ceil(moved / (2 * rows))))  # a task gets a few blocks' rows at most
     placed = both.repartitionById(parts, "bp").sortWithinPartitions("bp")
-    return placed.mapInPandas(lambda it: _per_block_pair(it, kernel, ("key",)), schema=schema)
+    return placed.mapInPandas(lambda it: _per_block_pair(it, kernel, ("key", *extra)), schema=schema)
 
 
 def best_of(winners: DataFrame) -> DataFrame:

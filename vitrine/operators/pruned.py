@@ -21,9 +21,14 @@ Where pruning does not pay (the bounds leave more than ``max_share`` of all
 products, as with vectors spread evenly in many dimensions), the plain blocked match runs
 instead; up to there, a source has cost ``pivots`` products and one cell.
 
+What is shipped: neighbouring cells make a bin of about one block of targets. A source goes
+once to every bin that holds a cell it needs, with one bit per cell; the kernel
+multiplies it with the targets of those cells only (or, where they are most of a block, the block). So rows that the bounds cannot help move as
+often as in the plain match, not once per cell. Large cells, and bins
+that many sources need, are cut into blocks by id hash.
+
 The driver holds ``pivots`` vectors of the sample and one row per cell
-(``pivots`` times the number of bands, whatever the catalogs' size). Large cells, and cells
-that many sources need, are cut into blocks by id hash as in ``match``.
+(``pivots`` times the number of bands, whatever the catalogs' size).
 """
 
 from __future__ import annotations
@@ -39,12 +44,13 @@ from pyspark.sql import functions as F
 from vitrine.operators.match import (
     BLOCK_BYTES,
     WINNER_SCHEMA,
+    _collapse_copies,
     _unit_matrix,
     best_match,
     best_of,
-    block_winners,
     match_by_key,
     usable_vectors,
+    winners_of,
 )
 from vitrine.session import cut_lineage
 
@@ -61,7 +67,7 @@ _DISTANCE_MARGIN = 1e-7  # the root of a rounding error of 1e-16 is 1e-8
 class PrunedMatch:
     best: DataFrame  #: source_id, target_id, similarity
     products: int  #: vector products of the plain match
-    multiplied: int  #: vector products that were (or, for the plain match, would have been) computed
+    multiplied: int  #: products that the bounds do not rule out (a block of which that is most is multiplied whole)
     pruned: bool  #: False: the plain match ran
 
     @property
@@ -110,10 +116,11 @@ def _cells(pivots: np.ndarray):
 @dataclass(frozen=True)
 class _Index:
     pivots: np.ndarray
-    cell: np.ndarray  # cells that hold targets
+    cell: np.ndarray  # cells that hold targets, ascending: a cell's place in here is its bit
     low: np.ndarray  # least and greatest distance to the pivot
     high: np.ndarray
     count: np.ndarray
+    bin: np.ndarray  # bin of each cell
 
     def bounds(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(distance to each pivot, least distance to anything in each cell)."""
@@ -121,18 +128,35 @@ class _Index:
         to = d[:, self.cell // BANDS]
         return d, np.maximum(np.maximum(to - self.high, self.low - to), 0)
 
+    def needed(self, keep: np.ndarray) -> dict:
+        """Columns of sources that need the cells of ``keep``: bits, bins, products."""
+        bits = np.packbits(keep, axis=1, bitorder="little")
+        return {"bits": [row.tobytes() for row in bits], "keys": [np.unique(self.bin[row]).tolist() for row in keep],
+                "work": keep @ self.count}
+
+
+def bins(counts: np.ndarray, rows: int) -> np.ndarray:
+    """A bin for each cell, in order: cells of about ``rows`` targets together, or one larger cell."""
+    out, held, number = np.zeros(len(counts), np.int64), 0, 0
+    for i, n in enumerate(counts.tolist()):
+        if held and held + n > rows:
+            number, held = number + 1, 0
+        out[i] = number
+        held += n
+    return out
+
 
 def _first_scores(index: _Index):
-    """Per source: the score of its best pivot and the cell with the least bound."""
+    """Per source: the score of its best pivot, and the cell with the least bound (-1: a zero vector)."""
     def run(batches):
         for b in _some(batches):
             unit = _unit_matrix(b["vec"])
             live = unit.any(axis=1)
             d, bound = index.bounds(unit)
-            score = 1 - d.min(axis=1) ** 2 / 2
             # of cells that may hold an equal vector, the one around the nearest pivot
             home = (bound + d[:, index.cell // BANDS] * 1e-3).argmin(axis=1)
-            yield b.assign(score=score, cell=np.where(live, index.cell[home], -1))
+            keep = (np.arange(len(index.cell)) == home[:, None]) & live[:, None]
+            yield b.assign(score=1 - d.min(axis=1) ** 2 / 2, home=np.where(live, home, -1), **index.needed(keep))
 
     return run
 
@@ -144,13 +168,37 @@ def _survivors(index: _Index):
             unit = _unit_matrix(b["vec"])
             _, bound = index.bounds(unit)
             reach = np.sqrt(np.maximum(2 - 2 * (b["score"].to_numpy() - _SCORE_MARGIN), 0)) + _DISTANCE_MARGIN
-            keep = (bound <= reach[:, None]) & (index.cell[None, :] != b["cell"].to_numpy()[:, None])
-            cells = [index.cell[row].tolist() for row in keep]
-            yield pd.DataFrame({"source_id": b["source_id"], "vec": b["vec"], "cells": cells, "work": keep @ index.count})
+            keep = (bound <= reach[:, None]) & (np.arange(len(index.cell)) != b["home"].to_numpy()[:, None])
+            yield b[["source_id", "vec"]].assign(**index.needed(keep))
 
     return run
 
 
+def cell_winners(sdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
+    """Best target of each source among the cells whose bits it has."""
+    none = {"source_id": np.zeros(0, np.int64), "target_id": np.zeros(0, np.int64), "similarity": np.zeros(0), "rank": np.zeros(0, np.int64)}
+    parts = [none]
+    if len(sdf) and len(tdf):
+        S, sid = _unit_matrix(sdf["vec"]), sdf["source_id"].to_numpy(dtype=np.int64)
+        T, tid, at = _unit_matrix(tdf["vec"]), tdf["target_id"].to_numpy(dtype=np.int64), tdf["pos"].to_numpy(dtype=np.int64)
+        bits = np.frombuffer(b"".join(sdf["bits"]), np.uint8).reshape(len(sdf), -1)
+        cells, count = np.unique(at, return_counts=True)
+        needs = bits[:, cells >> 3] >> (cells & 7).astype(np.uint8) & 1
+        if 2 * int((needs @ count).sum()) > len(sid) * len(tid):  # most of the block: one product
+            parts.append(winners_of(S, sid, *_collapse_copies(T, tid)))
+        else:
+            order = np.argsort(at, kind="stable")
+            for i, rows in enumerate(np.split(order, np.cumsum(count)[:-1])):
+                need = np.flatnonzero(needs[:, i])
+                if len(need):
+                    parts.append(winners_of(S[need], sid[need], *_collapse_copies(T[rows], tid[rows])))
+    out = {k: np.concatenate([p[k] for p in parts]) for k in none}
+    first = np.lexsort((out["target_id"], -out["rank"], out["source_id"]))
+    sid = out["source_id"][first]
+    first = first[np.append(True, sid[1:] != sid[:-1])] if len(sid) else first
+    return pd.DataFrame({k: v[first] for k, v in out.items()})
+
+
 def match_pruned(source: DataFrame, target: DataFrame, *, id_col: str = "product_id", vector_col: str = "embedding",
                  pivots: int = PIVOTS, rows_per_block: int = 50_000, block_bytes: int = BLOCK_BYTES,
                  max_share: float = 0.5) -> PrunedMatch:
@@ -160,6 +208,7 @@ def match_pruned(source: DataFrame, target: DataFrame, *, id_col: str = "product
     go to the plain match. Copies of a target vector count once. Zero vectors score 0
     against everything: a zero source takes the lowest target id, a zero target wins only
     where every other score is below 0. Ids are unique on either side."""
+    spark = source.sparkSession
     plain = {"id_col": id_col, "vector_col": vector_col, "rows_per_block": rows_per_block, "block_bytes": block_bytes}
     s = cut_lineage(usable_vectors(source, id_col, vector_col, "source_id"), "match-sources")
     t = cut_lineage(usable_vectors(target, id_col, vector_col, "target_id").groupBy("vec").agg(
@@ -186,34 +235,37 @@ def match_pruned(source: DataFrame, target: DataFrame, *, id_col: str = "product
                                         F.min("target_id").alias("first")).orderBy("cell").collect()
     zero = [r.first for r in stats if r.cell < 0]
     stats = [r for r in stats if r.cell >= 0]
-    index = _Index(centres, *[np.array([r[k] for r in stats]) for k in ("cell", "lo", "hi", "n")])
-
     rows = max(1, min(rows_per_block, block_bytes // (8 * n_t.b)))
-    held = dict(zip(index.cell.tolist(), index.count.tolist()))
-    of_cell = targets.select("target_id", "vec", F.col("cell").alias("key"))
-
-    def by_cell(sources, wanted):
-        return match_by_key(sources.withColumnRenamed("cell", "key"), of_cell, wanted, held, rows, block_winners, WINNER_SCHEMA)
-
-    first = cut_lineage(s.mapInPandas(_first_scores(index), f"source_id long, {vec}, score double, cell long"), "match-first")
-    home = {r.cell: r.n for r in first.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    blank = home.pop(-1, 0)
-    one = cut_lineage(by_cell(first.where("cell >= 0").select("source_id", "vec", "cell"), home), "match-one")
-    raised = first.where("cell >= 0").join(best_of(one).select("source_id", "similarity"), "source_id").withColumn(
+    count = np.array([r.n for r in stats])
+    index = _Index(centres, *[np.array([r[k] for r in stats]) for k in ("cell", "lo", "hi")], count, bins(count, rows))
+
+    held = {int(k): int(count[index.bin == k].sum()) for k in np.unique(index.bin)}
+    places = [(int(c), i, int(k)) for i, (c, k) in enumerate(zip(index.cell, index.bin))]
+    place = spark.createDataFrame(places, "cell long, pos long, key long")
+    in_bins = targets.join(place, "cell").select("target_id", "vec", "key", F.lit(None).cast("binary").alias("bits"), "pos")
+
+    def by_cell(sources):
+        """Winners among the needed cells; each source goes to the bins that hold them."""
+        wanted = {r.key: r.n for r in sources.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).collect()}
+        sent = sources.select("source_id", "vec", F.explode("keys").alias("key"), "bits", F.lit(None).cast("long").alias("pos"))
+        return match_by_key(sent, in_bins, wanted, held, rows, cell_winners, WINNER_SCHEMA, ("bits", "pos"))
+
+    columns = "bits binary, keys array<long>, work long"
+    first = cut_lineage(s.mapInPandas(_first_scores(index), f"source_id long, {vec}, score double, home long, {columns}"), "match-first")
+    one = cut_lineage(by_cell(first), "match-one")
+    raised = first.where("home >= 0").join(best_of(one).select("source_id", "similarity"), "source_id").withColumn(
         "score", F.greatest("score", "similarity"))
-    left = cut_lineage(raised.select("source_id", "vec", "score", "cell").mapInPandas(
-        _survivors(index), f"source_id long, {vec}, cells array<long>, work long"), "match-left")
-    work = n_s.n * len(centres) + sum(n * held[c] for c, n in home.items()) + int(left.agg(F.sum("work")).first()[0] or 0)
+    left = cut_lineage(raised.select("source_id", "vec", "score", "home").mapInPandas(
+        _survivors(index), f"source_id long, {vec}, {columns}"), "match-left")
+    work = n_s.n * len(centres) + sum(int(d.agg(F.sum("work")).first()[0] or 0) for d in (first, left))
     if work > max_share * total:
         return PrunedMatch(best_match(**sides, **plain), total, work, False)
-    rest = left.select("source_id", "vec", F.explode("cells").alias("cell"))
-    wanted = {r.cell: r.n for r in left.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    winners = one.unionByName(by_cell(rest, wanted))
+    winners = one.unionByName(by_cell(left))
     none = F.lit(0).cast("long").alias("rank")
     if zero:
         winners = winners.unionByName(s.select("source_id", F.lit(zero[0]).cast("long").alias("target_id"), F.lit(0.0).alias("similarity"), none))
-    if blank:
-        winners = winners.unionByName(first.where("cell < 0").select(
+    if first.where("home < 0").limit(1).count():
+        winners = winners.unionByName(first.where("home < 0").select(
             "source_id", F.lit(n_t["first"]).cast("long").alias("target_id"), F.lit(0.0).alias("similarity"), none))
     return PrunedMatch(best_of(winners).drop("rank"), total, work, True)
 
