@@ -17,10 +17,9 @@ LOG_K = 12
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
     t = text_or_empty(text_col)
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.col(site_col).cast("string").alias("site"),
-        _row_key(F.col(id_col), t).alias("row"), F.posexplode(F.split(t, "\n")).alias("pos", "line"),
-    )
+    # the row's key is made below the explode: beside it, it would be made anew for every line
+    whole = docs.select(F.col(id_col).alias("id"), F.col(site_col).cast("string").alias("site"), _row_key(F.col(id_col), t).alias("row"), t.alias("t"))
+    rows = whole.select("id", "site", "row", F.posexplode(F.split("t", "\n")).alias("pos", "line"))
     key = F.unhex(F.md5(F.btrim("line", F.lit(" \t\r\x0b\x0c"))))
     return rows.where(F.btrim("line", F.lit(" \t\r\x0b\x0c")) != "").select("id", "site", "row", "pos", key.alias("key"))
 
@@ -70,16 +69,23 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spread = written(spread_lines(lines, min_sites, log_k), "spread-lines")
     hits = lines.join(spread, "key").select("key", "id", "row", "pos")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "row", "pos")
-    first = hits.groupBy("key").agg(F.min(place).alias("first"))
+    # written, so that its size is known: broadcast where it is small, else a plain join whose hot line can be split
+    first = written(hits.groupBy("key").agg(F.min(place).alias("first")), "line-firsts")
     # rows repeated with id and text have the same lines: distinct joins them
     gone = hits.join(first, "key").where((F.col("row") != F.col("first.row")) | (F.col("pos") != F.col("first.pos")))
-    drops = gone.groupBy("row").agg(F.collect_set("pos").alias("__drop")).withColumnRenamed("row", "__row")
-    t = text_or_empty(text_col)
-    joined = docs.withColumn("__key", _row_key(F.col(id_col), t)).join(drops, F.col("__key") == F.col("__row"), "left")
-    kept = F.filter(F.split(t, "\n"), lambda _, i: ~F.array_contains(F.col("__drop"), i))
-    text = F.when(F.col("__drop").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    out = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    drops = gone.groupBy("row").agg(F.collect_set("pos").alias("drop"))
+    # the caller's other columns travel as one struct, so that no name of theirs meets one of ours; the text
+    # travels as its lines, so that they are split once, below the join, and then read by position
+    rest = {c: f"c{i}" for i, c in enumerate(docs.columns) if c != text_col}
+    t = F.col(f"`{text_col}`").cast("string")
+    side = docs.select(F.struct(F.lit(0).alias("c"), *[F.col(f"`{c}`").alias(k) for c, k in rest.items()]).alias("d"), F.split(t, "\n").alias("lines"),
+                       _row_key(F.col(f"`{id_col}`"), text_or_empty(t)).alias("key"))
+    joined = side.join(drops.withColumnRenamed("row", "key"), "key", "left")
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "drop")
+    text = F.array_join(F.when(F.col("drop").isNull(), F.col("lines")).otherwise(F.transform(kept, lambda i: F.get("lines", i))), "\n")
+    out = [text.alias(c) if c == text_col else F.col(f"d.{rest[c]}").alias(c) for c in docs.columns]
     if counts:
-        out += [F.when(t == "", 0).otherwise(F.size(F.split(t, "\n"))).cast("long").alias("n_lines"),
-                F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_removed")]
+        empty = F.col("lines").isNull() | ((F.size("lines") == 1) & (F.get("lines", F.lit(0)) == ""))
+        out += [F.when(empty, 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
+                F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_removed")]
     return joined.select(*out)

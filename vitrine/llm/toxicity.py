@@ -17,8 +17,9 @@ BUCKET_BITS = 18
 DIM = 8
 #: Words of a segment, the unit whose embeddings are averaged.
 SEGMENT = 3
-#: The bounded sample: labelled rows of each class, and bytes of a row's text.
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 1500, 2000, 8_000
+#: The bounded sample: labelled rows of each class, bytes of all their texts, and bytes of one text that can be learnt from.
+TRAIN_TOXIC, TRAIN_CLEAN = 1500, 2000
+TOXIC_BYTES, CLEAN_BYTES, TEXT_BYTES = 12_000_000, 16_000_000, 1_000_000
 ROUNDS, STEPS, TOP = 2, 40, 2
 #: Share of a bag's n-grams that a training step leaves out, so that part of a word must do (misspellings).
 DROP = 0.3
@@ -65,9 +66,9 @@ def gram_buckets(buf: np.ndarray, bits: int = BUCKET_BITS):
         yield n, valid, (h >> np.uint64(64 - bits)).astype(np.int32)
 
 
-def word_scores(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Mean n-gram weight of each word. With a linear softmax the average of
-    embeddings times the output weights is this average of scalars."""
+def word_sums(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sum of the weights, number) of the n-grams of each word. With a linear
+    softmax the average of embeddings times the output weights is the average of these scalars."""
     sums, counts = np.zeros(len(buf) + 1), np.zeros(len(buf) + 1, np.int32)
     for _, valid, bucket in gram_buckets(buf):
         m = len(valid)
@@ -76,21 +77,21 @@ def word_scores(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, weights:
     np.cumsum(sums, out=sums)
     np.cumsum(counts, out=counts)
     # n-grams of the word start at the space before it or inside it
-    n = counts[ends] - counts[starts - 1]
-    return (sums[ends] - sums[starts - 1]) / np.maximum(n, 1)
+    return sums[ends] - sums[starts - 1], counts[ends] - counts[starts - 1]
 
 
 def segment_logits(data, offsets, weights):
-    """Logits of all segments, and the index of each row's first segment."""
+    """Logits of all segments (the mean weight of all their n-grams, as in
+    training), and the index of each row's first segment."""
     buf, row_starts = padded(data, offsets)
     starts, ends = word_spans(buf)
-    s = word_scores(buf, starts, ends, weights)
+    s, n = word_sums(buf, starts, ends, weights)
     row = np.searchsorted(row_starts, starts, side="right") - 1
     first = np.searchsorted(row, np.arange(len(offsets)))
     # a segment is the window of SEGMENT words that starts at a word and stays in its row
-    c = np.concatenate(([0.0], np.cumsum(s)))
+    c, k = np.concatenate(([0.0], np.cumsum(s))), np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
     stop = np.minimum(np.arange(len(s)) + SEGMENT, first[row + 1]) if len(s) else np.zeros(0, np.int64)
-    mean = (c[stop] - c[: len(s)]) / np.maximum(stop - np.arange(len(s)), 1)
+    mean = (c[stop] - c[: len(s)]) / np.maximum(k[stop] - k[: len(s)], 1)
     return mean, first, (buf, starts, ends, stop)
 
 
@@ -221,16 +222,30 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> list:
-    """The training rows: labelled, not held out, at most ``TRAIN_TOXIC`` and
-    ``TRAIN_CLEAN`` by smallest hashed id, texts of at most ``TRAIN_BYTES`` bytes."""
+    """The training rows: labelled, not held out, with a text of 1 to ``TEXT_BYTES`` bytes; of
+    those, by smallest hashed id, at most ``TRAIN_TOXIC`` and ``TRAIN_CLEAN``, and whole texts up to
+    ``TOXIC_BYTES`` and ``CLEAN_BYTES`` in all. Rows that repeat id and text count once."""
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("y"))
     known = known.withColumnRenamed("_id", id_col).where(~held_out(id_col)).withColumnRenamed(id_col, "_id")
-    order = (F.xxhash64("_id"), F.col("_id"))
-    chosen = known.where("y = 1").orderBy(*order).limit(TRAIN_TOXIC).unionByName(known.where("y = 0").orderBy(*order).limit(TRAIN_CLEAN))
-    t = text_or_empty(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), t.alias("text")).where(F.octet_length("text") <= TRAIN_BYTES)
-    # the chosen ids are bounded by the two limits
-    return rows.join(F.broadcast(chosen), F.col("id") == F.col("_id")).select("id", "text", "y").limit(2 * (TRAIN_TOXIC + TRAIN_CLEAN)).collect()
+    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    size = F.octet_length("text")
+    usable = rows.where((size > 0) & (size <= TEXT_BYTES)).join(known, F.col("id") == F.col("_id"))
+    keys = usable.select(F.xxhash64("id").alias("place"), "id", F.xxhash64("text").alias("h"), "y", size.alias("size"))
+    chosen = []
+    for y, rows_most, bytes_most in ((1, TRAIN_TOXIC, TOXIC_BYTES), (0, TRAIN_CLEAN, CLEAN_BYTES)):
+        total = 0
+        # sorted by all that they hold: the same rows in every run
+        for r in keys.where(F.col("y") == y).distinct().orderBy("place", "id", "h").limit(rows_most).collect():
+            if (total := total + r["size"]) > bytes_most:
+                break
+            chosen.append((r["id"], r["h"], y))
+    if not chosen:
+        return []
+    types = [T.StructField("_id", rows.schema["id"].dataType), T.StructField("h", T.LongType()), T.StructField("y", T.IntegerType())]
+    picked = docs.sparkSession.createDataFrame(chosen, T.StructType(types))
+    # at most TRAIN_TOXIC + TRAIN_CLEAN ids
+    found = rows.join(F.broadcast(picked), (F.col("id") == F.col("_id")) & (F.xxhash64("text") == F.col("h")))
+    return found.select("id", "text", "y").distinct().collect()
 
 
 def _score(model: Model, keep: list[str]):
