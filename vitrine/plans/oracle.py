@@ -484,16 +484,16 @@ _TODAY = PRODUCTS.replace("marketplace = 'A'", "marketplace = 'A' AND product_id
 ORACLE["refresh_match"] = w(_TODAY, BEST) + "SELECT source_id, target_id, round(similarity, 6) AS similarity FROM best"
 ORACLE["benchmark_refreshed"] = ORACLE["benchmark_table"].replace(PRODUCTS, _TODAY)
 ORACLE["versioned_table"] = """
-SELECT 1 AS version, p_partkey, p_name, NULL::VARCHAR AS price_text FROM part WHERE p_size % 3 = 0
-UNION ALL SELECT 2, p_partkey, NULL, CAST(CAST(p_retailprice AS DECIMAL(18, 2)) AS VARCHAR) FROM part"""
-ORACLE["category_table"] = """
-WITH k AS (SELECT unnest(string_split(p_name, ' ')) AS keyword, p_type AS category FROM part
-           UNION ALL SELECT p_brand, 'brand ' || p_brand FROM part),
-r AS (SELECT keyword, min(category) AS category, count(*) AS priority FROM k GROUP BY keyword),
-t AS (SELECT p_partkey, CASE WHEN p_size % 10 <> 0 THEN concat_ws(' ', p_type, p_brand, p_name) END AS title FROM part),
-f AS (SELECT p_partkey, r.category FROM t JOIN r ON contains(t.title, r.keyword)
-      QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY priority, keyword) = 1)
-SELECT t.p_partkey, title, coalesce(category, 'Outros') AS category FROM t LEFT JOIN f USING (p_partkey)"""
+SELECT 1 AS version, doc_id, source, NULL::VARCHAR AS place FROM documents WHERE doc_id % 3 = 0
+UNION ALL SELECT 2, doc_id, NULL, concat_ws('/', lang, source) FROM documents"""
+ORACLE["category_table"] = f"""
+WITH t AS (SELECT page_id, regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1) AS lang,
+                  {tag_text("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title FROM pages),
+k AS (SELECT lang, unnest(string_split(title, ' ')) AS keyword FROM t WHERE page_id % 2 = 0),
+r AS (SELECT keyword, min(lang) AS category, count(*) AS priority FROM k GROUP BY keyword),
+f AS (SELECT page_id, r.category FROM t JOIN r ON contains(t.title, r.keyword)
+      QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY priority, keyword) = 1)
+SELECT t.page_id, title, coalesce(category, 'Outros') AS category FROM t LEFT JOIN f USING (page_id)"""
 ORACLE["csv_lines"] = "SELECT doc_id, text, source FROM documents WHERE doc_id IS NOT NULL"
 ORACLE["match_encoded_pruned"] = ORACLE["match_encoded"]
 ORACLE["similarity_pairs_bounded"] = ORACLE["match_encoded"].rpartition("SELECT source_id")[0] + (

@@ -229,12 +229,12 @@ def q_benchmark_refreshed(spark, sf):
 
 def q_versioned_table(spark, sf):
     """A table committed twice, with another schema; the first version stays readable."""
-    p = read_table(spark, sf, "part")
+    d = read_table(spark, sf, "documents")
     table = VersionedTables(spark, _scratch(spark, "result"))
-    one = table.commit(rows=p.where("p_size % 3 = 0").select("p_partkey", "p_name", "p_retailprice"))
-    table.commit(rows=p.select("p_partkey", F.col("p_retailprice").cast("decimal(18,2)").cast("string").alias("price_text"), "p_size"))
-    old = table.read("rows", one).select(F.lit(1).alias("version"), "p_partkey", "p_name", F.lit(None).cast("string").alias("price_text"))
-    return old.unionByName(table.read("rows").select(F.lit(2).alias("version"), "p_partkey", F.lit(None).cast("string").alias("p_name"), "price_text"))
+    one = table.commit(rows=d.where("doc_id % 3 = 0").select("doc_id", "source", "n_chars"))
+    table.commit(rows=d.select("doc_id", F.concat_ws("/", "lang", "source").alias("place"), "n_chars"))
+    old = table.read("rows", one).select(F.lit(1).alias("version"), "doc_id", "source", F.lit(None).cast("string").alias("place"))
+    return old.unionByName(table.read("rows").select(F.lit(2).alias("version"), "doc_id", F.lit(None).cast("string").alias("source"), "place"))
 
 
 def q_analytical_report(spark, sf):
@@ -470,13 +470,12 @@ def q_category_keywords(spark, sf):
 
 
 def q_category_table(spark, sf):
-    """H12 by a rule table: every brand, and every word of a part's name, is a keyword."""
-    p = read_table(spark, sf, "part")
-    words = p.select(F.explode(F.split("p_name", " ")).alias("keyword"), F.col("p_type").alias("category"))
-    brands = p.select(F.col("p_brand").alias("keyword"), F.concat(F.lit("brand "), "p_brand").alias("category"))
-    rules = words.unionByName(brands).groupBy("keyword").agg(F.min("category").alias("category"), F.count("*").alias("priority"))
-    titles = p.select("p_partkey", F.when(F.col("p_size") % 10 != 0, F.concat_ws(" ", "p_type", "p_brand", "p_name")).alias("title"))
-    return categorise(titles, rules)
+    """H12 by a rule table: the words in titles of every other page are keywords for its language; the rarest first."""
+    pages = read_table(spark, sf, "pages").select(
+        "page_id", F.regexp_extract("url", r"^https?://[^/]+/([^/?#]+)", 1).alias("lang"), P.page_title().alias("title"))
+    words = pages.where("page_id % 2 = 0").select("lang", F.explode(F.split("title", " ")).alias("keyword"))
+    rules = words.groupBy("keyword").agg(F.min("lang").alias("category"), F.count("*").alias("priority"))
+    return categorise(pages.select("page_id", "title"), rules)
 
 
 def q_csv_lines(spark, sf):
