@@ -559,3 +559,24 @@ SELECT page_id, 1 AS pos, {tag_text("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</
        page_id * 37 % 9000 + 10.25::DOUBLE AS price,
        CASE WHEN starts_with(url, '/') THEN 'https://a.example' || url ELSE url END AS url, category
 FROM sk WHERE page_id % 4 > 1"""
+ORACLE["crawl_stream"] = ORACLE["crawl_cut"]
+ORACLE["trend_runs"] = """
+WITH h AS (SELECT doc_id, doc_id % 40 AS day, source, (doc_id // 40) % 2 AS attempt, n_chars % 1000 / 8 AS diff, doc_id % 7 <> 0 AS paired FROM documents),
+l AS (SELECT *, max(attempt) OVER (PARTITION BY day, source) AS last FROM h),
+o AS (SELECT max(day) AS top FROM h)
+SELECT DATE '2024-01-01' + day::INTEGER AS period, round(avg(diff) FILTER (WHERE paired), 6) AS avg_diff_pct, count(*) FILTER (WHERE paired) / 2 AS pairs
+FROM l, o WHERE attempt = last AND (day + 1) * 24 <= top * 24 + 8 - 48 GROUP BY day"""
+ORACLE["cube_slices"] = BM_ALL + f"""
+SELECT {band('bm.price')} AS price_band, p.category, count(*) AS rows, count(*) FILTER (WHERE exclusivity = 'sim') AS exclusive,
+       round(avg(bm.price), 6) AS avg_price
+FROM bm JOIN products p ON p.product_id = bm.product_id
+WHERE bm.marketplace = 'B' AND similarity_level IN ('muito similar', 'exclusivo') GROUP BY 1, 2"""
+ORACLE["cube_kpis"] = w(PRODUCTS, BEST, PAIRS, _KPI) + """
+SELECT total_products, total_target, total_source, exclusive_target, exclusive_source,
+       round(paired_products, 6) AS paired_products, round(avg_price_target, 6) AS avg_price_target,
+       round(avg_price_source, 6) AS avg_price_source, round(avg_diff_pct, 6) AS avg_diff_pct,
+       target_cheaper, source_cheaper, round(share_target_cheaper, 6) AS share_target_cheaper,
+       round(share_source_cheaper, 6) AS share_source_cheaper, round(avg_price_gap, 6) AS avg_price_gap,
+       round(share_target_cheaper - share_source_cheaper, 6) AS target_advantage,
+       paired_rows, exclusive_rows, very_similar, moderately_similar, little_similar, round(favourable_gap, 6) AS favourable_gap
+FROM k2"""

@@ -31,6 +31,7 @@ from vitrine.operators.incremental import refresh_match
 from vitrine.operators.match import best_match, matched_pairs, pair_rows, similarity_pairs, unmatched_targets
 from vitrine.operators.pruned import best_match_pruned
 from vitrine.operators.threshold import similarity_pairs_bounded
+from vitrine.plans import cube as CB
 from vitrine.plans import jobs as J
 from vitrine.plans import reports as R
 from vitrine.session import cut_lineage, ensure_checkpoint_dir
@@ -46,6 +47,7 @@ from vitrine.sources.tables import (
 )
 from vitrine.sources.versions import VersionedTables
 from vitrine.schema import BENCHMARK, Labels, Levels
+from vitrine.streaming import crawl, runs
 
 # Parameters of the test-data queries. The best cosine in the given
 # embeddings lies around 0.25-0.51, so the match threshold and level cuts
@@ -528,6 +530,58 @@ def q_crawl_cut(spark, sf):
     return P.crawl_cut(stats, failed_col="failed").select("page_id", "category", "page", "n_cards")
 
 
+def q_crawl_stream(spark, sf):
+    """B16, B17, E5 as a stream: pages arrive a few files at a time, in no order of pages; the net of all changes."""
+    parsed = C.parse_cards(_shop_pages(spark, sf), SHOP_CARD, ["page_id", "category", "page", "failed"])
+    stats = parsed.select("category", "page", "page_id", F.size("cards").alias("n_cards"), "failed")
+    arrived = _scratch(spark, "crawl-arrived")
+    stats.repartition(6, "page_id").write.parquet(arrived)
+    pages = spark.readStream.schema(stats.schema).option("maxFilesPerTrigger", 2).parquet(arrived)
+    out = _scratch(spark, "crawl-changes")
+    crawl.write_changes(crawl.crawl_changes(pages), out, _scratch(spark, "crawl-state")).awaitTermination()
+    return crawl.pages_of(spark.read.parquet(out)).select("page_id", "category", "page", "n_cards")
+
+
+def q_trend_runs(spark, sf):
+    """D17 over a history with repeated runs: a source is a run, each day's odd rows are its second try."""
+    d = read_table(spark, sf, "documents")
+    day = F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") % 40 * 86400)
+    history = d.select(
+        F.col("doc_id").cast("string").alias("title"), F.when(F.col("doc_id") % 7 == 0, F.lit("sim")).otherwise(F.lit("não")).alias("exclusivity"),
+        (F.col("n_chars") % 1000 / 8).alias("diff_pct"), (day + F.expr("INTERVAL 8 HOURS")).alias("snapshot_ts"), F.col("source").alias("run_id"),
+        (day + F.make_interval(hours=F.lit(9) + (F.col("doc_id").cast("int") / 40).cast("int") % 2)).alias("attempt"))
+    arrived = _scratch(spark, "history-arrived")
+    history.write.parquet(arrived)
+    parts = runs.run_parts(spark.readStream.schema(history.schema).parquet(arrived))
+    out = _scratch(spark, "run-parts")
+    runs.write_run_parts(parts, out, _scratch(spark, "run-state")).awaitTermination()
+    t = runs.trend_of(spark.read.parquet(out))
+    return t.select(F.to_date("period_start").alias("period"), r6("avg_diff_pct").alias("avg_diff_pct"), "pairs")
+
+
+def _cube(spark, sf) -> DataFrame:
+    cat, _, _ = _catalogs(spark, sf)
+    b = _benchmark(spark, sf).join(cat.select("product_id", "category"), "product_id")
+    return cut_lineage(CB.build_cube(b, LABELS), "cube")
+
+
+def q_cube_slices(spark, sf):
+    """B15, D12 from the cube: one marketplace, two levels, by band and category."""
+    cells = CB.slice_cube(_cube(spark, sf), by=("price_band", "category"), marketplace=LABELS.target,
+                          similarity_level=["muito similar", "exclusivo"])
+    return CB.cube_cards(cells).select("price_band", "category", "rows", "exclusive", r6("avg_price").alias("avg_price"))
+
+
+def q_cube_kpis(spark, sf):
+    """K8 from the cube, two snapshots of it appended and the last one read back."""
+    cube, path = _cube(spark, sf), _scratch(spark, "cube-history")
+    CB.append_cube(CB.slice_cube(cube, by=CB.DIMENSIONS).withColumn("over", F.lit(0)), path, "2024-01-01")
+    for _ in range(2):  # a repeated run replaces its own
+        CB.append_cube(cube, path, "2024-01-02")
+    k = CB.cube_kpis(spark.read.parquet(path).where("snapshot_day = DATE'2024-01-02'"), LABELS)
+    return k.select(*[r6(c).alias(c) if t == "double" else c for c, t in k.dtypes])
+
+
 def q_top10_gap(spark, sf):
     t = R.top_by(_pair_view(spark, sf), "diff_pct", 10, descending=True)
     return t.select("pair_id", "source_title", "target_title", r6("diff_pct").alias("diff_pct"), F.col("rank").cast("long").alias("rank"))
@@ -727,6 +781,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_cards": q_ingest_cards,
     "ingest_priced_cards": q_ingest_priced_cards,
     "crawl_cut": q_crawl_cut,
+    "crawl_stream": q_crawl_stream,
+    "trend_runs": q_trend_runs,
+    "cube_slices": q_cube_slices,
+    "cube_kpis": q_cube_kpis,
     "export_full": q_export_full,
     "feed_scan": q_feed_scan,
     "rows_not_empty": q_rows_not_empty,
