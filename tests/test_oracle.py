@@ -40,7 +40,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) <= set(E.oracle_sql())
+    # the fitted encoder (a matrix factorisation) is held against numpy in test_fitted_encoder
+    assert set(QUERIES) - {"encode_fitted"} <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) & set(E.oracle_sql())))

@@ -100,7 +100,9 @@ def embed_table(spark: SparkSession, source_table: str, target_table: str, dim:
                 encoder: Callable | None = None, fmt: str = "parquet") -> str:
     """``title, price, url, categoria`` of a table plus the title vector,
     written over ``target_table``; returns its name."""
-    df = spark.table(source_table).select("title", "price", "url", "categoria")
+    from vitrine.sources.tables import scan_for_embedding
+
+    df = scan_for_embedding(spark, source_table)
     out = encode_titles(df, "title", dim, encoder=encoder)
     out.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(target_table)
     return target_table

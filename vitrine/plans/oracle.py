@@ -580,3 +580,7 @@ SELECT total_products, total_target, total_source, exclusive_target, exclusive_s
        round(share_target_cheaper - share_source_cheaper, 6) AS target_advantage,
        paired_rows, exclusive_rows, very_similar, moderately_similar, little_similar, round(favourable_gap, 6) AS favourable_gap
 FROM k2"""
+ORACLE["embed_table"] = w(
+    f"""t AS (SELECT page_id, {tag_text("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title, url,
+        regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1) AS categoria FROM pages)""", _encoded("enc", "t", "page_id")
+) + "SELECT enc.title, NULL::VARCHAR AS price, url, categoria, embedding FROM enc JOIN t ON t.page_id = enc.k"

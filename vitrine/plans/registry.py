@@ -22,7 +22,8 @@ from vitrine.functions import (
     url_prefix,
     url_relative,
 )
-from vitrine.functions.encoder import encode_titles
+from vitrine.functions.encoder import embed_table, encode_titles
+from vitrine.functions.fitted_encoder import encode_fitted, fit_encoder
 from vitrine.operators import metrics as M
 from vitrine.operators.dedupe import keep_cheapest, keep_cheapest_exact, pair_difference
 from vitrine.operators.filters import keep_priced
@@ -714,6 +715,24 @@ def q_match_encoded(spark, sf):
     return _rounded(best_match(*_encoded(spark, sf)))
 
 
+def _titled_pages(spark, sf) -> DataFrame:
+    return read_table(spark, sf, "pages").select(
+        P.page_title().alias("title"), F.lit(None).cast("string").alias("price"), "url",
+        F.regexp_extract("url", r"^https?://[^/]+/([^/?#]+)", 1).alias("categoria"))
+
+
+def q_embed_table(spark, sf):
+    """J2 with A3: a named table read, its titles encoded, the result stored under another name and read back."""
+    _titled_pages(spark, sf).createOrReplaceTempView("vitrine_titles")
+    return spark.table(embed_table(spark, "vitrine_titles", f"vitrine_embedded_{uuid.uuid4().hex}"))
+
+
+def q_encode_fitted(spark, sf):
+    """J1 with the encoder that is fitted to the titles first."""
+    titles = _titled_pages(spark, sf).select("title").unionByName(read_table(spark, sf, "part").select(F.col("p_name").alias("title")))
+    return encode_fitted(titles, fit_encoder(titles))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "best_match": q_best_match,
     "best_match_blocked": q_best_match_blocked,
@@ -793,4 +812,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_lines": q_csv_lines,
     "encode_titles": q_encode_titles,
     "match_encoded": q_match_encoded,
+    "embed_table": q_embed_table,
+    "encode_fitted": q_encode_fitted,
 }
