@@ -23,11 +23,13 @@ def expected_exact(rows, keep=max):
     groups = defaultdict(list)
     for i, t, _ in rows:
         groups[norm(t)].append(i)
-    out = []
+    out, stayed = [], set()
     for i, t, _ in rows:
         ids = [x for x in groups[norm(t)] if x is not None]
         k = keep(ids) if ids else None
-        out.append((i, k, len(groups[norm(t)]), i == k, hashlib.sha256(norm(t).encode()).hexdigest()))
+        stays = i == k and norm(t) not in stayed  # of repeated rows one stays
+        stayed |= {norm(t)} if stays else set()
+        out.append((i, k, len(groups[norm(t)]), stays, hashlib.sha256(norm(t).encode()).hexdigest()))
     return Counter(out)
 
 

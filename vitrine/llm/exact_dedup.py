@@ -30,16 +30,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
        several texts (a collision) joins back by its texts' bytes.
 
     Null text is empty text. Null ids: ignored by ``keep_id`` unless the
-    whole group has none, then ``keep_id`` is null and its rows are kept.
-    Rows that share the staying id and text are all marked kept. An empty
+    whole group has none, then ``keep_id`` is null. Of rows that share the staying id (or
+    its lack) and text, one is marked kept. An empty
     table gives an empty result; columns other than id and text are not
     read. ``hash_fn`` can be replaced in tests to force collisions."""
     if keep not in ("smallest", "largest"):
         raise ValueError(f"keep must be smallest or largest, not {keep!r}")
-    best = F.max if keep == "largest" else F.min
+    best, of_best = (F.max, F.max_by) if keep == "largest" else (F.min, F.min_by)
+    # the row that stays, by its number in the written table
+    stays = F.coalesce(of_best("n", "id"), F.min("n")).alias("keep_n")
     texts = docs.select(F.col(id_col).alias("id"), lower_ascii(text_or_empty(text_col)).alias("t"))
-    rows = written(texts.select("id", hash_fn(F.col("t")).alias("h"), F.unhex(F.sha2("t", 256)).alias("sha")), "exact-rows")
-    by_hash = rows.groupBy("h").agg(best("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    rows = written(texts.select("id", hash_fn(F.col("t")).alias("h"), F.unhex(F.sha2("t", 256)).alias("sha"), F.monotonically_increasing_id().alias("n")), "exact-rows")
+    by_hash = rows.groupBy("h").agg(best("id").alias("keep_id"), stays, F.count(F.lit(1)).alias("group_size"))
     several = by_hash.where("group_size > 1").select("h")
 
     # bytes inside the groups: one row per (hash, text) of the groups with several rows
@@ -48,13 +50,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         suspects.groupBy("h", "t").agg(best("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         .withColumn("sha", F.unhex(F.sha2("t", 256))).drop("t"), "exact-classes",
     )
-    collided = classes.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    collided = classes.groupBy("h").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("h")
 
     one = by_hash.join(collided, "h", "left_anti")
     clean = rows.join(one, "h")
     # several texts under one hash: the sha256 of a class's bytes tells them apart
-    mixed = rows.join(classes.join(collided, "h", "left_semi"), ["h", "sha"]).select(clean.columns)
+    several_texts = rows.join(collided, "h", "left_semi")
+    first = several_texts.groupBy("h", "sha").agg(stays)
+    mixed = several_texts.join(classes.join(collided, "h", "left_semi"), ["h", "sha"]).join(first, ["h", "sha"]).select(clean.columns)
     return clean.unionByName(mixed).select(
-        F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        F.col("id").alias(id_col), "keep_id", "group_size", (F.col("n") == F.col("keep_n")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
     )

@@ -60,29 +60,57 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
     return table.withColumn("target", target).drop("rank", "cap")
 
 
+def inclusion(k="k", size="size") -> Column:
+    """A document's chance of one more copy: in proportion to its size, 1 at most."""
+    return F.least(F.lit(1.0), F.col(k) * F.col(size))
+
+
+def pareto(p: Column, r="r") -> Column:
+    """The Pareto order: random odds over inclusion odds, q, as q / (1 + q), which lies between 0 and 1."""
+    u = (F.col(r) + 0.5) / float(RANDOM)
+    return u * (1 - p) / (u * (1 - p) + (1 - u) * p)
+
+
+def _scale(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``k`` of each source with words to draw: the chances min(1, k * size)
+    add up to the rest in words. Sizes are few: documents are counted by size, the largest sizes
+    become certain one after the other until k times the next one is at most 1."""
+    counts = rows.where("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("m"))
+    given = counts.join(plan.select("_s", "rest"), F.col("source").eqNullSafe(F.col("_s")))
+    words, squares = F.col("m") * F.col("size"), F.col("m") * F.col("size") * F.col("size")
+    down = Window.partitionBy("_s").orderBy(F.desc("size"))
+    certain = F.sum(words).over(down) - words
+    below = F.sum(squares).over(Window.partitionBy("_s")) - F.sum(squares).over(down) + squares
+    tried = given.select("_s", "size", ((F.col("rest") - certain) / below).alias("k"))
+    return tried.where(F.col("k") * F.col("size") <= 1).groupBy("_s").agg(F.max_by("k", "size").alias("k"))
+
+
 def mixing_plan(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST,
                 bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per source: ``source_size``, ``target``, ``whole`` (copies
-    that every row gets), ``p`` (chance of one more) and ``cutoff`` (rows
-    whose random number is not above it get one more).
+    that every row gets), ``k`` (chance of one more by size) and ``cutoff`` (rows
+    whose place in the Pareto order is not above it get one more).
 
     ``rows`` has (source, size, r); it is read a few times, so pass a written
-    table. Within a source all rows have the same inclusion odds, so the
-    Pareto order (random odds over inclusion odds) is the order of ``r``,
-    and the sample is the prefix whose words come nearest to what the whole
-    copies leave. No source is gathered: sums by (source, bucket of r) find
-    the one bucket that holds the end of the prefix, and only its rows are sorted."""
+    table. Of the words that the whole copies leave, a document is
+    included with a chance in proportion to its size; the sample is the
+    prefix of the Pareto order whose words come nearest to the rest. No source is
+    gathered: sums by (source, bucket of the order) find
+    the one bucket that holds the end of the prefix, and only its rows are
+    sorted. About the end, where random and inclusion odds are equal, a bucket
+    holds at most ``bucket_rows`` rows or so, whatever the chances."""
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     plan = targets(sizes, weights, share, most)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    plan = plan.withColumn("whole", F.floor(ratio)).withColumn("p", ratio - F.col("whole"))
+    plan = plan.withColumn("whole", F.floor(ratio))
     plan = plan.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
     plan = plan.withColumn("buckets", F.ceil(F.col("n") / bucket_rows)).withColumnRenamed("source", "_s")
+    scale = _scale(rows, plan.where("rest > 0")).withColumnRenamed("_s", "_k")
+    plan = written(plan.join(scale, F.col("_s").eqNullSafe(F.col("_k")), "left").withColumn("k", F.coalesce("k", F.lit(0.0))).drop("_k"), "mix-scales")
 
-    bucket = F.floor(F.col("r") / float(RANDOM) * F.col("buckets"))
-    dealt = rows.join(plan.select("_s", "buckets", "rest"), F.col("source").eqNullSafe(F.col("_s"))).withColumn("bucket", bucket)
-    dealt = dealt.where("rest > 0")
-    sums = dealt.groupBy("_s", "bucket").agg(F.sum("size").alias("words"), F.min("rest").alias("rest"), F.min("r").alias("first"))
+    dealt = rows.join(plan.select("_s", "buckets", "rest", "k"), F.col("source").eqNullSafe(F.col("_s"))).where("rest > 0")
+    dealt = dealt.withColumn("g", pareto(inclusion())).withColumn("bucket", F.floor(F.col("g") * F.col("buckets")))
+    sums = dealt.groupBy("_s", "bucket").agg(F.sum("size").alias("words"), F.min("rest").alias("rest"), F.min("g").alias("first"))
     upto = F.sum("words").over(Window.partitionBy("_s").orderBy("bucket"))
     ends = sums.withColumn("upto", upto).where("upto >= rest").groupBy("_s").agg(
         F.min_by(F.struct("bucket", (F.col("upto") - F.col("words")).alias("base"), "rest", "first"), "bucket").alias("e")
@@ -90,23 +118,24 @@ def mixing_plan(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: in
     last = dealt.drop("_s", "rest").join(
         ends, F.col("source").eqNullSafe(F.col("_s")) & (dealt["bucket"] == ends["bucket"])
     )
-    # rows of equal r are peers of a range frame: they are taken or left together
+    # rows of equal place are peers of a range frame: they are taken or left together
     total = F.col("base") + F.sum("size").over(
-        Window.partitionBy("_s").orderBy("r").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("_s").orderBy("g").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    choice = last.select("_s", "r", "rest", total.alias("total")).unionByName(
-        ends.select("_s", (F.col("first") - 1).alias("r"), "rest", F.col("base").alias("total"))
+    before = F.col("first") - F.col("first") * 2.0**-53  # the next smaller number
+    choice = last.select("_s", "g", "rest", total.alias("total")).unionByName(
+        ends.select("_s", F.when(F.col("first") > 0, before).otherwise(-1.0).alias("g"), "rest", F.col("base").alias("total"))
     )
     cut = choice.groupBy("_s").agg(
-        F.min(F.struct(F.abs(F.col("total") - F.col("rest")), "total", "r")).alias("c")
-    ).select(F.col("_s").alias("_c"), F.col("c.r").alias("cutoff"))
+        F.min(F.struct(F.abs(F.col("total") - F.col("rest")), "total", "g")).alias("c")
+    ).select(F.col("_s").alias("_c"), F.col("c.g").alias("cutoff"))
     return plan.join(cut, F.col("_s").eqNullSafe(F.col("_c")), "left").select(
-        "_s", "source_size", "weight", "target", "whole", "p", F.coalesce("cutoff", F.lit(-1).cast("long")).alias("cutoff")
+        "_s", "source_size", "weight", "target", "whole", "k", F.coalesce("cutoff", F.lit(-1.0)).alias("cutoff")
     )
 
 
-def copies(r="r") -> Column:
-    return F.col("whole") + (F.col(r) <= F.col("cutoff")).cast("long")
+def copies(place: Column, cutoff="cutoff", whole="whole") -> Column:
+    return F.col(whole) + (place <= F.col(cutoff)).cast("long")
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str) -> DataFrame:
@@ -118,8 +147,8 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: s
 def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                seed: str = "mix", **plan) -> DataFrame:
     """One row per row of ``docs``: id, ``size`` (words), ``source_size``,
-    ``target``, ``taken`` (words the mix takes, copies counted), ``copies``
-    and ``pareto`` (random odds over inclusion odds; null without a draw).
+    ``target``, ``taken`` (words the mix takes, copies counted), ``copies``,
+    ``chance`` (of one more copy) and ``pareto`` (the place in the order of the draw; null without one).
 
     The text is scanned once, to a narrow table. Null text has size 0; a
     null source is a source of its own, ordered last; a null id takes part
@@ -128,11 +157,10 @@ def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = written(_sized(docs, id_col, text_col, source_col, seed), "mix-rows")
     # written, so that its size is known: broadcast where it is small, else a plain join whose hot source can be split
     by_source = written(mixing_plan(rows, **plan), "mix-plan")
-    u = (F.col("r") + 0.5) / float(RANDOM)
-    odds = F.when(F.col("p") > 0, (u / (1 - u)) / (F.col("p") / (1 - F.col("p"))))
-    return rows.join(by_source, F.col("source").eqNullSafe(F.col("_s")), "left").select(
-        F.col("id").alias(id_col), "size", "source_size", "target", (copies() * F.col("size")).alias("taken"),
-        copies().alias("copies"), odds.alias("pareto"),
+    joined = rows.join(by_source, F.col("source").eqNullSafe(F.col("_s")), "left").withColumn("g", pareto(inclusion()))
+    return joined.select(
+        F.col("id").alias(id_col), "size", "source_size", "target", (copies(F.col("g")) * F.col("size")).alias("taken"),
+        copies(F.col("g")).alias("copies"), inclusion().alias("chance"), F.when(F.col("k") > 0, F.col("g")).alias("pareto"),
     )
 
 
@@ -144,8 +172,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     source where it does not fit a broadcast. Defined cases as in
     ``mix_report``; a clashing column name of the plan is never visible."""
     rows = written(_sized(docs, id_col, text_col, source_col, seed).drop("id"), "mix-rows")
-    by_source = written(mixing_plan(rows, **plan), "mix-plan").select(F.col("_s").alias("__s"), F.col("whole").alias("__w"), F.col("cutoff").alias("__c"))
-    n = F.col("__w") + (random_number(id_col, text_or_empty(text_col), seed) <= F.col("__c")).cast("long")
-    joined = docs.join(by_source, F.col(source_col).eqNullSafe(F.col("__s")), "left")
-    times = joined.withColumn("__n", F.explode(F.sequence(F.lit(0), F.greatest(n, F.lit(0))))).where("__n > 0")
-    return times.select(*[F.col(f"`{c}`") for c in docs.columns])
+    by_source = written(mixing_plan(rows, **plan), "mix-plan").select("_s", "k", "whole", "cutoff")
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    t = text_or_empty(text_col)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`").alias(k) for c, k in names.items()]).alias("d"), F.col(source_col).alias("source"),
+                        n_words(t).alias("size"), random_number(id_col, t, seed).alias("r"))
+    joined = whole.join(by_source, F.col("source").eqNullSafe(F.col("_s")), "left")
+    n = copies(pareto(inclusion()))
+    times = joined.withColumn("n", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(n, F.lit(0).cast("long"))))).where("n > 0")
+    return times.select(*[F.col(f"d.{k}").alias(c) for c, k in names.items()])

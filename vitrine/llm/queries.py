@@ -114,7 +114,7 @@ ORACLE: dict[str, str] = {
     "op3_exact_dedup": f"""
         WITH n AS (SELECT doc_id, {_LOWER} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
-               doc_id IS NOT DISTINCT FROM max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+               row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
         FROM n""",
     "op4_line_dedup": r"""
         WITH l AS (
@@ -144,18 +144,24 @@ ORACLE: dict[str, str] = {
                               max(total) / (SELECT sum(weight) FROM w)) AS level FROM p),
         t AS (SELECT source, source_size, least(cap::DOUBLE, level * weight) AS target FROM w, v),
         q AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t),
-        x AS (SELECT d.*, source_size, target, whole, target - whole * source_size AS rest,
-                     CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END - whole AS p,
-                     sum(size) OVER (PARTITION BY d.source ORDER BY r RANGE UNBOUNDED PRECEDING) AS upto,
-                     sum(size) OVER (PARTITION BY d.source, r) AS own
-              FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
+        e AS (SELECT *, target - whole * source_size AS rest FROM q),
+        z AS (SELECT source, size, count(*) AS m FROM d WHERE size > 0 GROUP BY source, size),
+        y AS (SELECT z.source, size, (rest - (sum(m * size) OVER w - m * size))
+                     / (sum(m * size * size) OVER (PARTITION BY z.source) - sum(m * size * size) OVER w + m * size * size)::DOUBLE AS k
+              FROM z JOIN e ON z.source IS NOT DISTINCT FROM e.source WHERE rest > 0
+              WINDOW w AS (PARTITION BY z.source ORDER BY size DESC)),
+        k AS (SELECT source, arg_max(k, size) AS k FROM y WHERE k * size <= 1 GROUP BY source),
+        u AS (SELECT d.*, source_size, target, whole, rest, coalesce(k.k, 0) AS k, (r + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u,
+                     least(1.0::DOUBLE, coalesce(k.k, 0) * size) AS p
+              FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source LEFT JOIN k ON d.source IS NOT DISTINCT FROM k.source),
+        g AS (SELECT *, u * (1 - p) / (u * (1 - p) + (1 - u) * p) AS g FROM u),
+        x AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY g RANGE UNBOUNDED PRECEDING) AS upto,
+                     sum(size) OVER (PARTITION BY source, g) AS own FROM g),
         c AS (SELECT *, CASE WHEN upto <= rest THEN TRUE WHEN upto - own >= rest THEN FALSE
-                             ELSE upto - rest < rest - (upto - own) END AS drawn FROM x),
-        u AS (SELECT *, (r + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u FROM c)
+                             ELSE upto - rest < rest - (upto - own) END AS drawn FROM x)
         SELECT doc_id, size, source_size, target, ((whole + (drawn AND rest > 0)::INT) * size)::BIGINT AS taken,
-               (whole + (drawn AND rest > 0)::INT)::BIGINT AS copies,
-               CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS pareto
-        FROM u""",
+               (whole + (drawn AND rest > 0)::INT)::BIGINT AS copies, p AS chance, CASE WHEN k > 0 THEN g END AS pareto
+        FROM c""",
     "op11_fim": """
         WITH h AS (
             SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,

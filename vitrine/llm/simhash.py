@@ -19,8 +19,9 @@ BITS = 64
 #: The contract's shingle length and largest bit distance.
 SHINGLE = 4
 MAX_BITS = 4
-#: Fingerprints are cut into this many segments.
-SEGMENTS = 3
+#: Fingerprints are cut into three segments, which cost few probes, while so many or fewer differ; above, a segment's
+#: values would each hold several of them, and two longer segments cost more probes but meet fewer.
+FEW = 1 << 24
 #: Shingle hashes that are counted at once.
 BLOCK = 1 << 15
 
@@ -62,7 +63,12 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE
     return rows.mapInArrow(_fingerprints(shingle), schema)
 
 
-def segments(max_bits: int = MAX_BITS, parts: int = SEGMENTS, bits: int = BITS) -> list[tuple[int, int, int]]:
+def segment_count(n: int) -> int:
+    """Segments for ``n`` different fingerprints: their values have more bits than ``n``."""
+    return 3 if n <= FEW else 2
+
+
+def segments(max_bits: int = MAX_BITS, parts: int = 3, bits: int = BITS) -> list[tuple[int, int, int]]:
     """(shift, width, radius) of each segment. Radii r_i with
     sum(r_i + 1) = max_bits + 1: were every segment further apart than its
     radius, the fingerprints would differ in more than ``max_bits`` bits."""
@@ -77,7 +83,7 @@ def ball(width: int, radius: int) -> list[int]:
     return [sum(1 << i for i in c) for r in range(radius + 1) for c in combinations(range(width), r)]
 
 
-def near_pairs(fps: DataFrame, max_bits: int = MAX_BITS, parts: int = SEGMENTS) -> DataFrame:
+def near_pairs(fps: DataFrame, max_bits: int = MAX_BITS, parts: int = 3) -> DataFrame:
     """All pairs (a, b), a < b, of the distinct longs ``fp`` that differ in
     at most ``max_bits`` bits, each once.
 
@@ -112,16 +118,16 @@ def near_pairs(fps: DataFrame, max_bits: int = MAX_BITS, parts: int = SEGMENTS)
     return probes.join(index, (probes["key"] == index["key"]) & (F.col("a") < F.col("b")) & (F.bit_count(diff) <= max_bits) & first).select("a", "b")
 
 
-def near_classes(rows: DataFrame, max_bits: int = MAX_BITS, parts: int = SEGMENTS) -> DataFrame:
+def near_classes(rows: DataFrame, max_bits: int = MAX_BITS, parts: int | None = None) -> DataFrame:
     """``fp, root`` for each distinct ``fp`` of ``rows``: copies collapse to
-    one fingerprint before any pair is made."""
+    one fingerprint before any pair is made. Without ``parts`` their number decides it."""
     fps = written(rows.select("fp").distinct(), "fingerprints")
-    roots = components(near_pairs(fps, max_bits, parts))
+    roots = components(near_pairs(fps, max_bits, parts or segment_count(fps.count())))
     return fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
 def simhash_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                   max_bits: int = MAX_BITS, parts: int = SEGMENTS) -> DataFrame:
+                   max_bits: int = MAX_BITS, parts: int | None = None) -> DataFrame:
     """One row per row of ``docs``: id, ``fingerprint`` (16 hex digits) and
     ``component_id``, the smallest id reachable over links of at most ``max_bits`` bits.
 
@@ -141,7 +147,7 @@ def simhash_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                  max_bits: int = MAX_BITS, parts: int = SEGMENTS) -> DataFrame:
+                  max_bits: int = MAX_BITS, parts: int | None = None) -> DataFrame:
     """``docs`` with one row of each component: the smallest id (null last;
     of equal ids, one row). All columns pass through unchanged."""
     t = text_or_empty(text_col)
@@ -152,6 +158,9 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     place = F.struct(F.col("id").isNull().alias("last"), "id", "row")
     firsts = rows.groupBy("fp").agg(F.min(place).alias("p")).join(classes, "fp").groupBy("root").agg(F.min("p").alias("p"))
     stay = written(firsts.select(F.col("p.row").alias("__row")), "simhash-stay")
-    kept = docs.withColumn("__key", row_key).join(stay, F.col("__key") == F.col("__row"))
-    one = kept.withColumn("__n", F.row_number().over(Window.partitionBy("__key").orderBy("__row"))).where("__n = 1")
-    return one.select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the caller's columns travel as one struct, so that no name of theirs meets one of ours
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    whole = docs.select(row_key.alias("key"), F.struct(*[F.col(f"`{c}`").alias(k) for c, k in names.items()]).alias("d"))
+    kept = whole.join(stay, F.col("key") == F.col("__row"))
+    one = kept.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("__row"))).where("n = 1")
+    return one.select(*[F.col(f"d.{k}").alias(c) for c, k in names.items()])
