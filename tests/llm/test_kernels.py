@@ -164,13 +164,48 @@ def test_simhash_report_and_dedup(make):
 @given(st.integers(1, 60), st.integers(1, 6), st.integers(1, 7), st.sampled_from([3, 300, 2**40]), st.randoms())
 def test_block_search_is_exact(n, dim, k, scale, random):
     x = np.array([[random.randint(-scale, scale) for _ in range(dim)] for _ in range(n)], np.int64)
-    ids = np.arange(n) * 3
-    got = vafile.top_k(ids[:5], x[:5], ids, x, k, bits=2)
-    want = []
-    for q in range(min(5, n)):
-        s = sorted((-sum(int(a) * int(b) for a, b in zip(x[q], x[j])), int(ids[j])) for j in range(n) if j != q)[:k]
-        want += [(ids[q], i, min(max(-v, -(2**63)), 2**63 - 1)) for v, i in s]
-    assert got == want
+    ids, m = np.arange(n) * 3, min(5, n)
+    score = [[sum(int(a) * int(b) for a, b in zip(x[q], x[j])) for j in range(n)] for q in range(m)]
+    lists = [pa.array([x[i].tolist() for i in rows], pa.list_(pa.int64())) for rows in (np.repeat(np.arange(m), n), np.tile(np.arange(n), m))]
+    assert vafile.inner_products(*lists).tolist() == [min(max(v, -(2**63)), 2**63 - 1) for row in score for v in row]
+    if scale == 2**40:
+        return  # beyond float64: every row is read
+    code, low, width = vafile.cells(x, 2)
+    i, at, lower, upper = vafile.candidates(ids[:m], x[:m].astype(float), ids, code.astype(float), low.astype(float), width.astype(float), k)
+    for q, j, a, b in zip(i, at, lower, upper):
+        assert q != j and a <= score[q][j] <= b
+    for q in range(m):
+        best = sorted((-score[q][j], int(ids[j])) for j in range(n) if j != q)[:k]
+        near = {int(ids[j]) for j in at[i == q]}
+        assert {r for v, r in best if v < best[-1][0]} <= near and all(r in near for _, r in best)
+
+
+def test_few_exact_vectors_are_read(spark):
+    """The scan sees cells only; of 4,000 vectors a query reads a few dozen, whatever the blocks."""
+    rng = np.random.default_rng(4)
+    x = np.floor(rng.normal(0, 40, (4000, 32))).astype(int)
+    df = spark.createDataFrame([(i, v.tolist(), 32) for i, v in enumerate(x)], "id long, v array<long>, dim int").repartition(3)
+    asked = df.where("id % 100 = 0")
+    for size in (500, 4000):
+        top, reads = vafile.search(df, asked, 5, query_rows=16, block_rows=size)
+        per_query = reads.groupBy("query_id").count().collect()
+        assert len(per_query) == 40 and max(r["count"] for r in per_query) < 200 and np.mean([r["count"] for r in per_query]) < 60
+        got = defaultdict(list)
+        for r in sorted(top.collect(), key=lambda r: r["rank"]):
+            got[r.query_id].append((r.vec_id, r.score))
+        scores = x @ x[::100].T
+        for q in range(0, 4000, 100):
+            s = sorted((-scores[j, q // 100], j) for j in range(4000) if j != q)[:5]
+            assert got[q] == [(j, -v) for v, j in s]
+
+
+def test_queries_that_share_an_id(spark):
+    """The smallest vector asks; the others are candidates of no one with their id."""
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.5]), (2, [0.5, 1.0]), (2, [0.5, 1.0])]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "vec_id long, embedding array<float>")
+        got = sorted(tuple(r) for r in vafile.vector_top_k(df, df.where("vec_id = 0"), k=3).collect())
+        assert got == [(0, 1, 2, 65536), (0, 2, 2, 65536), (0, 3, 1, 32768)]
 
 
 def test_vector_top_k_odd_rows_and_blocks(spark):

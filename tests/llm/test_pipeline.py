@@ -49,5 +49,5 @@ def test_an_empty_corpus_passes_every_stage(spark):
 
 def test_one_query_per_operator():
     names = [n for n in E.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
     assert importlib.util.find_spec("vitrine.llm") is not None
