@@ -65,3 +65,13 @@ def test_malformed_records_are_errors(spark, tmp_path):
         C.read_csv(spark, str(path), SCHEMA).collect()
     kept = C.read_csv(spark, str(path), SCHEMA, mode="PERMISSIVE").first()
     assert (kept.a, kept.b, kept.c) == ("x", None, "z")
+
+
+def test_lines_are_not_shuffled(spark, tmp_path):
+    """The states of the splits are a small written table: lines stay in the tasks that read them."""
+    path = str(tmp_path / "csv")
+    spark.createDataFrame([("x\ny", 1.0, "z")] * 50, SCHEMA).coalesce(1).write.option("header", True).options(**CSV).csv(path)
+    df = C.csv_records(spark, path)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert df.count() == 51 and df.where("first").count() == 1

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from vitrine.session import cut_lineage
+
 RECORD, HEAD, TAIL = 0, 1, 2
 _BATCH = 4_096
 
@@ -86,6 +88,8 @@ def csv_records(spark: SparkSession, path, quote: str = '"') -> DataFrame:
     odd = lines.groupBy("file", "split").agg((F.sum(quotes) % 2).alias("odd"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     starts = odd.select("file", "split", (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2 == 1).alias("inside"))
+    # one row per split, written: its size is known, so that Spark joins it without moving the lines where it is small
+    starts = cut_lineage(starts, "csv-splits")
 
     # a split is read by one task in order; the sort keeps that order if the join moves its lines
     ordered = lines.withColumn("line", F.monotonically_increasing_id()).join(starts, ["file", "split"]).sortWithinPartitions(
