@@ -584,3 +584,18 @@ ORACLE["embed_table"] = w(
     f"""t AS (SELECT page_id, {tag_text("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title, url,
         regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1) AS categoria FROM pages)""", _encoded("enc", "t", "page_id")
 ) + "SELECT enc.title, NULL::VARCHAR AS price, url, categoria, embedding FROM enc JOIN t ON t.page_id = enc.k"
+ORACLE["partner_prices"] = w(PRODUCTS, BEST, PAIRS, PAIR_TABLE) + "SELECT pair_id, source_price, source_title, target_price, target_title FROM pt"
+ORACLE["partner_lookup"] = BM_ALL + """
+SELECT a.product_id, a.pair_id, a.marketplace, b.price AS partner_price
+FROM bm a LEFT JOIN bm b ON b.pair_id = a.pair_id AND b.marketplace <> a.marketplace"""
+ORACLE["pair_pivot"] = BM_ALL + f"""
+, p AS (SELECT pair_id, max(price) FILTER (WHERE marketplace = 'B') AS target_price, max(price) FILTER (WHERE marketplace = 'A') AS source_price,
+               max(url) FILTER (WHERE marketplace = 'B') AS target_url, max(url) FILTER (WHERE marketplace = 'A') AS source_url,
+               round(max(similarity) FILTER (WHERE marketplace = 'B'), 6) AS similarity,
+               max(similarity_level) FILTER (WHERE marketplace = 'B') AS similarity_level,
+               round(max(diff_pct) FILTER (WHERE marketplace = 'B'), 6) AS diff_pct
+        FROM bm WHERE exclusivity = 'não' GROUP BY pair_id)
+SELECT *, CASE WHEN source_price IS NULL OR target_price IS NULL THEN NULL WHEN target_price < source_price THEN 'B Mais Barata'
+               WHEN target_price > source_price THEN 'A Mais Barata' ELSE 'Preços Iguais' END AS advantage,
+       {band('target_price')} AS price_band
+FROM p"""

@@ -29,7 +29,7 @@ from vitrine.operators.dedupe import keep_cheapest, keep_cheapest_exact, pair_di
 from vitrine.operators.filters import keep_priced
 from vitrine.operators.keywords import categorise
 from vitrine.operators.incremental import refresh_match
-from vitrine.operators.match import best_match, matched_pairs, pair_rows, similarity_pairs, unmatched_targets
+from vitrine.operators.match import best_match, matched_pairs, pair_rows, partner_prices, similarity_pairs, unmatched_targets
 from vitrine.operators.pruned import best_match_pruned
 from vitrine.operators.threshold import similarity_pairs_bounded
 from vitrine.plans import cube as CB
@@ -374,6 +374,23 @@ def q_cheaper_side(spark, sf):
     return _benchmark(spark, sf).select("product_id", "pair_id", "marketplace", "price", "partner_price")
 
 
+def q_partner_prices(spark, sf):
+    """C8 over the two rows of each pair."""
+    s, t, best = _best(spark, sf)
+    return partner_prices(pair_rows(s, t, cut_lineage(best, "best-match"), LABELS), LABELS)
+
+
+def q_partner_lookup(spark, sf):
+    """C8 in a stored table that does not carry the partner's price."""
+    stored = cut_lineage(_benchmark(spark, sf).drop("partner_price"), "benchmark")
+    return M.with_partner_price(stored, LABELS).select("product_id", "pair_id", "marketplace", "partner_price")
+
+
+def q_pair_pivot(spark, sf):
+    """D11, K9 from a stored table: its paired rows pivoted to one row per pair."""
+    return _rounded(R.pair_analysis(cut_lineage(_benchmark(spark, sf), "benchmark"), LABELS))
+
+
 def q_report_statistics(spark, sf):
     return M.report_statistics(_benchmark(spark, sf), LABELS)
 
@@ -769,6 +786,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_band": q_price_band,
     "pair_analysis": q_pair_analysis,
     "cheaper_side": q_cheaper_side,
+    "partner_prices": q_partner_prices,
+    "partner_lookup": q_partner_lookup,
+    "pair_pivot": q_pair_pivot,
     "report_statistics": q_report_statistics,
     "kpi_row": q_kpi_row,
     "price_by_marketplace": q_price_by_marketplace,
