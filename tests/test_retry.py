@@ -32,8 +32,8 @@ SCRIPT = textwrap.dedent("""
             raise RuntimeError("injected task failure")
         return M.block_winners(sdf, tdf)
 
-    winners = M._match_blocks(M._vectors(s, "product_id", "embedding", "source_id"),
-                              M._vectors(t, "product_id", "embedding", "target_id")
+    winners = M._match_blocks(M.usable_vectors(s, "product_id", "embedding", "source_id"),
+                              M.usable_vectors(t, "product_id", "embedding", "target_id")
                                .groupBy("vec").agg({{"target_id": "min"}}).withColumnRenamed("min(target_id)", "target_id"),
                               3, 2, flaky)
     from pyspark.sql import functions as F
