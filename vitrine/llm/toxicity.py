@@ -228,9 +228,9 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("y"))
     known = known.withColumnRenamed("_id", id_col).where(~held_out(id_col)).withColumnRenamed(id_col, "_id")
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    size = F.octet_length("text")
-    usable = rows.where((size > 0) & (size <= TEXT_BYTES)).join(known, F.col("id") == F.col("_id"))
-    keys = usable.select(F.xxhash64("id").alias("place"), "id", F.xxhash64("text").alias("h"), "y", size.alias("size"))
+    # only ids, sizes and hashes meet the labels: texts do not move
+    narrow = rows.select("id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("h")).where(F.col("size").between(1, TEXT_BYTES))
+    keys = narrow.join(known, F.col("id") == F.col("_id")).select(F.xxhash64("id").alias("place"), "id", "h", "y", "size")
     chosen = []
     for y, rows_most, bytes_most in ((1, TRAIN_TOXIC, TOXIC_BYTES), (0, TRAIN_CLEAN, CLEAN_BYTES)):
         total = 0
