@@ -28,8 +28,9 @@ from vitrine.llm.common import row_groups, text_buffer, text_or_empty, written
 #: Fixed values of the contract: longest phrase, least count, scale of the score, share (in %) at which a longer phrase replaces one, report length.
 MAX_WORDS, MIN_COUNT, SCALE, COVERED, TOP = 4, 30, 2_000_000, 80, 2000
 NO_LANG = "und"
-#: log2 of the bits of a length's bitmap (8 MB, whatever the input), bytes of texts handled at once.
-BITMAP_BITS, GROUP = 26, 2 << 20
+#: log2 of the bits of a length's bitmap (8 MB, whatever the input), bytes of texts handled at once (a little less
+#: than the tables of powers hold).
+BITMAP_BITS, GROUP = 26, 1_000_000
 #: 1 for bytes of words, 0 for the blanks and marks between them; the marks that end a piece.
 WORD = np.ones(256, np.uint8)
 MARKS = np.zeros(256, bool)
@@ -83,7 +84,7 @@ class Words:
         self.data = FOLD[data]
         self.starts, self.ends = token_spans(data, offsets, WORD)
         self.row = np.searchsorted(offsets, self.starts, side="right") - 1
-        marks = np.cumsum(MARKS[data], dtype=np.int64)
+        marks = np.cumsum(MARKS[data], dtype=np.int32)
         #: Grows from piece to piece and from row to row.
         self.piece = marks[self.starts] + self.row
         self.own = self.starts < own
@@ -192,13 +193,14 @@ def _phrases(bitmaps: list[np.ndarray], limit: int, bits: int):
             for words, first_row in _parts(batch, limit, bits):
                 row = words.row + first_row
                 code, ids = of_row[row], words.ids() if len(row) else np.zeros(0, np.int64)
-                raw, starts, ends = words.data.tobytes(), words.starts.tolist(), words.ends.tolist()
+                raw, starts, ends = words.data.tobytes(), words.starts, words.ends
                 for k in range(1, len(bitmaps) + 1):
                     fp, ok = words.frequent(k, bitmaps[k - 1])
                     at = np.flatnonzero(ok & words.own[: len(fp)])
                     first, n, least = grouped(fp[at], [code[at], *[ids[at + j] for j in range(k)]], rank[row[at]])
                     point = at[first]  # a position of each phrase: its words are read there
-                    text = [b" ".join([raw[starts[i + j]: ends[i + j]] for j in range(k)]).decode() for i in point.tolist()]
+                    spans = [zip(starts[point + j].tolist(), ends[point + j].tolist()) for j in range(k)]
+                    text = [b" ".join([raw[a:b] for a, b in part]).decode() for part in zip(*spans)]
                     yield _rows(lang.dictionary.take(pa.array(code[point])), k, text, n, docs.take(pa.array(by_id[least])))
                 total = np.bincount(code[words.own], minlength=len(lang.dictionary))
                 yield _rows(lang.dictionary, 0, [""] * len(total), total, pa.nulls(len(total), docs.type))
