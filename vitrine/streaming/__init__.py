@@ -6,6 +6,9 @@ exists". Each benchmark run can append a snapshot (``append_snapshot``), and
 growing history with a watermark, so late snapshots still land in their
 period while old state is dropped. ``write_trend`` runs it into a parquet
 folder with its progress in the shared checkpoint folder.
+
+``streaming.runs`` is the trend over a history whose runs may be repeated, and
+``streaming.crawl`` the crawl cut over pages in any order of arrival; both keep their own state.
 """
 
 from vitrine.streaming.trend import append_snapshot, trend_stream, write_trend

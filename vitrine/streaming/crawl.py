@@ -19,9 +19,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 PAGE = ["category", "page", "page_id", "n_cards"]
 CHANGES = "category string, page int, page_id long, n_cards int, change int"
-#: Map state, which grows page by page, lives in this store.
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Map state, which grows page by page, lives in this store; a batch writes its changes, not the whole state anew, and
+#: small stores take no disk space in advance.
+_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 class CrawlCut(StatefulProcessor):
@@ -72,12 +76,14 @@ def crawl_changes(pages: DataFrame) -> DataFrame:
 
 @contextlib.contextmanager
 def _rocksdb(spark: SparkSession):
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in _STORE}
+    for k, v in _STORE.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def write_changes(changes: DataFrame, path: str, checkpoint: str, available_now: bool = True):
