@@ -553,7 +553,7 @@ def q_crawl_stream(spark, sf):
     parsed = C.parse_cards(_shop_pages(spark, sf), SHOP_CARD, ["page_id", "category", "page", "failed"])
     stats = parsed.select("category", "page", "page_id", F.size("cards").alias("n_cards"), "failed")
     arrived = _scratch(spark, "crawl-arrived")
-    stats.repartition(6, "page_id").write.parquet(arrived)
+    stats.repartition(6).write.parquet(arrived)
     pages = spark.readStream.schema(stats.schema).option("maxFilesPerTrigger", 2).parquet(arrived)
     out = _scratch(spark, "crawl-changes")
     crawl.write_changes(crawl.crawl_changes(pages), out, _scratch(spark, "crawl-state")).awaitTermination()
