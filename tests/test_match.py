@@ -2,6 +2,7 @@
 checks of the blocked join on vectors with exact ties and zero vectors."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -279,3 +280,35 @@ def test_hot_target_and_copies(spark):
     pairs = pair_rows(src, tgt, best, lab)
     assert pairs.count() == 2 * n
     assert unmatched_targets(tgt, best, lab).count() == 59
+
+
+@pytest.mark.parametrize("batch", [700, 30_000])
+def test_sources_of_a_block_pair_pass_in_pieces(batch):
+    """A worker holds the targets of one block pair and a bounded number of its sources, whatever the block's size."""
+    from vitrine.operators import match as M
+
+    rng = np.random.default_rng(4)
+    make = lambda bp, side, n: pd.DataFrame({
+        "side": side, "id": np.arange(n) + 100_000 * bp, "vec": list(rng.integers(0, 3, (n, 4)).astype(np.float32)), "bp": bp})
+    blocks = {bp: (make(bp, 1, n_t), make(bp, 0, n_s)) for bp, (n_t, n_s) in enumerate([(50, 25_000), (0, 30), (40, 0), (60, 31)])}
+    stream = pd.concat([d for pair in blocks.values() for d in pair], ignore_index=True)
+    seen = []
+
+    def kernel(sdf, tdf):
+        seen.append((len(sdf), len(tdf)))
+        return M.block_winners(sdf, tdf)
+
+    got = pd.concat(M._per_block_pair((stream.iloc[a:a + batch] for a in range(0, len(stream), batch)), kernel))
+    want = pd.concat(M.block_winners(s.rename(columns={"id": "source_id"}), t.rename(columns={"id": "target_id"})) for t, s in blocks.values())
+    order = lambda d: d.sort_values("source_id").reset_index(drop=True)
+    pd.testing.assert_frame_equal(order(got), order(want), check_dtype=False)
+    assert max(n for n, _ in seen) < 2 * M._SOURCE_ROWS and {t for _, t in seen} == {50, 60}
+
+
+def test_targets_come_before_the_sources_of_their_block_pair(spark):
+    from vitrine.operators import match as M
+
+    s, t = (spark.range(60).selectExpr(f"id AS {n}", "array(1.0D, CAST(id AS DOUBLE)) AS vec") for n in ("source_id", "target_id"))
+    for ns, nt in ((1, 1), (3, 2), (40, 40)):
+        tasks = M._block_pairs(s, t, ns, nt).rdd.glom().map(lambda rows: [(r.bp, -r.side) for r in rows]).collect()
+        assert all(x == sorted(x) for x in tasks) and sum(map(len, tasks)) == 60 * (ns + nt)

@@ -20,7 +20,8 @@ Nothing is broadcast, collected or cross-joined; a Python worker holds at
 most one source block and one target block (``rows_per_block`` rows and at
 most ``block_bytes`` of vectors each, so wide model vectors get shorter
 blocks), whatever the skew of the data: blocks come from id hashes, not from
-data keys.
+data keys. Of a block pair the targets come first and are held; the sources
+pass by ``_SOURCE_ROWS`` at a time.
 
 Exactness: BLAS scores are not bit-stable across block shapes, so every
 candidate within ``_TOL`` of the block best is re-scored with a
@@ -57,7 +58,9 @@ WINNER_SCHEMA = MATCH_SCHEMA + ", rank long"
 TIE_DECIMALS = 12
 _TOL = 1e-9  # far above BLAS error for unit vectors, far below real gaps
 _CHUNK_ELEMS = 4_000_000  # score-matrix elements per chunk (32 MB)
-_RESCORE_PAIRS = 250_000  # candidate pairs re-scored per slice
+_RESCORE_ELEMS = 1_000_000  # vector elements of either side re-scored per slice (8 MB)
+_UNIT_ROWS = 4_096  # vectors brought to unit length together
+_SOURCE_ROWS = 10_000  # sources of a block pair that the kernel gets at once
 _MIN_SOURCE_BLOCK = 1_000  # smallest source block worth a task
 BLOCK_BYTES = 128 << 20  # float64 vectors of one block side in a task
 _MAX_PAIRS_PER_TASK = 16  # block pairs one match task streams (sorted by pair)
@@ -73,18 +76,29 @@ _HLL_RSD = 0.05  # relative error of the distinct-vector estimate (sizing only;
 def _unit_matrix(vectors: pd.Series) -> np.ndarray:
     if len(vectors) == 0:
         return np.zeros((0, 0))
-    m = np.stack(vectors.to_numpy()).astype(np.float64, copy=False)
-    n = np.sqrt((m * m).sum(axis=1))
-    n[n == 0] = 1.0
-    return m / n[:, None]
+    vectors = vectors.to_numpy()
+    m = np.empty((len(vectors), len(vectors[0])))
+    for a in range(0, len(m), _UNIT_ROWS):
+        part = m[a : a + _UNIT_ROWS]
+        np.stack(vectors[a : a + _UNIT_ROWS], out=part, casting="same_kind")
+        n = np.sqrt((part * part).sum(axis=1))
+        n[n == 0] = 1.0
+        part /= n[:, None]
+    return m
+
+
+def rescored_at_once(m: np.ndarray) -> int:
+    """Pairs of rows of ``m`` that are re-scored together."""
+    return max(1, _RESCORE_ELEMS // max(1, m.shape[1]))
 
 
 def _exact_scores(S: np.ndarray, T: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
     """Dot products summed the same way for every pair, whatever its position."""
     out = np.empty(len(rows))
-    for k in range(0, len(rows), _RESCORE_PAIRS):
-        r, c = rows[k : k + _RESCORE_PAIRS], cols[k : k + _RESCORE_PAIRS]
-        out[k : k + _RESCORE_PAIRS] = (S[r] * T[c]).sum(axis=1)
+    step = rescored_at_once(S)
+    for k in range(0, len(rows), step):
+        r, c = rows[k : k + step], cols[k : k + step]
+        out[k : k + step] = (S[r] * T[c]).sum(axis=1)
     return out
 
 
@@ -233,7 +247,7 @@ def _block_counts(s: DataFrame, t: DataFrame, rows_per_block: int, ns: int | Non
 def _block_pairs(s: DataFrame, t: DataFrame, ns: int, nt: int):
     """Rows of both sides, each copied to the block pairs of its block and
     placed by block pair: one shuffle, equal numbers of block pairs per
-    task, rows of a task ordered by block pair when it holds several.
+    task, rows of a task ordered by block pair, targets first.
     Columns ``side`` (0 source, 1 target), ``id``, ``vec``, ``bp``."""
     pairs = ns * nt
     if pairs >= 2**31:
@@ -254,38 +268,47 @@ def _block_pairs(s: DataFrame, t: DataFrame, ns: int, nt: int):
     ).withColumn("sb", F.explode(F.sequence(F.lit(0), F.lit(ns - 1))))
     rows = src.unionByName(tgt).select("side", "id", "vec", (F.col("sb") * nt + F.col("tb")).alias("bp"))
     rows = rows.repartitionById(parts, "bp")  # partition = bp mod parts
-    return rows.sortWithinPartitions("bp") if per_task > 1 else rows
+    return rows.sortWithinPartitions("bp", F.desc("side"))
 
 
 def _per_block_pair(batches, kernel, extra=()):
-    """Run ``kernel(source_frame, target_frame)`` on each block pair of a
-    task's row stream (ordered by ``bp``); only one block pair is held. The
+    """Run ``kernel(source_frame, target_frame)`` over each block pair of a
+    task's row stream (ordered by ``bp``, targets first): the targets of one block
+    pair are held, its sources go through the kernel ``_SOURCE_ROWS`` at a time. The
     frames have the id, the vector and the ``extra`` columns."""
-    pieces, current = [], None
     cols = ["id", "vec", *extra]
+    targets, sources, held, current = [], [], 0, None
 
     def flush():
-        df = pd.concat(pieces, ignore_index=True)
-        side = df["side"].to_numpy()
-        sdf = df.loc[side == 0, cols].rename(columns={"id": "source_id"})
-        tdf = df.loc[side == 1, cols].rename(columns={"id": "target_id"})
-        out = kernel(sdf.reset_index(drop=True), tdf.reset_index(drop=True))
+        nonlocal targets, sources, held
+        waiting, sources, held = sources, [], 0
+        if not waiting or not targets:
+            return
+        if len(targets) > 1:
+            targets = [pd.concat(targets, ignore_index=True)]
+        out = kernel(pd.concat(waiting, ignore_index=True), targets[0])
         # a kernel returns one frame or yields several (bounded chunks)
-        return [out] if isinstance(out, pd.DataFrame) else out
+        yield from (o for o in ([out] if isinstance(out, pd.DataFrame) else out) if len(o))
 
     for b in batches:
         if len(b) == 0:
             continue
-        bp = b["bp"].to_numpy()
-        cuts = np.flatnonzero(bp[1:] != bp[:-1]) + 1
+        bp, side = b["bp"].to_numpy(), b["side"].to_numpy()
+        cuts = np.flatnonzero((bp[1:] != bp[:-1]) | (side[1:] != side[:-1])) + 1
         for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(b)]):
-            if current is not None and bp[lo] != current:
-                yield from (o for o in flush() if len(o))
-                pieces = []
-            current = bp[lo]
-            pieces.append(b.iloc[lo:hi])
-    if pieces:
-        yield from (o for o in flush() if len(o))
+            if current is None or bp[lo] != current:
+                yield from flush()
+                targets, current = [], bp[lo]
+            if side[lo] == 1:
+                targets.append(b.iloc[lo:hi][cols].rename(columns={"id": "target_id"}).reset_index(drop=True))
+                continue
+            for k in range(lo, hi, _SOURCE_ROWS):
+                part = b.iloc[k : min(hi, k + _SOURCE_ROWS)][cols]
+                sources.append(part.rename(columns={"id": "source_id"}))
+                held += len(part)
+                if held >= _SOURCE_ROWS:
+                    yield from flush()
+    yield from flush()
 
 
 def _match_blocks(s: DataFrame, t: DataFrame, ns: int, nt: int, kernel, schema: str = MATCH_SCHEMA) -> DataFrame:
@@ -325,7 +348,7 @@ def match_by_key(sources: DataFrame, targets: DataFrame, wanted: dict[int, int],
     both = side(sources, 0, "source_id", "ns", "nt").unionByName(side(targets, 1, "target_id", "nt", "ns"))
     wide = max(3 * task_slots(spark), int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     parts = min(pairs, max(wide, math.ceil(moved / (2 * rows))))  # a task gets a few blocks' rows at most
-    placed = both.repartitionById(parts, "bp").sortWithinPartitions("bp")
+    placed = both.repartitionById(parts, "bp").sortWithinPartitions("bp", F.desc("side"))
     return placed.mapInPandas(lambda it: _per_block_pair(it, kernel, ("key", *extra)), schema=schema)
 
 

@@ -34,12 +34,12 @@ from pyspark.sql import functions as F
 
 from vitrine.operators.match import (
     _CHUNK_ELEMS,
-    _RESCORE_PAIRS,
     _TOL,
     BLOCK_BYTES,
     _exact_scores,
     _unit_matrix,
     match_by_key,
+    rescored_at_once,
     similarity_pairs,
     usable_vectors,
 )
@@ -98,15 +98,15 @@ def list_pairs(order: np.ndarray, threshold: float):
         so, to = np.argsort(-ns, kind="stable"), np.argsort(-nt, kind="stable")
         S, sid, ns, T, tid, nt = S[so], sid[so], ns[so], T[to], tid[to], nt[to]
         earlier = order[:at]
-        step = max(1, _CHUNK_ELEMS // len(tid))
+        step, at_once = max(1, _CHUNK_ELEMS // len(tid)), rescored_at_once(S)
         for i in range(0, len(sid), step):
             # the chunk's greatest norm: targets from here on cannot reach the threshold with any of its rows
             stop = int(np.searchsorted(-nt, -(threshold - _TOL) / max(ns[i], _TOL), side="right"))
             if not stop:
                 return
             r, c = np.nonzero(S[i: i + step] @ T[:stop].T >= threshold - _TOL)
-            for k in range(0, len(r), _RESCORE_PAIRS):
-                a, b = i + r[k: k + _RESCORE_PAIRS], c[k: k + _RESCORE_PAIRS]
+            for k in range(0, len(r), at_once):
+                a, b = i + r[k: k + at_once], c[k: k + at_once]
                 here = ~((S[a][:, earlier] != 0) & (T[b][:, earlier] != 0)).any(axis=1)
                 a, b = a[here], b[here]
                 exact = _exact_scores(S, T, a, b)
