@@ -81,3 +81,40 @@ def test_copies_are_compared_once(spark):
     s, t = frame(spark, a), frame(spark, a[::-1], 100)
     got = TH.pairs_bounded(s, t, 0.8)
     assert got.bounded and got.listed <= 11 * 11 * 4 and rows(got.pairs) == rows(similarity_pairs(s, t, 0.8))
+
+
+@pytest.mark.parametrize("options", [{}, {"max_share": 0.0}])
+def test_copies_are_not_multiplied_out(spark, options):
+    """k copies on both sides give k rows and not k * k; the pairs of all rows follow from them."""
+    rng = np.random.default_rng(9)
+    a = sparse(rng, 300, 50, 4)
+    a[10:] = a[0]
+    a[20:120] = a[1]
+    near = a + rng.normal(0, 0.02, a.shape) * (np.arange(300)[:, None] % 150 == 3)
+    s, t = frame(spark, [None, *a]), frame(spark, [*near, None], 1000)
+    got = [r.asDict() for r in TH.class_pair_rows(s, t, 0.8, **options).collect()]
+    pairs = [r for r in got if r["kind"] == "pair"]
+    of = {k: [(r["class_id"], r[f"{k}_id"]) for r in got if r["kind"] == k] for k in ("source", "target")}
+    assert sorted(i for _, i in of["source"]) == [*range(1, 301)] and sorted(i for _, i in of["target"]) == [*range(1000, 1300)]
+    assert all(c == min(i for c2, i in m if c2 == c) for m in of.values() for c, _ in m)
+    assert 10 <= len(pairs) <= 12 * 12 and len(got) == len(pairs) + 600
+    whole = sorted((x, y, round(p["similarity"], 9)) for p in pairs for c, x in of["source"] if c == p["source_id"]
+                   for d, y in of["target"] if d == p["target_id"])
+    want = rows(similarity_pairs(s, t, 0.8))
+    assert whole == want == rows(TH.similarity_pairs_bounded(s, t, 0.8, **options)) and len(want) > 40_000
+
+
+def test_query_of_pairs_grows_with_its_products(spark, tmp_path):
+    """Each title on 40 parts more: the pairs stay, a product more is a row more."""
+    from vitrine.plans.registry import QUERIES
+
+    titles = ["red bolt", "red bolts", "blue ring", None]
+    kinds = []
+    for copies in (2, 42):
+        d = tmp_path / str(copies)
+        part = [(i, titles[i // 2 % 4], "Brand#1", "SMALL", 1.0) for i in range(8 * copies)]
+        spark.createDataFrame(part, "p_partkey long, p_name string, p_brand string, p_type string, p_retailprice double").write.parquet(f"{d}/part.parquet")
+        spark.createDataFrame([(0, [1.0, 0.0])], "vec_id long, embedding array<float>").write.parquet(f"{d}/embeddings.parquet")
+        out = QUERIES["similarity_pairs_bounded"](spark, str(d))
+        kinds.append({r["kind"]: r["count"] for r in out.groupBy("kind").count().collect()})
+    assert kinds[0]["pair"] == kinds[1]["pair"] and kinds[0]["source"] == 8 and kinds[1]["source"] == kinds[1]["target"] == 168

@@ -15,8 +15,9 @@ qualifying pair meets in the list of some dimension:
 - the rest are multiplied and, where they reach it, re-scored exactly as the plain
   version does, so the rows are the same.
 
-Copies of a vector are compared once: pairs are found between different vectors
-and then given to all rows that hold them.
+Copies of a vector are compared once: they are one **class**, named by its least id.
+``class_pairs`` gives the pairs of classes and who is in each, so k copies cost k rows; ``pairs_bounded``
+gives every pair of all rows that hold them (k copies on both sides are k * k rows).
 
 Each dimension is a group of block pairs (``match.match_by_key``); a dimension
 that most vectors have is cut into many. Where the lists hold more pairs than ``max_share`` of
@@ -48,6 +49,17 @@ from vitrine.session import cut_lineage
 _ROWS = 4_096  # rows that a kernel looks at together
 
 
+@dataclass(frozen=True)
+class ClassPairs:
+    pairs: DataFrame  #: source_id, target_id (the least of each class), similarity
+    of_source: DataFrame  #: class_id, source_id: every source with a usable vector
+    of_target: DataFrame  #: class_id, target_id
+    copies: tuple[bool, bool]  #: whether a class of either side has several rows
+    products: int  #: pairs of all rows
+    listed: int  #: pairs of different vectors that meet in a list: at most so many are multiplied
+    bounded: bool  #: False: the plain version ran, on one row per class
+
+
 @dataclass(frozen=True)
 class BoundedPairs:
     pairs: DataFrame  #: source_id, target_id, similarity
@@ -120,20 +132,20 @@ def list_pairs(order: np.ndarray, threshold: float):
 def _collapsed(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame, int]:
     """One row per different vector (under its least id), the rows behind each, and their number."""
     one = cut_lineage(rows.groupBy("vec").agg(F.min(name).alias(name)), "list-vectors")
-    members = rows.join(one.withColumnRenamed(name, "rep"), "vec").select(F.col("rep").alias("m_" + name), F.col(name).alias("a_" + name))
+    members = rows.join(one.withColumnRenamed(name, "class_id"), "vec").select("class_id", name)
     return one, members, one.count()
 
 
 def _expanded(pairs: DataFrame, name: str, members: DataFrame) -> DataFrame:
     """Pairs of vectors as pairs of all rows that hold them, on one side."""
     other = [c for c in pairs.columns if c != name]
-    return pairs.join(members, pairs[name] == members["m_" + name]).select(F.col("a_" + name).alias(name), *other)
+    return pairs.withColumnRenamed(name, "class_id").join(members, "class_id").select(name, *other)
 
 
-def pairs_bounded(source: DataFrame, target: DataFrame, threshold: float, *, id_col: str = "product_id",
-                  vector_col: str = "embedding", rows_per_block: int = 50_000, block_bytes: int = BLOCK_BYTES,
-                  max_share: float = 0.5) -> BoundedPairs:
-    """The rows of ``similarity_pairs`` and how many pairs the lists hold.
+def class_pairs(source: DataFrame, target: DataFrame, threshold: float, *, id_col: str = "product_id",
+                vector_col: str = "embedding", rows_per_block: int = 50_000, block_bytes: int = BLOCK_BYTES,
+                max_share: float = 0.5) -> ClassPairs:
+    """The pairs of ``similarity_pairs`` between different vectors, and the rows that hold each vector.
 
     Thresholds of 0 or less bound nothing, and catalogs with several vector lengths have no common
     dimensions: the plain version runs. A zero vector scores 0 and is in no list."""
@@ -141,17 +153,18 @@ def pairs_bounded(source: DataFrame, target: DataFrame, threshold: float, *, id_
     t = cut_lineage(usable_vectors(target, id_col, vector_col, "target_id"), "list-targets")
     size = [d.agg(F.count("*").alias("n"), F.min(F.size("vec")).alias("a"), F.max(F.size("vec")).alias("b")).first() for d in (s, t)]
     total = size[0].n * size[1].n
+    (s1, of_s, n_s), (t1, of_t, n_t) = _collapsed(s, "source_id"), _collapsed(t, "target_id")
+    classes = {"of_source": of_s, "of_target": of_t, "copies": (n_s < size[0].n, n_t < size[1].n), "products": total}
 
     def plain(listed):
         names = {"vec": vector_col}
-        pairs = similarity_pairs(s.withColumnsRenamed({"source_id": id_col, **names}), t.withColumnsRenamed({"target_id": id_col, **names}),
+        pairs = similarity_pairs(s1.withColumnsRenamed({"source_id": id_col, **names}), t1.withColumnsRenamed({"target_id": id_col, **names}),
                                  threshold, id_col=id_col, vector_col=vector_col, rows_per_block=rows_per_block, block_bytes=block_bytes)
-        return BoundedPairs(pairs, total, listed, False)
+        return ClassPairs(pairs, **classes, listed=listed, bounded=False)
 
     if threshold <= 0 or not total or len({r[k] for r in size for k in ("a", "b")}) > 1:
         return plain(total)
     dims = size[0].a
-    (s1, of_s, n_s), (t1, of_t, n_t) = _collapsed(s, "source_id"), _collapsed(t, "target_id")
     vectors = s1.select("vec").unionByName(t1.select("vec"))
     # one row per dimension
     n = {r.dim: r.n for r in vectors.mapInPandas(_nonzero, "dim long, n long").groupBy("dim").agg(F.sum("n").alias("n")).collect()}
@@ -170,13 +183,35 @@ def pairs_bounded(source: DataFrame, target: DataFrame, threshold: float, *, id_
     rows = max(1, min(rows_per_block, block_bytes // (8 * dims)))
     rest = [d.select(name, "vec", F.explode("keys").alias("key")) for d, name in ((ls, "source_id"), (lt, "target_id"))]
     pairs = match_by_key(*rest, *counts, rows, list_pairs(order, threshold))
-    if n_s < size[0].n:
-        pairs = _expanded(pairs, "source_id", of_s)
-    if n_t < size[1].n:
-        pairs = _expanded(pairs, "target_id", of_t)
-    return BoundedPairs(pairs.select("source_id", "target_id", "similarity"), total, met, True)
+    return ClassPairs(pairs.select("source_id", "target_id", "similarity"), **classes, listed=met, bounded=True)
+
+
+def pairs_bounded(source: DataFrame, target: DataFrame, threshold: float, **options) -> BoundedPairs:
+    """The rows of ``similarity_pairs`` and how many pairs the lists hold; see ``class_pairs``."""
+    got = class_pairs(source, target, threshold, **options)
+    pairs = got.pairs
+    for name, members, copied in (("source_id", got.of_source, got.copies[0]), ("target_id", got.of_target, got.copies[1])):
+        pairs = _expanded(pairs, name, members) if copied else pairs
+    return BoundedPairs(pairs.select("source_id", "target_id", "similarity"), got.products, got.listed, got.bounded)
 
 
 def similarity_pairs_bounded(source: DataFrame, target: DataFrame, threshold: float, **options) -> DataFrame:
     """``source_id, target_id, similarity`` as ``similarity_pairs`` gives them; see ``pairs_bounded``."""
     return pairs_bounded(source, target, threshold, **options).pairs
+
+
+def class_pair_rows(source: DataFrame, target: DataFrame, threshold: float, **options) -> DataFrame:
+    """The same pairs as ``similarity_pairs_bounded``, copies not multiplied out: rows of ``kind`` ``pair``
+    (``source_id`` and ``target_id`` are class ids, with their ``similarity``), ``source`` and ``target``
+    (a row's id and its ``class_id``). Joining the members to both ends of the pairs gives every pair."""
+    got = class_pairs(source, target, threshold, **options)
+    none = F.lit(None)
+
+    def kind(df, name, **columns):
+        return df.select(F.lit(name).alias("kind"), *[columns.get(k, none).cast(t).alias(k) for k, t in (
+            ("source_id", "long"), ("target_id", "long"), ("class_id", "long"), ("similarity", "double"))])
+
+    col = F.col
+    return kind(got.pairs, "pair", source_id=col("source_id"), target_id=col("target_id"), similarity=col("similarity")).unionByName(
+        kind(got.of_source, "source", source_id=col("source_id"), class_id=col("class_id"))).unionByName(
+        kind(got.of_target, "target", target_id=col("target_id"), class_id=col("class_id")))

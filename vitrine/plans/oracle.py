@@ -496,8 +496,16 @@ f AS (SELECT page_id, r.category FROM t JOIN r ON contains(t.title, r.keyword)
 SELECT t.page_id, title, coalesce(category, 'Outros') AS category FROM t LEFT JOIN f USING (page_id)"""
 ORACLE["csv_lines"] = "SELECT doc_id, text, source FROM documents WHERE doc_id IS NOT NULL"
 ORACLE["match_encoded_pruned"] = ORACLE["match_encoded"]
-ORACLE["similarity_pairs_bounded"] = ORACLE["match_encoded"].rpartition("SELECT source_id")[0] + (
-    "SELECT source_id, target_id, round(similarity, 6) AS similarity FROM scores WHERE similarity >= 0.85")
+ORACLE["similarity_pairs_bounded"] = w(
+    PRODUCTS, _encoded("enc", "products", "product_id"), """
+cls AS (SELECT k, k % 2 <> 0 AS odd, min(k) OVER (PARTITION BY k % 2 <> 0, embedding) AS class_id, embedding FROM enc WHERE embedding IS NOT NULL),
+se AS (SELECT DISTINCT class_id AS product_id, embedding FROM cls WHERE NOT odd),
+te AS (SELECT DISTINCT class_id AS product_id, embedding FROM cls WHERE odd)""",
+    _vectors("sv", "se"), _vectors("tv", "te"), _scores("scores", "sv", "tv"),
+) + """SELECT 'pair' AS kind, source_id, target_id, NULL::BIGINT AS class_id, round(similarity, 6) AS similarity
+FROM scores WHERE similarity >= 0.85
+UNION ALL SELECT 'source', k, NULL, class_id, NULL FROM cls WHERE NOT odd
+UNION ALL SELECT 'target', NULL, k, class_id, NULL FROM cls WHERE odd"""
 
 ORACLE["ingest_cards"] = w(PAGE_KEYS) + f"""
 , st AS (SELECT page_id, url, CAST(unnest(range(1, len(c) + 1)) AS INTEGER) AS pos, unnest(c) AS card
