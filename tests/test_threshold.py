@@ -104,17 +104,68 @@ def test_copies_are_not_multiplied_out(spark, options):
     assert whole == want == rows(TH.similarity_pairs_bounded(s, t, 0.8, **options)) and len(want) > 40_000
 
 
-def test_query_of_pairs_grows_with_its_products(spark, tmp_path):
-    """Each title on 40 parts more: the pairs stay, a product more is a row more."""
-    from vitrine.plans.registry import QUERIES
+def write_parts(spark, folder, titles):
+    part = [(i, t, "Brand#1", "SMALL", 1.0) for i, t in enumerate(titles)]
+    spark.createDataFrame(part, "p_partkey long, p_name string, p_brand string, p_type string, p_retailprice double").write.parquet(f"{folder}/part.parquet")
+    spark.createDataFrame([(0, [1.0, 0.0])], "vec_id long, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
+
+
+def test_class_rows_grow_with_their_products(spark, tmp_path):
+    """Each title on 40 parts more: the pairs of classes stay, a product more is a row more."""
+    from vitrine.plans.registry import ENCODED_THRESHOLD, _encoded
 
     titles = ["red bolt", "red bolts", "blue ring", None]
     kinds = []
     for copies in (2, 42):
         d = tmp_path / str(copies)
-        part = [(i, titles[i // 2 % 4], "Brand#1", "SMALL", 1.0) for i in range(8 * copies)]
-        spark.createDataFrame(part, "p_partkey long, p_name string, p_brand string, p_type string, p_retailprice double").write.parquet(f"{d}/part.parquet")
-        spark.createDataFrame([(0, [1.0, 0.0])], "vec_id long, embedding array<float>").write.parquet(f"{d}/embeddings.parquet")
-        out = QUERIES["similarity_pairs_bounded"](spark, str(d))
+        write_parts(spark, d, [titles[i // 2 % 4] for i in range(8 * copies)])
+        out = TH.class_pair_rows(*_encoded(spark, str(d)), ENCODED_THRESHOLD, max_share=float("inf"))
         kinds.append({r["kind"]: r["count"] for r in out.groupBy("kind").count().collect()})
     assert kinds[0]["pair"] == kinds[1]["pair"] and kinds[0]["source"] == 8 and kinds[1]["source"] == kinds[1]["target"] == 168
+
+
+def test_query_returns_the_pairs_of_all_products(spark, tmp_path):
+    """Products of one title are products all the same: each of them is in a row with every product near it."""
+    import duckdb
+
+    from vitrine.plans.oracle import ORACLE
+    from vitrine.plans.registry import QUERIES
+
+    titles = ["red bolt", "red bolts", "blue ring", None]
+    write_parts(spark, tmp_path, [titles[i // 2 % 4] for i in range(8 * 5)])
+    out = QUERIES["similarity_pairs_bounded"](spark, str(tmp_path))
+    assert out.columns == ["source_id", "target_id", "similarity"]
+    got = rows(out)
+    same = {(x, y) for x in range(0, 40, 2) for y in range(1, 40, 2) if x // 2 % 4 == y // 2 % 4 != 3}
+    assert same <= {(x, y) for x, y, _ in got} and len(same) == 3 * 5 * 5
+    con = duckdb.connect()
+    for t in ("part", "embeddings"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    sql = con.sql(ORACLE["similarity_pairs_bounded"])
+    assert sql.columns == out.columns and got == sorted(sql.fetchall())
+
+
+@pytest.mark.parametrize("options", [{}, {"max_share": 0.0}])
+def test_an_id_of_several_vectors(spark, options):
+    """Ids may repeat: the rows of one vector do not get the pairs of another that has the same least id."""
+    s = spark.createDataFrame([(5, [1.0, 0.0, 0.0]), (5, [0.0, 1.0, 0.0]), (7, [1.0, 0.0, 0.0]), (7, [1.0, 0.0, 0.0])], SCHEMA)
+    t = spark.createDataFrame([(1, [0.0, 1.0, 0.0]), (2, [1.0, 0.0, 0.1]), (1, [0.0, 0.0, 1.0]), (1, [0.0, 0.0, 1.0])], SCHEMA)
+    want = rows(similarity_pairs(s, t, 0.8))
+    assert [x[:2] for x in want] == [(5, 1), (5, 2), (7, 2), (7, 2)]
+    assert rows(TH.similarity_pairs_bounded(s, t, 0.8, **options)) == want
+
+
+def test_many_copies_meet_their_pairs_in_blocks(spark, monkeypatch):
+    """A class of 91 copies is 13 groups, and every pair is there once."""
+    rng = np.random.default_rng(12)
+    a = sparse(rng, 120, 50, 4)
+    a[30:] = a[0]
+    near = a + rng.normal(0, 0.02, a.shape) * (np.arange(120)[:, None] % 40 == 3)
+    s, t = frame(spark, a), frame(spark, near, 1000)
+    want = rows(similarity_pairs(s, t, 0.8))
+    monkeypatch.setattr(TH, "_COPIES", 7)
+    assert rows(TH.similarity_pairs_bounded(s, t, 0.8)) == want and len(want) > 7_000
+    of = TH.class_pairs(s, t, 0.8).of_source
+    assert of.most == 91
+    groups = TH._expanded(spark.createDataFrame([(r["class"], 1) for r in of.rows.collect()], "source_id long, target_id long"), "source_id", of)
+    assert sorted(r.source_id for r in groups.collect()) == [*range(120)]

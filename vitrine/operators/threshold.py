@@ -15,9 +15,9 @@ qualifying pair meets in the list of some dimension:
 - the rest are multiplied and, where they reach it, re-scored exactly as the plain
   version does, so the rows are the same.
 
-Copies of a vector are compared once: they are one **class**, named by its least id.
-``class_pairs`` gives the pairs of classes and who is in each, so k copies cost k rows; ``pairs_bounded``
-gives every pair of all rows that hold them (k copies on both sides are k * k rows).
+Copies of a vector are compared once: they are one **class**. ``class_pairs`` gives the pairs of classes and
+who is in each; ``pairs_bounded`` gives every pair of all rows that hold them (k copies on both sides are
+k * k rows): a class meets its pairs in blocks of at most about ``_COPIES`` rows, so that many copies are many small groups.
 
 Each dimension is a group of block pairs (``match.match_by_key``); a dimension
 that most vectors have is cut into many. Where the lists hold more pairs than ``max_share`` of
@@ -47,14 +47,23 @@ from vitrine.operators.match import (
 from vitrine.session import cut_lineage
 
 _ROWS = 4_096  # rows that a kernel looks at together
+_COPIES = 1_000  # rows of a class that meet its pairs as one group
+
+
+@dataclass(frozen=True)
+class Classes:
+    """The classes of one side. A class has a number of its own, as an id may have several vectors."""
+
+    rows: DataFrame  #: class, least (id), copies, vec
+    members: DataFrame  #: class, copies and the id: every row with a usable vector
+    most: int  #: copies of the largest class
 
 
 @dataclass(frozen=True)
 class ClassPairs:
-    pairs: DataFrame  #: source_id, target_id (the least of each class), similarity
-    of_source: DataFrame  #: class_id, source_id: every source with a usable vector
-    of_target: DataFrame  #: class_id, target_id
-    copies: tuple[bool, bool]  #: whether a class of either side has several rows
+    pairs: DataFrame  #: source_id, target_id (classes), similarity
+    of_source: Classes
+    of_target: Classes
     products: int  #: pairs of all rows
     listed: int  #: pairs of different vectors that meet in a list: at most so many are multiplied
     bounded: bool  #: False: the plain version ran, on one row per class
@@ -129,17 +138,27 @@ def list_pairs(order: np.ndarray, threshold: float):
     return kernel
 
 
-def _collapsed(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame, int]:
-    """One row per different vector (under its least id), the rows behind each, and their number."""
-    one = cut_lineage(rows.groupBy("vec").agg(F.min(name).alias(name)), "list-vectors")
-    members = rows.join(one.withColumnRenamed(name, "class_id"), "vec").select("class_id", name)
-    return one, members, one.count()
+def _classes(rows: DataFrame, name: str) -> Classes:
+    """One row per different vector, and the rows behind each."""
+    found = rows.groupBy("vec").agg(F.min(name).alias("least"), F.count("*").alias("copies"))
+    one = cut_lineage(found.withColumn("class", F.monotonically_increasing_id()), "list-vectors")
+    most = one.agg(F.max("copies").alias("n")).first().n or 0
+    members = rows.join(one, "vec") if most > 1 else one.withColumnRenamed("least", name)
+    return Classes(one, members.select("class", "copies", name), most)
 
 
-def _expanded(pairs: DataFrame, name: str, members: DataFrame) -> DataFrame:
-    """Pairs of vectors as pairs of all rows that hold them, on one side."""
+def _expanded(pairs: DataFrame, name: str, classes: Classes) -> DataFrame:
+    """Pairs of classes as pairs of all rows that hold them, on one side."""
     other = [c for c in pairs.columns if c != name]
-    return pairs.withColumnRenamed(name, "class_id").join(members, "class_id").select(name, *other)
+    pairs, members, keys = pairs.withColumnRenamed(name, "class"), classes.members, ["class"]
+    if classes.most > _COPIES:
+        blocks = F.ceil(F.col("copies") / _COPIES)
+        large = classes.rows.where(F.col("copies") > _COPIES).select("class", blocks.alias("blocks"))
+        last = F.coalesce("blocks", F.lit(1).cast("long")) - 1
+        pairs = pairs.join(large, "class", "left").select("class", *other, F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"))
+        members = members.withColumn("block", F.pmod(F.xxhash64(name), blocks))
+        keys = ["class", "block"]
+    return pairs.join(members, keys).select(name, *other)
 
 
 def class_pairs(source: DataFrame, target: DataFrame, threshold: float, *, id_col: str = "product_id",
@@ -153,8 +172,9 @@ def class_pairs(source: DataFrame, target: DataFrame, threshold: float, *, id_co
     t = cut_lineage(usable_vectors(target, id_col, vector_col, "target_id"), "list-targets")
     size = [d.agg(F.count("*").alias("n"), F.min(F.size("vec")).alias("a"), F.max(F.size("vec")).alias("b")).first() for d in (s, t)]
     total = size[0].n * size[1].n
-    (s1, of_s, n_s), (t1, of_t, n_t) = _collapsed(s, "source_id"), _collapsed(t, "target_id")
-    classes = {"of_source": of_s, "of_target": of_t, "copies": (n_s < size[0].n, n_t < size[1].n), "products": total}
+    of_s, of_t = _classes(s, "source_id"), _classes(t, "target_id")
+    s1, t1 = (c.rows.select(F.col("class").alias(name), "vec") for c, name in ((of_s, "source_id"), (of_t, "target_id")))
+    classes = {"of_source": of_s, "of_target": of_t, "products": total}
 
     def plain(listed):
         names = {"vec": vector_col}
@@ -189,9 +209,7 @@ def class_pairs(source: DataFrame, target: DataFrame, threshold: float, *, id_co
 def pairs_bounded(source: DataFrame, target: DataFrame, threshold: float, **options) -> BoundedPairs:
     """The rows of ``similarity_pairs`` and how many pairs the lists hold; see ``class_pairs``."""
     got = class_pairs(source, target, threshold, **options)
-    pairs = got.pairs
-    for name, members, copied in (("source_id", got.of_source, got.copies[0]), ("target_id", got.of_target, got.copies[1])):
-        pairs = _expanded(pairs, name, members) if copied else pairs
+    pairs = _expanded(_expanded(got.pairs, "source_id", got.of_source), "target_id", got.of_target)
     return BoundedPairs(pairs.select("source_id", "target_id", "similarity"), got.products, got.listed, got.bounded)
 
 
@@ -203,7 +221,8 @@ def similarity_pairs_bounded(source: DataFrame, target: DataFrame, threshold: fl
 def class_pair_rows(source: DataFrame, target: DataFrame, threshold: float, **options) -> DataFrame:
     """The same pairs as ``similarity_pairs_bounded``, copies not multiplied out: rows of ``kind`` ``pair``
     (``source_id`` and ``target_id`` are class ids, with their ``similarity``), ``source`` and ``target``
-    (a row's id and its ``class_id``). Joining the members to both ends of the pairs gives every pair."""
+    (a row's id and its ``class_id``). A class id is the least id of its class. Where no id has several vectors,
+    joining the members to both ends of the pairs gives every pair."""
     got = class_pairs(source, target, threshold, **options)
     none = F.lit(None)
 
@@ -211,7 +230,12 @@ def class_pair_rows(source: DataFrame, target: DataFrame, threshold: float, **op
         return df.select(F.lit(name).alias("kind"), *[columns.get(k, none).cast(t).alias(k) for k, t in (
             ("source_id", "long"), ("target_id", "long"), ("class_id", "long"), ("similarity", "double"))])
 
+    def least(df, classes, name):
+        return df.join(classes.rows.select(F.col("class").alias(name), F.col("least").alias("least_" + name)), name)
+
     col = F.col
-    return kind(got.pairs, "pair", source_id=col("source_id"), target_id=col("target_id"), similarity=col("similarity")).unionByName(
-        kind(got.of_source, "source", source_id=col("source_id"), class_id=col("class_id"))).unionByName(
-        kind(got.of_target, "target", target_id=col("target_id"), class_id=col("class_id")))
+    pairs = least(least(got.pairs, got.of_source, "source_id"), got.of_target, "target_id")
+    s, t = (c.members.join(c.rows.select("class", "least"), "class") for c in (got.of_source, got.of_target))
+    return kind(pairs, "pair", source_id=col("least_source_id"), target_id=col("least_target_id"), similarity=col("similarity")).unionByName(
+        kind(s, "source", source_id=col("source_id"), class_id=col("least"))).unionByName(
+        kind(t, "target", target_id=col("target_id"), class_id=col("least")))
